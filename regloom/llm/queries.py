@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, mixing, sharding
+from . import chat, mixing, packing, pii, sharding
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     extra = spark.sql(
@@ -25,13 +29,20 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.report(docs, pii.fit(docs))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_sharding": op7_sharding,
+    "op8_pii": op8_pii,
     "op10_mixing": op10_mixing,
 }
 
