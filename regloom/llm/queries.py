@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, mixing, packing, pii, sharding
+from . import chat, mixing, packing, pii, sharding, suffix_dedup
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +17,11 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return d.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     extra = spark.sql(
@@ -40,6 +46,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_sharding": op7_sharding,
     "op8_pii": op8_pii,
