@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, packing, pii, sharding, suffix_dedup
+from . import chat, mixing, packing, pii, quality, sharding, suffix_dedup, topk
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return d.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
@@ -40,16 +44,22 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(docs, pii.fit(docs))
 
 
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op3_quality_rules": op3_quality_rules,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_sharding": op7_sharding,
     "op8_pii": op8_pii,
+    "op9_top_k": op9_top_k,
     "op10_mixing": op10_mixing,
 }
 
