@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, packing, pii, quality, sharding, suffix_dedup, topk
+from . import chat, mixing, packing, pii, quality, sharding, suffix_dedup, topk, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,13 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return d.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
@@ -55,6 +62,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_quality_rules": op3_quality_rules,
+    "op4_toxicity": op4_toxicity,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_sharding": op7_sharding,
