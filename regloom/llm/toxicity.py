@@ -24,13 +24,19 @@ from .common import WORD
 #: Letters a-z, two word ends, and classes for all other letters.
 ALPHABET = 64
 DECAY, REACH = 0.7, 6
-LANDMARKS = 160
+LANDMARKS = 256
+#: Times that hard negatives are added.
+HARD_ROUNDS = 2
 #: Longer words are scored in overlapping pieces.
 LONGEST = 24
 #: The fit uses at most this many labelled texts, by hash of the id, and at most this many words of each class.
 SAMPLE_DOCS, WORDS_EACH = 20_000, 3000
 #: Evidence a word needs to be a positive example: log-likelihood gain of its toxic occurrences.
 EVIDENCE = 8.0
+#: Kernel value from which words support each other.
+ALIKE = 0.4
+#: A margin near 1, the target of positive words.
+SAFE = 0.8
 #: Texts that a scoring task takes at a time, in characters.
 _GROUP = 2_000_000
 _START, _END = 27, 28
@@ -100,22 +106,46 @@ def _by_length(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
                     yield np.full(len(rows), own), rows
 
 
-def features(words: list[str]) -> np.ndarray:
-    """Normalised feature vectors over all subsequences, one row for each word (its first piece)."""
-    out = np.zeros((len(words), ALPHABET**3), dtype=np.float32)
+def subsequences(m: np.ndarray) -> Iterator[tuple[np.ndarray, float]]:
+    """Numbers of the subsequences in a code matrix, with their weights."""
+    length = m.shape[1]
+    pair = m[:, :-1] * ALPHABET
+    for j, k in _STEPS:
+        if length > k:
+            yield (pair[:, : length - k] + m[:, j : length - k + j]) * ALPHABET + m[:, k:], DECAY ** (k + 1)
+
+
+def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
+    """Normalised kernel values of words (their first piece) and landmarks."""
+    number, at, value = _sparse(landmarks)
+    known = np.unique(number)
+    table = np.zeros((len(known) + 1, len(landmarks)))
+    np.add.at(table, (np.searchsorted(known, number), at), value)
+    out = np.zeros((len(words), len(landmarks)))
     for own, m in _by_length(words):
-        length = m.shape[1]
         own, first = np.unique(own, return_index=True)
-        m = m[first]
-        for j, k in _STEPS:
-            if length > k:
-                index = (m[:, : length - k] * ALPHABET + m[:, j : length - k + j]) * ALPHABET + m[:, k:]
-                for column in range(index.shape[1]):
-                    out[own, index[:, column]] += DECAY ** (k + 1)
-        out[own] /= _NORMS[length]
+        for a in range(0, len(own), 500):
+            rows = m[first[a : a + 500]]
+            total = np.zeros((len(rows), len(landmarks)))
+            for index, weight in subsequences(rows):
+                slot = np.minimum(np.searchsorted(known, index), len(known) - 1)
+                slot = np.where(known[slot] == index, slot, len(known))
+                total += weight * table[slot].sum(1)
+            out[own[a : a + 500]] = total / _NORMS[m.shape[1]]
     return out
 
 
+def _sparse(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(subsequence, word, value) of the normalised features of words."""
+    number, at, value = [], [], []
+    for own, m in _by_length(words):
+        for index, weight in subsequences(m):
+            number.append(index.ravel())
+            at.append(np.repeat(own, index.shape[1]))
+            value.append(np.full(index.size, weight / _NORMS[m.shape[1]]))
+    return np.concatenate(number), np.concatenate(at), np.concatenate(value)
+
+
 class Machine:
     """A folded SVM and the calibration of texts."""
 
@@ -127,16 +157,13 @@ class Machine:
         for own, m in _by_length(words):
             length = m.shape[1]
             total = np.zeros(len(m))
-            pair = m[:, :-1] * ALPHABET
-            for j, k in _STEPS:
-                if length > k:
-                    index = (pair[:, : length - k] + m[:, j : length - k + j]) * ALPHABET + m[:, k:]
-                    total += self.table[index].sum(1) * DECAY ** (k + 1)
+            for index, weight in subsequences(m):
+                total += self.table[index].sum(1) * weight
             np.maximum.at(best, own, total / _NORMS[length])
         return np.where(np.isfinite(best), best, -1.0) + self.bias
 
     def measures(self, texts: list[str]) -> np.ndarray:
-        """For each text: 1, its largest margin, its second largest among distinct words, log of its words."""
+        """For each text: 1, its two largest margins among distinct words, and how far these are into the safe side."""
         found = []
         for t in texts:
             t = t.lower()
@@ -145,20 +172,21 @@ class Machine:
             found.append(words)
         every = list(set().union(*found)) if found else []
         margin = dict(zip(every, self.margins(every).tolist(), strict=True)) if every else {}
-        out = np.empty((len(texts), 4))
+        out = np.empty((len(texts), 5))
         for row, words in zip(out, found, strict=True):
             m = [margin[w] for w in words]
             top = max(m, default=-2.0)
             if len(m) > 1:
                 m.remove(top)
-            row[:] = 1.0, top, max(m, default=-2.0), np.log1p(len(words))
+            next_ = max([*m, -2.0])
+            row[:] = 1.0, max(top, -2.0), next_, 5 * max(0.0, top - SAFE), 5 * max(0.0, next_ - SAFE)
         return out
 
     def scores(self, texts: list[str]) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.measures(texts) @ self.calibration, -30, 30)))
 
 
-def _svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, epochs: int = 60, c: float = 1.0) -> np.ndarray:
+def _svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, epochs: int = 60, c: float = 3.0) -> np.ndarray:
     """Linear SVM (squared hinge) by Newton steps on the active set; the last column of z is the bias."""
     w = np.zeros(z.shape[1])
     ridge = np.eye(z.shape[1])
@@ -173,7 +201,7 @@ def _svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, epochs: int = 60, c:
     return w
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.02) -> np.ndarray:
     w = np.zeros(x.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -185,21 +213,24 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
     return w
 
 
+def _spread(words: list[str], n: int) -> list[str]:
+    return [words[i] for i in np.unique(np.linspace(0, len(words) - 1, min(n, len(words))).astype(int))] if words else []
+
+
 def train_words(positive: list[str], negative: list[str], landmarks: int = LANDMARKS) -> tuple[np.ndarray, float]:
     """The folded table and bias of an SVM on words. Landmarks are taken evenly from both lists."""
-    words = [*positive, *negative]
-    y = np.r_[np.ones(len(positive)), -np.ones(len(negative))]
-    pick = [*positive[: landmarks // 2], *negative[: landmarks - min(len(positive), landmarks // 2)]]
-    base = features(pick)
-    gram = (base @ base.T).astype(np.float64)
-    value, vector = np.linalg.eigh(gram)
+    pick = _spread(positive, landmarks // 2)
+    pick += _spread(negative, landmarks - len(pick))
+    value, vector = np.linalg.eigh(kernel(pick, pick))
     good = value > 1e-3
     root = vector[:, good] / np.sqrt(value[good])
-    z = np.concatenate([features(words[a : a + 200]) @ base.T for a in range(0, len(words), 200)]).astype(np.float64) @ root
-    z = np.c_[z, np.ones(len(z))]
-    weight = np.where(y > 0, len(y) / (2 * max(1, len(positive))), len(y) / (2 * max(1, len(negative))))
+    z = np.c_[kernel([*positive, *negative], pick) @ root, np.ones(len(positive) + len(negative))]
+    y = np.r_[np.ones(len(positive)), -np.ones(len(negative))]
+    weight = np.where(y > 0, 0.5 / len(positive), 0.5 / len(negative)) * len(y)
     w = _svm(z, y, weight)
-    table = base.T.astype(np.float64) @ (root @ w[:-1])
+    number, at, amount = _sparse(pick)
+    table = np.zeros(ALPHABET**3)
+    np.add.at(table, number, amount * (root @ w[:-1])[at])
     return table.astype(np.float32), float(w[-1])
 
 
@@ -207,6 +238,14 @@ def _fold(column: str):
     return F.pmod(F.crc32(F.col(column).cast("string")), F.lit(5))
 
 
+def _margins(machine: Machine):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.record_batch([batch.column(0), pa.array(machine.margins(batch.column(0).to_pylist()))], names=["word", "m"])
+
+    return run
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Machine | None:
     """Fit on at most sample_docs labelled texts outside the held-out fold; None if a class is missing.
 
@@ -228,18 +267,28 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> M
     if not nt or not nc:
         sample.unpersist()
         return None
-    counts = sample.where("part = 'words'").select("toxic", F.explode("words").alias("word")).groupBy("word").agg(
+    letters = F.transform("words", lambda x: F.regexp_replace(x, r"[^\p{L}]", ""))
+    counts = sample.where("part = 'words'").select("toxic", F.explode(F.array_distinct(letters)).alias("word")).groupBy("word").agg(
         F.sum("toxic").cast("double").alias("a"), F.sum(1 - F.col("toxic")).cast("double").alias("c")
-    )
+    ).cache()
     share = nt / (nt + nc)
     gain = F.col("a") * F.log(F.col("a") / (F.col("a") + F.col("c")) / share)
     strong = counts.where((gain >= EVIDENCE) & (F.col("a") * nc > 10 * F.col("c") * nt)).orderBy(gain.desc(), "word").limit(WORDS_EACH)
     plain = counts.where("c >= 2").where(F.col("a") * nc <= 2 * F.col("c") * nt).orderBy(F.xxhash64("word")).limit(WORDS_EACH)
-    positive, negative = [r["word"] for r in strong.collect()], [r["word"] for r in plain.collect()]
+    found, negative = strong.select("word", gain.alias("gain")).collect(), [r["word"] for r in plain.collect()]
+    positive = [r["word"] for r in found]
+    if positive:  # by chance a word may lack clean occurrences; without much evidence it needs others like it
+        alike = (kernel(positive, positive) > ALIKE).sum(1) - 1
+        positive = [r["word"] for r, n in zip(found, alike.tolist(), strict=True) if r["gain"] >= 2 * EVIDENCE or n >= 2]
     if not positive or not negative:
         sample.unpersist()
         return None
-    machine = Machine(*train_words(positive, negative), np.zeros(4))
+    machine = Machine(*train_words(positive, negative), np.zeros(5))
+    clean = counts.where("c >= 2").where(F.col("a") * nc <= 2 * F.col("c") * nt).select("word")
+    for _ in range(HARD_ROUNDS):  # clean words that look worst join the negatives
+        hard = clean.mapInArrow(_margins(machine), "word string, m double").where("m > -0.8").orderBy(F.col("m").desc(), "word").limit(WORDS_EACH)
+        negative = list(dict.fromkeys([*[r["word"] for r in hard.collect()], *negative]))
+        machine = Machine(*train_words(positive, negative), np.zeros(5))
     kind = "toxic int, measures array<double>"
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,7 +302,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> M
         x, y = np.array([r["measures"] for r in rows]), np.array([r["toxic"] for r in rows], dtype=float)
         machine.calibration = _logistic(x, y)
     else:
-        machine.calibration = np.array([0.0, 2.0, 0.0, 0.0])
+        machine.calibration = np.array([0.0, 2.0, 0.0, 0.0, 0.0])
     return machine
 
 
