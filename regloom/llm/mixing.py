@@ -43,45 +43,75 @@ def source_targets(sizes: DataFrame, share: float = SHARE, weights=WEIGHTS, slop
     return s.select("source", "source_size", target.alias("target"), "slope")
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", range_sorted: bool = True) -> DataFrame:
-    """Return doc_id, size, source_size, target, taken, position for every document, range-sorted by position.
-
-    taken: words that the mix takes of a document: whole passes over its source, then one more pass in hash order that
-    stops at the target, within a document if need be. position: where on [0, 1] its first words are due (null: nothing
-    is taken). Null texts have size 0; null sources form a source that comes last; repeated rows are documents of their
-    own; other columns are not read. Hash order depends on the id and size alone, so reruns agree.
-    """
-    spark = docs.sparkSession
+def _rows(docs: DataFrame, id_col: str, text_col: str, source_col: str, *more) -> DataFrame:
     h = F.xxhash64(F.lit("mix"), F.col(id_col))
-    rows = staged(
-        docs.select(
-            F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-            F.regexp_count(text_or_empty(text_col), F.lit(WORD)).cast("long").alias("size"),
-            h.alias("h"), F.pmod(h, F.lit(salts(spark))).cast("int").alias("cell"),
-        ),
-        "mix-rows",
+    return docs.select(
+        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
+        F.regexp_count(text_or_empty(text_col), F.lit(WORD)).cast("long").alias("size"),
+        h.alias("h"), F.pmod(h, F.lit(salts(docs.sparkSession))).cast("int").alias("cell"), *more,
     )
+
+
+def _assigned(rows: DataFrame) -> DataFrame:
+    """rows with source_size, target, slope, start (words of its source before it in hash order) and taken."""
     # The running word count of a source is a count over its cells plus one within a cell: no task gets a whole source.
-    cells = rows.groupBy("source", "cell").agg(F.sum("size").alias("words"))
+    cells = staged(rows.groupBy("source", "cell").agg(F.sum("size").alias("words")), "mix-cells")
     targets = source_targets(cells.groupBy("source").agg(F.sum("words").alias("source_size")))
-    cells = cells.withColumn(
-        "words_before", F.coalesce(F.sum("words").over(W.partitionBy("source").orderBy("cell").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    ).alias("c")
+    before = W.partitionBy("source").orderBy("cell").rowsBetween(W.unboundedPreceding, -1)
+    cells = cells.withColumn("words_before", F.coalesce(F.sum("words").over(before), F.lit(0))).alias("c")
     t = targets.alias("t")
-    cells = cells.join(t, F.col("c.source").eqNullSafe(F.col("t.source"))).select("c.source", "c.cell", "c.words_before", "source_size", "target", "slope").alias("c")
-    inside = W.partitionBy("source", "cell").orderBy("h", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
-    d = rows.withColumn("in_cell", F.coalesce(F.sum("size").over(inside), F.lit(0))).alias("d")
-    d = d.join(cells, F.col("d.source").eqNullSafe(F.col("c.source")) & (F.col("d.cell") == F.col("c.cell"))).select(
-        "doc_id", "size", "h", "source_size", "target", "slope", (F.col("in_cell") + F.col("words_before")).alias("start")
+    cells = cells.join(t, F.col("c.source").eqNullSafe(F.col("t.source"))).select(
+        F.col("c.source").alias("c_source"), F.col("c.cell").alias("c_cell"), "words_before", "source_size", "target", "slope"
     )
+    inside = W.partitionBy("source", "cell").orderBy("h", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
+    d = rows.withColumn("in_cell", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    d = d.join(cells, F.col("source").eqNullSafe(F.col("c_source")) & (F.col("cell") == F.col("c_cell")))
+    d = d.withColumn("start", F.col("in_cell") + F.col("words_before")).drop("c_source", "c_cell", "in_cell", "words_before")
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     last = F.round(F.col("target") - passes * F.col("source_size")).cast("long")
-    d = d.withColumn("taken", (passes * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), last - F.col("start")))).cast("long"))
-    first = F.least(F.col("taken"), F.col("size"))
-    q = F.least(F.lit(1.0), (F.col("start") + first / 2) / F.col("target"))
+    return d.withColumn("taken", (passes * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), last - F.col("start")))).cast("long"))
+
+
+def _position(words_before, words):
+    """Training position at which the middle of some words of a source is due: the inverse of its cumulative demand."""
+    q = F.least(F.lit(1.0), (words_before + words / 2) / F.col("target"))
     a = F.col("slope")
-    inverse = F.when(a == 0, q).otherwise((a - 1 + F.sqrt((1 - a) * (1 - a) + 4 * a * q)) / (2 * a))
-    d = d.withColumn("position", F.when(F.col("taken") > 0, inverse))
-    if range_sorted:  # the hash spreads documents without a position
-        d = d.repartitionByRange(F.col("position").asc_nulls_last(), "h").sortWithinPartitions(F.col("position").asc_nulls_last(), "h")
+    return F.when(a == 0, q).otherwise((a - 1 + F.sqrt((1 - a) * (1 - a) + 4 * a * q)) / (2 * a))
+
+
+def _range_sorted(d: DataFrame) -> DataFrame:
+    """By position; the hash spreads documents without one."""
+    return d.repartitionByRange(F.col("position").asc_nulls_last(), "h").sortWithinPartitions(F.col("position").asc_nulls_last(), "h")
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """Return doc_id, size, source_size, target, taken, position for every document, range-sorted by position.
+
+    taken: words that the mix takes of a document: whole passes over its source, then one more pass in hash order that
+    stops at the target, within a document if need be. position: where on [0, 1] its first words are due (null: nothing
+    is taken). Null texts have size 0; null sources form a source that comes last; repeated rows are documents of their
+    own; other columns are not read; an empty table gives an empty result. Hash order depends on the id and size alone, so
+    reruns agree.
+    """
+    d = _assigned(staged(_rows(docs, id_col, text_col, source_col), "mix-rows"))
+    position = _position(F.col("start"), F.least(F.col("taken"), F.col("size")))
+    d = _range_sorted(d.withColumn("position", F.when(F.col("taken") > 0, position)))
     return d.select("doc_id", "size", "source_size", "target", "taken", "position")
+
+
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The mix itself: docs' rows, one for each pass that takes words of it, range-sorted by training position.
+
+    A row of which a pass takes only some words (one for each source at most) has its text cut behind these. Documents
+    without words are in no pass.
+    """
+    columns = docs.columns
+    d = _assigned(_rows(docs, id_col, text_col, source_col, F.struct(*columns).alias("row"))).where("taken > 0")
+    n = F.ceil(F.col("taken") / F.col("size")).cast("int")
+    d = d.withColumn("pass", F.explode(F.sequence(F.lit(0), n - 1)))
+    words = F.least(F.col("size"), F.col("taken") - F.col("pass") * F.col("size"))
+    d = d.withColumn("words", words).withColumn("position", _position(F.col("pass") * F.col("source_size") + F.col("start"), F.col("words")))
+    d = _range_sorted(d.select("row", "size", "words", "position", "h"))
+    text = F.col(f"row.{text_col}")
+    some = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), 1, F.col("words").cast("int")), " ")
+    return d.select(*[(F.when(F.col("words") < F.col("size"), some).otherwise(text) if c == text_col else F.col(f"row.{c}")).alias(c) for c in columns])

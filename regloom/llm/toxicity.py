@@ -330,6 +330,25 @@ def score(docs: DataFrame, machine: Machine | None, id_col: str = "doc_id", text
     return read.mapInArrow(run, f"doc_id {kind}, score double, predicted int")
 
 
+def keep_clean(docs: DataFrame, machine: Machine | None, text_col: str = "text") -> DataFrame:
+    """The rows of docs, with all columns, whose text scores below 0.5."""
+    if machine is None:
+        return docs
+    at = docs.columns.index(text_col)
+    shared = docs.sparkSession.sparkContext.broadcast(machine)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for batch in batches:
+            texts = [t or "" for t in batch.column(at).to_pylist()]
+            ends = np.cumsum([len(t) for t in texts])
+            s = [own.scores(texts[a:b]) for a, b in _cuts(ends)]
+            if s:
+                yield batch.filter(pa.array(np.concatenate(s) < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _cuts(ends: np.ndarray) -> Iterator[tuple[int, int]]:
     at = 0
     while at < len(ends):
