@@ -11,7 +11,6 @@ nearest vectors are those with the largest inner products.
 
 from __future__ import annotations
 
-import heapq
 import math
 from collections.abc import Iterator
 
@@ -22,22 +21,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import partitions
-
 K = 5
 SCALE = 256
 #: Vectors and queries of a block; entries of a page.
-BLOCK, QUERY_BLOCK, PAGE = 8192, 4096, 64
+BLOCK, QUERY_BLOCK, PAGE = 8192, 4096, 256
 _SLACK = 1e-9
 
 
 class _Page:
     """A page: `at` are vectors (leaf) or its children's routing vectors; `to_parent` their distances to its own routing vector."""
 
-    __slots__ = ("at", "to_parent", "radius", "children")
+    __slots__ = ("at", "vectors", "to_parent", "radius", "children")
 
-    def __init__(self, at, to_parent, radius=None, children=None):
-        self.at, self.to_parent, self.radius, self.children = at, to_parent, radius, children
+    def __init__(self, at, vectors, to_parent, radius=None, children=None):
+        self.at, self.vectors, self.to_parent, self.radius, self.children = at, vectors, to_parent, radius, children
 
 
 class MTree:
@@ -56,7 +53,7 @@ class MTree:
 
     def _build(self, at: np.ndarray, pivot: int | None) -> _Page:
         if len(at) <= self.page:
-            return _Page(at, np.zeros(len(at)) if pivot is None else self._between(at, pivot))
+            return _Page(at, self.vectors[at], np.zeros(len(at)) if pivot is None else self._between(at, pivot))
         n = min(self.page, -(-len(at) // self.page) + 1)
         pivots = at[np.linspace(0, len(at) - 1, n).astype(int)]
         x, p = self.vectors[at], self.vectors[pivots]
@@ -68,44 +65,64 @@ class MTree:
         radius = np.array([self._between(part, i).max() for i, part in parts])
         routing = np.array([i for i, _ in parts])
         to_parent = np.zeros(len(parts)) if pivot is None else self._between(routing, pivot)
-        return _Page(routing, to_parent, radius, [self._build(part, i) for i, part in parts])
-
-    def search(self, query: np.ndarray, k: int, ids: np.ndarray, own: int) -> list[tuple[float, int]]:
-        """The k best (score, id) with id != own; ties to smaller ids."""
-        q = query.astype(np.float64)
-        whole = float(q @ q) + self.top
-        best: list[tuple[float, int]] = []  # heap of (score, -id): the worst is on top
-        reach = math.inf  # distance of the k-th best so far, a little more
-        heap: list = [(0.0, 0, self.root, None)]
-        tick = 0
-        while heap:
-            bound, _, page, from_parent = heapq.heappop(heap)
-            if bound > reach:
-                break
-            at = np.arange(len(page.at))
-            if from_parent is not None and reach < math.inf:
-                low = np.abs(from_parent - page.to_parent)
-                if page.children is not None:
-                    low = low - page.radius
-                at = at[low <= reach]
-                if not len(at):
-                    continue
-            rows = page.at[at]
-            dots = self.vectors[rows] @ q
-            self.computed += len(rows)
+        return _Page(routing, self.vectors[routing], to_parent, radius, [self._build(part, i) for i, part in parts])
+
+    def _leaves(self, queries: np.ndarray, whole: np.ndarray) -> tuple[list[_Page], np.ndarray, np.ndarray]:
+        """All leaf pages, the smallest possible distance of each query to each, and the distance to its routing vector."""
+        pages, bounds, centres = [], [], []
+        stack = [(self.root, np.zeros(len(queries)), np.full(len(queries), np.nan))]
+        while stack:
+            page, bound, centre = stack.pop()
             if page.children is None:
-                for score, i in zip(dots.tolist(), ids[rows].tolist(), strict=True):
-                    if i != own and (len(best) < k or (score, -i) > best[0]):
-                        (heapq.heappush if len(best) < k else heapq.heapreplace)(best, (score, -i))
-                if len(best) == k:
-                    reach = math.sqrt(max(0.0, whole - 2 * best[0][0])) * (1 + _SLACK) + _SLACK * math.sqrt(whole + 1)
-            else:
-                d = np.sqrt(np.maximum(whole - 2 * dots, 0.0))
-                low = np.maximum(d - page.radius[at], bound)
-                for i in np.flatnonzero(low <= reach).tolist():
-                    tick += 1
-                    heapq.heappush(heap, (float(low[i]), tick, page.children[at[i]], float(d[i])))
-        return sorted(((s, -i) for s, i in best), key=lambda x: (-x[0], x[1]))
+                pages.append(page)
+                bounds.append(bound)
+                centres.append(centre)
+                continue
+            d = np.sqrt(np.maximum(whole[:, None] - 2 * queries @ page.vectors.T, 0.0))
+            self.computed += d.size
+            for i, child in enumerate(page.children):
+                stack.append((child, np.maximum(bound, d[:, i] - page.radius[i]), d[:, i]))
+        return pages, np.stack(bounds, axis=1), np.stack(centres, axis=1)
+
+    def search(self, queries: np.ndarray, k: int, ids: np.ndarray, own: np.ndarray) -> list[list[tuple[int, int]]]:
+        """For each query the k best (score, id) with an id other than its own; ties to smaller ids.
+
+        Every query opens its pages best first. Queries that open the same page in a step share its distance computations,
+        and entries that the stored distances rule out for all of them are skipped.
+        """
+        q = queries.astype(np.float64)
+        whole = np.einsum("ij,ij->i", q, q) + self.top
+        pages, bounds, centres = self._leaves(q, whole)
+        order = np.argsort(bounds, axis=1, kind="stable")
+        best: list[list[tuple[int, int]]] = [[] for _ in q]
+        worst = np.full(len(q), -np.inf)
+        reach = np.full(len(q), np.inf)  # distance of the k-th best so far, a little more
+        active = np.arange(len(q))
+        for step in range(len(pages)):
+            page_of = order[active, step]
+            active = active[bounds[active, page_of] <= reach[active]]  # later pages are farther still
+            if not len(active):
+                break
+            page_of = order[active, step]
+            for p in np.unique(page_of).tolist():
+                page, group = pages[p], active[page_of == p]
+                near = np.abs(centres[group, p][:, None] - page.to_parent) <= reach[group][:, None]
+                use = near.any(0) | np.isnan(centres[group[0], p])
+                rows, vectors = (page.at, page.vectors) if use.all() else (page.at[use], page.vectors[use])
+                self.computed += len(rows) * len(group)
+                dots = vectors @ q[group].T
+                hopeful = np.flatnonzero(dots.max(0) >= worst[group])
+                for i, score in zip(group[hopeful].tolist(), dots.T[hopeful], strict=True):
+                    hope = np.flatnonzero(score >= worst[i])
+                    if len(hope) > 4 * k:  # keep what can be among the k best, ties included
+                        least = np.partition(score[hope], len(hope) - k - 1)[len(hope) - k - 1]
+                        hope = hope[score[hope] >= least]
+                    new = [(-int(s), int(d)) for s, d in zip(score[hope], ids[rows[hope]], strict=True) if d != own[i]]
+                    best[i] = sorted([*best[i], *new])[:k]
+                    if len(best[i]) == k:
+                        worst[i] = -best[i][-1][0]
+                        reach[i] = math.sqrt(max(0.0, whole[i] - 2 * worst[i])) * (1 + _SLACK) + _SLACK * math.sqrt(whole[i] + 1)
+        return [[(-s, d) for s, d in b] for b in best]
 
 
 def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,8 +157,9 @@ def _search(k: int):
             width = max(len(b) // 8 for b in [*vectors["v"], *queries["v"]])
             tree = MTree(_matrix(vectors["v"].tolist(), width))
             ids = vectors["vec_id"].to_numpy()
-            for own, q in zip(queries["vec_id"].tolist(), _matrix(queries["v"].tolist(), width), strict=True):
-                rows += [(own, i, int(score)) for score, i in tree.search(q, k, ids, own)]
+            own = queries["vec_id"].to_numpy()
+            for q, found in zip(own.tolist(), tree.search(_matrix(queries["v"].tolist(), width), k, ids, own), strict=True):
+                rows += [(q, i, score) for score, i in found]
         return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"])
 
     return run
@@ -158,7 +176,7 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = K, id_col: str = "vec_id
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v"))
     whole = rows.mapInArrow(_whole, "vec_id long, v binary")
     n = rows.count()
-    blocks = max(1, -(-n // BLOCK), min(partitions(spark), -(-n // 1024)))
+    blocks = max(1, -(-n // BLOCK))
     query_blocks = max(1, -(-n // (every * QUERY_BLOCK)))
     block = F.pmod(F.xxhash64("vec_id"), F.lit(blocks))
     query_block = F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.lit(query_blocks))
