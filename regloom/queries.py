@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .functions import evidence as ev
 from .functions import text as tx
 from .functions import urls
-from .operators import aggregate, classify, diff, expect, gates, lines, readmodel, reconcile, replay, resolve, runs, search
+from .operators import aggregate, classify, diff, expect, gates, lines, materialise, readmodel, reconcile, replay, resolve, runs, search
 from .sources import tables, web
 from .streaming import streams
 
@@ -461,6 +461,88 @@ def merge_verified(t):
     return replay.merge_verified(c, v, "user_id", "d", F.col("r"))
 
 
+@query("""
+WITH e AS (SELECT p_partkey AS k, p_brand AS name, 0 AS o FROM part WHERE p_size > 40), c AS (SELECT l_partkey AS k, min(l_returnflag) AS name, 1 AS o FROM lineitem GROUP BY 1),
+s AS (SELECT k, name FROM (SELECT * FROM e UNION ALL SELECT * FROM c) QUALIFY row_number() OVER (PARTITION BY k ORDER BY o) = 1),
+x AS (SELECT l_partkey AS k, CAST(max(l_suppkey) AS VARCHAR) AS agency FROM lineitem WHERE l_quantity > 25 GROUP BY 1)
+SELECT p_partkey AS k, s.name, x.agency, CASE WHEN p_size > 20 THEN p_type ELSE p_brand END AS legal, array_to_string(list_filter([CASE WHEN s.name IS NULL THEN 'name' END, CASE WHEN x.agency IS NULL THEN 'agency' END], lambda v: v IS NOT NULL), ',') AS missing
+FROM part LEFT JOIN s ON s.k = p_partkey LEFT JOIN x ON x.k = p_partkey
+""")
+def materialised(t):
+    p, li = t("part"), t("lineitem").withColumnRenamed("l_partkey", "k")
+    sources = [p.where("p_size > 40").select(F.col("p_partkey").alias("k"), F.col("p_brand").alias("name")), li.groupBy("k").agg(F.min("l_returnflag").alias("name"))]
+    x = li.where("l_quantity > 25").groupBy("k").agg(F.max("l_suppkey").cast("string").alias("agency"))
+    legal = p.select(F.col("p_partkey").alias("k"), F.col("p_brand").alias("base"), F.when(F.col("p_size") > 20, F.col("p_type")).alias("own"))
+    times = p.select(F.col("p_partkey").alias("k"), F.lit("").alias("time"))
+    m = materialise.materialise(p.select(F.col("p_partkey").alias("k")), "k", sources, x, legal, times, ["name"])
+    return m.select("k", "name", "agency", "legal", F.array_join("missing", ",").alias("missing"))
+
+
+@query("""
+WITH t AS (SELECT o_orderkey, o_orderpriority, o_custkey, EXISTS (SELECT 1 FROM customer WHERE c_acctbal < 0 AND c_custkey IN (o_custkey, o_orderkey)) AS has, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS r FROM orders)
+SELECT o_orderpriority, count(*) AS tasks, count(*) FILTER (has) AS with_basis, string_agg(CASE WHEN r <= 6 THEN CAST(o_custkey AS VARCHAR) END, '; ' ORDER BY r) AS names FROM t GROUP BY 1
+""")
+def digest(t):
+    o = t("orders").withColumn("name", F.col("o_custkey").cast("string"))
+    return materialise.digest(o, t("customer").where("c_acctbal < 0"), ["o_custkey", "o_orderkey"], "c_custkey", "o_orderpriority", "name", "o_orderkey")
+
+
+@query("""
+SELECT event_id, CASE WHEN user_id IN (SELECT user_id FROM events WHERE event_type = 'signup' AND value > 90) THEN 'current' WHEN x.m = 'E' THEN 'repealed' WHEN x.m = 'D' THEN 'future_effective' ELSE 'not_in_current_master' END AS state
+FROM events LEFT JOIN (SELECT user_id, max(CASE event_type WHEN 'error' THEN 'E' WHEN 'click' THEN 'D' END) AS m FROM events WHERE value > 98 GROUP BY 1) x USING (user_id)
+""")
+def tracking(t):
+    e = t("events")
+    states = {"error": "repealed", "click": "future_effective"}
+    return materialise.tracking(e, "user_id", e.where("event_type = 'signup' AND value > 90"), e.where("value > 98").withColumnRenamed("event_type", "reason"), states).select("event_id", "state")
+
+
+@query("""
+SELECT c_custkey, coalesce(o.r, CASE n_regionkey WHEN 0 THEN 'free' WHEN 1 THEN 'half' END) AS rule FROM customer JOIN nation ON c_nationkey = n_nationkey LEFT JOIN (SELECT o_custkey, 'own' AS r FROM orders WHERE o_totalprice > 400000 GROUP BY 1) o ON o_custkey = c_custkey
+""")
+def rule_lookup(t):
+    types = t("customer").join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_regionkey")
+    rules = t("region").select(F.col("r_regionkey").alias("n_regionkey"), F.when(F.col("r_regionkey") == 0, "free").when(F.col("r_regionkey") == 1, "half").alias("rule"))
+    own = t("orders").where("o_totalprice > 400000").select(F.col("o_custkey").alias("c_custkey"), F.lit("own").alias("rule")).distinct()
+    return resolve.rule_flag(t("customer", "c_custkey"), "c_custkey", "n_regionkey", types, rules, own).select("c_custkey", "rule")
+
+
+@query("""
+SELECT c_custkey, c_nationkey, coalesce((lag(c_acctbal) OVER w + c_acctbal) / 2, c_acctbal + 58) AS top, coalesce((lead(c_acctbal) OVER w + c_acctbal) / 2, c_acctbal - 58) AS bottom FROM customer WINDOW w AS (PARTITION BY c_nationkey ORDER BY c_acctbal DESC)
+""".replace("coalesce((lag", "round(coalesce((lag").replace("+ 58) AS top", "+ 58), 3) AS top").replace("coalesce((lead", "round(coalesce((lead").replace("- 58) AS bottom", "- 58), 3) AS bottom"))
+def cell_bounds(t):
+    b = lines.cell_bounds(t("customer"), ["c_nationkey"], "c_acctbal")
+    return b.select("c_custkey", "c_nationkey", F.round("top", 3).alias("top"), F.round("bottom", 3).alias("bottom"))
+
+
+@query("""
+SELECT event_id, CASE WHEN event_type = 'view' THEN 'needs_text' WHEN coalesce(props, '') = '' THEN 'needs_field_review' WHEN strftime(ts, '%Y-%m-%d') > '2024-07-01' THEN 'future_effective' ELSE 'current' END AS state FROM events
+""".replace("CASE WHEN event_type = 'view' THEN 'needs_text' WHEN coalesce(props, '') = '' THEN 'needs_field_review'", "CASE WHEN coalesce(props, '') = '' THEN 'needs_field_review' WHEN event_type = 'view' THEN 'view'"))
+def event_states(t):
+    return t("events").select("event_id", replay.event_state(F.col("event_type"), _day(), F.lit(AS_OF), F.col("props"), ["view"]).alias("state"))
+
+
+@query("""
+SELECT user_id, coalesce(s, w, 'other') AS domain FROM (SELECT user_id, arg_max(CASE WHEN event_type = 'purchase' THEN 'shop' WHEN event_type = 'signup' THEN 'join' END, event_id) FILTER (event_type IN ('purchase', 'signup')) AS s,
+  arg_max('err', event_id) FILTER (event_type = 'error') AS w FROM events GROUP BY 1)
+""")
+def domain(t):
+    e = t("events").withColumn("e", F.array(F.struct(F.lpad(F.col("event_id").cast("string"), 12, "0").alias("date"), F.col("event_type").alias("url"), F.col("event_type").alias("title"))))
+    return classify.domain(e, "user_id", F.lit(None).cast("string"), "e", [("purchase", "shop"), ("signup", "join")], [("err", ["error"])], "other")
+
+
+@query("SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1 HAVING count(*) > 1 ORDER BY n DESC, o_custkey LIMIT 50")
+def several_candidates(t):
+    return aggregate.several(t("orders"), "o_custkey")
+
+
+@query("""
+SELECT event_type, arg_min(props, event_id) AS props, count(*) AS n FROM events GROUP BY 1
+""")
+def first_and_count(t):
+    return aggregate.first_and_count(t("events"), "event_type", "props", "event_id")
+
+
 @query()
 def similarity(t):
     p = t("part", "p_partkey", "p_name", "p_type")
