@@ -76,4 +76,37 @@ QUERIES: dict[str, Query] = {
     "op10_mixing": op10_mixing,
 }
 
-ORACLES: dict[str, str] = {}
+#: The other operators' results rest on trained models, hash orders or tokenizers; tests hold them against plain Python.
+ORACLES: dict[str, str] = {
+    "op2_ngram_join": r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+  ELSE list_distinct(list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w),
+x AS (SELECT doc_id, unnest(s) AS g FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM x a JOIN x b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN s sa ON sa.doc_id = a JOIN s sb ON sb.doc_id = b WHERE 100 * common >= 75 * (len(sa.s) + len(sb.s) - common)),
+both_ways AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, o.b FROM reach r JOIN both_ways o ON o.a = r.b)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, m.c AS component_id FROM s JOIN (SELECT a, min(b) AS c FROM reach GROUP BY 1) m ON m.a = s.doc_id
+""",
+    "op6_chat_formatting": r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (SELECT *, lag(role) OVER o IS DISTINCT FROM role AS starts,
+  length(replace(replace(replace(replace(replace(text, '\', '\\'), '<s>', '<\s>'), '</s>', '<\/s>'), '[INST]', '[\INST]'), '[/INST]', '[\/INST]')) AS n,
+  length(replace(replace(replace(replace(replace(role, '\', '\\'), '<s>', '<\s>'), '</s>', '<\/s>'), '[INST]', '[\INST]'), '[/INST]', '[\/INST]')) AS r
+  FROM t WINDOW o AS (PARTITION BY conv_id ORDER BY turn, role, text))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(n + CASE WHEN starts THEN 3 + r + 6 + 4 ELSE 7 END) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+""",
+    "op9_top_k": r"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+SELECT q.vec_id AS query_id, CAST(row_number() OVER w AS INT) AS rank, c.vec_id, CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+WINDOW w AS (PARTITION BY q.vec_id ORDER BY list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) DESC, c.vec_id) QUALIFY row_number() OVER w <= 5
+""",
+}
