@@ -19,6 +19,7 @@ def components(edges: DataFrame) -> DataFrame:
     while not edges.isEmpty():
         both = edges.select("a", "b").union(edges.select("b", "a"))
         to = both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("to"))
+        to = staged(to, "cc-pointers")  # read from a table, both sides of the joins below can be split at a hub
         for _ in range(2):
             nxt = to.select(F.col("node").alias("to"), F.col("to").alias("nxt"))
             to = to.join(nxt, "to", "left").select("node", F.coalesce("nxt", "to").alias("to"))

@@ -6,9 +6,13 @@ one unit asks that a segment is equal, a second one on the same segment lets one
 neighbourhoods). Every set indexes its segments in its own band and may probe there and in the band below.
 
 Costs are exact: a first pass counts, for every segment, how many other sets share it. A set then spends its units on its
-cheapest segments. Segments that nobody shares cost nothing, so a set with enough of these has no partner and emits no
-pair. What is left is compared by verified pairs: first with one hub for each shared segment, and after merging what
-linked, between sets that are not yet connected. A large group of copies thus costs one pair for each member.
+cheapest segments. Segments that nobody shares cost nothing, so a set with enough of these has no partner and asks for
+none. Pairs are verified by exact intersection, in rounds: first each set with the hub that it meets most often; then, after
+merging what linked, one pair for each two components that meet in a segment; then all pairs of sets that ask for and index
+one segment and are still not connected. A large group
+of copies thus costs one pair for each member.
+
+Entries travel as packed blocks, so that sorting and counting work on arrays within tasks.
 """
 
 from __future__ import annotations
@@ -19,17 +23,16 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import partitions, staged
 from .graph import components
-from .suffix_dedup import Hashes, _mix, _packed, _unpacked
+from .suffix_dedup import Hashes, _leads, _mix, _packed, _unpacked
 
 NGRAM = 5
 #: A link needs 100 * intersection >= PERCENT * union. The bounds on differences below are those of 75.
 PERCENT = 75
-_GROUP = 1 << 21
+_GROUP = 1 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -51,7 +54,7 @@ LOOSE = np.where(LAST >= 4, 1 + SEGMENTS // 64, 0)
 
 ENTRY = np.dtype([("sig", "<u8"), ("doc", "<i8"), ("slot", "<u4"), ("band", "u1"), ("flags", "u1")])
 INDEX, PROBE, DELETED = 1, 2, 4
-_SIG = np.uint64((1 << 48) - 1)
+_SIG = np.uint64((1 << 40) - 1)
 INFO = np.dtype([("doc", "<i8"), ("size", "<i4"), ("own", "<i4"), ("below", "<i4")])
 
 
@@ -125,12 +128,13 @@ def _view(tokens: np.ndarray, of: np.ndarray, docs: np.ndarray, size: np.ndarray
     short = (spare < 0)[owner] & (count == 0)
     spare = np.where(spare < 0, spare + np.bincount(owner, weights=(count == 0), minlength=len(m)).astype(np.int64), spare)
     out = np.empty(len(owner), dtype=ENTRY)
-    out["sig"], out["doc"], out["slot"], out["band"] = _mix(total + name), docs[owner], slot, band[owner]
+    out["sig"], out["doc"], out["band"] = _mix(total + name), docs[owner], band[owner]
+    out["slot"] = np.where(slot < loose[owner], slot + 1, 0)  # only the loose ones' numbers matter
     out["flags"] = np.where((count > 0) | short, flags, flags & INDEX)
     in_loose = segment < loose[of]
     gone = np.empty(int(in_loose.sum()), dtype=ENTRY)
     k = key[in_loose]
-    gone["sig"], gone["doc"], gone["slot"] = _mix(total[k] - salted[in_loose] + name[k]), docs[of[in_loose]], segment[in_loose]
+    gone["sig"], gone["doc"], gone["slot"] = _mix(total[k] - salted[in_loose] + name[k]), docs[of[in_loose]], segment[in_loose] + 1
     gone["band"], gone["flags"] = band[of[in_loose]], flags | DELETED
     out = np.concatenate([out[out["flags"] > 0], gone])
     return out, spare
@@ -166,11 +170,7 @@ HELD = 800_000
 def _blocks(entries: np.ndarray, info: np.ndarray, buckets: int) -> pa.RecordBatch:
     bucket = (entries["sig"] % np.uint64(buckets)).astype(np.int64)
     entries["sig"] = (entries["sig"] // np.uint64(buckets)) & _SIG
-    order = np.lexsort((entries["doc"], bucket))
-    entries, bucket = entries[order], bucket[order]
-    cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(entries) else []
-    rows = [(int(bucket[a]), 0, _packed(entries[a:b])) for a, b in zip(cuts, [*cuts[1:], len(entries)], strict=True)]
-    rows.append((int(info["doc"][0] % buckets), 1, _packed(info[np.argsort(info["doc"], kind="stable")])))
+    rows = _split(entries, bucket, 0) + _split(info, info["doc"] % buckets, 1)
     columns = zip(*rows, strict=True)
     return pa.record_batch([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["bucket", "kind", "body"])
 
@@ -190,79 +190,286 @@ def _emit(buckets: int):
     return run
 
 
-SHARED = "sig long, doc long, slot int, band int, flags int, cost long, size int, own int, below int"
+#: Entries that meet others, on their way to their document: unit 1 or 2 (0: index only), and the number of others met.
+MET = np.dtype([("sig", "<u8"), ("doc", "<i8"), ("slot", "<u4"), ("cost", "<u4"), ("band", "u1"), ("unit", "u1"), ("index", "u1")])
+#: Entries on their way back, with what their document knows.
+KNOWN = np.dtype([("sig", "<u8"), ("doc", "<i8"), ("label", "<i8"), ("size", "<u4"), ("asks", "u1"), ("index", "u1")])
+PAIR = np.dtype([("doc", "<i8"), ("hub", "<i8")])
+#: One segment in this many names hubs for the first round.
+HUBS = 8
+
+
+def _split(s: np.ndarray, bucket: np.ndarray, kind: int) -> list[tuple[int, int, bytes]]:
+    order = np.lexsort((s["doc"], bucket))
+    s, bucket = s[order], bucket[order]
+    if not len(s):
+        return []
+    cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+    return [(int(bucket[a]), kind, _packed(s[a:b])) for a, b in zip(cuts, [*cuts[1:], len(s)], strict=True)]
+
+
+def _frame(rows: list[tuple[int, int, bytes]]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=["bucket", "kind", "body"])
+
+
+def _opened(*keys: np.ndarray) -> np.ndarray:
+    new = np.zeros(len(keys[0]), dtype=bool)
+    if len(new):
+        new[0] = True
+        for k in keys:
+            new[1:] |= k[1:] != k[:-1]
+    return new
 
 
-def _shared(blocks: pd.DataFrame) -> pd.DataFrame:
-    """Entries of a bucket that meet entries of other sets, with the number of these; information rows pass through."""
-    bucket = int(blocks["bucket"].iloc[0])
-    frames = []
-    info = [_unpacked(b, INFO) for b in blocks["body"][blocks["kind"] == 1]]
-    if info:
-        i = np.concatenate(info)
-        frames.append(pd.DataFrame({"doc": i["doc"], "size": i["size"], "own": i["own"], "below": i["below"], "flags": 0}))
-    parts = [_unpacked(b, ENTRY) for b in blocks["body"][blocks["kind"] == 0]]
-    if parts:
-        s = np.concatenate(parts)
+def _shared(buckets: int):
+    """A bucket of segments: entries that meet entries of other sets go to their documents' buckets (kind 2), with costs.
+
+    Information rows pass through (kind 1). Some segments name the smallest document as hub of the others (kind 3).
+    """
+
+    def run(blocks: pd.DataFrame) -> pd.DataFrame:
+        bucket = int(blocks["bucket"].iloc[0])
+        out = [(bucket, 1, b) for b in blocks["body"][blocks["kind"] == 1]]
+        parts = [_unpacked(b, ENTRY) for b in blocks["body"][blocks["kind"] == 0]]
+        s = np.concatenate(parts) if parts else np.empty(0, ENTRY)
         s = s[np.argsort(s["sig"], kind="stable")]
-        group = np.cumsum(np.r_[True, s["sig"][1:] != s["sig"][:-1]]) - 1
-        many = (np.bincount(group) > 1)[group]
-        s = s[many]
+        group = np.cumsum(_opened(s["sig"])) - 1
         if len(s):
-            group = np.cumsum(np.r_[True, s["sig"][1:] != s["sig"][:-1]]) - 1
+            many = (np.bincount(group) > 1)[group]
+            s = s[many]
+        if len(s):
+            group = np.cumsum(_opened(s["sig"])) - 1
             index, deleted, probe = (s["flags"] & INDEX) > 0, (s["flags"] & DELETED) > 0, (s["flags"] & PROBE) > 0
-            exact = np.bincount(group, weights=index & ~deleted).astype(np.int64)
-            loose = np.bincount(group, weights=index & deleted).astype(np.int64)
-            cost = np.where(deleted, exact[group], exact[group] - (index & ~deleted))  # its own entry is none
-            use = (np.bincount(group, weights=probe)[group] > 0) & ((exact + loose)[group] > 0)
-            meets = probe & (cost > 0)
+            exact = np.bincount(group, weights=index & ~deleted).astype(np.int64)[group]
+            loose = np.bincount(group, weights=index & deleted).astype(np.int64)[group]
+            cost = exact - (index & ~deleted)  # its own entry is no other
+            useful = (np.bincount(group, weights=probe) > 0)[group] & ((exact + loose) > 0)
+            rows = []
             # an exact segment that meets deletions of others serves its second unit
-            second = probe & ~deleted & (loose[group] > 0)
-            sig = (s["sig"] ^ (np.uint64(bucket) << np.uint64(48))).view(np.int64)
-            frame = pd.DataFrame({"sig": sig, "doc": s["doc"], "slot": s["slot"], "band": s["band"]})
-            for rows, unit, amount in (
-                (meets & ~deleted, 1, cost), (meets & deleted, 2, cost), (second, 2, loose[group]),
+            for mask, unit, amount in (
+                (probe & ~deleted & (cost > 0), 1, cost), (probe & deleted & (exact > 0), 2, exact),
+                (probe & ~deleted & (loose > 0) & (s["slot"] > 0), 2, loose), (index & useful, 0, cost * 0),
             ):
-                part = frame[rows].copy()
-                part["flags"], part["cost"] = 16 + unit, amount[rows]
-                frames.append(part)
-            part = frame[index & use].copy()
-            part["flags"], part["cost"] = 32, 0
-            frames.append(part)
-    names = [c.split()[0] for c in SHARED.split(", ")]
-    out = pd.concat(frames) if frames else pd.DataFrame(columns=names)
-    return out.reindex(columns=names).fillna(0).astype({n: "int64" for n in names})
-
-
-def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for data, docs, ends in _texts(batch):
-            tokens, of = shingle_sets(data, ends)
-            at = np.searchsorted(of, np.arange(len(docs) + 1))
-            bodies = [tokens[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
-            yield pa.record_batch([pa.array(docs), pa.array(bodies, pa.binary())], names=["doc", "tokens"])
+                m = np.empty(int(mask.sum()), dtype=MET)
+                for name in ("doc", "slot", "band"):
+                    m[name] = s[name][mask]
+                m["sig"] = s["sig"][mask] * np.uint64(buckets) + np.uint64(bucket)
+                m["cost"], m["unit"], m["index"] = amount[mask], unit, unit == 0
+                rows.append(m)
+            # the index entry of a segment and its first unit travel as one record
+            one, own = rows[0], rows[3]
+            both = np.isin(_pairkey(own), _pairkey(one))
+            one["index"] = np.isin(_pairkey(one), _pairkey(own))
+            rows[3] = own[~both]
+            m = np.concatenate(rows)
+            out += _split(m, m["doc"] % buckets, 2)
+            hubs = (s["sig"] % np.uint64(HUBS) == 0) & ~deleted
+            if hubs.any():
+                h = s[hubs]
+                g = np.cumsum(_opened(h["sig"])) - 1
+                least = np.full(g[-1] + 1, np.iinfo(np.int64).max)
+                np.minimum.at(least, g, h["doc"])
+                p = np.empty(len(h), dtype=PAIR)
+                p["doc"], p["hub"] = h["doc"], least[g]
+                p = p[p["doc"] != p["hub"]]
+                if len(p):
+                    out.append((bucket, 3, _packed(p)))
+        return _frame(out)
+
+    return run
+
+
+def _pairkey(m: np.ndarray) -> np.ndarray:
+    return _mix(m["sig"] * np.uint64(0x9E3779B97F4A7C15) + m["doc"].astype(np.uint64))
+
+
+def _spend(buckets: int):
+    """A bucket of documents: each set spends its units; its entries go back to their segments, with label and size (kind 5)."""
+
+    def run(blocks: pd.DataFrame, labels: pd.DataFrame) -> pd.DataFrame:
+        met = [_unpacked(b, MET) for b in blocks["body"][blocks["kind"] == 2]]
+        if not met:
+            return _frame([])
+        m = np.concatenate(met)
+        info = np.concatenate([_unpacked(b, INFO) for b in blocks["body"][blocks["kind"] == 1]])
+        info = info[np.lexsort((-info["size"], info["doc"]))]
+        info = info[_opened(info["doc"])]
+        m = m[np.lexsort((m["unit"], m["slot"], m["band"], m["doc"]))]
+        i = info[np.searchsorted(info["doc"], m["doc"])]
+        asks = np.zeros(len(m), dtype=bool)
+        # Units: each first unit is one record; the records of a loose segment's second unit are one unit together.
+        at = np.flatnonzero(m["unit"] > 0)
+        if len(at):
+            u = m[at]
+            new = _opened(u["doc"], u["band"], u["slot"], u["unit"]) | (u["unit"] == 1)
+            unit = np.cumsum(new) - 1
+            cost = np.bincount(unit, weights=u["cost"]).astype(np.int64)
+            lead = u[new]
+            # Who is equal in a segment is within one deletion too: a second unit costs the first one's amount besides its
+            # own, and stands in the list wherever the first one does.
+            seg = np.cumsum(_opened(lead["doc"], lead["band"], lead["slot"]) | (lead["slot"] == 0)) - 1
+            first = np.bincount(seg, weights=np.where(lead["unit"] == 1, cost, 0)).astype(np.int64)
+            second = np.bincount(seg, weights=lead["unit"] == 2) > 0
+            cost = np.where(lead["unit"] == 2, cost + first[seg], cost)
+            implied = (lead["unit"] == 1) & (lead["slot"] > 0) & ~second[seg]
+            own = np.concatenate([i[at][new], i[at][new][implied]])
+            every = np.concatenate([lead, lead[implied]])
+            every["unit"][len(lead) :] = 2
+            cost = np.concatenate([cost, cost[implied]])
+            order = np.lexsort((every["sig"], every["unit"], cost, every["band"], every["doc"]))
+            group = np.cumsum(_opened(every["doc"][order], every["band"][order])) - 1
+            count = np.bincount(group)
+            rank = np.arange(len(order)) - (np.cumsum(count) - count)[group]
+            above = STARTS[np.minimum(every["band"][order].astype(np.int64) + 1, len(STARTS) - 1)]
+            own = own[order]
+            spare = np.where(own["size"] < above, own["own"], own["below"])
+            chosen = np.empty(len(order), dtype=bool)
+            chosen[order] = rank < count[group] - spare
+            asks[at] = chosen[unit]
+        keep = asks | (m["index"] > 0)
+        k = np.empty(int(keep.sum()), dtype=KNOWN)
+        for name in ("sig", "doc", "index"):
+            k[name] = m[name][keep]
+        k["size"], k["asks"], k["label"] = i["size"][keep], asks[keep], k["doc"]
+        if len(labels):
+            node, label = labels["node"].to_numpy(), labels["label"].to_numpy()
+            order = np.argsort(node)
+            node, label = node[order], label[order]
+            place = np.minimum(np.searchsorted(node, k["doc"]), len(node) - 1)
+            k["label"] = np.where(node[place] == k["doc"], label[place], k["doc"])
+        return _frame(_split(k, (k["sig"] % np.uint64(buckets)).astype(np.int64), 5))
+
+    return run
+
+
+def _across(every: bool):
+    """A bucket of segments: pairs of a set that asks and a smaller one that indexes, not connected and close in size.
+
+    every: all of them. Otherwise one pair for each component but the first that meets in a segment, to connect what is
+    close before all pairs are taken.
+    """
+
+    def run(blocks: pd.DataFrame) -> pd.DataFrame:
+        k = np.concatenate([_unpacked(b, KNOWN) for b in blocks["body"]])
+        k = k[np.lexsort((k["doc"], k["sig"]))]
+        group = np.cumsum(_opened(k["sig"])) - 1
+        low, high = np.full(group[-1] + 1, np.iinfo(np.int64).max), np.full(group[-1] + 1, np.iinfo(np.int64).min)
+        np.minimum.at(low, group, k["label"])
+        np.maximum.at(high, group, k["label"])
+        good = (low != high) & (np.bincount(group, weights=k["asks"]) > 0) & (np.bincount(group, weights=k["index"]) > 0)
+        k, group = k[good[group]], group[good[group]]
+        found = [np.empty((0, 2), np.int64)]
+        if len(k) and not every:
+            # one member of each component in each segment, another one in another segment
+            order = np.lexsort((_pairkey(k), k["label"], group))
+            one = order[_opened(group[order], k["label"][order])]
+            first = one[_leads(_opened(group[one]))]
+            pair = np.stack([k["doc"][first], k["doc"][one]], axis=1)
+            size = np.stack([k["size"][first], k["size"][one]], axis=1).astype(np.int64)
+            close = (first != one) & (4 * size.min(axis=1) >= 3 * size.max(axis=1))
+            found.append(np.sort(pair[close], axis=1))
+        elif len(k):
+            starts = np.flatnonzero(_opened(k["sig"]))
+            for a, b in zip(starts, [*starts[1:], len(k)], strict=True):
+                g = k[a:b]
+                y = g[g["index"] > 0]
+                size = y["size"].astype(np.int64)
+                for x in g[g["asks"] > 0]:
+                    hit = (y["label"] != x["label"]) & (4 * size >= 3 * int(x["size"])) & ((size < x["size"]) | ((size == x["size"]) & (y["doc"] < x["doc"])))
+                    if hit.any():
+                        d = y["doc"][hit]
+                        found.append(np.stack([np.minimum(d, x["doc"]), np.maximum(d, x["doc"])], axis=1))
+                if len(found) > 10_000:
+                    found = [np.unique(np.concatenate(found), axis=0)]
+        return pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["a", "b"])
+
+    return run
+
+
+def _exploded(dtype: np.dtype):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for body in batch.column("body"):
+                s = _unpacked(body.as_py(), dtype)
+                for a in range(0, len(s), 100_000):
+                    yield pa.record_batch([pa.array(s[n][a : a + 100_000]) for n in dtype.names], names=list(dtype.names))
+
+    return run
+
+
+#: Bytes of a token in a verified set.
+TOKEN = 6
+
+
+def _set_rows(bits: np.ndarray, size: int):
+    """Token sets of the documents whose hash is in a bitmap; some that are not wanted pass too."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = batch.column("place").to_numpy() % size
+            batch = batch.filter(pa.array((bits[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1))
+            for data, docs, ends in _texts(batch):
+                tokens, of = shingle_sets(data, ends)
+                raw = tokens.view(np.uint8).reshape(-1, 8)[:, 2:]  # the upper bytes
+                at = np.searchsorted(of, np.arange(len(docs) + 1))
+                bodies = [raw[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
+                yield pa.record_batch([pa.array(docs), pa.array(bodies, pa.binary())], names=["doc", "tokens"])
+
+    return run
+
+
+def _token_array(body: bytes) -> np.ndarray:
+    out = np.zeros((len(body) // TOKEN, 8), dtype=np.uint8)
+    out[:, :TOKEN] = np.frombuffer(body, np.uint8).reshape(-1, TOKEN)
+    return out.view(np.uint64).ravel()
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         good = []
         for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-            p, q = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+            p, q = _token_array(x.as_py()), _token_array(y.as_py())
             both = len(np.intersect1d(p, q, assume_unique=True))
             good.append(100 * both >= PERCENT * (len(p) + len(q) - both))
         keep = pa.array(good, pa.bool_())
         yield pa.record_batch([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+#: Bits of the bitmap of wanted documents at most; it is sent to all tasks. Beyond what it can tell apart, more sets than
+#: wanted are made, and none is missing.
+MOST_BITS = 1 << 26
+
+
+def token_sets(read: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(doc, tokens) of all wanted documents, and of some others, without moving the texts."""
+    n = wanted.count()
+    size = min(MOST_BITS, 1 << max(10, (16 * n).bit_length()))
+    place = F.pmod(F.xxhash64("doc"), F.lit(size))
+    words = wanted.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(pmod(p, 64) AS INT))")).alias("m"))
+    bits = np.zeros(size // 64, dtype=np.int64)
+    rows = words.toArrow()  # at most MOST_BITS / 64
+    bits[rows["w"].to_numpy()] = rows["m"].to_numpy()
+    place = F.pmod(F.xxhash64("doc"), F.lit(MOST_BITS))
+    return read.select("doc", "text", place.alias("place")).mapInArrow(_set_rows(bits.view(np.uint64), size), "doc long, tokens binary")
+
+
+def verified(pairs: DataFrame, read: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets link, by exact intersection."""
+    spark = pairs.sparkSession
+    pairs = staged(pairs, "ngram-pairs")
+    sets = staged(token_sets(read, pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()), "ngram-sets")
+    if sets.count() > sets.select("doc").distinct().count():  # an id has several rows
+        sets = staged(sets.dropDuplicates(["doc"]), "ngram-sets")
+    # Both joins read staged tables, so Spark can split a hub that many sets are paired with.
     x = sets.select(F.col("doc").alias("a"), F.col("tokens").alias("x"))
     y = sets.select(F.col("doc").alias("b"), F.col("tokens").alias("y"))
-    return pairs.join(x, "a").join(y, "b").mapInArrow(_linked, "a long, b long")
-
-
-def _ordered(a, b):
-    return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch)
+    spark.conf.set(batch, "200")  # a row holds two whole sets
+    try:
+        return staged(pairs.join(x, "a").join(y, "b").mapInArrow(_linked, "a long, b long"), "ngram-links")
+    finally:
+        spark.conf.set(batch, before)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -270,60 +477,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Documents link when their sets of 5-word shingles have a Jaccard similarity of at least 0.75; a component is what
     links reach. Texts without words, and null ones, have an empty set and link with nothing. Rows without an id are left
-    out, as they can't be named; repeated rows of an id are one document (of several texts, each may link). Other columns
-    are not read; an empty table gives an empty result.
+    out, as they can't be named; repeated rows of an id are one document (of several texts, one is compared). Other
+    columns are not read; an empty table gives an empty result.
     """
     spark = docs.sparkSession
     buckets = 4 * partitions(spark)
     read = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("binary").alias("text")).where("doc IS NOT NULL")
-    shared = staged(read.mapInArrow(_emit(buckets), BLOCK).groupBy("bucket").applyInPandas(_shared, SHARED), "ngram-shared")
-    info = shared.where("flags = 0").groupBy("doc").agg(F.max("size").alias("size"), F.min("own").alias("own"), F.min("below").alias("below"))
-    # Units of each set and band by cost; the free ones count first, and the cheapest of the others make up what lacks.
-    probes = shared.where("flags IN (17, 18)")
-    units = probes.groupBy("doc", "band", "slot", "flags").agg(F.sum("cost").alias("cost"))
-    both = F.sum("cost").over(W.partitionBy("doc", "band", "slot").orderBy("flags").rowsBetween(W.unboundedPreceding, 0))
-    per_set = W.partitionBy("doc", "band")
-    units = units.withColumn("cost", both).withColumn("rank", F.row_number().over(per_set.orderBy("cost", "slot", "flags")))
-    units = units.withColumn("taken", F.count("*").over(per_set)).join(info, "doc")
-    starts = F.array(*[F.lit(int(x)) for x in STARTS[:-1]])
-    spare = F.when(F.get(starts, F.col("band")) <= F.col("size"), F.when(F.get(starts, F.col("band") + 1) > F.col("size"), F.col("own")).otherwise(F.col("below")))
-    chosen = units.where(F.col("rank") <= F.col("taken") - spare).select("doc", "band", "slot", "flags")
-    asking = staged(probes.join(chosen, ["doc", "band", "slot", "flags"]).select("sig", "doc", F.lit(1).alias("asks")).distinct(), "ngram-asking")
-    indexed = shared.where("flags = 32").select("sig", "doc").distinct().join(asking.select("sig").distinct(), "sig", "left_semi")
-    members = indexed.withColumn("asks", F.lit(0)).unionByName(asking)
-    members = staged(members.join(info.select("doc", "size"), "doc"), "ngram-members")
-    wanted = members.select("doc").distinct()
-    sets = staged(read.join(wanted, "doc", "left_semi").dropDuplicates(["doc"]).mapInArrow(_set_rows, "doc long, tokens binary"), "ngram-sets")
-
-    close = lambda p, q: (4 * F.least(p, q) >= 3 * F.greatest(p, q))
-
-    def star(rows: DataFrame, hub) -> DataFrame:
-        hubs = rows.groupBy("sig").agg(hub.alias("h"))
-        pairs = rows.join(hubs.select("sig", F.col("h.doc").alias("hub"), F.col("h.size").alias("hub_size")), "sig")
-        return pairs.where((F.col("doc") != F.col("hub")) & close(F.col("size"), F.col("hub_size"))).select(*_ordered("doc", "hub")).distinct()
-
-    tried = staged(star(members, F.min(F.struct("doc", "size"))), "ngram-pairs")
-    links = staged(verified(tried, sets), "ngram-links")
+    shared = staged(read.mapInArrow(_emit(buckets), BLOCK).groupBy("bucket").applyInPandas(_shared(buckets), BLOCK), "ngram-shared")
+    met = shared.where("kind = 3").mapInArrow(_exploded(PAIR), "doc long, hub long").groupBy("doc", "hub").agg(F.count("*").alias("n"))
+    hubs = met.groupBy("doc").agg(F.max_by("hub", F.struct("n", -F.col("hub"))).alias("hub"))
+    links = verified(hubs.select(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b")).distinct(), read)
     label = components(links)
 
-    def unmerged(label: DataFrame) -> DataFrame:
-        named = members.join(label.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
-        open_ = named.groupBy("sig").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 <> l1").select("sig")
-        return named.join(open_, "sig", "left_semi")
+    def unconnected(every: bool) -> DataFrame:
+        known = label.select("node", "label", F.pmod("node", F.lit(buckets)).cast("int").alias("bucket"))
+        asked = shared.where("kind IN (1, 2)").groupBy("bucket").cogroup(known.groupBy("bucket")).applyInPandas(_spend(buckets), BLOCK)
+        return asked.groupBy("bucket").applyInPandas(_across(every), "a long, b long").distinct()
 
-    # A second hub, picked by hash, connects most of what the first one missed.
-    again = star(unmerged(label), F.min_by(F.struct("doc", "size"), F.xxhash64("doc", "sig"))).join(tried, ["a", "b"], "left_anti")
-    again = staged(again, "ngram-pairs")
-    tried = tried.unionByName(again)
-    links = links.unionByName(staged(verified(again, sets), "ngram-links"))
-    label = components(links)
-    rest = staged(unmerged(label), "ngram-rest")
-    x, y = rest.where("asks = 1").alias("x"), rest.where("asks = 0").alias("y")
-    across = x.join(y, F.col("x.sig") == F.col("y.sig")).where(
-        (F.col("x.label") != F.col("y.label")) & close(F.col("x.size"), F.col("y.size")) & (F.col("x.size") >= F.col("y.size"))
-    ).select(*_ordered("x.doc", "y.doc")).distinct().join(tried, ["a", "b"], "left_anti")
-    last = staged(verified(across, sets), "ngram-links")
-    label = components(links.unionByName(last))
-    return info.select("doc", "size").join(label.withColumnRenamed("node", "doc"), "doc", "left").select(
+    for every in (False, True):
+        links = links.unionByName(verified(unconnected(every), read))
+        label = components(links)
+    info = shared.where("kind = 1").mapInArrow(_exploded(INFO), "doc long, size int, own int, below int").groupBy("doc").agg(F.max("size").alias("size"))
+    return info.join(label.withColumnRenamed("node", "doc"), "doc", "left").select(
         F.col("doc").alias("doc_id"), F.col("size").cast("long").alias("n_shingles"), F.coalesce("label", "doc").alias("component_id")
     )
