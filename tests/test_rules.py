@@ -225,3 +225,17 @@ def test_ordinal_and_page(spark):
     want = {i: n + 1 for n, (v, i) in enumerate(sorted((i % 7, i) for i in range(100)))}
     assert {r["id"]: r["ordinal"] for r in got.collect()} == want
     assert [r[0] for r in search.page(df, [F.col("id")], 2, 3).select("id").collect()] == [3, 4, 5]
+
+
+def test_catalogue_presets(spark):
+    from regloom.functions import catalogue as c
+
+    assert one(spark, c.online_level(F.lit("x Toàn trình, Một phần"))) == "FULL"
+    assert one(spark, c.safe_fee(F.lit("Không  thu phí"))) == "Không thu phí" and one(spark, c.safe_fee(F.lit("8.000 đồng"))) is None
+    assert one(spark, c.legal_refs(F.lit("Thông tư số 02 / 2020/TT-BTP; Nghị định 123/ 2015/NĐ-CP"))) == ["Nghị định 123/2015/NĐ-CP", "Thông tư 02/2020/TT-BTP"]
+    assert tuple(one(spark, c.effective_date(F.lit("Quyết định này có hiệu lực kể từ ngày 01/3/2024"), F.lit("2024-02-20")))) == ("2024-03-01", "stated")
+    assert tuple(one(spark, c.effective_date(F.lit("có hiệu lực kể từ ngày ký"), F.lit("2024-02-20")))) == ("2024-02-20", "signing")
+    assert tuple(one(spark, c.decision_identity(F.lit("/quyet-dinh-so-12-qd-ubnd-ngay-3-4-2024"), F.lit("")))) == ("12/QĐ-UBND", "2024-04-03")
+    assert one(spark, c.category(F.lit("ĐẤT ĐAI"), F.lit(""))) == "Tài nguyên & Xây dựng" and one(spark, c.category(F.lit(""), F.lit("khác"))) == "UBND xã"
+    assert one(spark, c.excluded_status(F.lit(""), F.lit("Bãi bỏ theo"))) == "Bãi bỏ"
+    assert one(spark, c.name(F.lit("1.00488 Cấp giấy phép xây dựng 15 ngày làm việc"), F.lit("1.00488"))) == "Cấp giấy phép xây dựng"
