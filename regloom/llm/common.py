@@ -31,7 +31,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more. What is returned to a caller must not rest on them."""
+    for t in tables:
+        spark = t.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(t.staged_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def partitions(spark: SparkSession) -> int:

@@ -19,6 +19,8 @@ WEIGHTS = (3, 1, 2)
 SLOPES = (-0.5, 0.5, 0.0)
 SHARE = 1.5
 MOST_REPEATS = 2
+#: Cells of sources, of about 60 bytes each, that are sent to all tasks; more are joined by key.
+SMALL = 100_000
 
 
 def source_targets(sizes: DataFrame, share: float = SHARE, weights=WEIGHTS, slopes=SLOPES, most: int = MOST_REPEATS) -> DataFrame:
@@ -63,6 +65,9 @@ def _assigned(rows: DataFrame) -> DataFrame:
     cells = cells.join(t, F.col("c.source").eqNullSafe(F.col("t.source"))).select(
         F.col("c.source").alias("c_source"), F.col("c.cell").alias("c_cell"), "words_before", "source_size", "target", "slope"
     )
+    cells = staged(cells, "mix-targets")
+    if cells.count() <= SMALL:  # few sources: documents need not be dealt out a second time
+        cells = F.broadcast(cells)
     inside = W.partitionBy("source", "cell").orderBy("h", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
     d = rows.withColumn("in_cell", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     d = d.join(cells, F.col("source").eqNullSafe(F.col("c_source")) & (F.col("cell") == F.col("c_cell")))
