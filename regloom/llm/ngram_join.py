@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, staged
+from .common import discard, partitions, staged
 from .graph import components
 from .suffix_dedup import Hashes, _leads, _mix, _packed, _unpacked
 
@@ -360,8 +360,8 @@ def _across(every: bool):
         k, group = k[good[group]], group[good[group]]
         found = [np.empty((0, 2), np.int64)]
         if len(k) and not every:
-            # one member of each component in each segment, another one in another segment
-            order = np.lexsort((_pairkey(k), k["label"], group))
+            # the smallest document of each component, so that segments name the same pairs
+            order = np.lexsort((k["doc"], k["label"], group))
             one = order[_opened(group[order], k["label"][order])]
             first = one[_leads(_opened(group[one]))]
             pair = np.stack([k["doc"][first], k["doc"][one]], axis=1)
@@ -459,7 +459,8 @@ def verified(pairs: DataFrame, read: DataFrame) -> DataFrame:
     pairs = staged(pairs, "ngram-pairs")
     sets = staged(token_sets(read, pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()), "ngram-sets")
     if sets.count() > sets.select("doc").distinct().count():  # an id has several rows
-        sets = staged(sets.dropDuplicates(["doc"]), "ngram-sets")
+        several, sets = sets, staged(sets.dropDuplicates(["doc"]), "ngram-sets")
+        discard(several)
     # Both joins read staged tables, so Spark can split a hub that many sets are paired with.
     x = sets.select(F.col("doc").alias("a"), F.col("tokens").alias("x"))
     y = sets.select(F.col("doc").alias("b"), F.col("tokens").alias("y"))
@@ -467,9 +468,11 @@ def verified(pairs: DataFrame, read: DataFrame) -> DataFrame:
     before = spark.conf.get(batch)
     spark.conf.set(batch, "200")  # a row holds two whole sets
     try:
-        return staged(pairs.join(x, "a").join(y, "b").mapInArrow(_linked, "a long, b long"), "ngram-links")
+        links = staged(pairs.join(x, "a").join(y, "b").mapInArrow(_linked, "a long, b long"), "ngram-links")
     finally:
         spark.conf.set(batch, before)
+    discard(pairs, sets)
+    return links
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
