@@ -2,8 +2,11 @@
 
 Two layers find spans. Base rules are exact formats with checks; their spans always stay. High-recall generators propose
 further, overlapping spans; boosted trees score each from its format and context, and a threshold calibrated for each
-kind on held-out documents selects what is added. The trees are fitted by Spark ML on weak labels (does a candidate
-equal a base span?) and applied as plain `when` expressions within each document's row.
+kind on the documents outside the fit selects what is added. The trees are fitted by Spark ML on weak labels and applied
+as plain `when` expressions within each document's row.
+
+A candidate is labelled good if its normal form (separators, at/dot words and prefixes rewritten) passes the base checks.
+The trees see the normal form and the context, not the surface form, so that rewritten forms score like plain ones.
 """
 
 from __future__ import annotations
@@ -14,7 +17,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import staged, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
 #: Base formats. The lookbehinds and possessive quantifiers match the same spans as the plain patterns, without retries
@@ -30,18 +33,18 @@ WIDE = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?(?:@|\(at\)|\[at\]|\{at\})\x20?[A-Za-z0-9-]{1,63}(?:\x20?(?:\.|\(dot\)|\[dot\]|\{dot\})\x20?[A-Za-z0-9-]{1,63}){1,4}",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:[.:][0-9]{1,3}){3}(?![0-9])",
     "card": r"(?<![0-9])[0-9]{4}(?:[\x20./-]?[0-9]{3,6}){2,4}(?![0-9])",
-    "phone": r"(?<![0-9+])(?:00|\()?[0-9]{2,4}\)?(?:[\x20./-][0-9]{2,4}){2,4}(?![0-9])",
+    "phone": r"(?<![0-9+])(?:(?:(?:\+[0-9]{1,4}|00[1-9][0-9]{0,2})(?:\x20?\(0\))?|\([0-9]{2,5}\)|0[1-9][0-9]{1,3})(?:(?:[\x20./-]{1,2}\(?|\()[0-9]{2,8}\)?){1,4}|\(?[0-9]{2,4}\)?(?:[\x20./-][0-9]{2,4}){2,4}|00[1-9][0-9]{7,13})(?![0-9])",
 }
 #: What a text must hold for a kind's patterns to be tried at all: one cheap scan for most texts.
 HINT = {
     "email": r"@|[(\[{]at[)\]}]",
     "ip": r"[0-9][.:][0-9]",
     "card": r"[0-9](?:[\x20./-]?[0-9]){9}",
-    "phone": r"\+[0-9]|[0-9)][\x20./-][0-9]",
+    "phone": r"\+[0-9]|[0-9)][\x20./-]{1,2}\(?[0-9]|00[1-9][0-9]{7}|\([0-9]{2,5}\)[\x20./-]",
 }
 CONTEXT = 24
 WORDS = {"email": "mail|contact|write|@", "ip": "ip|addr|host|server|from", "card": "card|visa|pay|credit|account", "phone": "phone|tel|call|mobile|fax"}
-#: The fit: at most this many documents, by hash; every fifth of them calibrates.
+#: The fit: at most this many documents, by hash, without every fifth of them. All other documents calibrate.
 SAMPLE_DOCS = 20_000
 #: Tasks that hold the bounded sample; the scan that finds it has as many as its table.
 FIT_TASKS = 6
@@ -93,30 +96,59 @@ def _valid(kind: str, v: Column) -> Column:
 
 SPAN = "array<struct<k:int,s:int,e:int>>"
 FEATURES = (
-    "is_email", "is_ip", "is_card", "is_phone", "chars", "digits", "letters", "spaces", "dots", "dashes", "groups", "longest",
-    "plus", "at", "before_word", "after_word", "before_digit", "after_digit", "keyword", "line_start",
+    "is_email", "is_ip", "is_card", "is_phone", "chars", "digits", "letters", "dots", "dashes", "checked", "year",
+    "before_word", "after_word", "before_digit", "after_digit", "keyword", "line_start",
 )
+AT, DOT = r"\x20?[(\[{]at[)\]}]\x20?", r"\x20?[(\[{]dot[)\]}]\x20?"
+YEAR = r"(?<![0-9])(?:19|20)[0-9]{2}(?![0-9])"
+#: Digits of a phone without a country code.
+NATIONAL = (9, 12)
 
 
-def _features(k: int, x: Column, text: Column) -> Column:
-    v = x["v"]
+def _normal(kind: str, v: Column) -> Column:
+    """A candidate's value without what rewritten forms change: separators, words for signs, prefixes."""
+    if kind == "email":
+        return F.regexp_replace(F.regexp_replace(v, AT, "@"), DOT, ".")
+    if kind == "ip":
+        return F.translate(v, ":", ".")
+    if kind == "card":
+        return _digits(v)
+    return F.regexp_replace(_digits(F.regexp_replace(v, r"\(0\)", "")), "^00", "")
+
+
+def _good(kind: str, v: Column, before: Column) -> Column:
+    """The weak label: does the normal form pass the base checks, with signs of its kind?"""
+    n = _normal(kind, v)
+    if kind == "email":  # blanks are left where no word for a sign explains them
+        return n.rlike("^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+([.][A-Za-z0-9-]+)+$")
+    if kind == "ip":  # one separator throughout: 10:20:30.400 is a time
+        return ~(v.contains(":") & v.contains(".")) & _valid("ip", n)
+    if kind == "card":
+        return _valid("card", n)
+    abroad = v.rlike("^([+]|00[1-9])") & _valid("phone", n)
+    sign = v.rlike("^([(]|0[1-9])") | F.lower(before).rlike(f"({WORDS['phone']})[^0-9\n]{{0,12}}$")
+    return abroad | (sign & F.length(n).between(*NATIONAL) & ~v.rlike(YEAR) & ~v.rlike("^[0-9]+([.][0-9]+){3}$"))
+
+
+def _before(x: Column, text: Column) -> Column:
     start = F.greatest(x["s"] - CONTEXT, F.lit(0))
-    before, after = text.substr(start + 1, x["s"] - start), text.substr(x["e"] + 1, F.lit(2))
+    return text.substr(start + 1, x["s"] - start)
+
+
+def _features(k: int, x: Column, text: Column) -> Column:
+    v = _normal(KINDS[k], x["v"])
+    before, after = _before(x, text), text.substr(x["e"] + 1, F.lit(2))
     count = lambda p: F.length(F.regexp_replace(v, f"[^{p}]", ""))
     flag = lambda c: c.cast("double")
-    runs = F.split(v, "[^0-9]+")
     return F.struct(
         *[F.lit(float(k == i)).alias(f"is_{kind}") for i, kind in enumerate(KINDS)],
         F.length(v).cast("double").alias("chars"),
         count("0-9").cast("double").alias("digits"),
         count("A-Za-z").cast("double").alias("letters"),
-        count(r"\x20").cast("double").alias("spaces"),
         count(".").cast("double").alias("dots"),
         count("-").cast("double").alias("dashes"),
-        F.size(F.filter(runs, lambda r: r != "")).cast("double").alias("groups"),
-        F.array_max(F.transform(runs, lambda r: F.length(r))).cast("double").alias("longest"),
-        flag(v.startswith("+")).alias("plus"),
-        flag(v.contains("@")).alias("at"),
+        flag(v.rlike("[.][A-Za-z]{2,}$") if KINDS[k] == "email" else _valid(KINDS[k], v)).alias("checked"),
+        flag(x["v"].rlike(YEAR)).alias("year"),
         flag(before.rlike(r"[A-Za-z_]$")).alias("before_word"),
         flag(after.rlike(r"^[A-Za-z_]")).alias("after_word"),
         flag(before.rlike(r"[0-9][^A-Za-z0-9]?$")).alias("before_digit"),
@@ -127,9 +159,10 @@ def _features(k: int, x: Column, text: Column) -> Column:
 
 
 def with_candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Add base (array<k, s, e>, in the order of kind and start) and wide (array<k, s, e, known, f>) to documents.
+    """Add base (array<k, s, e>, in the order of kind and start) and wide (array<k, s, e, same, known, good, f>) to documents.
 
-    wide holds the generators' candidates; known: it equals a base span of its kind, or overlaps one.
+    wide holds the generators' candidates; same: it equals a base span of its kind; known: it equals or overlaps a base
+    span; good: its weak label.
     """
     text = F.col("__text")
     none = F.array().cast("array<struct<s:int,e:int,v:string>>")
@@ -148,8 +181,9 @@ def with_candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
         same = F.exists("base", lambda b: (b["k"] == k) & (b["s"] == x["s"]) & (b["e"] == x["e"]))
         meets = F.exists("base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
         return F.struct(
-            F.lit(k).alias("k"), x["s"].alias("s"), x["e"].alias("e"), same.alias("same"), meets.alias("known"), _features(k, x, text).alias("f")
-        )
+            F.lit(k).alias("k"), x["s"].alias("s"), x["e"].alias("e"), same.alias("same"), meets.alias("known"),
+            (same | _good(KINDS[k], x["v"], _before(x, text))).alias("good"), _features(k, x, text).alias("f"),
+        )
 
     wide = F.concat(*[F.transform(f"__w{k}", partial(candidate, k)) for k in range(len(KINDS))])
     return d.withColumn("wide", wide).drop("__text", *[f"__{p}{k}" for p in "hbw" for k in range(len(KINDS))])
@@ -184,39 +218,54 @@ def _tree(node, f: Column) -> Column:
     return F.when(f[FEATURES[s.featureIndex()]] <= float(s.threshold()), _tree(node.leftChild(), f)).otherwise(_tree(node.rightChild(), f))
 
 
+def _judged(docs: DataFrame) -> DataFrame:
+    """k, label, free, f of the candidates that are base spans or meet none; free: it meets none, so it can be added."""
+    rows = with_candidates(docs).select(F.inline("wide")).where("same OR NOT known")
+    return rows.select("k", F.col("good").cast("double").alias("label"), (~F.col("known")).alias("free"), "f")
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> SpanModel:
-    """Fit the trees and thresholds on the candidates of at most sample_docs documents, chosen by hash of the id."""
+    """Fit the trees on the candidates of at most sample_docs documents, chosen by hash of the id, and the thresholds on all others.
+
+    A kind's threshold is the lowest score from which on all its candidates, and those of them that can be added, are
+    good often enough.
+    """
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
 
     nothing = SpanModel(None, (2.0,) * len(KINDS))
-    chosen = docs.select(F.col(id_col).alias("__id")).where(F.col("__id").isNotNull()).distinct().orderBy(F.xxhash64("__id")).limit(sample_docs)
-    sample = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "__id", "left_semi")
-    rows = with_candidates(sample).select(F.col("__id").alias("id"), F.inline("wide"))
-    rows = rows.select("k", F.col("same").cast("double").alias("label"), (F.pmod(F.xxhash64(F.lit("fold"), "id"), F.lit(5)) == 0).alias("held"), "f.*", "f")
-    rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows).repartition(FIT_TASKS).cache()
-    train = rows.where("NOT held")
+    docs = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"))
+    chosen = docs.select("__id").where(F.col("__id").isNotNull()).distinct().orderBy(F.xxhash64("__id")).limit(sample_docs)
+    fitted = staged(chosen.where(F.pmod(F.xxhash64(F.lit("fold"), "__id"), F.lit(5)) != 0), "pii-fitted")
+    rows = _judged(docs.join(F.broadcast(fitted), "__id", "left_semi")).select("label", "f.*")
+    train = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows).select("features", "label").repartition(FIT_TASKS).cache()
     seen = {r["label"] for r in train.select("label").distinct().collect()}
-    if seen != {0.0, 1.0}:
-        rows.unpersist()
+    if 1.0 not in seen:
+        train.unpersist()
         return nothing
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7).fit(train.select("features", "label"))
-    trees, weights = [t._call_java("rootNode") for t in model.trees], list(model.treeWeights)
+    trees, weights = [], []
+    if 0.0 in seen:  # else nothing tells the candidates apart, and all score 1
+        model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7).fit(train)
+        trees, weights = [t._call_java("rootNode") for t in model.trees], list(model.treeWeights)
+    train.unpersist()
 
     def score(f: Column) -> Column:
+        if not trees:
+            return F.lit(1.0)
         raw = sum((w * _tree(t, f) for w, t in zip(weights, trees, strict=True)), F.lit(0.0))
         return 1 / (1 + F.exp(-2 * raw))
 
-    held = rows.where("held").select("k", "label", F.floor(score(F.col("f")) * 100).alias("bin"))
-    counts = held.groupBy("k", "bin").agg(F.sum("label").alias("good"), F.count("*").alias("n")).collect()  # 4 x 101 rows at most
-    rows.unpersist()
+    held = _judged(docs.join(F.broadcast(fitted), "__id", "left_anti")).select("k", "label", "free", F.floor(score(F.col("f")) * 100).alias("bin"))
+    counts = held.groupBy("k", "free", "bin").agg(F.sum("label").alias("good"), F.count("*").alias("n")).collect()  # 8 x 101 rows at most
     thresholds = []
     for k in range(len(KINDS)):
-        best, good, n = 2.0, 0.0, 0
-        for r in sorted((r for r in counts if r["k"] == k), key=lambda r: -r["bin"]):
-            good, n = good + r["good"], n + r["n"]
-            if n >= SUPPORT and good >= PRECISION * n:
-                best = r["bin"] / 100
+        best, good, n = 2.0, [0.0, 0.0], [0, 0]  # of all, of the free ones
+        for at in sorted({r["bin"] for r in counts if r["k"] == k}, reverse=True):
+            for r in (r for r in counts if (r["k"], r["bin"]) == (k, at)):
+                for i in range(1 + r["free"]):
+                    good[i], n[i] = good[i] + r["good"], n[i] + r["n"]
+            if n[0] >= SUPPORT and all(g >= PRECISION * m for g, m in zip(good, n, strict=True)):
+                best = at / 100
         thresholds.append(best)
     return SpanModel(score, tuple(thresholds))
 

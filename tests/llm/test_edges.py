@@ -133,6 +133,44 @@ def test_pii_adds_calibrated_spans(spark):
     assert "email:25:37" in spans and any(s.startswith("phone:5:") for s in spans)
 
 
+def test_pii_fit_finds_rewritten_forms(spark):
+    r = random.Random(5)
+
+    def card(good):
+        d = [4, *[r.randrange(10) for _ in range(14)]]
+        last = -sum(sum(divmod(2 * x, 10)) if i % 2 == 0 else x for i, x in enumerate(d)) % 10
+        t = "".join(map(str, [*d, last if good else (last + 1) % 10]))
+        return [t[i : i + 4] for i in range(0, 16, 4)]
+
+    number = lambda n: str(r.randrange(10 ** (n - 1), 10**n))
+    name = lambda: "".join(r.choices("abcdefgh", k=6))
+    octets = lambda: [str(r.randrange(1, 256)) for _ in range(4)]
+    plain = {
+        "email": lambda: f"{name()}@{name()}.com", "ip": lambda: ".".join(octets()), "card": lambda: "".join(card(True)),
+        "phone": lambda: f"+1 ({number(3)}) {number(3)}-{number(4)}",
+    }
+    rewritten = {
+        "email": lambda: f"{name()} (at) {name()} [dot] com", "ip": lambda: ":".join(octets()), "card": lambda: r.choice("./").join(card(True)),
+        "phone": lambda: r.choice([f"0049 {number(2)} {number(7)}", f"({number(3)}) {number(3)}-{number(4)}"]),
+    }
+    decoys = {"ip": lambda: f"{r.randrange(300, 999)}:{number(3)}:{number(3)}:{number(3)}", "card": lambda: "/".join(card(False)), "phone": lambda: f"20{number(2)}-{r.randrange(10, 13)}-{r.randrange(10, 29)} 10"}
+    rows, told = [], {}
+    for form, share in ((plain, 250), (rewritten, 60), (decoys, 60)):
+        for kind, make in form.items():
+            for _ in range(share):
+                v, before = make(), words(r.random(), 3) + " "
+                rows.append((len(rows), f"{before}{v} {words(r.random(), 2)}"))
+                told[len(rows) - 1] = (form, kind, f"{kind}:{len(before)}:{len(before) + len(v)}")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = pii.fit(docs)
+    assert max(model.thresholds) <= 1
+    found = {x["doc_id"]: x["spans"].split(",") for x in pii.report(docs, model).collect()}
+    for form, wanted in ((plain, True), (rewritten, True), (decoys, False)):
+        for kind in form:
+            hits = [span in found[d] for d, (f, k, span) in told.items() if f is form and k == kind]
+            assert (sum(hits) >= 0.95 * len(hits)) if wanted else (sum(hits) <= 0.05 * len(hits)), (kind, wanted, sum(hits))
+
+
 def test_quality_edges(odd, none):
     got = quality.judge(odd)
     assert got.count() == odd.count()
