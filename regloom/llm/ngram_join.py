@@ -7,10 +7,13 @@ neighbourhoods). Every set indexes its segments in its own band and may probe th
 
 Costs are exact: a first pass counts, for every segment, how many other sets share it. A set then spends its units on its
 cheapest segments. Segments that nobody shares cost nothing, so a set with enough of these has no partner and asks for
-none. Pairs are verified by exact intersection, in rounds: first each set with the hub that it meets most often; then, after
-merging what linked, one pair for each two components that meet in a segment; then all pairs of sets that ask for and index
-one segment and are still not connected. A large group
-of copies thus costs one pair for each member.
+none. Equal sets of one task travel as one, so a large group of copies sends each of its segments once a task.
+
+Pairs are verified by exact intersection, in rounds. First each set with the hub that it meets most often; what links is
+merged. Then, where sets that are not connected still meet in a segment, their parity sketches are compared: each bit is
+the parity of the shingles that fall on it, so two sketches differ in at most as many bits as their sets differ in
+shingles, and a pair whose sketches differ in more than a link allows can't link. Each set is verified with the nearest of
+the pairs that are left, what links is merged, and at last all pairs that are left and not connected are verified.
 
 Entries travel as packed blocks, so that sorting and counting work on arrays within tasks.
 """
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import discard, partitions, staged
 from .graph import components
-from .suffix_dedup import Hashes, _leads, _mix, _packed, _unpacked
+from .suffix_dedup import Hashes, _mix, _packed, _unpacked
 
 NGRAM = 5
 #: A link needs 100 * intersection >= PERCENT * union. The bounds on differences below are those of 75.
@@ -55,7 +58,8 @@ LOOSE = np.where(LAST >= 4, 1 + SEGMENTS // 64, 0)
 ENTRY = np.dtype([("sig", "<u8"), ("doc", "<i8"), ("slot", "<u4"), ("band", "u1"), ("flags", "u1")])
 INDEX, PROBE, DELETED = 1, 2, 4
 _SIG = np.uint64((1 << 40) - 1)
-INFO = np.dtype([("doc", "<i8"), ("size", "<i4"), ("own", "<i4"), ("below", "<i4")])
+#: What is known of a set: its size, its spare units in its own band and the one below, and the equal set it travels with.
+INFO = np.dtype([("doc", "<i8"), ("rep", "<i8"), ("size", "<i4"), ("own", "<i4"), ("below", "<i4")])
 
 
 def shingle_sets(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -140,14 +144,22 @@ def _view(tokens: np.ndarray, of: np.ndarray, docs: np.ndarray, size: np.ndarray
     return out, spare
 
 
-def set_entries(tokens: np.ndarray, of: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All entries and the information rows of sets."""
+def set_entries(tokens: np.ndarray, of: np.ndarray, docs: np.ndarray, seen: dict[tuple[int, int], int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """All entries and the information rows of sets. seen: sets met before, by hash and size; these send no entries again."""
     size = np.bincount(of, minlength=len(docs)).astype(np.int64)
     info = np.zeros(len(docs), dtype=INFO)
-    info["doc"], info["size"] = docs, size
-    full = np.flatnonzero(size)
-    rank = np.cumsum(size > 0) - 1
-    of = rank[of]
+    info["doc"], info["rep"], info["size"] = docs, docs, size
+    new = size > 0
+    if seen is not None:
+        total = np.zeros(len(docs), dtype=np.uint64)
+        if len(of):
+            opens = np.flatnonzero(_opened(of))
+            total[of[opens]] = np.add.reduceat(_mix(tokens), opens)
+        for i in np.flatnonzero(new).tolist():
+            info["rep"][i] = rep = seen.setdefault((int(total[i]), int(size[i])), int(docs[i]))
+            new[i] = rep == docs[i]
+    full = np.flatnonzero(new)
+    tokens, of = tokens[new[of]], (np.cumsum(new) - 1)[of[new[of]]]
     docs, size = docs[full], size[full]
     band = np.searchsorted(STARTS, size, side="right") - 1
     own, spare = _view(tokens, of, docs, size, band, 2 * size // 7, INDEX | PROBE)
@@ -178,9 +190,10 @@ def _blocks(entries: np.ndarray, info: np.ndarray, buckets: int) -> pa.RecordBat
 def _emit(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
+        seen: dict[tuple[int, int], int] = {}
         for batch in batches:
             for data, docs, ends in _texts(batch):
-                held.append(set_entries(*shingle_sets(data, ends), docs))
+                held.append(set_entries(*shingle_sets(data, ends), docs, seen))
                 if sum(len(e) for e, _ in held) >= HELD:
                     yield _blocks(*map(np.concatenate, zip(*held, strict=True)), buckets)
                     held = []
@@ -194,9 +207,7 @@ def _emit(buckets: int):
 MET = np.dtype([("sig", "<u8"), ("doc", "<i8"), ("slot", "<u4"), ("cost", "<u4"), ("band", "u1"), ("unit", "u1"), ("index", "u1")])
 #: Entries on their way back, with what their document knows.
 KNOWN = np.dtype([("sig", "<u8"), ("doc", "<i8"), ("label", "<i8"), ("size", "<u4"), ("asks", "u1"), ("index", "u1")])
-PAIR = np.dtype([("doc", "<i8"), ("hub", "<i8")])
-#: One segment in this many names hubs for the first round.
-HUBS = 8
+HUB = np.dtype([("doc", "<i8"), ("hub", "<i8"), ("n", "<i8")])
 
 
 def _split(s: np.ndarray, bucket: np.ndarray, kind: int) -> list[tuple[int, int, bytes]]:
@@ -221,17 +232,21 @@ def _opened(*keys: np.ndarray) -> np.ndarray:
     return new
 
 
+def _records(blocks: pd.DataFrame, kind: int, dtype: np.dtype) -> np.ndarray:
+    parts = [_unpacked(b, dtype) for b in blocks["body"][blocks["kind"] == kind]]
+    return np.concatenate(parts) if parts else np.empty(0, dtype)
+
+
 def _shared(buckets: int):
     """A bucket of segments: entries that meet entries of other sets go to their documents' buckets (kind 2), with costs.
 
-    Information rows pass through (kind 1). Some segments name the smallest document as hub of the others (kind 3).
+    Information rows pass through (kind 1).
     """
 
     def run(blocks: pd.DataFrame) -> pd.DataFrame:
         bucket = int(blocks["bucket"].iloc[0])
         out = [(bucket, 1, b) for b in blocks["body"][blocks["kind"] == 1]]
-        parts = [_unpacked(b, ENTRY) for b in blocks["body"][blocks["kind"] == 0]]
-        s = np.concatenate(parts) if parts else np.empty(0, ENTRY)
+        s = _records(blocks, 0, ENTRY)
         s = s[np.argsort(s["sig"], kind="stable")]
         group = np.cumsum(_opened(s["sig"])) - 1
         if len(s):
@@ -263,17 +278,6 @@ def _shared(buckets: int):
             rows[3] = own[~both]
             m = np.concatenate(rows)
             out += _split(m, m["doc"] % buckets, 2)
-            hubs = (s["sig"] % np.uint64(HUBS) == 0) & ~deleted
-            if hubs.any():
-                h = s[hubs]
-                g = np.cumsum(_opened(h["sig"])) - 1
-                least = np.full(g[-1] + 1, np.iinfo(np.int64).max)
-                np.minimum.at(least, g, h["doc"])
-                p = np.empty(len(h), dtype=PAIR)
-                p["doc"], p["hub"] = h["doc"], least[g]
-                p = p[p["doc"] != p["hub"]]
-                if len(p):
-                    out.append((bucket, 3, _packed(p)))
         return _frame(out)
 
     return run
@@ -284,16 +288,14 @@ def _pairkey(m: np.ndarray) -> np.ndarray:
 
 
 def _spend(buckets: int):
-    """A bucket of documents: each set spends its units; its entries go back to their segments, with label and size (kind 5)."""
+    """A bucket of documents: each set spends its units; its entries go back to their segments, with its size (kind 5)."""
 
-    def run(blocks: pd.DataFrame, labels: pd.DataFrame) -> pd.DataFrame:
-        met = [_unpacked(b, MET) for b in blocks["body"][blocks["kind"] == 2]]
-        if not met:
+    def run(blocks: pd.DataFrame) -> pd.DataFrame:
+        m = _records(blocks, 2, MET)
+        if not len(m):
             return _frame([])
-        m = np.concatenate(met)
-        info = np.concatenate([_unpacked(b, INFO) for b in blocks["body"][blocks["kind"] == 1]])
-        info = info[np.lexsort((-info["size"], info["doc"]))]
-        info = info[_opened(info["doc"])]
+        info = _records(blocks, 1, INFO)
+        info = info[np.argsort(info["doc"], kind="stable")]
         m = m[np.lexsort((m["unit"], m["slot"], m["band"], m["doc"]))]
         i = info[np.searchsorted(info["doc"], m["doc"])]
         asks = np.zeros(len(m), dtype=bool)
@@ -331,57 +333,195 @@ def _spend(buckets: int):
         for name in ("sig", "doc", "index"):
             k[name] = m[name][keep]
         k["size"], k["asks"], k["label"] = i["size"][keep], asks[keep], k["doc"]
-        if len(labels):
-            node, label = labels["node"].to_numpy(), labels["label"].to_numpy()
-            order = np.argsort(node)
-            node, label = node[order], label[order]
-            place = np.minimum(np.searchsorted(node, k["doc"]), len(node) - 1)
-            k["label"] = np.where(node[place] == k["doc"], label[place], k["doc"])
         return _frame(_split(k, (k["sig"] % np.uint64(buckets)).astype(np.int64), 5))
 
     return run
 
 
-def _across(every: bool):
-    """A bucket of segments: pairs of a set that asks and a smaller one that indexes, not connected and close in size.
-
-    every: all of them. Otherwise one pair for each component but the first that meets in a segment, to connect what is
-    close before all pairs are taken.
-    """
-
-    def run(blocks: pd.DataFrame) -> pd.DataFrame:
-        k = np.concatenate([_unpacked(b, KNOWN) for b in blocks["body"]])
-        k = k[np.lexsort((k["doc"], k["sig"]))]
-        group = np.cumsum(_opened(k["sig"])) - 1
+def _useful(k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The records, in order of segments, of those segments that a set asks for, one indexes, and two labels share."""
+    k = k[np.lexsort((k["doc"], k["sig"]))]
+    group = np.cumsum(_opened(k["sig"])) - 1
+    if len(k):
         low, high = np.full(group[-1] + 1, np.iinfo(np.int64).max), np.full(group[-1] + 1, np.iinfo(np.int64).min)
         np.minimum.at(low, group, k["label"])
         np.maximum.at(high, group, k["label"])
         good = (low != high) & (np.bincount(group, weights=k["asks"]) > 0) & (np.bincount(group, weights=k["index"]) > 0)
         k, group = k[good[group]], group[good[group]]
-        found = [np.empty((0, 2), np.int64)]
-        if len(k) and not every:
-            # the smallest document of each component, so that segments name the same pairs
-            order = np.lexsort((k["doc"], k["label"], group))
-            one = order[_opened(group[order], k["label"][order])]
-            first = one[_leads(_opened(group[one]))]
-            pair = np.stack([k["doc"][first], k["doc"][one]], axis=1)
-            size = np.stack([k["size"][first], k["size"][one]], axis=1).astype(np.int64)
-            close = (first != one) & (4 * size.min(axis=1) >= 3 * size.max(axis=1))
-            found.append(np.sort(pair[close], axis=1))
-        elif len(k):
-            starts = np.flatnonzero(_opened(k["sig"]))
-            for a, b in zip(starts, [*starts[1:], len(k)], strict=True):
-                g = k[a:b]
-                y = g[g["index"] > 0]
-                size = y["size"].astype(np.int64)
-                for x in g[g["asks"] > 0]:
-                    hit = (y["label"] != x["label"]) & (4 * size >= 3 * int(x["size"])) & ((size < x["size"]) | ((size == x["size"]) & (y["doc"] < x["doc"])))
-                    if hit.any():
-                        d = y["doc"][hit]
-                        found.append(np.stack([np.minimum(d, x["doc"]), np.maximum(d, x["doc"])], axis=1))
-                if len(found) > 10_000:
-                    found = [np.unique(np.concatenate(found), axis=0)]
-        return pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["a", "b"])
+    return k, np.cumsum(_opened(k["sig"])) - 1
+
+
+def _open(buckets: int, hubs: bool):
+    """A bucket of segments: the records of useful segments go to their documents (kind 5).
+
+    hubs: the smallest document of a segment is named hub of those close to it in size, with the times this happens (kind 3).
+    """
+
+    def run(blocks: pd.DataFrame) -> pd.DataFrame:
+        bucket = int(blocks["bucket"].iloc[0])
+        k, group = _useful(_records(blocks, 5, KNOWN))
+        out = _split(k, k["doc"] % buckets, 5)
+        if hubs and len(k):
+            first = np.flatnonzero(_opened(group))[group]
+            small, large = np.minimum(k["size"], k["size"][first]).astype(np.int64), np.maximum(k["size"], k["size"][first]).astype(np.int64)
+            at = (k["doc"] != k["doc"][first]) & (4 * small >= 3 * large)
+            pair, n = np.unique(np.stack([k["doc"][at], k["doc"][first][at]], axis=1), axis=0, return_counts=True)
+            h = np.empty(len(pair), dtype=HUB)
+            h["doc"], h["hub"], h["n"] = pair[:, 0], pair[:, 1], n
+            if len(h):
+                out.append((bucket, 3, _packed(h)))
+        return _frame(out)
+
+    return run
+
+
+def _bits(size: np.ndarray) -> np.ndarray:
+    """Logarithm of the width of a set's sketch, about four bits a shingle. Sets that may link differ by one at most."""
+    return np.maximum(9, np.ceil(np.log2(4.0 * np.maximum(size, 1))).astype(np.int64))
+
+
+def sketch(tokens: np.ndarray) -> bytes:
+    """Parities of the numbers of shingles that fall on each bit; folding it in two gives the narrower one."""
+    width = 1 << int(_bits(np.array([len(tokens)]))[0])
+    place = _mix(tokens) & np.uint64(width - 1)
+    return np.packbits(np.bincount(place.astype(np.int64), minlength=width) & 1, bitorder="little").tobytes()
+
+
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        tokens = batch.column(1)
+        at, values = tokens.offsets.to_numpy(), tokens.values.to_numpy().view(np.uint64)
+        bodies = [sketch(values[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
+        yield pa.record_batch([batch.column(0), pa.array(bodies, pa.binary())], names=["doc", "sketch"])
+
+
+#: Blocks of this kind and a width's logarithm hold documents, and then their sketches of that width.
+SKETCH = 64
+
+
+def _unsketched(body: bytes, log: int) -> tuple[np.ndarray, np.ndarray]:
+    n = len(body) // (8 + (1 << log) // 8)
+    return np.frombuffer(body, "<i8", n), np.frombuffer(body, "<u8", offset=8 * n).reshape(n, -1)
+
+
+def _labelled(buckets: int, sketches: bool):
+    """A bucket of documents: their records with the labels of now go to their segments (kind 5), sketches with them."""
+
+    def run(blocks: pd.DataFrame, now: pd.DataFrame) -> pd.DataFrame:
+        k = _records(blocks, 5, KNOWN)
+        if not len(k):
+            return _frame([])
+        now = now.sort_values("doc")
+        node = now["doc"].to_numpy(dtype=np.int64)
+        if len(node):
+            place = np.minimum(np.searchsorted(node, k["doc"]), len(node) - 1)
+            k["label"] = np.where(node[place] == k["doc"], now["label"].to_numpy(dtype=np.int64)[place], k["doc"])
+        to = (k["sig"] % np.uint64(buckets)).astype(np.int64)
+        out = _split(k, to, 5)
+        if sketches:
+            pair, at = np.unique(np.stack([to, k["doc"]], axis=1), axis=0, return_index=True)
+            log, place = _bits(k["size"][at]), place[at]
+            bodies = now["sketch"].to_numpy()
+            for width in np.unique(log).tolist():
+                own = np.flatnonzero(log == width)
+                cuts = np.flatnonzero(_opened(pair[own, 0]))
+                for a, b in zip(cuts, [*cuts[1:], len(own)], strict=True):
+                    i = own[a:b]
+                    out.append((int(pair[i[0], 0]), SKETCH + width, pair[i, 1].tobytes() + b"".join(bodies[place[i]])))
+        return _frame(out)
+
+    return run
+
+
+class _Sketches:
+    """The sketches of a bucket, to be compared in the width of the narrower one."""
+
+    def __init__(self, blocks: pd.DataFrame, docs: np.ndarray):
+        self.log = np.zeros(len(docs), dtype=np.int64)
+        self.row = np.zeros((2, len(docs)), dtype=np.int64)  # in the matrix of their own width, and of half of it
+        own = {}
+        for kind in np.unique(blocks["kind"][blocks["kind"] >= SKETCH]).tolist():
+            parts = [_unsketched(b, kind - SKETCH) for b in blocks["body"][blocks["kind"] == kind]]
+            node, bits = np.concatenate([d for d, _ in parts]), np.concatenate([b for _, b in parts])
+            at = np.minimum(np.searchsorted(docs, node), len(docs) - 1)
+            use = docs[at] == node
+            own[kind - SKETCH] = at[use], bits[use]
+        self.of = {}
+        for log, (at, bits) in own.items():
+            self.log[at], self.row[0, at] = log, np.arange(len(at))
+            if log + 1 in own:  # those twice as wide, folded, come behind
+                above, wide = own[log + 1]
+                self.row[1, above] = len(at) + np.arange(len(above))
+                bits = np.concatenate([bits, wide[:, : bits.shape[1]] ^ wide[:, bits.shape[1] :]])
+            self.of[log] = bits
+
+    def differences(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Shingles in which the sets x and y differ, at least."""
+        log = np.minimum(self.log[x], self.log[y])
+        out = np.empty(len(x), dtype=np.int64)
+        for width in np.unique(log).tolist():
+            at = np.flatnonzero(log == width)
+            step = max(1, (1 << 27) >> width)
+            for a in range(0, len(at), step):
+                i = at[a : a + step]
+                p, q = (self.row[self.log[d[i]] - width, d[i]] for d in (x, y))
+                out[i] = np.bitwise_count(self.of[width][p] ^ self.of[width][q]).sum(axis=1, dtype=np.int64)
+        return out
+
+
+NEAR = "doc long, other long, apart long"
+#: Pairs that are looked at together.
+_TOGETHER = 1 << 20
+
+
+def _meetings(k: np.ndarray, group: np.ndarray, at: np.ndarray) -> Iterator[np.ndarray]:
+    """Numbers x * len(docs) + y of the sets x that ask for a segment and the smaller ones y that index it, not connected and
+    close in size; at: the number of each record's document."""
+    n = int(at.max()) + 1
+    starts = np.flatnonzero(_opened(group))
+    held, size = [], 0
+    for a, b in zip(starts, [*starts[1:], len(k)], strict=True):
+        g, d = k[a:b], at[a:b]
+        x, y = np.flatnonzero(g["asks"]), np.flatnonzero(g["index"])
+        s, label = g["size"].astype(np.int64), g["label"]
+        step = max(1, _TOGETHER // max(1, len(y)))
+        for c in range(0, len(x), step):
+            i = x[c : c + step, None]
+            hit = (label[i] != label[y]) & (4 * s[y] >= 3 * s[i]) & ((s[y] < s[i]) | ((s[y] == s[i]) & (d[y] < d[i])))
+            p, q = np.nonzero(hit)
+            held.append(d[i[p, 0]] * n + d[y[q]])
+            size += len(p)
+            if size > _TOGETHER:
+                yield np.unique(np.concatenate(held))
+                held, size = [], 0
+    if held:
+        yield np.unique(np.concatenate(held))
+
+
+def _pairs(nearest: bool):
+    """A bucket of segments: pairs whose sketches allow a link, with the difference these show; nearest: one for each set."""
+
+    def run(blocks: pd.DataFrame) -> pd.DataFrame:
+        k, group = _useful(_records(blocks, 5, KNOWN))
+        found = [np.empty((3, 0), dtype=np.int64)]
+        if len(k):
+            docs, at = np.unique(k["doc"], return_inverse=True)
+            size = np.zeros(len(docs), dtype=np.int64)
+            size[at] = k["size"]
+            sketches = _Sketches(blocks, docs)
+            for number in _meetings(k, group, at):
+                x, y = np.divmod(number, int(at.max()) + 1)
+                apart = sketches.differences(x, y)
+                good = 7 * apart <= size[x] + size[y]
+                found.append(np.stack([x[good], y[good], apart[good]]))
+                if nearest:
+                    both = np.concatenate(found, axis=1)
+                    both = np.concatenate([both, both[[1, 0, 2]]], axis=1)
+                    both = both[:, np.lexsort((both[1], both[2], both[0]))]
+                    found = [both[:, _opened(both[0])]]
+            x, y, apart = np.unique(np.concatenate(found, axis=1), axis=1)
+            found = [np.stack([docs[x], docs[y], apart])]
+        return pd.DataFrame(found[0].T, columns=["doc", "other", "apart"])
 
     return run
 
@@ -397,8 +537,10 @@ def _exploded(dtype: np.dtype):
     return run
 
 
-#: Bytes of a token in a verified set.
-TOKEN = 6
+def _docs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for body in batch.column("body"):
+            yield pa.record_batch([pa.array(np.unique(_unpacked(body.as_py(), KNOWN)["doc"]))], names=["doc"])
 
 
 def _set_rows(bits: np.ndarray, size: int):
@@ -410,31 +552,13 @@ def _set_rows(bits: np.ndarray, size: int):
             batch = batch.filter(pa.array((bits[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1))
             for data, docs, ends in _texts(batch):
                 tokens, of = shingle_sets(data, ends)
-                raw = tokens.view(np.uint8).reshape(-1, 8)[:, 2:]  # the upper bytes
-                at = np.searchsorted(of, np.arange(len(docs) + 1))
-                bodies = [raw[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
-                yield pa.record_batch([pa.array(docs), pa.array(bodies, pa.binary())], names=["doc", "tokens"])
+                at = np.searchsorted(of, np.arange(len(docs) + 1)).astype(np.int32)
+                sets = pa.ListArray.from_arrays(pa.array(at), pa.array(tokens.view(np.int64)))
+                yield pa.record_batch([pa.array(docs), sets], names=["doc", "tokens"])
 
     return run
 
 
-def _token_array(body: bytes) -> np.ndarray:
-    out = np.zeros((len(body) // TOKEN, 8), dtype=np.uint8)
-    out[:, :TOKEN] = np.frombuffer(body, np.uint8).reshape(-1, TOKEN)
-    return out.view(np.uint64).ravel()
-
-
-def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        good = []
-        for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-            p, q = _token_array(x.as_py()), _token_array(y.as_py())
-            both = len(np.intersect1d(p, q, assume_unique=True))
-            good.append(100 * both >= PERCENT * (len(p) + len(q) - both))
-        keep = pa.array(good, pa.bool_())
-        yield pa.record_batch([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
-
-
 #: Bits of the bitmap of wanted documents at most; it is sent to all tasks. Beyond what it can tell apart, more sets than
 #: wanted are made, and none is missing.
 MOST_BITS = 1 << 26
@@ -450,57 +574,75 @@ def token_sets(read: DataFrame, wanted: DataFrame) -> DataFrame:
     rows = words.toArrow()  # at most MOST_BITS / 64
     bits[rows["w"].to_numpy()] = rows["m"].to_numpy()
     place = F.pmod(F.xxhash64("doc"), F.lit(MOST_BITS))
-    return read.select("doc", "text", place.alias("place")).mapInArrow(_set_rows(bits.view(np.uint64), size), "doc long, tokens binary")
+    return read.select("doc", "text", place.alias("place")).mapInArrow(_set_rows(bits.view(np.uint64), size), "doc long, tokens array<long>")
 
 
-def verified(pairs: DataFrame, read: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets link, by exact intersection."""
-    spark = pairs.sparkSession
     pairs = staged(pairs, "ngram-pairs")
-    sets = staged(token_sets(read, pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()), "ngram-sets")
-    if sets.count() > sets.select("doc").distinct().count():  # an id has several rows
-        several, sets = sets, staged(sets.dropDuplicates(["doc"]), "ngram-sets")
-        discard(several)
     # Both joins read staged tables, so Spark can split a hub that many sets are paired with.
     x = sets.select(F.col("doc").alias("a"), F.col("tokens").alias("x"))
     y = sets.select(F.col("doc").alias("b"), F.col("tokens").alias("y"))
-    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(batch)
-    spark.conf.set(batch, "200")  # a row holds two whole sets
-    try:
-        links = staged(pairs.join(x, "a").join(y, "b").mapInArrow(_linked, "a long, b long"), "ngram-links")
-    finally:
-        spark.conf.set(batch, before)
-    discard(pairs, sets)
+    both = F.size(F.array_intersect("x", "y"))
+    joined = pairs.join(x, "a").join(y, "b").select("a", "b", both.alias("both"), (F.size("x") + F.size("y")).alias("sum"))
+    links = staged(joined.where(100 * F.col("both") >= PERCENT * (F.col("sum") - F.col("both"))).select("a", "b"), "ngram-links")
+    discard(pairs)
     return links
 
 
+def _one_text_each(read: DataFrame) -> DataFrame:
+    """read (doc, text) with one row for each doc: of several texts the one with the least hash."""
+    several = staged(read.groupBy("doc").agg(F.count("*").alias("n")).where("n > 1").select("doc"), "ngram-several")
+    if several.isEmpty():
+        return read
+    again = read.join(several, "doc", "left_semi").withColumn("h", F.xxhash64("text"))
+    least = again.groupBy("doc").agg(F.min("h").alias("h"))
+    again = again.join(least, ["doc", "h"], "left_semi").select("doc", "text").dropDuplicates(["doc"])
+    return staged(read.join(several, "doc", "left_anti").unionByName(again), "ngram-texts")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id for every distinct id.
 
     Documents link when their sets of 5-word shingles have a Jaccard similarity of at least 0.75; a component is what
     links reach. Texts without words, and null ones, have an empty set and link with nothing. Rows without an id are left
-    out, as they can't be named; repeated rows of an id are one document (of several texts, one is compared). Other
-    columns are not read; an empty table gives an empty result.
+    out, as they can't be named; repeated rows of an id are one document (of several texts, the one with the least hash).
+    Shingles are told apart by 64-bit hashes: n different ones hold a pair of one hash with a chance of n^2 / 2^65. Very
+    long texts are read whole. Other columns are not read; an empty table gives an empty result.
     """
     spark = docs.sparkSession
     buckets = 4 * partitions(spark)
     read = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("binary").alias("text")).where("doc IS NOT NULL")
+    read = _one_text_each(read)
     shared = staged(read.mapInArrow(_emit(buckets), BLOCK).groupBy("bucket").applyInPandas(_shared(buckets), BLOCK), "ngram-shared")
-    met = shared.where("kind = 3").mapInArrow(_exploded(PAIR), "doc long, hub long").groupBy("doc", "hub").agg(F.count("*").alias("n"))
-    hubs = met.groupBy("doc").agg(F.max_by("hub", F.struct("n", -F.col("hub"))).alias("hub"))
-    links = verified(hubs.select(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b")).distinct(), read)
+    info = staged(shared.where("kind = 1").mapInArrow(_exploded(INFO), "doc long, rep long, size int, own int, below int").select("doc", "rep", "size"), "ngram-info")
+    asked = shared.groupBy("bucket").applyInPandas(_spend(buckets), BLOCK)
+    met = staged(asked.groupBy("bucket").applyInPandas(_open(buckets, hubs=True), BLOCK), "ngram-met")
+    discard(shared)
+    sets = staged(token_sets(read, met.where("kind = 5").mapInArrow(_docs_of, "doc long").distinct()), "ngram-sets")
+
+    hubs = met.where("kind = 3").mapInArrow(_exploded(HUB), "doc long, hub long, n long").groupBy("doc", "hub").agg(F.sum("n").alias("n"))
+    hubs = hubs.groupBy("doc").agg(F.max_by("hub", F.struct("n", -F.col("hub"))).alias("hub"))
+    ordered = [F.least("doc", "other").alias("a"), F.greatest("doc", "other").alias("b")]
+    links = verified(hubs.withColumnRenamed("hub", "other").select(*ordered).distinct(), sets)
+    links = links.unionByName(info.where("doc <> rep").select(F.col("rep").alias("a"), F.col("doc").alias("b")))
     label = components(links)
-
-    def unconnected(every: bool) -> DataFrame:
-        known = label.select("node", "label", F.pmod("node", F.lit(buckets)).cast("int").alias("bucket"))
-        asked = shared.where("kind IN (1, 2)").groupBy("bucket").cogroup(known.groupBy("bucket")).applyInPandas(_spend(buckets), BLOCK)
-        return asked.groupBy("bucket").applyInPandas(_across(every), "a long, b long").distinct()
-
-    for every in (False, True):
-        links = links.unionByName(verified(unconnected(every), read))
+    home = F.pmod("doc", F.lit(buckets)).cast("int").alias("bucket")
+    now = label.select(F.col("node").alias("doc"), "label")
+    at_segments = met.where("kind = 5").groupBy("bucket").cogroup(now.select("doc", "label", home).groupBy("bucket")).applyInPandas(_labelled(buckets, sketches=False), BLOCK)
+    apart = staged(at_segments.groupBy("bucket").applyInPandas(_open(buckets, hubs=False), BLOCK), "ngram-apart")
+    discard(met)
+    left = apart.mapInArrow(_docs_of, "doc long").distinct()
+    sketches = staged(sets.join(left, "doc", "left_semi").mapInArrow(_sketches, "doc long, sketch binary"), "ngram-sketches")
+
+    for nearest in (True, False):
+        known = sketches.join(label.withColumnRenamed("node", "doc"), "doc", "left").select("doc", F.coalesce("label", "doc").alias("label"), "sketch", home)
+        at_segments = apart.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInPandas(_labelled(buckets, sketches=True), BLOCK)
+        pairs = at_segments.groupBy("bucket").applyInPandas(_pairs(nearest), NEAR)
+        if nearest:
+            pairs = pairs.groupBy("doc").agg(F.min_by("other", F.struct("apart", "other")).alias("other"))
+        links = links.unionByName(verified(pairs.select(*ordered).distinct(), sets))
         label = components(links)
-    info = shared.where("kind = 1").mapInArrow(_exploded(INFO), "doc long, size int, own int, below int").groupBy("doc").agg(F.max("size").alias("size"))
     return info.join(label.withColumnRenamed("node", "doc"), "doc", "left").select(
         F.col("doc").alias("doc_id"), F.col("size").cast("long").alias("n_shingles"), F.coalesce("label", "doc").alias("component_id")
     )
