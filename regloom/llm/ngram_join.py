@@ -611,7 +611,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     long texts are read whole. Other columns are not read; an empty table gives an empty result.
     """
     spark = docs.sparkSession
-    buckets = 4 * partitions(spark)
+    buckets = partitions(spark)
     read = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("binary").alias("text")).where("doc IS NOT NULL")
     read = _one_text_each(read)
     shared = staged(read.mapInArrow(_emit(buckets), BLOCK).groupBy("bucket").applyInPandas(_shared(buckets), BLOCK), "ngram-shared")
