@@ -237,6 +237,22 @@ def _records(blocks: pd.DataFrame, kind: int, dtype: np.dtype) -> np.ndarray:
     return np.concatenate(parts) if parts else np.empty(0, dtype)
 
 
+def _met_entries(bodies: list[bytes]) -> np.ndarray:
+    """The entries whose segment has another entry, in order of segments. Only the segments of all are held at once."""
+    sigs = [np.ascontiguousarray(np.frombuffer(b, np.uint8, 8 * (len(b) // ENTRY.itemsize)).reshape(8, -1).T).view("<u8").ravel() for b in bodies]
+    sig = np.concatenate(sigs) if sigs else np.empty(0, np.uint64)
+    order = np.argsort(sig)
+    same = sig[order[1:]] == sig[order[:-1]]
+    many = np.zeros(len(sig), dtype=bool)
+    many[order[1:][same]] = many[order[:-1][same]] = True
+    parts, at = [], 0
+    for body, own in zip(bodies, sigs, strict=True):
+        parts.append(_unpacked(body, ENTRY)[many[at : at + len(own)]])
+        at += len(own)
+    s = np.concatenate(parts) if parts else np.empty(0, ENTRY)
+    return s[np.argsort(s["sig"], kind="stable")]
+
+
 def _shared(buckets: int):
     """A bucket of segments: entries that meet entries of other sets go to their documents' buckets (kind 2), with costs.
 
@@ -246,12 +262,7 @@ def _shared(buckets: int):
     def run(blocks: pd.DataFrame) -> pd.DataFrame:
         bucket = int(blocks["bucket"].iloc[0])
         out = [(bucket, 1, b) for b in blocks["body"][blocks["kind"] == 1]]
-        s = _records(blocks, 0, ENTRY)
-        s = s[np.argsort(s["sig"], kind="stable")]
-        group = np.cumsum(_opened(s["sig"])) - 1
-        if len(s):
-            many = (np.bincount(group) > 1)[group]
-            s = s[many]
+        s = _met_entries(blocks["body"][blocks["kind"] == 0].tolist())
         if len(s):
             group = np.cumsum(_opened(s["sig"])) - 1
             index, deleted, probe = (s["flags"] & INDEX) > 0, (s["flags"] & DELETED) > 0, (s["flags"] & PROBE) > 0
@@ -611,7 +622,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     long texts are read whole. Other columns are not read; an empty table gives an empty result.
     """
     spark = docs.sparkSession
-    buckets = partitions(spark)
+    buckets = 2 * partitions(spark)
     read = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("binary").alias("text")).where("doc IS NOT NULL")
     read = _one_text_each(read)
     shared = staged(read.mapInArrow(_emit(buckets), BLOCK).groupBy("bucket").applyInPandas(_shared(buckets), BLOCK), "ngram-shared")
