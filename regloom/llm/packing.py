@@ -24,20 +24,22 @@ from .common import salts, staged
 
 CAPACITY = 2048
 END_ID = 0
+#: Strings that byte_bpe_50k.json maps to an id of their own wherever a text holds them.
+SPECIAL = {"<|endoftext|>": 50256}
 #: Vocabulary of byte_bpe_50k.json as ranks; the ids are the same.
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
 @lru_cache(maxsize=4)
 def tokenizer(vocabulary: str = VOCABULARY):
-    """The public byte-level BPE. Special tokens' strings in a text are ordinary text."""
+    """The public byte-level BPE."""
     import public_tokenizers
     import tiktoken
 
     path = vocabulary if "/" in vocabulary else public_tokenizers.path(vocabulary)
     with open(path, "rb") as f:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
-    return tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
 
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -45,7 +47,11 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 def _pieces(capacity: int, vocabulary: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizer(vocabulary).encode_ordinary
+        own = tokenizer(vocabulary)
+
+        def encode(text: str) -> list[int]:
+            return own.encode(text, allowed_special="all") if any(s in text for s in SPECIAL) else own.encode_ordinary(text)
+
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
