@@ -174,7 +174,7 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = K, id_col: str = "vec_id
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v"))
-    whole = rows.mapInArrow(_whole, "vec_id long, v binary")
+    whole = rows.mapInArrow(_whole, "vec_id long, v binary").distinct()
     n = rows.count()
     blocks = max(1, -(-n // BLOCK))
     query_blocks = max(1, -(-n // (every * QUERY_BLOCK)))
@@ -183,6 +183,6 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = K, id_col: str = "vec_id
     side = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
     left = whole.select("vec_id", "v", block.cast("int").alias("b"), side(query_blocks).alias("q")).groupBy("b", "q")
     right = whole.where(F.col("vec_id") % every == 0).select("vec_id", "v", side(blocks).alias("b"), query_block.cast("int").alias("q")).groupBy("b", "q")
-    found = left.cogroup(right).applyInPandas(_search(k), FOUND).distinct()
+    found = left.cogroup(right).applyInPandas(_search(k), FOUND)
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
