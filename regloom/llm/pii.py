@@ -159,9 +159,9 @@ def _features(k: int, x: Column, text: Column) -> Column:
 
 
 def with_candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Add base (array<k, s, e>, in the order of kind and start) and wide (array<k, s, e, same, known, good, f>) to documents.
+    """Add __base (array<k, s, e>, in the order of kind and start) and __wide (array<k, s, e, same, known, good, f>) to documents.
 
-    wide holds the generators' candidates; same: it equals a base span of its kind; known: it equals or overlaps a base
+    __wide holds the generators' candidates; same: it equals a base span of its kind; known: it equals or overlaps a base
     span; good: its weak label.
     """
     text = F.col("__text")
@@ -175,18 +175,18 @@ def with_candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
         valid = F.filter(f"__b{k}", lambda x: _valid(KINDS[k], x["v"]))
         return F.transform(valid, lambda x: F.struct(F.lit(k).alias("k"), x["s"].alias("s"), x["e"].alias("e")))
 
-    d = d.withColumn("base", F.concat(*map(kept, range(len(KINDS)))).cast(SPAN))
+    d = d.withColumn("__base", F.concat(*map(kept, range(len(KINDS)))).cast(SPAN))
 
     def candidate(k: int, x: Column) -> Column:
-        same = F.exists("base", lambda b: (b["k"] == k) & (b["s"] == x["s"]) & (b["e"] == x["e"]))
-        meets = F.exists("base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
+        same = F.exists("__base", lambda b: (b["k"] == k) & (b["s"] == x["s"]) & (b["e"] == x["e"]))
+        meets = F.exists("__base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
         return F.struct(
             F.lit(k).alias("k"), x["s"].alias("s"), x["e"].alias("e"), same.alias("same"), meets.alias("known"),
             (same | _good(KINDS[k], x["v"], _before(x, text))).alias("good"), _features(k, x, text).alias("f"),
         )
 
     wide = F.concat(*[F.transform(f"__w{k}", partial(candidate, k)) for k in range(len(KINDS))])
-    return d.withColumn("wide", wide).drop("__text", *[f"__{p}{k}" for p in "hbw" for k in range(len(KINDS))])
+    return d.withColumn("__wide", wide).drop("__text", *[f"__{p}{k}" for p in "hbw" for k in range(len(KINDS))])
 
 
 class SpanModel:
@@ -220,7 +220,7 @@ def _tree(node, f: Column) -> Column:
 
 def _judged(docs: DataFrame) -> DataFrame:
     """k, label, free, f of the candidates that are base spans or meet none; free: it meets none, so it can be added."""
-    rows = with_candidates(docs).select(F.inline("wide")).where("same OR NOT known")
+    rows = with_candidates(docs).select(F.inline("__wide")).where("same OR NOT known")
     return rows.select("k", F.col("good").cast("double").alias("label"), (~F.col("known")).alias("free"), "f")
 
 
@@ -271,10 +271,14 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_
 
 
 def find(docs: DataFrame, model: SpanModel, text_col: str = "text") -> DataFrame:
-    """Add base and spans (base and added ones), arrays of (k, s, e) in the order of kind and start, to documents."""
+    """Add __base and __spans (base and added ones), arrays of (k, s, e) in the order of kind and start, to documents.
+
+    All rows and columns stay as they are; a null or empty text has no spans; names that start with two underscores are
+    this module's own.
+    """
     d = with_candidates(docs, text_col)
-    spans = F.array_sort(F.concat("base", model.added(F.col("wide"))))
-    return d.withColumn("spans", spans).drop("wide")
+    spans = F.array_sort(F.concat("__base", model.added(F.col("__wide"))))
+    return d.withColumn("__spans", spans).drop("__wide")
 
 
 def _told(spans: str) -> Column:
@@ -289,16 +293,20 @@ def report(docs: DataFrame, model: SpanModel, id_col: str = "doc_id", text_col:
     read; an empty table gives an empty result.
     """
     d = find(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), model)
-    of_kind = lambda k: F.filter("base", lambda x: x["k"] == k)
+    of_kind = lambda k: F.filter("__base", lambda x: x["k"] == k)
     n = [F.size(of_kind(k)).cast("long").alias(f"n_{kind}") for k, kind in enumerate(KINDS)]
-    return d.select("doc_id", *n, F.sha2(_told("base"), 256).alias("base_sha256"), _told("spans").alias("spans"))
+    return d.select("doc_id", *n, F.sha2(_told("__base"), 256).alias("base_sha256"), _told("__spans").alias("spans"))
 
 
 def redact(docs: DataFrame, model: SpanModel, text_col: str = "text") -> DataFrame:
-    """Replace every span of a text by its kind in brackets; overlapping spans are replaced by the first one's. Other columns stay."""
+    """Replace every span of a text by its kind in brackets; overlapping spans are replaced by the first one's.
+
+    All rows stay, repeated ones and those with null ids too, in texts of any length; null and empty texts stay as they
+    are; other columns stay, whatever their names; an empty table gives an empty result.
+    """
     columns = docs.columns
     d = find(docs, model, text_col)
-    by_place = F.array_sort(F.transform("spans", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["k"].alias("k"))))
+    by_place = F.array_sort(F.transform("__spans", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["k"].alias("k"))))
     names = F.array(*[F.lit(f"[{kind.upper()}]") for kind in KINDS])
     text = F.col(text_col)
 
@@ -310,5 +318,5 @@ def redact(docs: DataFrame, model: SpanModel, text_col: str = "text") -> DataFra
 
     zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
     whole = lambda acc: F.concat(F.array_join(acc["out"], ""), text.substr(acc["at"] + 1, F.length(text)))
-    clean = F.when(F.size("spans") > 0, F.aggregate(by_place, zero, step, whole)).otherwise(text)
+    clean = F.when(F.size("__spans") > 0, F.aggregate(by_place, zero, step, whole)).otherwise(text)
     return d.withColumn(text_col, clean).select(*columns)

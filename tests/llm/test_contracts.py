@@ -28,7 +28,6 @@ def test_op1_pieces_and_places(spark, texts):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     pieces = defaultdict(list)
     for r in run(spark, "op1_best_fit_packing"):
         pieces[r["doc_id"]].append(r)

@@ -171,6 +171,44 @@ def test_pii_fit_finds_rewritten_forms(spark):
             assert (sum(hits) >= 0.95 * len(hits)) if wanted else (sum(hits) <= 0.05 * len(hits)), (kind, wanted, sum(hits))
 
 
+def test_redact_keeps_columns_of_any_name(spark):
+    df = spark.createDataFrame([(1, "to a@b.com", 1, "s", "w", "f"), (2, None, 2, "s", "w", "f")], "doc_id long, text string, base int, spans string, wide string, k string")
+    got = sorted(map(tuple, pii.redact(df, pii.SpanModel(None, (2.0,) * 4)).collect()))
+    assert got == [(1, "to [EMAIL]", 1, "s", "w", "f"), (2, None, 2, "s", "w", "f")]
+
+
+def test_quality_of_singular_groups(spark):
+    """Two texts, many copies each, lie on a line; a null source is no name of its language."""
+    a, b = words(1, 80), words(2, 300) + " " + words(3, 10)
+    rows = [(i, (a, b)[i % 2], "en", "s") for i in range(240)]
+    rows += [(1000 + i, words(i, 60 + i), "en", None) for i in range(80)] + [(2000 + i, words(i, 50 + i % 9), None, None) for i in range(70)]
+    got = quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    assert len(got) == len(rows) and all(r["distance"] is None or 0 <= r["distance"] < 1e9 for r in got)
+    assert all(r["kept"] for r in got if r["doc_id"] < 1000 and not r["base_failed"])
+
+
+def test_minimum_determinant(spark):
+    """The estimate's determinant is as small as the best of many random starts of a plain version, give or take little."""
+    import numpy as np
+
+    g = np.random.default_rng(4)
+    x = g.multivariate_normal(np.zeros(5), np.diag([4, 1, 1, 2, 3]) + 0.5, 400)
+    x[:60] = g.normal(9, 0.3, (60, 5))
+    rows = spark.createDataFrame([("a", *map(float, v)) for v in x], "g string, x0 double, x1 double, x2 double, x3 double, x4 double")
+    found = quality.robust_estimates(rows).first()
+    h, best = 300, np.inf
+    for _ in range(60):
+        at = g.choice(len(x), 6, replace=False)
+        m, c = x[at].mean(0), np.cov(x[at].T, bias=True) + 1e-6 * np.eye(5)
+        for _ in range(15):
+            d = np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(c), x - m)
+            near = x[np.argsort(d)[:h]]
+            m, c = near.mean(0), np.cov(near.T, bias=True)
+        best = min(best, np.linalg.slogdet(c)[1])
+    assert found["det"] <= best + 0.1
+    assert np.abs([found[f"m{i}"] for i in range(5)]).max() < 0.6  # the outliers do not pull it
+
+
 def test_quality_edges(odd, none):
     got = quality.judge(odd)
     assert got.count() == odd.count()
@@ -193,6 +231,19 @@ def test_toxicity_edges(spark, odd, none):
     assert toxicity.keep_clean(odd, machine).columns == odd.columns
 
 
+def test_packing_maps_special_tokens(spark):
+    import zlib
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for text in ("a <|endoftext|> b", "<|endoftext|><|endoftext|>", "x<|endoftext|", "<|endof<|endoftext|>text|>\n\n <|endoftext|>"):
+        got = packing.tokenized_pieces(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+        ids = [*t.encode(text, add_special_tokens=False).ids, 0]
+        assert (got["length"], got["ids_crc32"]) == (len(ids), zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids)))
+
+
 def test_packing_edges(odd, none):
     got = packing.pack_documents(odd).collect()
     assert {r["doc_id"] for r in got} == {r["doc_id"] for r in odd.select("doc_id").collect()}
@@ -273,6 +324,13 @@ def test_topk_edges(spark):
     assert topk.top_k(df.where("vec_id < 0")).count() == 0
 
 
+def test_topk_of_repeated_rows(spark):
+    """More equal rows of one id than places."""
+    rows = [(0, [1.0])] + [(4, [9.0])] * 7 + [(i, [float(i)]) for i in (1, 2, 3, 5)]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == [4, 5, 3, 2, 1]
+
+
 def test_mtree_skips_by_stored_distances():
     import numpy as np
 
