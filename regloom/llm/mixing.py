@@ -105,18 +105,19 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The mix itself: docs' rows, one for each pass that takes words of it, range-sorted by training position.
+    """The mix itself: docs' rows, one for each pass that takes them, range-sorted by training position.
 
-    A row of which a pass takes only some words (one for each source at most) has its text cut behind these. Documents
-    without words are in no pass.
+    Texts stay whole: a document of which a pass takes only some words (one for each source at most) is taken if these are
+    half of it or more, so a source is off its target by half a document at most. Documents without words, null texts
+    among them, are in no pass; a null source is a source of its own; null ids and repeated rows are documents of their
+    own; other columns stay; an empty table stays empty.
     """
     columns = docs.columns
     d = _assigned(_rows(docs, id_col, text_col, source_col, F.struct(*columns).alias("row"))).where("taken > 0")
     n = F.ceil(F.col("taken") / F.col("size")).cast("int")
     d = d.withColumn("pass", F.explode(F.sequence(F.lit(0), n - 1)))
     words = F.least(F.col("size"), F.col("taken") - F.col("pass") * F.col("size"))
-    d = d.withColumn("words", words).withColumn("position", _position(F.col("pass") * F.col("source_size") + F.col("start"), F.col("words")))
-    d = _range_sorted(d.select("row", "size", "words", "position", "h"))
-    text = F.col(f"row.{text_col}")
-    some = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), 1, F.col("words").cast("int")), " ")
-    return d.select(*[(F.when(F.col("words") < F.col("size"), some).otherwise(text) if c == text_col else F.col(f"row.{c}")).alias(c) for c in columns])
+    d = d.withColumn("words", words).where(2 * F.col("words") >= F.col("size"))
+    d = d.withColumn("position", _position(F.col("pass") * F.col("source_size") + F.col("start"), F.col("words")))
+    d = _range_sorted(d.select("row", "position", "h"))
+    return d.select(*[F.col(f"row.{c}").alias(c) for c in columns])

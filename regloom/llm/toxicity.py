@@ -119,19 +119,19 @@ def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
     """Normalised kernel values of words (their first piece) and landmarks."""
     number, at, value = _sparse(landmarks)
     known = np.unique(number)
-    table = np.zeros((len(known) + 1, len(landmarks)))
+    table = np.zeros((len(known) + 1, len(landmarks)), dtype=np.float32)
     np.add.at(table, (np.searchsorted(known, number), at), value)
     out = np.zeros((len(words), len(landmarks)))
     for own, m in _by_length(words):
         own, first = np.unique(own, return_index=True)
-        for a in range(0, len(own), 500):
-            rows = m[first[a : a + 500]]
+        for a in range(0, len(own), 64):
+            rows = m[first[a : a + 64]]
             total = np.zeros((len(rows), len(landmarks)))
             for index, weight in subsequences(rows):
                 slot = np.minimum(np.searchsorted(known, index), len(known) - 1)
                 slot = np.where(known[slot] == index, slot, len(known))
                 total += weight * table[slot].sum(1)
-            out[own[a : a + 500]] = total / _NORMS[m.shape[1]]
+            out[own[a : a + 64]] = total / _NORMS[m.shape[1]]
     return out
 
 
