@@ -177,15 +177,17 @@ def with_candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     d = d.withColumn("__base", F.concat(*map(kept, range(len(KINDS)))).cast(SPAN))
 
-    def candidate(k: int, x: Column) -> Column:
-        same = F.exists("__base", lambda b: (b["k"] == k) & (b["s"] == x["s"]) & (b["e"] == x["e"]))
-        meets = F.exists("__base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
+    def candidate(k: int, base: Column, x: Column) -> Column:
+        same = F.exists(base, lambda b: (b["k"] == k) & (b["s"] == x["s"]) & (b["e"] == x["e"]))
+        meets = F.exists(base, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
         return F.struct(
             F.lit(k).alias("k"), x["s"].alias("s"), x["e"].alias("e"), same.alias("same"), meets.alias("known"),
             (same | _good(KINDS[k], x["v"], _before(x, text))).alias("good"), _features(k, x, text).alias("f"),
         )
 
-    wide = F.concat(*[F.transform(f"__w{k}", partial(candidate, k)) for k in range(len(KINDS))])
+    # As the variable of an outer lambda the base spans are found once for a text, not once for each candidate.
+    every = lambda base: F.concat(*[F.transform(f"__w{k}", partial(candidate, k, base)) for k in range(len(KINDS))])
+    wide = F.get(F.transform(F.array("__base"), every), 0)
     return d.withColumn("__wide", wide).drop("__text", *[f"__{p}{k}" for p in "hbw" for k in range(len(KINDS))])
 
 
