@@ -111,7 +111,8 @@ def earliest(x: Column, markers: Sequence[str], least: int = 1) -> Column:
 
 
 def cut_at(x: Column, markers: Sequence[str], least: int = 1) -> Column:
-    """The text before the earliest marker, trimmed."""
+    """The text before the earliest marker, trimmed. Composed first, so that places in the folded text are places in it."""
+    x = nfc(x)
     at = earliest(fold(x), [m.lower() for m in markers], least)
     return F.trim(F.when(at.isNotNull(), F.substring(x, F.lit(1), at - 1)).otherwise(x))
 
@@ -163,6 +164,8 @@ def marked_level(x: Column, labels: dict[str, str], mark: str = "[xX]", within:
 
 
 def fee_excerpt(x: Column, markers: Sequence[str], within: int = 750, chars: int = 260) -> Column:
+    """The text from the first marker within some characters on; composed first, as places are found in the folded text."""
+    x = nfc(x)
     at = earliest(fold(x), [m.lower() for m in markers])
     return F.when(at <= within, F.trim(F.substring(x, at, F.lit(chars))))
 

@@ -54,9 +54,18 @@ def live_result(body: Column, name: Column, agency: Column, blocked: Sequence[st
     return F.when(any_marker(body, blocked), "blocked").when(has_name & has_agency, "both_visible").when(has_name, "name_visible").otherwise("unresolved")
 
 
-def classify_record(authority: Column, scopes: Mapping[str, Sequence[str]], online: Column, levels: Sequence[str]) -> Column:
-    """struct(scope, receivable, online): an ambiguous authority is OTHER, an unknown level UNKNOWN."""
-    hits = {s: any_marker(authority, m) for s, m in scopes.items()}
-    n = sum((h.cast("int") for h in hits.values()), F.lit(0))
-    scope = F.when(n == 1, F.coalesce(*[F.when(h, s) for s, h in hits.items()])).otherwise("OTHER")
-    return F.struct(scope.alias("scope"), (scope != "OTHER").alias("receivable"), F.when(online.isin(*levels), online).otherwise("UNKNOWN").alias("online"))
+def classify_record(label: Column, own_flag: Column, online: Column, rules: Sequence[tuple[str, bool, str, str]], ambiguous: Sequence[str], levels: Sequence[str]) -> Column:
+    """struct(authority, scope, receivable, online) of a record by its label, without inventing an authority.
+
+    rules: (label, is a prefix, authority, scope), the first that holds decides, and such records are receivable. Ambiguous
+    labels are receivable, with authority and scope OTHER; any other label is OTHER too and keeps the record's own flag
+    (null: not receivable). An online level outside levels is UNKNOWN.
+    """
+    name = F.trim(F.coalesce(label, F.lit("")))
+    out = F.when(F.lit(False), F.struct(F.lit("").alias("authority"), F.lit("").alias("scope"), F.lit(False).alias("receivable")))
+    say = lambda a, s, r: F.struct(F.lit(a).alias("authority"), F.lit(s).alias("scope"), r.alias("receivable"))
+    for text, prefix, authority, scope in rules:
+        out = out.when(F.lower(name).startswith(text.lower()) if prefix else name == text, say(authority, scope, F.lit(True)))
+    out = out.when(name.isin(*ambiguous), say("OTHER", "OTHER", F.lit(True))).otherwise(say("OTHER", "OTHER", F.coalesce(own_flag, F.lit(False))))
+    level = F.upper(F.trim(F.coalesce(online, F.lit(""))))
+    return F.struct(out["authority"].alias("authority"), out["scope"].alias("scope"), out["receivable"].alias("receivable"), F.when(level.isin(*levels), level).otherwise("UNKNOWN").alias("online"))

@@ -16,7 +16,8 @@ READY, CONFIRMED, REVIEW, PENDING = "ready", "confirmedExisting", "needsReview",
 def gate(candidates: DataFrame, canonical: DataFrame, key: str, value: Column, current: Column, unsafe: Column | None = None, allowed: Sequence[str] | None = None, unknown: Sequence[str] = ("",), normal=None, same=None) -> DataFrame:
     """key, value, n_values, bucket, reason.
 
-    normal: makes values comparable. same: tells whether the current value says the same as the promoted one.
+    normal: makes values comparable. same: tells whether the current value says the same as the promoted one. A key
+    whose values are all null has nothing to promote and needs review.
     """
     norm = normal or (lambda c: c)
     bad = F.coalesce(unsafe, F.lit(False)) if unsafe is not None else F.lit(False)
@@ -31,6 +32,7 @@ def gate(candidates: DataFrame, canonical: DataFrame, key: str, value: Column, c
     verdict = (
         F.when(F.col("_bad"), say(REVIEW, "unsafe"))
         .when(F.col("n_values") > 1, say(REVIEW, "disagreement"))
+        .when(F.col("n_values") == 0, say(REVIEW, "no_value"))
         .when(F.col("_has").isNull(), say(PENDING, "no_record"))
         .when(blank, say(READY, "blank"))
         .when(agree(norm(F.col("_current")), norm(F.col("value"))), say(CONFIRMED, "equal"))

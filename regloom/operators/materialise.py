@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import dmy, first_filled
 from .resolve import first_source
+from .search import ordinal
 
 
 def materialise(targets: DataFrame, key: str, sources: Sequence[DataFrame], execution: DataFrame, legal: DataFrame, times: DataFrame, values: Sequence[str]) -> DataFrame:
@@ -61,7 +62,7 @@ def decision_labels(df: DataFrame, date: str, published_on: str, number: str, ti
         number, first_filled(F.col(title), F.lit(default_title)).alias("title"), dmy(when).alias("date"),
         F.when(effective > as_of, F.concat(F.lit("from "), dmy(effective))).otherwise("in force").alias("label"), when.alias("_when"),
     )
-    return out.withColumn("place", F.row_number().over(W.orderBy(F.col("_when").desc(), F.col(number).desc()))).drop("_when")
+    return ordinal(out, [F.col("_when").desc(), F.col(number).desc()], number, "place").drop("_when")
 
 
 def card(labels: Mapping[str, str], kind: Column, parts: Sequence[Column], sources: Column, role: str) -> Column:

@@ -24,7 +24,9 @@ def replay(events: DataFrame, key: str, order: Sequence[str], kind: Column, evid
 
     kind: 'review' counts only; 'future' annotates a current key and excludes any other as future; 'repealed' excludes;
     'current' makes or updates a public row where it has evidence. Returns key, state, since (order of the decisive
-    event), n_reviews, n_updates, future (order of the latest pending future event).
+    event), n_reviews, n_updates (current events with evidence, those that make the row included), future (order of the
+    latest future event since the public row was made: later updates keep it, only a row made anew after a repeal has
+    none). A starting state is given as events that come before all others.
 
     The state needs the decisive events only, so it comes from partial aggregates and no key's history is gathered.
     """
@@ -32,8 +34,11 @@ def replay(events: DataFrame, key: str, order: Sequence[str], kind: Column, evid
     at = F.struct(*order)
     rows = events.select(key, at.alias("at"), kind.alias("kind"), good.alias("good"))
     makes, repeals, waits = (F.col("kind") == "current") & F.col("good"), F.col("kind") == "repealed", F.col("kind") == "future"
+    last = rows.where(repeals).groupBy(key).agg(F.max("at").alias("gone"))
+    rows = rows.join(last, key, "left")
     agg = rows.groupBy(key).agg(
-        F.max(F.when(makes, F.col("at"))).alias("made"), F.max(F.when(repeals, F.col("at"))).alias("gone"),
+        F.max(F.when(makes, F.col("at"))).alias("made"), F.max("gone").alias("gone"),
+        F.min(F.when(makes & (F.col("gone").isNull() | (F.col("at") > F.col("gone"))), F.col("at"))).alias("created"),
         F.max(F.when(waits, F.col("at"))).alias("waits"), F.count_if(F.col("kind") == "review").alias("n_reviews"), F.count_if(makes).alias("n_updates"),
     )
     public = F.col("made").isNotNull() & (F.col("gone").isNull() | (F.col("made") > F.col("gone")))
@@ -41,7 +46,7 @@ def replay(events: DataFrame, key: str, order: Sequence[str], kind: Column, evid
     future = F.col("waits").isNotNull() & (F.col("gone").isNull() | (F.col("waits") > F.col("gone")))
     state = F.when(public, "current").when(future, "future_effective").when(F.col("gone").isNotNull(), "repealed").otherwise("unknown")
     since = F.when(public, F.col("made")).when(future, F.col("waits")).otherwise(F.col("gone"))
-    pending = F.when(public & (F.col("waits") > F.col("made")), F.col("waits"))
+    pending = F.when(public & (F.col("waits") > F.col("created")), F.col("waits"))
     return agg.select(key, state.alias("state"), since.alias("since"), "n_reviews", "n_updates", pending.alias("future"))
 
 

@@ -10,17 +10,21 @@ def local_day(ts: Column, zone: str) -> Column:
     return F.to_date(F.from_utc_timestamp(ts, zone))
 
 
-def health(runs: DataFrame, days: DataFrame, ts: str, status: Column, deadline_hour: int, now: Column, zone: str = "UTC") -> DataFrame:
-    """day, verdict for every day: HEALTHY, RUNNING, PAUSED, STOPPED_LOUDLY, NOT_DUE or STOPPED_SILENTLY, in this order.
+def health(runs: DataFrame, days: DataFrame, ts: str, record: Column, active: Column, deadline_hour: int, now: Column, zone: str = "UTC") -> DataFrame:
+    """day, verdict for every day, by the first rule that holds; runs of other days do not count.
 
-    status is one of success, running, paused, failure. Runs of other days do not count.
+    record: what the run's own record says, one of ok, duplicate_skip, paused, failed or another word; null if it left
+    none. active: the run still goes on. Before the deadline a day is NOT_DUE whatever was seen; without runs it is
+    STOPPED_SILENTLY; then HEALTHY by an ok record, STOPPED_LOUDLY by a duplicate skip, PAUSED, STOPPED_LOUDLY by a
+    failure, RUNNING by an active run, and STOPPED_LOUDLY for all that is left.
     """
-    seen = runs.select(local_day(F.col(ts), zone).alias("day"), status.alias("s")).groupBy("day").agg(F.collect_set("s").alias("seen"))
-    has = lambda s: F.coalesce(F.array_contains("seen", s), F.lit(False))
+    day = local_day(F.col(ts), zone).alias("day")
+    seen = runs.select(day, record.alias("r"), active.alias("a")).groupBy("day").agg(F.collect_set("r").alias("seen"), F.bool_or("a").alias("active"))
+    has = lambda s: F.array_contains("seen", s)
     due = F.from_utc_timestamp(now, zone) >= F.col("day").cast("timestamp") + F.make_dt_interval(hours=F.lit(deadline_hour))
     verdict = (
-        F.when(has("success"), "HEALTHY").when(has("running"), "RUNNING").when(has("paused"), "PAUSED").when(has("failure"), "STOPPED_LOUDLY")
-        .when(~due, "NOT_DUE").otherwise("STOPPED_SILENTLY")
+        F.when(~due, "NOT_DUE").when(F.col("seen").isNull(), "STOPPED_SILENTLY").when(has("ok"), "HEALTHY").when(has("duplicate_skip"), "STOPPED_LOUDLY")
+        .when(has("paused"), "PAUSED").when(has("failed"), "STOPPED_LOUDLY").when(F.col("active"), "RUNNING").otherwise("STOPPED_LOUDLY")
     )
     return days.join(seen, "day", "left").select("day", verdict.alias("verdict"))
 

@@ -44,12 +44,13 @@ def locale_order(column: str, collation: str = "vi") -> Column:
     return F.collate(F.col(column), collation)
 
 
-def ordinal(df: DataFrame, order: Sequence[Column], key: str, name: str = "ordinal", parts: int = 32) -> DataFrame:
+def ordinal(df: DataFrame, order: Sequence[Column], key: str, name: str = "ordinal", parts: int | None = None) -> DataFrame:
     """Global row numbers of a total order without one task that sees all rows.
 
-    Rows are range-partitioned; a partition's rows are numbered within it, and the counts of earlier ones are added. The
+    Rows are range-partitioned, into as many parts as shuffles have unless parts says otherwise; a partition's rows are numbered within it, and the counts of earlier ones are added. The
     order must be total (end it with the key).
     """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     ranged = df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id())
     from ..sources.tables import kept
 

@@ -85,12 +85,13 @@ _REPLAY = """
 WITH k AS (SELECT user_id, {'t': ts, 'i': event_id} AS o, CASE WHEN event_type = 'view' THEN 'review' WHEN event_type = 'error' AND ts > TIMESTAMP '2024-07-01' THEN 'future' WHEN event_type = 'error' THEN 'repealed' ELSE 'current' END AS kind FROM events),
 a AS (SELECT user_id, max(o) FILTER (kind = 'current') AS made, max(o) FILTER (kind = 'repealed') AS gone, max(o) FILTER (kind = 'future') AS waits,
   count(*) FILTER (kind = 'review') AS n_reviews, count(*) FILTER (kind = 'current') AS n_updates FROM k GROUP BY user_id),
-s AS (SELECT *, made IS NOT NULL AND (gone IS NULL OR made > gone) AS pub, waits IS NOT NULL AND (gone IS NULL OR waits > gone) AS fut FROM a)
+c AS (SELECT k.user_id, min(o) AS created FROM k JOIN a USING (user_id) WHERE kind = 'current' AND (gone IS NULL OR o > gone) GROUP BY k.user_id),
+s AS (SELECT a.*, c.created, made IS NOT NULL AND (gone IS NULL OR made > gone) AS pub, waits IS NOT NULL AND (gone IS NULL OR waits > gone) AS fut FROM a LEFT JOIN c ON c.user_id = a.user_id)
 """
 
 
 @query(_REPLAY + """SELECT user_id, CASE WHEN pub THEN 'current' WHEN fut THEN 'future_effective' WHEN gone IS NOT NULL THEN 'repealed' ELSE 'unknown' END AS state,
-  (CASE WHEN pub THEN made WHEN fut THEN waits ELSE gone END).i AS since_id, n_reviews, n_updates, CASE WHEN pub AND waits > made THEN waits.i END AS future_id FROM s""")
+  (CASE WHEN pub THEN made WHEN fut THEN waits ELSE gone END).i AS since_id, n_reviews, n_updates, CASE WHEN pub AND waits > created THEN waits.i END AS future_id FROM s""")
 def lifecycle_replay(t):
     r = replay.replay(t("events"), "user_id", ["ts", "event_id"], _kind())
     return r.select("user_id", "state", F.col("since.event_id").alias("since_id"), "n_reviews", "n_updates", F.col("future.event_id").alias("future_id"))
@@ -412,13 +413,14 @@ def read_model_upsert(t):
 
 @query("""
 WITH d AS (SELECT unnest(generate_series(min(ts)::DATE, max(ts)::DATE, INTERVAL 1 DAY))::DATE AS day FROM events), s AS (SELECT ts::DATE AS day, list_distinct(list(event_type)) AS seen FROM events WHERE value > 90 GROUP BY 1)
-SELECT strftime(d.day, '%Y-%m-%d') AS day, CASE WHEN list_contains(seen, 'purchase') THEN 'HEALTHY' WHEN list_contains(seen, 'click') THEN 'RUNNING' WHEN list_contains(seen, 'signup') THEN 'PAUSED' WHEN list_contains(seen, 'error') THEN 'STOPPED_LOUDLY'
-  WHEN d.day > DATE '2024-07-01' THEN 'NOT_DUE' ELSE 'STOPPED_SILENTLY' END AS verdict FROM d LEFT JOIN s USING (day)
+SELECT strftime(d.day, '%Y-%m-%d') AS day, CASE WHEN d.day > DATE '2024-07-01' THEN 'NOT_DUE' WHEN seen IS NULL THEN 'STOPPED_SILENTLY' WHEN list_contains(seen, 'purchase') THEN 'HEALTHY' WHEN list_contains(seen, 'view') THEN 'STOPPED_LOUDLY'
+  WHEN list_contains(seen, 'signup') THEN 'PAUSED' WHEN list_contains(seen, 'error') THEN 'STOPPED_LOUDLY' WHEN list_contains(seen, 'click') THEN 'RUNNING' ELSE 'STOPPED_LOUDLY' END AS verdict FROM d LEFT JOIN s USING (day)
 """)
 def run_health(t):
     e = t("events")
-    s = F.create_map(*[F.lit(x) for x in ("purchase", "success", "click", "running", "signup", "paused", "error", "failure")])
-    h = runs.health(e.where("value > 90"), runs.calendar(e, "ts"), "ts", F.try_element_at(s, F.col("event_type")), 12, F.lit("2024-07-01 13:00:00").cast("timestamp"))
+    kinds = F.create_map(*[F.lit(x) for x in ("purchase", "ok", "view", "duplicate_skip", "signup", "paused", "error", "failed")])
+    record = F.try_element_at(kinds, F.col("event_type"))
+    h = runs.health(e.where("value > 90"), runs.calendar(e, "ts"), "ts", record, F.col("event_type") == "click", 12, F.lit("2024-07-01 13:00:00").cast("timestamp"))
     return h.withColumn("day", F.col("day").cast("string"))
 
 

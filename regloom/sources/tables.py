@@ -94,6 +94,8 @@ def kept(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         folder = "file://" + tempfile.mkdtemp(prefix="regloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
     path = os.path.join(folder, f"kept-{uuid.uuid4().hex}")
@@ -123,15 +125,25 @@ def append_log(df: DataFrame, path: str) -> None:
 
 
 def write_if_changed(df: DataFrame, path: str, ignore: Sequence[str] = ()) -> bool:
-    """Write a new version under path only if it differs from the last one beyond volatile columns."""
+    """Replace the table under path only if the new one differs beyond volatile columns.
+
+    The new version is written beside and moved into place, the last one is deleted after that: a crash leaves one of them
+    whole, under path or beside it.
+    """
     from ..operators.diff import changed
 
     spark = df.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    beside, before = (hadoop(f"{path}.{name}-{uuid.uuid4().hex}") for name in ("new", "old"))
     try:
         old = spark.read.schema(df.schema).parquet(path)
         if not changed(old, df, ignore):
             return False
-        kept(df).write.mode("overwrite").parquet(path)
+        df.write.parquet(beside.toString())
+        files = beside.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.rename(hadoop(path), before)
+        files.rename(beside, hadoop(path))
+        files.delete(before, True)
     except AnalysisException:
         df.write.parquet(path)
     return True
