@@ -75,9 +75,9 @@ def binary_hashes(spark: SparkSession, path: str, pattern: str = "*") -> DataFra
     return files.select("path", "length", F.sha2("content", 256).alias("sha256"))
 
 
-def records(spark: SparkSession, path: str, schema: T.StructType, pattern: str = "*.json") -> DataFrame:
-    """JSON records in a folder tree; malformed files go."""
-    return spark.read.schema(schema).options(mode="DROPMALFORMED", multiLine=True, recursiveFileLookup=True, pathGlobFilter=pattern).json(path)
+def records(spark: SparkSession, path: str, schema: T.StructType, pattern: str = "*.json", lines: bool = False) -> DataFrame:
+    """JSON records in a folder tree, one a file or one a line; malformed ones go."""
+    return spark.read.schema(schema).options(mode="DROPMALFORMED", multiLine=not lines, recursiveFileLookup=True, pathGlobFilter=pattern).json(path)
 
 
 def aliased(df: DataFrame, names: Sequence[str], blanks: Sequence[str] = ("", "None", "NULL")) -> Column:
@@ -89,16 +89,21 @@ def aliased(df: DataFrame, names: Sequence[str], blanks: Sequence[str] = ("", "N
     return F.coalesce(*[value(c) for c in dict.fromkeys(hits)]) if hits else F.lit(None).cast("string")
 
 
-def kept(df: DataFrame) -> DataFrame:
-    """df written to the shared folder (spark.checkpoint.dir) and read back."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all machines share: spark.checkpoint.dir, or in local mode a folder of this machine where that is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         folder = "file://" + tempfile.mkdtemp(prefix="regloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    path = os.path.join(folder, f"kept-{uuid.uuid4().hex}")
+    return folder
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """df written to the shared folder and read back."""
+    spark = df.sparkSession
+    path = os.path.join(shared_folder(spark), f"kept-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
