@@ -7,10 +7,12 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from .operators import aggregate, classify, diff, expect, gates, materialise, readmodel, replay, resolve, search
+from .functions import urls
+from .operators import aggregate, classify, diff, expect, gates, materialise, readmodel, reconcile, replay, resolve, search
 from .plans import curation
 from .queries import query
 from .sources import tables
+from .streaming import streams
 
 
 def _place(df, name: str) -> str:
@@ -35,7 +37,7 @@ def compact_round_trip(t):
 
 
 @query("SELECT n_regionkey AS region, n_nationkey AS nation, n_name AS name FROM nation")
-def json_envelope(t):
+def nested_rows(t):
     n = t("nation")
     one = n.groupBy(F.col("n_regionkey").alias("region")).agg(F.collect_list(F.struct(F.col("n_nationkey").alias("nation"), F.col("n_name").alias("name"))).alias("rows"))
     path = _place(n, "json")
@@ -308,3 +310,135 @@ def additive_errors(t):
 def report_lines(t):
     rows = lambda n, **more: aggregate.summary(t(n), {"rows": F.lit(True), **more})
     return aggregate.report_lines({"customers": rows("customer"), "orders": rows("orders", pending=F.col("o_orderstatus") == "P")})
+
+
+@query("SELECT n_nationkey AS nation, n_name AS name, (SELECT count(*) FROM nation) AS total FROM nation")
+def envelope_scan(t):
+    n = t("nation")
+    doc = n.agg(F.count("*").alias("total"), F.collect_list(F.struct(F.col("n_nationkey").alias("nation"), F.col("n_name").alias("name"))).alias("rows"))
+    path = _place(n, "envelope")
+    tables.write_json(doc, path)
+    meta, rows = tables.json_envelope(n.sparkSession, path, doc.schema, "rows")
+    missing, none = tables.json_envelope(n.sparkSession, path + "-missing", doc.schema, "rows")
+    return rows.unionByName(none).join(F.broadcast(meta.unionByName(missing)))
+
+
+@query("SELECT DISTINCT o_orderpriority FROM orders")
+def harvested_keys(t):
+    o = t("orders").select("o_orderkey", "o_orderpriority")
+    path = _place(o, "text")
+    tables.write_compact(o, path)
+    return tables.harvested_keys(o.sparkSession, path, "o_orderpriority")
+
+
+@query("SELECT c_name, c_mktsegment, c_acctbal < 0 AS debtor FROM customer")
+def literal_scan(t):
+    c = t("customer")
+    line = F.concat(F.lit('  {c_name:"'), F.col("c_name"), F.lit('", c_mktsegment: "'), F.col("c_mktsegment"), F.lit('", debtor: '), (F.col("c_acctbal") < 0).cast("string"), F.lit("},"))
+    path = _place(c, "lines")
+    c.select(line.alias("value")).write.text(path)
+    return tables.literal_rows(c.sparkSession, path, ["c_name", "c_mktsegment"], ["debtor"]).drop("pos")
+
+
+@query("SELECT c_custkey, c_name AS name, CASE WHEN c_nationkey < 9 THEN NULL ELSE c_mktsegment END AS segment FROM customer")
+def aliased_scan(t):
+    c = t("customer").select("c_custkey", F.lit("None").alias("Name"), F.col("c_name").alias("full-name"), F.when(F.col("c_nationkey") >= 9, F.col("c_mktsegment")).otherwise("  ").alias("mkt_segment"))
+    return c.select("c_custkey", tables.aliased(c, ["name"]).alias("name"), tables.aliased(c, ["segment"]).alias("segment"))
+
+
+@query("SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1 UNION ALL SELECT o_orderstatus, count(*) FROM orders GROUP BY 1")
+def appended_log(t):
+    o = t("orders").groupBy("o_orderstatus").agg(F.count("*").alias("n"))
+    path = _place(o, "log")
+    tables.append_log(o.where("o_orderstatus <> 'P'"), path)
+    tables.append_log(o, path)
+    return o.sparkSession.read.schema(o.schema).json(path)
+
+
+@query("SELECT true AS first, false AS again, true AS after, count(*) FILTER (c_acctbal >= 0) AS rows FROM customer")
+def write_if_changed(t):
+    c = t("customer").select("c_custkey", "c_name", F.current_timestamp().alias("seen"), "c_acctbal")
+    path = _place(c, "versions")
+    told = [tables.write_if_changed(x, path, ["seen"]) for x in (c, c, c.where("c_acctbal >= 0"))]
+    rows = c.sparkSession.read.parquet(path).agg(F.count("*").alias("rows"))
+    return rows.select(*[F.lit(x).alias(n) for n, x in zip(("first", "again", "after"), told, strict=True)], "rows")
+
+
+@query("""
+WITH s AS (SELECT c_custkey AS k, sha256(c_name) AS sha FROM customer WHERE c_custkey % 2 = 0), n AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 4 = 0 THEN sha256(c_name) ELSE sha256(c_mktsegment) END AS sha FROM customer)
+SELECT n.k::VARCHAR AS k, n.sha, CASE WHEN s.k IS NULL THEN n.k::VARCHAR ELSE n.k || '-' || left(n.sha, 12) END AS name FROM n LEFT JOIN s USING (k) WHERE s.k IS NULL OR s.sha <> n.sha
+""")
+def store_evidence(t):
+    c = t("customer").withColumn("k", F.col("c_custkey").cast("string"))
+    new = c.select("k", F.sha2(F.when(F.col("c_custkey") % 4 == 0, F.col("c_name")).otherwise(F.col("c_mktsegment")), 256).alias("sha"))
+    new = c.select("k").join(new, "k")
+    own = c.where("c_custkey % 2 = 0").select("k", F.sha2("c_name", 256).alias("sha"))
+    return tables.store_evidence(own, new, "k", "sha").select("k", "sha", "name")
+
+
+@query("SELECT c_custkey AS k, c_name AS name FROM customer")
+def verified_write(t):
+    c = t("customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"))
+    return readmodel.write_verified(c.sparkSession, c, _place(c, "model"), "k", ["name"])
+
+
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+def never_observed(t):
+    return streams.never_observed(t("customer").select("c_custkey"), t("orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey")
+
+
+@query("SELECT n_nationkey AS k, n_name, coalesce(c.n > 0, false) AS in_master, c.n, r_name FROM nation JOIN region ON r_regionkey = n_regionkey LEFT JOIN (SELECT c_nationkey, count(*) AS n FROM customer WHERE c_nationkey > 3 GROUP BY 1) c ON c_nationkey = n_nationkey")
+def crosswalk(t):
+    items = t("nation").select(F.col("n_nationkey").alias("k"), "n_name")
+    master = t("customer").where("c_nationkey > 3").groupBy(F.col("c_nationkey").alias("k")).agg(F.count("*").alias("n"))
+    live = t("nation").join(t("region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_nationkey").alias("k"), "r_name")
+    return reconcile.crosswalk(items, master, live, "k")
+
+
+@query("""
+SELECT c_custkey AS k, CASE WHEN g.p IS NOT NULL AND c_acctbal > 0 THEN 'new' ELSE 'old' END AS link, g.p AS priority, CASE WHEN g.k IS NOT NULL AND g.s <> 'P' THEN g.s END AS status
+FROM customer LEFT JOIN (SELECT o_custkey AS k, max(o_orderpriority) AS p, min(o_orderstatus) AS s FROM orders GROUP BY 1) g ON g.k = c_custkey
+""")
+def guidance_enrichment(t):
+    c = t("customer").select(F.col("c_custkey").alias("k"), F.lit("old").alias("link"), "c_acctbal")
+    g = t("orders").groupBy(F.col("o_custkey").alias("k")).agg(F.max("o_orderpriority").alias("priority"), F.min("o_orderstatus").alias("status"))
+    g = g.withColumn("status", F.when(F.col("status") == "P", "").otherwise(F.col("status"))).withColumn("link", F.lit("new"))
+    return resolve.enrich(c, "k", g, ["priority", "status"], "link", F.col("c_acctbal") > 0).select("k", "link", "guidance.priority", "guidance.status")
+
+
+@query("""
+SELECT c_custkey, 'https://example.org/q?lang=en&' || CASE WHEN c_acctbal > 0 THEN 'level=1&' ELSE 'level=2&' END || CASE WHEN c_nationkey < 12 THEN 'id=' || c_custkey ELSE 'word=' || replace(c_name, '#', '%23') END AS url FROM customer
+""")
+def submission_urls(t):
+    scope = F.when(F.col("c_acctbal") > 0, "own").otherwise("other")
+    fid = F.when(F.col("c_nationkey") < 12, F.col("c_custkey").cast("string"))
+    url = urls.submission_url("https://example.org/q", {"lang": "en"}, scope, {"own": {"level": "1"}, "other": {"level": "2"}}, "id", fid, "word", F.col("c_name"))
+    return t("customer").select("c_custkey", url.alias("url"))
+
+
+@query("SELECT c_custkey, CASE WHEN c_mktsegment LIKE 'BUILD%' THEN 'own' WHEN c_mktsegment LIKE 'MACH%' OR c_mktsegment LIKE 'AUTO%' THEN 'shared' ELSE 'unknown' END AS scope FROM customer")
+def authority_scope(t):
+    return t("customer").select("c_custkey", readmodel.scope(F.col("c_mktsegment"), {"own": ["build"], "shared": ["mach", "auto"]}).alias("scope"))
+
+
+@query("""
+WITH g AS (SELECT c_custkey AS k, c_mktsegment AS label, h FROM customer LEFT JOIN (SELECT o_custkey, max(o_orderpriority) AS h FROM orders WHERE o_orderstatus = 'P' GROUP BY 1) ON o_custkey = c_custkey),
+r AS (SELECT *, coalesce(h, label) AS level FROM g), n AS (SELECT count(*) FILTER (level IN ('BUILDING', '1-URGENT')) AS n FROM r)
+SELECT n.n AS in_scope, count(*) - n.n AS out_of_scope, count(*) FILTER (h <> label) AS misclassified, 0 AS ambiguous, greatest(0, 100 - n.n) AS missing_at_least, n.n - 100 AS drift FROM r, n GROUP BY n.n
+""")
+def result_buckets(t):
+    m = t("customer").select(F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("label"))
+    o = t("orders").withColumnRenamed("o_custkey", "k").withColumnRenamed("o_orderpriority", "hint").where("o_orderstatus = 'P'")
+    none = m.select("k", F.col("label").alias("level")).where("false")
+    resolved = reconcile.levels(m, "k", o, none, "label", ["BUILDING", "1-URGENT"], [F.col("hint").desc(), F.col("o_orderkey")])
+    return reconcile.buckets(resolved, "k", 100)
+
+
+@query("SELECT count(*) AS rows FROM customer")
+def dataset_fingerprint(t):
+    """The same rows in another order, with another volatile column, have one fingerprint; other rows have another."""
+    c = t("customer").withColumn("seen", F.current_timestamp())
+    a = diff.dataset_fingerprint(c, ["seen"])
+    b = diff.dataset_fingerprint(c.repartition(5, "c_name").withColumn("seen", F.lit(None).cast("timestamp")), ["seen"])
+    c = diff.dataset_fingerprint(c.withColumn("c_name", F.upper("c_mktsegment")), ["seen"])
+    return a.join(b, ["rows", "xor", "total"]).join(c, ["xor", "total"], "left_anti").select("rows")
