@@ -406,29 +406,33 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch.column(0), pa.array(bodies, pa.binary())], names=["doc", "sketch"])
 
 
-#: Blocks of this kind and a width's logarithm hold documents, and then their sketches of that width.
-SKETCH = 64
+def _unsketched(body: bytes) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(logarithm of the width, documents, sketches) of each width in a body: a head of two numbers, then both arrays."""
+    at = 0
+    while at < len(body):
+        log, n = np.frombuffer(body, "<i8", 2, at).tolist()
+        words = n * ((1 << log) // 64)
+        yield log, np.frombuffer(body, "<i8", n, at + 16), np.frombuffer(body, "<u8", words, at + 16 + 8 * n).reshape(n, -1)
+        at += 16 + 8 * (n + words)
 
 
-def _unsketched(body: bytes, log: int) -> tuple[np.ndarray, np.ndarray]:
-    n = len(body) // (8 + (1 << log) // 8)
-    return np.frombuffer(body, "<i8", n), np.frombuffer(body, "<u8", offset=8 * n).reshape(n, -1)
+LABELLED = f"{BLOCK}, sketches binary"
 
 
 def _labelled(buckets: int, sketches: bool):
-    """A bucket of documents: their records with the labels of now go to their segments (kind 5), sketches with them."""
+    """A bucket of documents: their records with the labels of now go to their segments (kind 5), sketches beside them."""
 
     def run(blocks: pd.DataFrame, now: pd.DataFrame) -> pd.DataFrame:
         k = _records(blocks, 5, KNOWN)
         if not len(k):
-            return _frame([])
+            return pd.DataFrame([], columns=["bucket", "kind", "body", "sketches"])
         now = now.sort_values("doc")
         node = now["doc"].to_numpy(dtype=np.int64)
         if len(node):
             place = np.minimum(np.searchsorted(node, k["doc"]), len(node) - 1)
             k["label"] = np.where(node[place] == k["doc"], now["label"].to_numpy(dtype=np.int64)[place], k["doc"])
         to = (k["sig"] % np.uint64(buckets)).astype(np.int64)
-        out = _split(k, to, 5)
+        told: dict[int, list[bytes]] = {}
         if sketches:
             pair, at = np.unique(np.stack([to, k["doc"]], axis=1), axis=0, return_index=True)
             log, place = _bits(k["size"][at]), place[at]
@@ -438,8 +442,10 @@ def _labelled(buckets: int, sketches: bool):
                 cuts = np.flatnonzero(_opened(pair[own, 0]))
                 for a, b in zip(cuts, [*cuts[1:], len(own)], strict=True):
                     i = own[a:b]
-                    out.append((int(pair[i[0], 0]), SKETCH + width, pair[i, 1].tobytes() + b"".join(bodies[place[i]])))
-        return _frame(out)
+                    head = np.array([width, len(i)], dtype="<i8").tobytes()
+                    told.setdefault(int(pair[i[0], 0]), []).append(head + pair[i, 1].tobytes() + b"".join(bodies[place[i]]))
+        rows = [(b, kind, body, b"".join(told.get(b, []))) for b, kind, body in _split(k, to, 5)]
+        return pd.DataFrame(rows, columns=["bucket", "kind", "body", "sketches"])
 
     return run
 
@@ -450,13 +456,15 @@ class _Sketches:
     def __init__(self, blocks: pd.DataFrame, docs: np.ndarray):
         self.log = np.zeros(len(docs), dtype=np.int64)
         self.row = np.zeros((2, len(docs)), dtype=np.int64)  # in the matrix of their own width, and of half of it
-        own = {}
-        for kind in np.unique(blocks["kind"][blocks["kind"] >= SKETCH]).tolist():
-            parts = [_unsketched(b, kind - SKETCH) for b in blocks["body"][blocks["kind"] == kind]]
-            node, bits = np.concatenate([d for d, _ in parts]), np.concatenate([b for _, b in parts])
+        own, parts = {}, {}
+        for body in blocks["sketches"]:
+            for log, node, bits in _unsketched(body):
+                parts.setdefault(log, []).append((node, bits))
+        for log, held in parts.items():
+            node, bits = np.concatenate([d for d, _ in held]), np.concatenate([b for _, b in held])
             at = np.minimum(np.searchsorted(docs, node), len(docs) - 1)
             use = docs[at] == node
-            own[kind - SKETCH] = at[use], bits[use]
+            own[log] = at[use], bits[use]
         self.of = {}
         for log, (at, bits) in own.items():
             self.log[at], self.row[0, at] = log, np.arange(len(at))
@@ -548,10 +556,9 @@ def _exploded(dtype: np.dtype):
     return run
 
 
-def _docs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for body in batch.column("body"):
-            yield pa.record_batch([pa.array(np.unique(_unpacked(body.as_py(), KNOWN)["doc"]))], names=["doc"])
+def _docs_of(blocks: pd.DataFrame) -> pd.DataFrame:
+    """The documents of a bucket of documents, each once."""
+    return pd.DataFrame({"doc": np.unique(_records(blocks, 5, KNOWN)["doc"])})
 
 
 def _set_rows(bits: np.ndarray, size: int):
@@ -630,7 +637,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     asked = shared.groupBy("bucket").applyInPandas(_spend(buckets), BLOCK)
     met = staged(asked.groupBy("bucket").applyInPandas(_open(buckets, hubs=True), BLOCK), "ngram-met")
     discard(shared)
-    sets = staged(token_sets(read, met.where("kind = 5").mapInArrow(_docs_of, "doc long").distinct()), "ngram-sets")
+    sets = staged(token_sets(read, met.where("kind = 5").groupBy("bucket").applyInPandas(_docs_of, "doc long")), "ngram-sets")
 
     hubs = met.where("kind = 3").mapInArrow(_exploded(HUB), "doc long, hub long, n long").groupBy("doc", "hub").agg(F.sum("n").alias("n"))
     hubs = hubs.groupBy("doc").agg(F.max_by("hub", F.struct("n", -F.col("hub"))).alias("hub"))
@@ -640,15 +647,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     label = components(links)
     home = F.pmod("doc", F.lit(buckets)).cast("int").alias("bucket")
     now = label.select(F.col("node").alias("doc"), "label")
-    at_segments = met.where("kind = 5").groupBy("bucket").cogroup(now.select("doc", "label", home).groupBy("bucket")).applyInPandas(_labelled(buckets, sketches=False), BLOCK)
+    at_segments = met.where("kind = 5").groupBy("bucket").cogroup(now.select("doc", "label", home).groupBy("bucket")).applyInPandas(_labelled(buckets, sketches=False), LABELLED).drop("sketches")
     apart = staged(at_segments.groupBy("bucket").applyInPandas(_open(buckets, hubs=False), BLOCK), "ngram-apart")
     discard(met)
-    left = apart.mapInArrow(_docs_of, "doc long").distinct()
+    left = apart.groupBy("bucket").applyInPandas(_docs_of, "doc long")
     sketches = staged(sets.join(left, "doc", "left_semi").mapInArrow(_sketches, "doc long, sketch binary"), "ngram-sketches")
 
     for nearest in (True, False):
         known = sketches.join(label.withColumnRenamed("node", "doc"), "doc", "left").select("doc", F.coalesce("label", "doc").alias("label"), "sketch", home)
-        at_segments = apart.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInPandas(_labelled(buckets, sketches=True), BLOCK)
+        at_segments = apart.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInPandas(_labelled(buckets, sketches=True), LABELLED)
         pairs = at_segments.groupBy("bucket").applyInPandas(_pairs(nearest), NEAR)
         if nearest:
             pairs = pairs.groupBy("doc").agg(F.min_by("other", F.struct("apart", "other")).alias("other"))
