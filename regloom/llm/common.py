@@ -23,14 +23,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back.
+def staged(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write df to the shared folder, in one subfolder for each value of `by` if named, and read it back.
 
     This cuts the lineage: a lost executor costs a reread of these files, not a second run of what made them.
     """
     spark = df.sparkSession
     path = os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_at = path
     return out

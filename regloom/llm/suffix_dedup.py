@@ -21,12 +21,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, staged
+from .common import discard, partitions, staged
 
 #: Bytes of a match, bytes of an anchor, and runs that compete for one anchor.
 SPAN, GRAM = 50, 20
 REACH = SPAN - GRAM + 1
-BATCHES = 2
+#: Batches of a run. Four make two equal levels meet and merge, one more level that stays, and a last batch.
+BATCHES = 4
 _B = 0x9E3779B97F4A7C15 | 1
 _M = (1 << 64) - 1
 #: Bits of a context; with an anchor's bits they tell contexts apart.
@@ -268,7 +269,10 @@ def _scan(index: bool, buckets: int):
 
 
 class SuffixFamily:
-    """Levels of suffixes in the shared folder. absorb() scans a batch against all of them and adds it."""
+    """Levels of suffixes in the shared folder. absorb() scans a batch against all of them and adds it.
+
+    A level's files go once it is merged into a larger one; close() deletes those that are left.
+    """
 
     def __init__(self, buckets: int):
         self.buckets = buckets
@@ -288,11 +292,18 @@ class SuffixFamily:
             blocks = blocks.unionByName(level)
         for _, level in self.levels:
             blocks = blocks.unionByName(level.withColumn("level", F.lit(2)))
-        scanned = staged(blocks.groupBy("bucket").applyInPandas(_scan(not last, self.buckets), BLOCK), "suffix-level")
+        scanned = staged(blocks.groupBy("bucket").applyInPandas(_scan(not last, self.buckets), BLOCK), "suffix-level", by="kind")
+        discard(*joined)
         if not last:
-            self.levels.append((size, scanned.where("kind = 0")))
+            level = scanned.where("kind = 0")
+            level.staged_at = scanned.staged_at + "/kind=0"
+            self.levels.append((size, level))
         return scanned.where("kind > 0").select("bucket", "kind", "body")
 
+    def close(self) -> None:
+        discard(*[level for _, level in self.levels])
+        self.levels = []
+
 
 def _exploded(dtype: np.dtype):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -453,6 +464,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         if high is not None:
             batch = batch.where(F.col("doc_id") <= int(high))
         found.append(family.absorb(batch, last=i == len(edges) - 2))
+    family.close()
     blocks = found[0]
     for more in found[1:]:
         blocks = blocks.unionByName(more)
