@@ -40,15 +40,17 @@ SAFE = 0.8
 #: Texts that a scoring task takes at a time, in characters.
 _GROUP = 2_000_000
 _START, _END = 27, 28
+#: No letter lies beyond this code point.
+LETTERS = 0x40000
 
 _WORDS = re.compile(WORD)
 _SPACED = re.compile(r"(?<!\S)\w(?:[ \t]\w){2,}(?!\S)")
 
 
 def _codes() -> np.ndarray:
-    """Code of each code point below 0x3000: 0 for what is not a letter."""
-    table = np.zeros(0x3000, dtype=np.uint8)
-    for cp in range(0x3000):
+    """Code of each code point below LETTERS: 0 for what is not a letter."""
+    table = np.zeros(LETTERS, dtype=np.uint8)
+    for cp in range(LETTERS):
         c = chr(cp)
         if "a" <= c <= "z":
             table[cp] = cp - 96
@@ -66,7 +68,7 @@ def encoded(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Letter codes of all words one after another, word ends included, and the length of each."""
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
-    codes = np.where(points < 0x3000, _CODES[np.minimum(points, 0x2FFF)], 0)
+    codes = np.where(points < LETTERS, _CODES[np.minimum(points, LETTERS - 1)], 0)
     word = np.repeat(np.arange(len(words)), lengths)
     keep = codes > 0
     codes, word = codes[keep], word[keep]
@@ -116,22 +118,21 @@ def subsequences(m: np.ndarray) -> Iterator[tuple[np.ndarray, float]]:
 
 
 def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
-    """Normalised kernel values of words (their first piece) and landmarks."""
+    """Normalised kernel values of words and landmarks; a long word has those of its best pieces."""
     number, at, value = _sparse(landmarks)
     known = np.unique(number)
     table = np.zeros((len(known) + 1, len(landmarks)), dtype=np.float32)
     np.add.at(table, (np.searchsorted(known, number), at), value)
     out = np.zeros((len(words), len(landmarks)))
     for own, m in _by_length(words):
-        own, first = np.unique(own, return_index=True)
         for a in range(0, len(own), 64):
-            rows = m[first[a : a + 64]]
+            rows = m[a : a + 64]
             total = np.zeros((len(rows), len(landmarks)))
             for index, weight in subsequences(rows):
                 slot = np.minimum(np.searchsorted(known, index), len(known) - 1)
                 slot = np.where(known[slot] == index, slot, len(known))
                 total += weight * table[slot].sum(1)
-            out[own[a : a + 64]] = total / _NORMS[m.shape[1]]
+            np.maximum.at(out, own[a : a + 64], total / _NORMS[m.shape[1]])
     return out
 
 
@@ -218,9 +219,10 @@ def _spread(words: list[str], n: int) -> list[str]:
 
 
 def train_words(positive: list[str], negative: list[str], landmarks: int = LANDMARKS) -> tuple[np.ndarray, float]:
-    """The folded table and bias of an SVM on words. Landmarks are taken evenly from both lists."""
-    pick = _spread(positive, landmarks // 2)
-    pick += _spread(negative, landmarks - len(pick))
+    """The folded table and bias of an SVM on words. Landmarks are taken evenly from both lists, without words that come in pieces."""
+    whole = lambda words: [w for w in words if len(w) <= LONGEST] or words[:1]
+    pick = _spread(whole(positive), landmarks // 2)
+    pick += _spread(whole(negative), landmarks - len(pick))
     value, vector = np.linalg.eigh(kernel(pick, pick))
     good = value > 1e-3
     root = vector[:, good] / np.sqrt(value[good])

@@ -126,3 +126,22 @@ def topk(vectors: dict[int, list], queries: list[int], k: int = 5) -> set[tuple]
 
 def crc(text: str) -> int:
     return zlib.crc32(text.encode())
+
+
+def subsequence_kernel(a: str, b: str, decay: float, reach: int) -> float:
+    """Kernel of two words of a-z by listing all their gapped subsequences of three letters, word ends included."""
+    from collections import Counter
+    from itertools import combinations
+
+    def features(word: str) -> Counter:
+        x, out = f"<{word}>", Counter()
+        for i, j, k in combinations(range(len(x)), 3):
+            if k - i < reach:
+                out[x[i] + x[j] + x[k]] += decay ** (k - i + 1)
+        return out
+
+    def length(n: int) -> float:
+        return sum(decay ** (2 * (k - i + 1)) for i, _, k in combinations(range(n), 3) if k - i < reach) ** 0.5
+
+    f, g = features(a), features(b)
+    return sum(v * g[s] for s, v in f.items()) / length(len(a) + 2) / length(len(b) + 2)

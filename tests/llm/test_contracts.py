@@ -78,6 +78,16 @@ def test_op4_held_out(spark):
     assert len(wrong) <= 0.05 * len(toxic)
 
 
+def test_op4_finds_held_out_toxic_documents(spark):
+    """On the largest table, whose held-out fold has a hundred toxic texts: four fifths found at least, few clean ones hit."""
+    larger = "/root/testdata/sf0.1"
+    found = {r["doc_id"]: r["predicted"] for r in QUERIES["op4_toxicity"](spark, larger).where("held_out").collect()}
+    toxic = dict(duckdb.sql(f"SELECT doc_id, toxic FROM '{larger}/labels.parquet'").fetchall())
+    told = [(toxic[d], p) for d, p in found.items() if toxic.get(d) is not None]
+    assert np.mean([p for y, p in told if y == 1]) >= 0.8
+    assert np.mean([p for y, p in told if y == 0]) <= 0.02
+
+
 def test_op5_removed_bytes(spark, texts):
     names = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
     assert {r["doc_id"]: tuple(r[n] for n in names) for r in run(spark, "op5_suffix_dedup")} == brute.removed_rows(texts)

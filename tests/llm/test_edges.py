@@ -231,6 +231,20 @@ def test_toxicity_edges(spark, odd, none):
     assert toxicity.keep_clean(odd, machine).columns == odd.columns
 
 
+def test_kernel_against_all_subsequences():
+    said = ["idiot", "idiiot", "xx", "moron", "window", "a"]
+    k = toxicity.kernel(said, said)
+    for i, a in enumerate(said):
+        for j, b in enumerate(said):
+            assert abs(k[i, j] - brute.subsequence_kernel(a, b, toxicity.DECAY, toxicity.REACH)) < 1e-5
+
+
+def test_long_words_and_all_scripts_count():
+    assert toxicity.kernel(["z" * 60 + "idiot"], ["idiot"])[0, 0] > 0.3  # beyond the first piece
+    codes, n = toxicity.encoded(["愚か者", "바보", "!?"])
+    assert n.tolist() == [5, 4, 2] and (codes > 0).all()
+
+
 def test_packing_maps_special_tokens(spark):
     import zlib
 
