@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, partitions, staged
+from .common import discard, staged
 from .graph import components
 from .suffix_dedup import Hashes, _mix, _packed, _unpacked
 
@@ -608,6 +608,17 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return links
 
 
+#: What a bucket stands for: bytes of text, and so many bytes more for each document. The task that works on a bucket holds
+#: its records at once, so their number follows the data and not the shuffle width: a wide shuffle of few data would
+#: make as many blocks as there are pairs of buckets, each with next to nothing in it.
+BUCKET_BYTES, DOC_BYTES = 6 << 20, 1 << 10
+
+
+def _buckets(read: DataFrame) -> int:
+    n, size = read.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    return 1 + (size + DOC_BYTES * n) // BUCKET_BYTES
+
+
 def _one_text_each(read: DataFrame) -> DataFrame:
     """read (doc, text) with one row for each doc: of several texts the one with the least hash."""
     several = staged(read.groupBy("doc").agg(F.count("*").alias("n")).where("n > 1").select("doc"), "ngram-several")
@@ -628,10 +639,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Shingles are told apart by 64-bit hashes: n different ones hold a pair of one hash with a chance of n^2 / 2^65. Very
     long texts are read whole. Other columns are not read; an empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    buckets = 2 * partitions(spark)
     read = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("binary").alias("text")).where("doc IS NOT NULL")
     read = _one_text_each(read)
+    buckets = _buckets(read)
     shared = staged(read.mapInArrow(_emit(buckets), BLOCK).groupBy("bucket").applyInPandas(_shared(buckets), BLOCK), "ngram-shared")
     info = staged(shared.where("kind = 1").mapInArrow(_exploded(INFO), "doc long, rep long, size int, own int, below int").select("doc", "rep", "size"), "ngram-info")
     asked = shared.groupBy("bucket").applyInPandas(_spend(buckets), BLOCK)

@@ -50,7 +50,9 @@ def test_near_duplicates(odd, none):
     assert ngram_join.near_duplicates(none).count() == 0
 
 
-def test_near_duplicates_of_many_sizes(spark):
+@pytest.mark.parametrize("bucket_bytes", [ngram_join.BUCKET_BYTES, 4000])
+def test_near_duplicates_of_many_sizes(spark, monkeypatch, bucket_bytes):
+    monkeypatch.setattr(ngram_join, "BUCKET_BYTES", bucket_bytes)
     r = random.Random(5)
     texts, n = {}, 0
     for size in (1, 4, 5, 6, 7, 8, 9, 10, 12, 15, 20, 33, 60, 100, 150):
