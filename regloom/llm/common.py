@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from pathlib import Path
@@ -18,6 +19,8 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder all machines share: spark.checkpoint.dir, or a local one where that is unset (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         folder = "file://" + tempfile.mkdtemp(prefix="regloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
