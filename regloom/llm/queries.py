@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, ngram_join, packing, pii, quality, sharding, suffix_dedup, topk, toxicity
+from . import chat, factorisation, hard_negatives, lexical, mixing, ngram_join, packing, pii, quality, sharding, suffix_dedup, topk, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,22 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), label=label)
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = factorisation.score(docs, factorisation.fit(docs, table(spark, sf_dir, "labels")))
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_ngram_join": op2_ngram_join,
@@ -74,6 +90,9 @@ QUERIES: dict[str, Query] = {
     "op8_pii": op8_pii,
     "op9_top_k": op9_top_k,
     "op10_mixing": op10_mixing,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_factorisation_machine": op13_factorisation_machine,
 }
 
 #: The other operators' results rest on trained models, hash orders or tokenizers; tests hold them against plain Python.
@@ -108,5 +127,29 @@ WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * C
 SELECT q.vec_id AS query_id, CAST(row_number() OVER w AS INT) AS rank, c.vec_id, CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
 FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
 WINDOW w AS (PARTITION BY q.vec_id ORDER BY list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) DESC, c.vec_id) QUALIFY row_number() OVER w <= 5
+""",
+    "op11_hard_negatives": r"""
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, c.vec_id AS other_id, a.label = c.label AS alike, CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id),
+p AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER w AS INT) AS rank, s.other_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.alike AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id) QUALIFY row_number() OVER w <= 3
+""",
+    "op12_lexical_search": r"""
+WITH t AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+d AS (SELECT doc_id, count(*) AS n FROM t GROUP BY 1),
+c AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS l FROM d),
+p AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY 1, 2),
+f AS (SELECT term, count(*) AS df FROM p GROUP BY 1),
+q AS (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+s AS (SELECT q.item_id, p.doc_id, CAST(sum(CAST(floor(1000 * ln((2 * c.n_docs + 2) / (2 * f.df + 1))) AS BIGINT) * ((1000000000 * p.tf) // (1000 * p.tf + 8 * (25 + (75 * d.n * c.n_docs) // c.l)))) AS BIGINT) AS score
+  FROM q JOIN f USING (term) JOIN p USING (term) JOIN d USING (doc_id), c GROUP BY 1, 2)
+SELECT item_id, CAST(row_number() OVER w AS INT) AS rank, doc_id, score FROM s WHERE score > 0
+WINDOW w AS (PARTITION BY item_id ORDER BY score DESC, doc_id) QUALIFY row_number() OVER w <= 10
 """,
 }

@@ -145,3 +145,44 @@ def subsequence_kernel(a: str, b: str, decay: float, reach: int) -> float:
 
     f, g = features(a), features(b)
     return sum(v * g[s] for s, v in f.items()) / length(len(a) + 2) / length(len(b) + 2)
+
+
+def hard_negatives(rows: list[tuple], every: int = 50, k: int = 5, m: int = 3) -> set[tuple]:
+    """rows: (id, label, whole numbers)."""
+    out = set()
+    for a, label, v in rows:
+        if a % every:
+            continue
+        s = sorted((-sum(x * y for x, y in zip(v, w)), i, o) for i, o, w in rows if i != a)
+        for p, positive, _ in [x for x in s if x[2] == label][:k]:
+            fits = [(n, i) for n, i, o in s if o != label and 50 * -p <= 100 * -n <= 95 * -p][:m]
+            out |= {(a, positive, r, i, -p, -n) for r, (n, i) in enumerate(fits, 1)}
+    return out
+
+
+TERMS = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def terms(text: str | None) -> list[str]:
+    return [re.sub("[A-Z]", lambda m: m[0].lower(), t) for t in TERMS.findall(text or "")]
+
+
+def lexical(docs: list[tuple], items: dict, k: int = 10) -> list[tuple]:
+    """docs: (id, text) rows, items: text by id. (item, rank, doc, score), equal scores by ascending id, nulls last."""
+    import math
+    from collections import Counter
+
+    held = [(d, Counter(terms(t))) for d, t in docs]
+    n_docs = sum(bool(c) for _, c in held)
+    length = sum(sum(c.values()) for _, c in held)
+    df = Counter(t for _, c in held for t in c)
+    out = []
+    for item, text in items.items():
+        asked, found = Counter(terms(text)), []
+        for d, c in held:
+            m = 25 + (75 * sum(c.values()) * n_docs) // max(1, length)
+            s = sum(n * math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * ((10**9 * c[t]) // (1000 * c[t] + 8 * m)) for t, n in asked.items() if c[t])
+            if s > 0:
+                found.append((-s, d is None, d))
+        out += [(item, r, d, -s) for r, (s, _, d) in enumerate(sorted(found, key=lambda x: (x[0], x[1], x[2] or 0))[:k], 1)]
+    return out
