@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from .functions import catalogue
 from .functions import text as tx
 from .operators import field_gates, validators
+from .operators.expect import Rule
+from .operators.integrity import Pair, Side, Table, findings
 from .queries import query
 
 
@@ -128,3 +130,51 @@ def duration_gate(t):
     c = c.select(F.col("c_custkey").alias("k"), F.when(F.col("c_mktsegment") == "BUILDING", "").when(F.col("c_acctbal") > 3000, "15 ngày làm việc").otherwise("7 ngày").alias("cur"))
     clear = lambda x: tx.unambiguous_duration(x, catalogue.DURATION_WITH_NUMBER)
     return field_gates.duration_gate(o, c, "k", F.col("raw"), F.col("sure"), F.col("cur"), F.lower, clear)
+
+
+@query("""
+WITH p AS (SELECT c_custkey::VARCHAR AS key, CASE WHEN c_custkey % 50 = 1 THEN '' WHEN c_custkey % 50 = 2 THEN 'Tên bước 1' WHEN c_custkey % 50 = 3 THEN 'a (b' WHEN c_custkey % 50 = 4 THEN 'x b cd' ELSE 'N' END AS name, c_mktsegment AS seg, c_nationkey AS n
+  FROM (SELECT * FROM customer UNION ALL SELECT * FROM customer WHERE c_custkey % 40 = 6) WHERE c_nationkey < 20),
+x AS (SELECT c_custkey::VARCHAR AS key, c_acctbal > 0 AS good FROM customer WHERE c_nationkey >= 18),
+o AS (SELECT o_custkey::VARCHAR AS key, max(o_orderpriority) AS v FROM orders WHERE o_orderstatus = 'P' GROUP BY 1),
+u AS (SELECT key, min(name) AS name, max(seg) AS seg FROM p GROUP BY 1),
+r AS (SELECT unnest(['5', '6', '1000000000']) AS key),
+f AS (SELECT 'NAME_MISSING' AS code, key, name AS message, count(*) AS n FROM p WHERE name = '' GROUP BY key, name
+UNION ALL SELECT 'NAME_EXTRACTED', key, name, count(*) FROM p WHERE name LIKE '%bước%' GROUP BY key, name
+UNION ALL SELECT 'NAME_UNCLEAN', key, name, count(*) FROM p WHERE name LIKE '%(%' GROUP BY key, name
+UNION ALL SELECT 'NAME_SPLIT', key, name, count(*) FROM p WHERE name LIKE 'x b%' GROUP BY key, name
+UNION ALL SELECT 'CODE_AGAIN', key, 'given again in public', count(*) FROM p GROUP BY key HAVING count(*) > 1
+UNION ALL SELECT 'KNOWN_MISSING', key, 'missing in public', 1 FROM r WHERE key NOT IN (SELECT key FROM p)
+UNION ALL SELECT 'IN_BOTH', key, '', 1 FROM u SEMI JOIN x USING (key)
+UNION ALL SELECT 'SEGMENT', key, seg, 1 FROM u JOIN o USING (key) WHERE left(seg, 1) <> left(v, 1) AND left(v, 1) = '5'
+UNION ALL SELECT 'ORDERED_NOWHERE', key, '', 1 FROM o WHERE key NOT IN (SELECT key FROM p) AND key NOT IN (SELECT key FROM x WHERE good)
+UNION ALL SELECT 'AUDITED', '', (SELECT count(*) FROM p) || ' and ' || (SELECT count(*) FROM x) || ' of ' || (SELECT count(*) FROM customer), 1 WHERE (SELECT count(*) FROM p) + (SELECT count(*) FROM x) <> (SELECT count(*) FROM customer)
+UNION ALL SELECT 'SNAPSHOT', '', max(ts)::DATE::VARCHAR, 1 FROM events)
+SELECT 'error' AS severity, code, key, message, CAST(n AS BIGINT) AS n FROM f
+""")
+def release_integrity(t):
+    c, k, n = t("customer"), F.col("c_custkey"), F.col("c_nationkey")
+    again = c.unionByName(c.where(k % 40 == 6)).where(n < 20)
+    name = F.when(k % 50 == 1, " ").when(k % 50 == 2, "Tên bước 1").when(k % 50 == 3, "a (b").when(k % 50 == 4, "x b cd").otherwise("N")
+    public = again.select(k.cast("string").alias("code"), F.trim(name).alias("name"), "c_mktsegment", "c_nationkey")
+    excluded = c.where(n >= 18).select(k.cast("string").alias("code"), (F.col("c_acctbal") > 0).alias("good"))
+    events = t("events").select("ts")
+    code, faults = F.col("code"), catalogue.name_faults(F.col("name"))
+    both = {"name": F.col("name"), "seg": F.col("c_mktsegment")}
+    suite = {
+        "public": Table(public, code, [Rule(f, F.array_contains(faults, f), F.col("name")) for f in ("NAME_MISSING", "NAME_EXTRACTED", "NAME_UNCLEAN", "NAME_SPLIT")], {"CODE_AGAIN": code}, {"KNOWN_MISSING": (["5", "6", "1000000000"], F.lit(True))}, {"public": F.lit(1)}),
+        "excluded": Table(excluded, code, totals={"excluded": F.lit(1)}),
+        "orders": Table(t("orders"), F.col("o_custkey")),
+        "all": Table(c, k, totals={"customers": F.lit(1)}),
+        "events": Table(events, F.lit(""), values={"last": F.date_format("ts", "yyyy-MM-dd")}),
+    }
+    placed = Side("orders", F.col("o_custkey"), {"v": F.col("o_orderpriority")}, F.col("o_orderstatus") == "P")
+    first = lambda x: F.substring(x, 1, 1)
+    pairs = [
+        Pair("public and excluded", Side("public", code, both), Side("excluded", code), lambda p, x: [Rule("IN_BOTH", p.there & x.there)]),
+        Pair("public and orders", Side("public", code, both), placed, lambda p, o: [Rule("SEGMENT", p.there & (first(o("v")) == "5") & (first(p("seg")) != first(o("v"))), p("seg"))]),
+        # a key of an order stands among the public ones or the good excluded ones: both are one side here
+        Pair("orders and all", placed, Side("all", k, where=(n < 20) | (F.col("c_acctbal") > 0)), lambda o, a: [Rule("ORDERED_NOWHERE", o.there & ~a.there)]),
+    ]
+    said = lambda v: F.concat(v.text("public"), F.lit(" and "), v.text("excluded"), F.lit(" of "), v.text("customers"))
+    return findings(suite, pairs, lambda v: [Rule("AUDITED", v.n("public") + v.n("excluded") != v.n("customers"), said(v)), Rule("SNAPSHOT", v.text("last") != "2024-07-01", v.text("last"))])
