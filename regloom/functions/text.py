@@ -6,7 +6,6 @@ All but nfc and similarity are built-in expressions. Marker lists are arguments.
 from __future__ import annotations
 
 import difflib
-import sys
 import unicodedata
 from collections.abc import Sequence
 from functools import lru_cache
@@ -21,7 +20,7 @@ from pyspark.sql import types as T
 def _decomposed() -> tuple[str, str]:
     """Letters that are one base letter and combining marks, and these base letters."""
     source, target = [], []
-    for cp in range(0x00C0, min(sys.maxunicode, 0x1EFF) + 1):
+    for cp in range(0x00C0, 0x10000):
         whole = unicodedata.normalize("NFD", chr(cp))
         base = "".join(c for c in whole if unicodedata.category(c) != "Mn")
         if whole != chr(cp) and len(base) == 1:
@@ -49,6 +48,62 @@ def squeeze(x: Column) -> Column:
     return F.trim(F.regexp_replace(x, r"(?U)\s+", " "))
 
 
+def _class(points: list[int]) -> str:
+    """A regular expression's class of code points, in runs."""
+    runs: list[list[int]] = []
+    for cp in sorted(points):
+        if runs and cp == runs[-1][1] + 1:
+            runs[-1][1] = cp
+        else:
+            runs.append([cp, cp])
+    return "[" + "".join(f"\\x{{{a:x}}}" if a == b else f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in runs) + "]"
+
+
+@lru_cache(maxsize=1)
+def _uncomposed() -> tuple[str, str]:
+    """A pattern of the characters without which composition changes nothing, and one of what composition changes: characters with another form, marks out of order, and marks that join a letter
+    before them, other marks of lower order between."""
+    order: dict[int, list[int]] = {}
+    joins: dict[int, list[int]] = {}
+    other = []
+    for cp in range(0x80, 0x30000):
+        if 0xD800 <= cp < 0xE000:
+            continue
+        c = chr(cp)
+        if rank := unicodedata.combining(c):
+            order.setdefault(rank, []).append(cp)
+        if unicodedata.normalize("NFC", c) != c:
+            other.append(cp)
+        elif (parts := unicodedata.decomposition(c)) and not parts.startswith("<") and " " in parts:
+            base, mark = (int(p, 16) for p in parts.split())
+            joins.setdefault(mark, []).append(base)
+    # a letter with marks of its own joins a mark of lower order too, which moves in front of these
+    ordered = [m for m in joins if unicodedata.combining(chr(m))]
+    letters = sorted({cp for bases in joins.values() for cp in bases} | {cp for cp in range(0xC0, 0x2000) if unicodedata.decomposition(chr(cp))})
+    for cp in letters:
+        last = max(unicodedata.combining(c) for c in unicodedata.normalize("NFD", chr(cp)))
+        for m in ordered:
+            if unicodedata.combining(chr(m)) < last and unicodedata.normalize("NFC", chr(cp) + chr(m)) != chr(cp) + chr(m):
+                joins[m].append(cp)
+    ranks = sorted(order)
+    below = {r: [cp for q in ranks if q < r for cp in order[q]] for r in ranks}
+    out = [_class(other)]
+    out += [_class(order[r]) + _class(below[r]) for r in ranks if below[r]]
+    for mark, bases in joins.items():
+        rank = unicodedata.combining(chr(mark))
+        between = below.get(rank, [])
+        # a letter joins its mark through others of lower order; letters that have joined one already stand for themselves
+        out.append(_class(bases) + (_class(between) + "*" if between else "") + f"\\x{{{mark:x}}}")
+    hangul = _class([0xAC00 + 28 * i for i in range(399)])
+    return rf"[\p{{M}}\x{{1100}}-\x{{11ff}}]|{_class(other)}", "|".join([*out, r"[\x{1100}-\x{1112}][\x{1161}-\x{1175}]", hangul + r"[\x{11a8}-\x{11c2}]"])
+
+
+def not_composed(x: Column) -> Column:
+    """Whether a text differs from its composed form (NFC)."""
+    needed, whole = _uncomposed()
+    return x.rlike(needed) & x.rlike(whole)
+
+
 @F.pandas_udf(T.StringType())
 def nfc(x: pd.Series) -> pd.Series:
     return x.map(lambda v: v if v is None else unicodedata.normalize("NFC", v))

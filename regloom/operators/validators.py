@@ -46,7 +46,9 @@ def repeated(df: DataFrame, key: Column, code: str) -> DataFrame:
 
 
 def blank(c: Column) -> Column:
-    return c.isNull() | (c.cast("string") == "")
+    """Null, an empty text, or an array or map without entries."""
+    shown = c.cast("string")
+    return c.isNull() | F.when(F.typeof(c).rlike("^(array|map)<"), shown.isin("[]", "{}")).otherwise(shown == "")
 
 
 def no_items(c: Column) -> Column:
@@ -107,7 +109,7 @@ def guidance(rows: DataFrame, key: Column, code_pattern: str, status: Column, st
     for name in fields:
         refs = F.try_element_at(provenance, F.lit(name))
         told.append(_if(filled[name] & no_items(refs), "FIELD_WITHOUT_SOURCE", name))
-        by_field.append(_each(F.when(filled[name], refs), lambda r, _: ~F.array_contains(ids, r), "UNKNOWN_SOURCE", lambda r, _, n=name: F.concat_ws(":", F.lit(n), r)))
+        by_field.append(_each(F.when(filled[name], refs), lambda r, _: blank(r) | ~F.array_contains(ids, r), "UNKNOWN_SOURCE", lambda r, _, n=name: F.concat(F.lit(n + ":"), F.coalesce(r, F.lit("")))))
         if name in own_only:
             cited = F.filter(sources, lambda s: F.array_contains(refs, s["id"]))
             foreign = F.exists(cited, lambda s: ~s["role"].eqNullSafe(F.lit(own_only[name])))
