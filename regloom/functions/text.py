@@ -6,6 +6,7 @@ All but nfc and similarity are built-in expressions. Marker lists are arguments.
 from __future__ import annotations
 
 import difflib
+import re
 import unicodedata
 from collections.abc import Sequence
 from functools import lru_cache
@@ -231,14 +232,27 @@ def safe_fee(x: Column, markers: Sequence[str]) -> Column:
     return F.coalesce(*[F.when(f.rlike(rf"^{m}[.;]?$"), m) for m in markers])
 
 
-def legal_refs(x: Column, kinds: Sequence[tuple[str, str]]) -> Column:
-    """Canonical references in the order of the kinds: (label, pattern with the number as group 1), each once."""
-    parts = [F.transform(F.regexp_extract_all(x, F.lit(p), F.lit(1)), _labelled(label)) for label, p in kinds]
+def legal_refs(x: Column, kinds: Sequence[tuple[str, str]], dated: Sequence[tuple[str, str]] = ()) -> Column:
+    """Canonical references, kind by kind, each once: (pattern, form), where {n} in the form stands for the n-th group.
+
+    Spaces within the groups of kinds go, as they come from line breaks; those of dated ones are kept.
+    """
+    parts = [_formed(x, p, form, True) for p, form in kinds] + [_formed(x, p, form, False) for p, form in dated]
     return F.array_distinct(F.concat(*parts))
 
 
-def _labelled(label: str):
-    return lambda n: F.concat(F.lit(label + " "), F.regexp_replace(n, r"\s+", ""))
+def _formed(x: Column, pattern: str, form: str, tight: bool) -> Column:
+    pieces = re.split(r"\{(\d)\}", form)
+    first = F.regexp_extract_all(x, F.lit(pattern), F.lit(int(pieces[1])))
+    groups = {n: F.regexp_extract_all(x, F.lit(pattern), F.lit(n)) for n in map(int, pieces[1::2])}
+
+    def one(_, i: Column) -> Column:
+        parts = [F.lit(t) if n % 2 == 0 else F.get(groups[int(t)], i) for n, t in enumerate(pieces) if t]
+        if tight:
+            parts = [F.regexp_replace(p, r"\s+", "") if n % 2 else p for n, p in enumerate(parts, 0 if pieces[0] else 1)]
+        return F.concat(*parts)
+
+    return F.coalesce(F.transform(first, one), F.array().cast("array<string>"))
 
 
 def money(x: Column, unit: str) -> Column:

@@ -17,9 +17,10 @@ def scheme(u: Column) -> Column:
 
 
 def param(u: Column, name: str) -> Column:
-    """Decoded value of a query parameter; null without it."""
-    hit = F.regexp_extract(u, rf"[?&]{name}=([^&#]*)", 1)
-    return F.when(u.rlike(rf"[?&]{name}="), F.try_url_decode(hit))
+    """Decoded value of a query parameter, the first that is not blank; null without it."""
+    query = F.regexp_extract(u, r"^[^?#]*\?([^#]*)", 1)
+    pattern = rf"(?:^|&){name}=([^&]+)"
+    return F.when(query.rlike(pattern), F.try_url_decode(F.regexp_extract(query, pattern, 1)))
 
 
 def official(u: Column, suffixes: Sequence[str]) -> Column:
@@ -31,19 +32,31 @@ def official(u: Column, suffixes: Sequence[str]) -> Column:
     return F.coalesce((scheme(u) == "https") & ok, F.lit(False))
 
 
-def route_reason(u: Column, suffixes: Sequence[str], id_param: str, wanted: Column, keyword_param: str) -> Column:
-    """ok, or why a submission link is not: missing, scheme, host, no_query, no_id, id_mismatch, keyword."""
-    got, word = param(u, id_param), param(u, keyword_param)
-    return (
-        F.when(u.isNull() | (F.trim(u) == ""), "missing")
-        .when(scheme(u) != "https", "scheme")
-        .when(~official(u, suffixes), "host")
-        .when(~u.contains("?"), "no_query")
-        .when((got.isNull() | (got == "")) & word.isNotNull() & (word != ""), "keyword")
-        .when(got.isNull() | (got == ""), "no_id")
-        .when(wanted.isNotNull() & (got != wanted), "id_mismatch")
-        .otherwise("ok")
+def scoped_route(u: Column, level: Column, host_: str, province: str, ward: str, province_level: str = "cấp tỉnh") -> Column:
+    """struct(ok, route): the route that a submission link takes, ward or province, else the first reason why it takes none.
+
+    Reasons in order: invalid_url, invalid_host, wrong_province, and for a record of province level
+    province_missing_isProvince, province_forced_to_ward, for others wrong_ward, wrong_commune, ward_wrong_isProvince.
+    """
+    u = F.trim(F.coalesce(u, F.lit("")))
+    par = lambda name: F.coalesce(param(u, name), F.lit(""))
+    authority = F.regexp_extract(u, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)
+    torn = authority.contains("[") != authority.contains("]")
+    above = F.lower(F.trim(F.coalesce(level, F.lit("")))).startswith(province_level)
+    forced = F.lit(False)
+    for name in ("wardCode", "ward", "agency", "departmentId", "commune"):
+        forced = forced | (par(name) != "")
+    reason = (
+        F.when(torn, "invalid_url")
+        .when((scheme(u) != "https") | (host(u) != host_), "invalid_host")
+        .when(par("provinceCode") != province, "wrong_province")
+        .when(above & (par("isProvince") != "1"), "province_missing_isProvince")
+        .when(above & forced, "province_forced_to_ward")
+        .when(~above & (par("wardCode") != ward), "wrong_ward")
+        .when(~above & (par("commune") != "WARD"), "wrong_commune")
+        .when(~above & (par("isProvince") != "0"), "ward_wrong_isProvince")
     )
+    return F.struct(reason.isNull().alias("ok"), F.coalesce(reason, F.when(above, "province").otherwise("ward")).alias("route"))
 
 
 def build(base: str, params: Mapping[str, Column]) -> Column:

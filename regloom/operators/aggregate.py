@@ -88,3 +88,29 @@ def report_lines(sections: Mapping[str, DataFrame]) -> DataFrame:
         rows = t.select(F.lit(i).alias("section"), F.posexplode(lines).alias("pos", "line"))
         out = rows if out is None else out.unionByName(rows)
     return out
+
+
+def link_findings(rows: DataFrame, key: Column, url: Column, route: Column, wanted: Column, got: Column) -> DataFrame:
+    """kind, value, key of submission links: the route each takes, and what is missing, invalid, mismatched or by keyword.
+
+    route: struct(ok, route) of the link. wanted, got: the id of the record and that in its link. A row is missing without a
+    link, invalid by its reason, else it has a route, and besides a mismatch where it has an id that the link lacks, or a
+    keyword where it has none. Rows with an id are told as with_id.
+    """
+    there, has_id = F.coalesce(F.trim(url), F.lit("")) != "", F.coalesce(F.trim(wanted), F.lit("")) != ""
+    ok, name, none = route["ok"], route["route"], F.lit("")
+    told = lambda kind, value: F.struct(F.lit(kind).alias("kind"), value.alias("value"))
+    seen = F.array(
+        F.when(has_id, told("with_id", none)),
+        F.when(~there, told("missing", none)),
+        F.when(there & ~ok, told("invalid", name)),
+        F.when(there & ok, told("route", name)),
+        F.when(there & ok & has_id & ~F.trim(wanted).eqNullSafe(got), told("mismatch", none)),
+        F.when(there & ok & ~has_id, told("keyword", name)),
+    )
+    return rows.select(key.cast("string").alias("key"), F.inline(F.filter(seen, lambda x: x.isNotNull()))).select("kind", "value", "key")
+
+
+def link_audit(found: DataFrame) -> DataFrame:
+    """kind, value, n of link_findings."""
+    return found.groupBy("kind", "value").agg(F.count("*").alias("n"))

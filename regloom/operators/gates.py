@@ -66,3 +66,97 @@ def candidate_rows(snippets: DataFrame, fields: dict[str, Column], carry: Sequen
     """Long form (carry, field, value, confidence) of what was found; rows without any value go."""
     found = F.array(*[F.when(c.isNotNull(), F.struct(F.lit(n).alias("field"), c["value"].alias("value"), c["confidence"].alias("confidence"))) for n, c in fields.items()])
     return snippets.select(*carry, F.inline(F.filter(found, lambda x: x.isNotNull())))
+
+
+def set_gate(candidates: DataFrame, canonical: DataFrame, key: str, values: Column, confidence: Column, current: Column, parse, allowed: Sequence[str] = ("medium", "high")) -> DataFrame:
+    """key, value, bucket, reason: the gate of a field that holds a set of references.
+
+    values, current: arrays of raw texts. parse: text to an array of canonical references. What any candidate of a key names
+    is taken together; a candidate text that is blank or names nothing holds the whole key for review. A current list is
+    confirmed where it names the same set, whatever the order. value is the sorted set; for review it holds what was read.
+    Candidates of other confidence, without a list or without a key, take no part.
+    """
+    texts = F.coalesce(values, F.array().cast("array<string>"))
+    read = candidates.where(confidence.isin(*allowed) & values.isNotNull() & (F.coalesce(F.col(key).cast("string"), F.lit("")) != ""))
+    read = read.select(key, F.transform(texts, lambda x: parse(F.coalesce(x, F.lit("")))).alias("_refs"))
+    torn = F.exists("_refs", lambda r: F.size(r) == 0)
+    # a null beside the references carries the mark of a torn text and keeps keys without any
+    long = read.select(key, torn.alias("_torn"), F.explode(F.concat(F.flatten("_refs"), F.array(F.lit(None).cast("string")))).alias("_ref"))
+    seen = long.groupBy(key).agg(F.array_sort(F.collect_set("_ref")).alias("value"), F.bool_or("_torn").alias("_torn"))
+    named = F.array_sort(F.array_distinct(F.flatten(F.transform(current, lambda x: parse(F.coalesce(x, F.lit("")))))))
+    out = seen.join(canonical.select(key, named.alias("_current"), (F.size(F.coalesce(current, F.array().cast("array<string>"))) > 0).alias("_filled"), F.lit(True).alias("_has")), key, "left")
+    say = lambda b, r: F.struct(F.lit(b).alias("bucket"), F.lit(r).alias("reason"))
+    verdict = (
+        F.when(F.col("_torn") | (F.size("value") == 0), say(REVIEW, "incomplete_or_ocr_truncated_legal_reference"))
+        .when(F.col("_has").isNull(), say(PENDING, "no_record"))
+        .when(~F.col("_filled"), say(READY, "blank"))
+        .when(F.col("_current") == F.col("value"), say(CONFIRMED, "equal"))
+        .otherwise(say(REVIEW, "conflicts_with_canonical"))
+    )
+    return out.withColumn("_say", verdict).select(key, "value", "_say.bucket", "_say.reason")
+
+
+def _trimmed(values: Column) -> Column:
+    """Distinct texts that are not blank, in order."""
+    there = F.filter(F.coalesce(values, F.array().cast("array<string>")), lambda v: F.coalesce(F.trim(v), F.lit("")) != "")
+    return F.array_distinct(F.transform(there, lambda v: F.trim(v)))
+
+
+def single_value(values: Column) -> Column:
+    """struct(status, value, reason): insufficient, verified or conflicting by the number of distinct values."""
+    given = _trimmed(values)
+    n = F.size(given)
+    status = F.when(n == 0, "insufficient").when(n == 1, "verified").otherwise("conflicting")
+    return F.struct(status.alias("status"), F.when(n == 1, F.get(given, F.lit(0))).alias("value"), F.lit(None).cast("string").alias("reason"))
+
+
+def set_value(values: Column) -> Column:
+    """struct(status, value, reason) of a field that takes a list: verified if it names anything; value is the list, line by line."""
+    given = _trimmed(values)
+    return F.struct(F.when(F.size(given) > 0, "verified").otherwise("insufficient").alias("status"), F.when(F.size(given) > 0, F.array_join(given, "\n")).alias("value"), F.lit(None).cast("string").alias("reason"))
+
+
+def agency_value(values: Column, segments: Column, labels: Sequence[str], places: Sequence[str], reach: int = 240) -> Column:
+    """struct(status, value, reason): one agency, no place that only receives, and named within `reach` characters from a label.
+
+    The first occurrence of each label in each segment counts. A mention anywhere else may be of the applicant or of another
+    body, so it verifies nothing.
+    """
+    given = _trimmed(values)
+    value = F.get(given, F.lit(0))
+    low = F.lower(value)
+    place = F.lit(False)
+    for p in places:
+        place = place | low.contains(p)
+
+    def named(segment: Column) -> Column:
+        s = F.lower(F.coalesce(segment, F.lit("")))
+        hit = F.lit(False)
+        for label in labels:
+            at = F.locate(label.lower(), s)
+            hit = hit | ((at > 0) & F.substring(s, at, F.lit(reach)).contains(low))
+        return F.coalesce(hit, F.lit(False))
+
+    labelled = F.coalesce(F.exists(segments, named), F.lit(False))
+    say = lambda s, r: F.struct(F.lit(s).alias("status"), F.lit(None).cast("string").alias("value"), F.lit(r).cast("string").alias("reason"))
+    return (
+        F.when(F.size(given) == 0, say("insufficient", None))
+        .when(F.size(given) > 1, say("conflicting", "multiple_agency_mentions"))
+        .when(place, say("insufficient", "reception_location_only"))
+        .when(~labelled, say("insufficient", "unlabelled_agency_mention"))
+        .otherwise(F.struct(F.lit("verified").alias("status"), value.alias("value"), F.lit(None).cast("string").alias("reason")))
+    )
+
+
+def validated_fields(rows: DataFrame, key: str, fields: dict[str, Column]) -> DataFrame:
+    """key, promotable (sorted names of verified fields), verification and one struct for each field."""
+    df = rows.select(key, *[c.alias(n) for n, c in fields.items()])
+    good = F.array_sort(F.array_compact(F.array(*[F.when(F.col(f"`{n}`.status") == "verified", F.lit(n)) for n in fields])))
+    return df.withColumn("promotable", good).withColumn("verification", F.when(F.size(good) > 0, "field_validated").otherwise("no_promotable_field"))
+
+
+def field_counts(validated: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """field, verified, conflicting, insufficient: how many keys have which status, in one pass."""
+    each = F.array(*[F.struct(F.lit(n).alias("field"), F.col(f"`{n}`.status").alias("status")) for n in fields])
+    n = lambda s: F.count_if(F.col("status") == s).alias(s)
+    return validated.select(F.inline(each)).groupBy("field").agg(n("verified"), n("conflicting"), n("insufficient"))

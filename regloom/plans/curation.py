@@ -24,12 +24,9 @@ def daily(events: DataFrame, key: str, order: Sequence[str], kind: Column, names
 
 def promote(candidates: DataFrame, canonical: DataFrame, key: str, field: str, value: str, unsafe: Column, contract: str, needed: str) -> dict[str, DataFrame]:
     """The gates of all fields in one aggregation over (key, field, value), and the plan."""
-    k = F.concat_ws("|", key, field)
-    long = candidates.withColumn("_k", k)
-    base = canonical.withColumn("_k", k)
-    verdicts = gates.gate(long, base, "_k", F.col(value), F.col("current"), unsafe)
-    parts = F.split("_k", r"\|", 2)
-    verdicts = verdicts.withColumn(key, parts[0]).withColumn(field, parts[1]).drop("_k")
+    both = F.struct(F.col(key).alias("k"), F.col(field).alias("f"))
+    verdicts = gates.gate(candidates.withColumn("_k", both), canonical.withColumn("_k", both), "_k", F.col(value), F.col("current"), unsafe)
+    verdicts = verdicts.withColumn(key, F.col("_k.k")).withColumn(field, F.col("_k.f")).drop("_k")
     return {"gates": verdicts, "plan": gates.promotion_plan(verdicts, key, field, contract, needed)}
 
 

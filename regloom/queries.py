@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from .functions import evidence as ev
 from .functions import text as tx
 from .functions import urls
-from .operators import aggregate, classify, diff, expect, gates, lines, materialise, readmodel, reconcile, replay, resolve, runs, search
+from .operators import aggregate, classify, diff, discovery, expect, gates, lines, materialise, readmodel, reconcile, replay, resolve, runs, search
 from .sources import tables, web
+from .sources.versions import Versions
 from .streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -266,13 +267,48 @@ def code_extract(t):
 
 
 @query(r"""
-SELECT page_id, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)', 1)) AS host, CASE WHEN trim(url) = '' THEN 'missing' WHEN lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) <> 'https' THEN 'scheme'
-  WHEN NOT (regexp_extract(url, '^[A-Za-z]+://([^/?#:]*)', 1) LIKE '%.example.com' OR regexp_extract(url, '^[A-Za-z]+://([^/?#:]*)', 1) = 'example.com') THEN 'host' WHEN NOT contains(url, '?') THEN 'no_query' ELSE 'other' END AS reason FROM pages
+SELECT page_id, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)', 1)) AS host, page_id % 9 = 0 OR page_id % 9 = 8 AS ok,
+  CASE page_id % 9 WHEN 0 THEN 'ward' WHEN 1 THEN 'invalid_host' WHEN 2 THEN 'wrong_province' WHEN 3 THEN 'province_missing_isProvince' WHEN 4 THEN 'province_forced_to_ward' WHEN 5 THEN 'wrong_ward'
+    WHEN 6 THEN 'wrong_commune' WHEN 7 THEN 'ward_wrong_isProvince' ELSE 'province' END AS route FROM pages
 """)
 def url_scope(t):
-    r = urls.route_reason(F.col("url"), ["example.com"], "id", F.col("page_id").cast("string"), "q")
-    known = F.when(r.isin("missing", "scheme", "host", "no_query"), r).otherwise("other")
-    return t("pages").select("page_id", urls.host(F.col("url")).alias("host"), known.alias("reason"))
+    kind = F.col("page_id") % 9
+    host = F.concat(F.when(kind == 1, "http").otherwise("https"), F.lit("://gate.example/f?id="), F.col("page_id").cast("string"))
+    province = F.when(kind == 2, "&provinceCode=30").otherwise("&provinceCode=31")
+    rest = F.when(kind == 3, "&isProvince=0").when(kind == 4, "&isProvince=1&ward=").when(kind == 8, "&isProvince=1").when(kind == 5, "&wardCode=2&commune=WARD&isProvince=0").when(kind == 6, "&wardCode=1&isProvince=0").when(kind == 7, "&wardCode=1&commune=WARD").otherwise("&wardCode=1&commune=WARD&isProvince=0")
+    u = F.concat(host, province, rest, F.when(kind == 4, "x").otherwise(""))
+    level = F.when(kind.isin(3, 4, 8), "Cấp tỉnh").otherwise("Xã")
+    return t("pages").select("page_id", urls.host(F.col("url")).alias("host"), F.inline(F.array(urls.scoped_route(u, level, "gate.example", "31", "1"))))
+
+
+_LINKS = """
+WITH c AS (SELECT c_custkey::VARCHAR AS key, c_custkey % 10 AS m, c_nationkey AS n FROM customer),
+f AS (SELECT 'with_id' AS kind, '' AS value, key FROM c WHERE n < 20
+UNION ALL SELECT 'missing', '', key FROM c WHERE m = 0
+UNION ALL SELECT 'invalid', CASE m WHEN 1 THEN 'invalid_host' ELSE 'wrong_ward' END, key FROM c WHERE m IN (1, 2)
+UNION ALL SELECT 'route', 'ward', key FROM c WHERE m > 2
+UNION ALL SELECT 'mismatch', '', key FROM c WHERE m > 2 AND n < 20 AND (m = 3 OR n < 5)
+UNION ALL SELECT 'keyword', 'ward', key FROM c WHERE m > 2 AND n >= 20)
+"""
+
+
+def _links(t):
+    k, n = F.col("c_custkey"), F.col("c_nationkey")
+    m = k % 10
+    got = F.when(m == 3, F.lit("other")).otherwise(k.cast("string"))
+    u = F.concat(F.when(m == 1, "http").otherwise("https"), F.lit("://gate.example/f?provinceCode=31&commune=WARD&isProvince=0&wardCode="), F.when(m == 2, "2").otherwise("1"), F.when(n < 5, "&q=w").otherwise(F.concat(F.lit("&formalityId="), got)))
+    url = F.when(m > 0, u)
+    return aggregate.link_findings(t("customer"), k, url, urls.scoped_route(url, F.lit("Xã"), "gate.example", "31", "1"), F.when(n < 20, k.cast("string")), urls.param(url, "formalityId"))
+
+
+@query(_LINKS + "SELECT kind, value, key FROM f")
+def link_findings(t):
+    return _links(t)
+
+
+@query(_LINKS + "SELECT kind, value, count(*) AS n FROM f GROUP BY 1, 2")
+def link_audit(t):
+    return aggregate.link_audit(_links(t))
 
 
 @query("""
@@ -564,31 +600,60 @@ def _scratch(spark: SparkSession, name: str) -> str:
     return os.path.join(folder, f"{name}-{uuid.uuid4().hex}")
 
 
-def _streamed(name: str, sql: str, make: Callable[[SparkSession, DataFrame], DataFrame], table: str, finish: Callable[[SparkSession, DataFrame, DataFrame], DataFrame]):
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        batch = tables.parquet(spark, sf_dir, table)
-        batch = batch.withColumn("ts", F.col("ts").cast("timestamp"))
-        source = _scratch(spark, "stream-in")
-        batch.write.parquet(source)
-        stream = make(spark, streams.file_stream(spark, source, batch.schema))
+def _sliced(spark: SparkSession, events: DataFrame, path: str, slices: int = 3) -> None:
+    """The events as files of a stream, one for each micro-batch: slices of time, out of order by up to 50 minutes, then its end."""
+    late = F.pmod(F.xxhash64("event_id"), F.lit(50)) * 60
+    first, last = events.agg(F.min(F.unix_seconds("ts")), F.max(F.unix_seconds("ts"))).first()
+    width = max(1, -(-((last or 0) - (first or 0) + 3001) // slices))
+    for i in range(slices):
+        arrives = F.floor((F.unix_seconds("ts") + late - (first or 0)) / width)
+        events.where(arrives == i).write.mode("append").parquet(path)
+    streams.close_stream(events.schema, spark, "user_id", "ts").write.mode("append").parquet(path)
+
+
+def _stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = tables.parquet(spark, sf_dir, "events")
+    events = events.withColumn("ts", F.col("ts").cast("timestamp"))
+    source = _scratch(spark, "stream-in")
+    _sliced(spark, events, source)
+    files = len([x for x in spark.read.parquet(source).inputFiles()])
+    before = spark.conf.get(streams.STATE_STORE[0])
+    spark.conf.set(*streams.STATE_STORE)
+    try:
+        stream = streams.replay_stream(streams.file_stream(spark, source, events.schema, max(1, files // 4)), "user_id", "ts", "event_id", _kind(), "1 hour", 7 * 86_400)
         out = streams.run_available(stream, _scratch(spark, "stream-out"), _scratch(spark, "stream-state"))
-        return finish(spark, out, batch)
-
-    QUERIES[name], ORACLES[name] = run, sql
-
-
-_streamed(
-    "stream_replay",
-    """WITH m AS (SELECT max(ts) - INTERVAL 1 HOUR AS mark FROM events), e AS (SELECT * FROM events, m WHERE ts <= mark),
-    """ + _REPLAY.strip().replace("WITH k AS", "k AS").replace("FROM events)", "FROM e)") + """SELECT user_id, CASE WHEN pub THEN 'current' WHEN fut THEN 'future_effective' WHEN gone IS NOT NULL THEN 'repealed' ELSE 'unknown' END AS state, n_reviews, n_updates FROM s""",
-    lambda spark, s: streams.replay_stream(s, "user_id", "ts", "event_id", _kind(), "1 hour"),
-    "events",
-    lambda spark, out, batch: resolve.latest_by(out, ["key"], [(F.col("n_reviews") + F.col("n_updates")).desc(), F.col("ts").desc(), F.col("ord").desc()]).select(F.col("key").alias("user_id"), "state", "n_reviews", "n_updates"),
-)
-_streamed(
-    "stream_discovery",
-    "SELECT DISTINCT user_id, event_type FROM events",
-    lambda spark, s: streams.discovery(s.select("user_id", "event_type", "ts"), "user_id", "event_type", "ts", "3650 days"),
-    "events",
-    lambda spark, out, batch: out.select("user_id", "event_type"),
-)
+    finally:
+        spark.conf.set(streams.STATE_STORE[0], before)
+    return streams.latest_states(out).select(F.col("key").alias("user_id"), "state", "n_reviews", "n_updates")
+
+
+QUERIES["stream_replay"] = _stream_replay
+ORACLES["stream_replay"] = _REPLAY + "SELECT user_id, CASE WHEN pub THEN 'current' WHEN fut THEN 'future_effective' WHEN gone IS NOT NULL THEN 'repealed' ELSE 'unknown' END AS state, n_reviews, n_updates FROM s"
+
+
+def _stream_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of three days: a user is a source, an event type of theirs a url, a purchase carries a decision number."""
+    e = tables.parquet(spark, sf_dir, "events")
+    e = e.withColumn("n", F.col("user_id") % 3).select("user_id", "event_type", "n").distinct()
+    number = F.when(F.col("event_type") == "purchase", F.concat((F.col("user_id") % 40).cast("string"), F.lit("/Q"))).otherwise("")
+    url, text = F.concat_ws("/", "user_id", "event_type"), F.lit("").cast("string")
+    columns = {"source": (F.col("user_id") % 7).cast("string"), "url": url, "number": number, "class": F.when(F.col("event_type").isin("purchase", "error"), "public_tthc").otherwise("non_tthc"), "pdf": F.lit("p")}
+    links = e.select("n", *[columns.get(c, text).alias(c) for c in discovery.LINKS.fieldNames()])
+    source = _scratch(spark, "stream-in")
+    for i in range(3):  # each day lists what came before again
+        links.where(F.col("n") <= i).drop("n").coalesce(1).write.mode("append").parquet(source)
+    state = Versions(spark, _scratch(spark, "stream-state"), discovery.STATE)
+    streams.discovery_batches(streams.file_stream(spark, source, discovery.LINKS, 1), state, _scratch(spark, "stream-checkpoint")).awaitTermination()
+    return state.read().where("kind = 'url'").select("source", "url", "number", "class", "status")
+
+
+QUERIES["stream_discovery"] = _stream_discovery
+ORACLES["stream_discovery"] = """
+WITH e AS (SELECT DISTINCT user_id, event_type, user_id % 3 AS n, (user_id % 7)::VARCHAR AS source, user_id || '/' || event_type AS url, CASE WHEN event_type = 'purchase' THEN (user_id % 40) || '/Q' ELSE '' END AS number FROM events),
+b AS (SELECT source, min(n) AS first_day FROM e GROUP BY 1),
+a AS (SELECT e.*, n = first_day AS base FROM e JOIN b USING (source)),
+d AS (SELECT number, min({'n': n, 'u': url}) AS added FROM a WHERE number <> '' AND NOT base GROUP BY 1)
+SELECT source, url, number, CASE WHEN base THEN 'baseline_only' WHEN event_type NOT IN ('purchase', 'error') THEN 'non_tthc' WHEN event_type = 'error' THEN 'needs_review' WHEN d.added.u = url THEN 'public_tthc' ELSE 'mirror_known_decision' END AS class,
+  CASE WHEN base THEN 'baseline_only' WHEN event_type NOT IN ('purchase', 'error') THEN 'excluded_non_tthc' WHEN event_type = 'error' THEN 'missing_decision_number' WHEN d.added.u = url THEN 'auto_discovered' ELSE 'known_decision_new_listing_url' END AS status
+FROM a LEFT JOIN d USING (number)
+"""

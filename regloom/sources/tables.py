@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -93,7 +94,7 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder all machines share: spark.checkpoint.dir, or in local mode a folder of this machine where that is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         folder = "file://" + tempfile.mkdtemp(prefix="regloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
@@ -105,7 +106,16 @@ def kept(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = os.path.join(shared_folder(spark), f"kept-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.kept_at = path
+    return out
+
+
+def forget(df: DataFrame) -> None:
+    """Delete what kept() has written, once nothing reads it any more."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.kept_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -129,28 +139,37 @@ def append_log(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
-def write_if_changed(df: DataFrame, path: str, ignore: Sequence[str] = ()) -> bool:
-    """Replace the table under path only if the new one differs beyond volatile columns.
+def write_if_changed(df: DataFrame, path: str, ignore: Sequence[str] = (), check: bool = False) -> bool:
+    """Replace the table under path only if the new one differs beyond volatile columns; whether it does.
 
-    The new version is written beside and moved into place, the last one is deleted after that: a crash leaves one of them
-    whole, under path or beside it.
+    check: only tell. The new version is written beside; then the old one steps aside, the new one moves into place, and the
+    old one is deleted last. A move that fails stops the call and puts the old one back, so that one of them is whole at any
+    time, under path or beside it. A table of other columns differs. For readers that must never find the path empty, see
+    versions.Versions.
     """
     from ..operators.diff import changed
 
     spark = df.sparkSession
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    beside, before = (hadoop(f"{path}.{name}-{uuid.uuid4().hex}") for name in ("new", "old"))
-    try:
-        old = spark.read.schema(df.schema).parquet(path)
-        if not changed(old, df, ignore):
+    place, beside, before = hadoop(path), *(hadoop(f"{path}.{name}-{uuid.uuid4().hex}") for name in ("new", "old"))
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    there = files.exists(place)
+    if there:
+        old = spark.read.parquet(path)
+        if dict(old.dtypes) == dict(df.dtypes) and not changed(old.select(*df.columns), df, ignore):
             return False
-        df.write.parquet(beside.toString())
-        files = beside.getFileSystem(spark._jsc.hadoopConfiguration())
-        files.rename(hadoop(path), before)
-        files.rename(beside, hadoop(path))
+    if check:
+        return True
+    df.write.parquet(beside.toString())
+    if there and not files.rename(place, before):
+        files.delete(beside, True)
+        raise OSError(f"{path} could not be moved aside; it stays as it is")
+    if not files.rename(beside, place):
+        if there:
+            files.rename(before, place)
+        raise OSError(f"the new version could not be moved to {path}; the old one is {'back' if there else 'missing'}")
+    if there:
         files.delete(before, True)
-    except AnalysisException:
-        df.write.parquet(path)
     return True
 
 

@@ -5,65 +5,127 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
+from pyspark.sql.types import StructType
 
+from ..operators import discovery as steps
+from ..sources.tables import forget, kept
+from ..sources.versions import Versions
 
-def replay_stream(events: DataFrame, key: str, ts: str, order: str, kind: Column, lateness: str) -> DataFrame:
-    """key, state, ts, ord: the state after each key's events of a batch, in order of time and position.
 
-    Events wait for the watermark, so that those which arrive out of order are applied in order; `late` counts the ones
-    that came behind it. Older states of a key are superseded by later rows.
+#: What a replay stream needs of its session: state that is read and written by entry.
+STATE_STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+_REPLAYED = "key long, state string, ts timestamp, ord long, n_reviews long, n_updates long, future_ts timestamp, future_ord long, late boolean, kind string, version long"
+_MICRO = 1_000_000
+
+
+class _Replay(StatefulProcessor):
+    """State of one key: its decisive events so far, and the events that wait for the watermark by time bucket.
+
+    What a micro-batch brings for a bucket is one entry; it is written once, and removed when a timer at the end of the bucket
+    applies it, so a key with many waiting events costs what its events cost. Events behind what is applied already go to the
+    side output.
     """
-    rows = events.select(F.col(key).alias("key"), F.col(ts).alias("ts"), F.col(order).cast("long").alias("ord"), kind.alias("kind")).withWatermark("ts", lateness)
-    out = "key long, state string, ts timestamp, ord long, n_reviews long, n_updates long, late long"
-    kept = "pending array<struct<ts:long,ord:long,kind:string>>, made array<long>, gone array<long>, waits array<long>, n_reviews long, n_updates long, late long, done long"
-
-    def step(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.exists:
-            pending, made, gone, waits, reviews, updates, late, done = state.get
-            pending = [(p["ts"], p["ord"], p["kind"]) if not isinstance(p, tuple) else tuple(p) for p in pending]
-            made, gone, waits = (tuple(x) if x is not None and len(x) else () for x in (made, gone, waits))
-        else:
-            pending, made, gone, waits, reviews, updates, late, done = [], (), (), (), 0, 0, 0, -(1 << 62)
-        for f in frames:
-            for t, o, kd in zip(f["ts"], f["ord"], f["kind"], strict=True):
-                micros = int(pd.Timestamp(t).value // 1000)
-                if micros <= done:
-                    late += 1
+
+    def __init__(self, bucket: int):
+        self.bucket = bucket
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        decisive = ", ".join(f"{n}_ts long, {n}_ord long" for n in ("made", "gone", "created", "waits", "done"))
+        self.sum = handle.getValueState("sum", f"{decisive}, n_reviews long, n_updates long, version long")
+        self.waiting = handle.getMapState("waiting", "bucket long, n long", "ts array<long>, ord array<long>, kind array<string>")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803  names of the API
+        done = self.sum.get()[8:10] if self.sum.exists() else (None, None)
+        buckets: dict[int, list] = {}
+        for f in rows:
+            late = []
+            for event in zip(f["micros"].tolist(), f["ord"].tolist(), f["kind"].tolist(), strict=True):
+                if done[0] is not None and event[:2] <= done:
+                    late.append(event)
                 else:
-                    pending.append((micros, int(o), kd))
-        mark = state.getCurrentWatermarkMs() * 1000
-        due = sorted(p for p in pending if p[0] <= mark)
-        pending = [p for p in pending if p[0] > mark]
-        for t, o, kd in due:
-            reviews += kd == "review"
-            updates += kd == "current"
-            if kd == "current":
-                made = (t, o)
-            elif kd == "repealed":
-                gone = (t, o)
-            elif kd == "future":
+                    buckets.setdefault(event[0] // _MICRO // self.bucket, []).append(event)
+            if late:
+                yield pd.DataFrame([_row(key[0], ts=t, ord=o, kind=kind, late=True) for t, o, kind in late])
+        for b, events in buckets.items():
+            n = 0
+            while self.waiting.containsKey((b, n)):  # one entry for each batch that the bucket has waited through
+                n += 1
+            self.waiting.updateValue((b, n), tuple(map(list, zip(*events, strict=True))))
+            self.handle.registerTimer((b + 1) * self.bucket * 1000)
+
+    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803  names of the API
+        mark = expiredTimerInfo.getExpiryTimeInMs() // 1000
+        entries = [(tuple(k), v) for k, v in self.waiting.iterator() if (k[0] + 1) * self.bucket <= mark]
+        for k, _ in entries:
+            self.waiting.removeKey(k)
+        due = sorted(e for _, v in entries for e in zip(v[0], v[1], v[2], strict=True))
+        if not due:
+            return
+        made, gone, created, waits, done, (reviews, updates, version) = _pairs(self.sum.get() if self.sum.exists() else None)
+        for t, o, kind in due:
+            reviews += kind == "review"
+            updates += kind == "current"
+            if kind == "current":
+                made, created = (t, o), created or (t, o)
+            elif kind == "repealed":
+                gone, created = (t, o), None
+            elif kind == "future":
                 waits = (t, o)
-            done = max(done, t)
-        as_structs = [{"ts": a, "ord": b, "kind": c} for a, b, c in pending]
-        state.update((as_structs, list(made), list(gone), list(waits), int(reviews), int(updates), int(late), int(done)))
-        if pending:
-            state.setTimeoutTimestamp(max(min(p[0] for p in pending) // 1000, state.getCurrentWatermarkMs() + 1))
-        if due:
-            public = made and made > gone
-            future = waits and waits > gone
-            name, at = ("current", made) if public else ("future_effective", waits) if future else ("repealed", gone) if gone else ("unknown", due[-1][:2])
-            yield pd.DataFrame({"key": [k[0]], "state": [name], "ts": [pd.Timestamp(at[0], unit="us")], "ord": [at[1]], "n_reviews": [int(reviews)], "n_updates": [int(updates)], "late": [int(late)]})
+            done = max(done or (t, o), (t, o))
+        version += 1
+        flat = [x for p in (made, gone, created, waits, done) for x in (p or (None, None))]
+        self.sum.update((*flat, reviews, updates, version))
+        public = made and (not gone or made > gone)
+        future = waits and (not gone or waits > gone)
+        name, at = ("current", made) if public else ("future_effective", waits) if future else ("repealed", gone) if gone else ("unknown", (None, None))
+        pending = waits if public and waits and waits > created else (None, None)
+        yield pd.DataFrame([_row(key[0], state=name, ts=at[0], ord=at[1], n_reviews=reviews, n_updates=updates, future_ts=pending[0], future_ord=pending[1], late=False, version=version)])
+
+    def close(self) -> None:
+        pass
+
 
-    return rows.groupBy("key").applyInPandasWithState(step, out, kept, "append", GroupStateTimeout.EventTimeTimeout)
+def _pairs(held) -> tuple:
+    if held is None:
+        return None, None, None, None, None, (0, 0, 0)
+    pair = lambda i: None if held[i] is None else (held[i], held[i + 1])
+    return pair(0), pair(2), pair(4), pair(6), pair(8), tuple(held[10:13])
 
 
-def late_events(events: DataFrame, key: str, ts: str, applied: DataFrame) -> DataFrame:
-    """Events not later than what is applied to their key already: a side output."""
-    done = applied.select(F.col(key), F.col(ts).alias("_done"))
-    return events.join(done, key).where(F.col(ts) <= F.col("_done")).drop("_done")
+def _row(key, **values) -> dict:
+    row = {"key": key, "state": None, "ts": None, "ord": None, "n_reviews": None, "n_updates": None, "future_ts": None, "future_ord": None, "late": False, "kind": None, "version": None, **values}
+    return {k: pd.Timestamp(v, unit="us") if k in ("ts", "future_ts") and v is not None else v for k, v in row.items()}
+
+
+def replay_stream(events: DataFrame, key: str, ts: str, order: str, kind: Column, lateness: str, bucket: int = 3600) -> DataFrame:
+    """key, state, ts, ord, n_reviews, n_updates, future_ts, future_ord, late, kind, version: the replay of events as a stream.
+
+    A row tells the state of a key after all of its events before a time bucket (of `bucket` seconds) are applied in order of
+    time and position; of a key's rows the one of the highest version holds. Events wait until the watermark has passed their
+    bucket, so those that come out of order within `lateness` are applied in order. An event behind what is applied comes out
+    as a row of its own with late = true, its time, position and kind; it changes no state. close_stream() makes the last
+    events come due. Rows without a key or time are left out. The session must use STATE_STORE.
+    """
+    rows = events.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).withWatermark(ts, lateness)
+    # the time goes on as a number: rows behind the watermark must reach the processor, which puts them out as late
+    rows = rows.select(F.col(key).cast("long").alias("key"), F.unix_micros(F.col(ts).cast("timestamp")).alias("micros"), F.col(order).cast("long").alias("ord"), kind.alias("kind"))
+    return rows.groupBy("key").transformWithStateInPandas(_Replay(bucket), _REPLAYED, "append", "eventTime").where("key <> -1")
+
+
+def close_stream(schema: StructType, spark: SparkSession, key: str, ts: str) -> DataFrame:
+    """One row of key -1 in the year 9000: as a stream's last file it moves the watermark past all events before."""
+    values = [F.lit(-1).cast(f.dataType).alias(f.name) if f.name == key else F.lit("9000-01-01").cast(f.dataType).alias(f.name) if f.name == ts else F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    return spark.range(1).select(*values)
+
+
+def latest_states(replayed: DataFrame) -> DataFrame:
+    """The last state of each key of a replay stream's output."""
+    rows = replayed.where("NOT late")
+    return rows.groupBy("key").agg(F.max_by(F.struct(*[c for c in rows.columns if c != "key"]), "version").alias("r")).select("key", "r.*")
 
 
 def discovery(links: DataFrame, source: str, url: str, ts: str, lateness: str = "30 days") -> DataFrame:
@@ -71,6 +133,16 @@ def discovery(links: DataFrame, source: str, url: str, ts: str, lateness: str =
     return links.withWatermark(ts, lateness).dropDuplicatesWithinWatermark([source, url])
 
 
+def discovery_batches(stream: DataFrame, state: Versions, checkpoint: str):
+    """Discovery over a stream of links: each micro-batch is one step on the last version of the state, applied once."""
+
+    def apply(links: DataFrame, batch: int) -> None:
+        if not links.isEmpty():
+            state.publish(lambda now: steps.step(now, links), batch)
+
+    return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def discover(index: DataFrame, links: DataFrame, source: str, url: str, pending: str = "needs_review") -> DataFrame:
     """The batch step: action is baseline (a source's first run), new, retry or known.
 
@@ -98,9 +170,29 @@ def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "ap
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
 
 
-def upsert_batches(stream: DataFrame, merge: Callable[[DataFrame, int], None], checkpoint: str):
-    """Apply each micro-batch to a read model; merge must be idempotent by batch id."""
-    return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def upsert_batches(stream: DataFrame, model: Versions, log: Versions, key: str, order: str, merge: Callable[[DataFrame, DataFrame], DataFrame], checkpoint: str):
+    """Keep a read model up to date with a stream of projections: one version for each micro-batch, and a log of the changes.
+
+    merge(model, rows) gives the whole next model with action, before and after, as readmodel.upsert does; of a key's rows in a
+    batch the last by `order` counts. A batch that comes again finds its id in the pointers and changes nothing. The log goes
+    live first: a batch that breaks between the two finds its log there when it comes again, and only the model is made. An
+    empty batch changes nothing. Each version is read back and its number of keys compared before it goes live.
+    """
+
+    def apply(rows: DataFrame, batch: int) -> None:
+        if rows.isEmpty() or batch <= model.batch:
+            return
+        last = rows.groupBy(key).agg(F.max_by(F.struct(*rows.columns), order).alias("_r")).select("_r.*")
+        merged = kept(merge(model.read(), last))
+        try:
+            noted = merged.where("action <> 'keep'").withColumn("batch", F.lit(batch).cast("long"))
+            log.publish(lambda old: old.unionByName(noted.select(*log.schema.fieldNames())), batch)
+            n = merged.count()
+            model.publish(lambda _: merged, batch, lambda written, _: written.count() == n == written.select(key).distinct().count())
+        finally:
+            forget(merged)
+
+    return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def file_stream(spark, path: str, schema, per_trigger: int | None = None, columns: Sequence[str] | None = None) -> DataFrame:

@@ -55,9 +55,12 @@ def fee_forms(t):
     return t("orders").select("o_orderkey", tx.fee_excerpt(text, ["le phi"]).alias("fee"), F.array_join(tx.money(short, "đồng"), ",").alias("amount"))
 
 
-@query("SELECT o_orderkey, 'Nghị định ' || o_custkey || '/2020/NĐ-CP;Luật số 5/2019/QH14' AS refs FROM orders")
+@query("SELECT o_orderkey, 'Nghị định số ' || o_custkey || '/2020/NĐ-CP;Luật số 5/2019/QH14;Luật Đất đai ngày ' || (1 + o_orderkey % 28) || ' tháng 11 năm 2013' AS refs FROM orders")
 def legal_references(t):
-    text = F.concat(F.lit("Luật Hộ tịch số 5/2019/QH14 và Nghị  định số "), F.col("o_custkey").cast("string"), F.lit(" / 2020/NĐ-CP, Nghị định "), F.col("o_custkey").cast("string"), F.lit("/2020/NĐ-CP"))
+    day = (1 + F.col("o_orderkey") % 28).cast("string")
+    text = F.concat(
+        F.lit("Luật Hộ tịch số 5/2019/QH14 và Nghị  định số "), F.col("o_custkey").cast("string"), F.lit(" / 2020/nđ-CP, Nghị định "), F.col("o_custkey").cast("string"), F.lit("/2020/NĐ-CP; Luật Đất đai  ngày "), day, F.lit(" tháng 11 năm 2013; Thông tư số 226"),
+    )
     return t("orders").select("o_orderkey", F.array_join(catalogue.legal_refs(text), ";").alias("refs"))
 
 

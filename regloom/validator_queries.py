@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .functions import catalogue
 from .functions import text as tx
-from .operators import field_gates, validators
+from .operators import field_gates, gates, validators
 from .operators.expect import Rule
 from .operators.integrity import Pair, Side, Table, findings
 from .queries import query
@@ -178,3 +178,39 @@ def release_integrity(t):
     ]
     said = lambda v: F.concat(v.text("public"), F.lit(" and "), v.text("excluded"), F.lit(" of "), v.text("customers"))
     return findings(suite, pairs, lambda v: [Rule("AUDITED", v.n("public") + v.n("excluded") != v.n("customers"), said(v)), Rule("SNAPSHOT", v.text("last") != "2024-07-01", v.text("last"))])
+
+
+@query("""
+WITH o AS (SELECT o_custkey AS k, o_orderpriority AS p, o_orderkey % 5 AS r FROM orders WHERE o_orderpriority <> '2-HIGH' AND o_totalprice > 250000),
+g AS (SELECT k, bool_or(p = '5-LOW') AS torn, array_to_string(list_sort(list(DISTINCT 'Nghị định số ' || r || '/2020/NĐ-CP')), ';') AS v, count(DISTINCT r) AS n FROM o GROUP BY 1),
+c AS (SELECT c_custkey AS k, CASE WHEN c_mktsegment = 'BUILDING' THEN '' ELSE 'Nghị định số ' || (c_custkey % 5) || '/2020/NĐ-CP' END AS cur FROM customer WHERE c_nationkey < 20)
+SELECT g.k::VARCHAR AS key, v AS value, CASE WHEN torn THEN 'needsReview' WHEN c.k IS NULL THEN 'pendingCanonicalPhase2' WHEN cur = '' THEN 'ready' WHEN cur = v THEN 'confirmedExisting' ELSE 'needsReview' END AS bucket,
+  CASE WHEN torn THEN 'incomplete_or_ocr_truncated_legal_reference' WHEN c.k IS NULL THEN 'no_record' WHEN cur = '' THEN 'blank' WHEN cur = v THEN 'equal' ELSE 'conflicts_with_canonical' END AS reason
+FROM g LEFT JOIN c USING (k)
+""")
+def legal_gate(t):
+    p, ref = F.col("o_orderpriority"), F.concat(F.lit("Nghị  định "), (F.col("o_orderkey") % 5).cast("string"), F.lit("/2020/NĐ - CP"))
+    raw = F.when(p == "5-LOW", F.array(ref, F.lit("Thông tư số 226"))).otherwise(F.array(ref))
+    o = t("orders").where("o_totalprice > 250000").select(F.col("o_custkey").cast("string").alias("key"), raw.alias("raw"), F.when(p == "2-HIGH", "low").when(p == "1-URGENT", "high").otherwise("medium").alias("sure"))
+    held = F.concat(F.lit("theo Nghị định số "), (F.col("c_custkey") % 5).cast("string"), F.lit("/2020/NĐ-CP ngày"))
+    c = t("customer").where("c_nationkey < 20").select(F.col("c_custkey").cast("string").alias("key"), F.when(F.col("c_mktsegment") != "BUILDING", F.array(held)).alias("cur"))
+    return gates.set_gate(o, c, "key", F.col("raw"), F.col("sure"), F.col("cur"), catalogue.legal_refs).withColumn("value", F.array_join("value", ";"))
+
+
+@query("""
+WITH c AS (SELECT c_custkey AS k, c_custkey % 6 AS m, c_nationkey AS n FROM customer)
+SELECT k, CASE m WHEN 0 THEN 'insufficient' WHEN 1 THEN 'conflicting' WHEN 2 THEN 'insufficient' WHEN 3 THEN 'insufficient' WHEN 4 THEN CASE WHEN n < 12 THEN 'verified' ELSE 'insufficient' END ELSE 'verified' END AS agency,
+  CASE m WHEN 1 THEN 'multiple_agency_mentions' WHEN 2 THEN 'reception_location_only' WHEN 3 THEN 'unlabelled_agency_mention' WHEN 4 THEN CASE WHEN n < 12 THEN NULL ELSE 'unlabelled_agency_mention' END END AS reason,
+  CASE WHEN n < 8 THEN 'conflicting' WHEN n < 16 THEN 'verified' ELSE 'insufficient' END AS duration,
+  concat_ws(',', CASE WHEN m = 5 OR m = 4 AND n < 12 THEN 'agency' END, CASE WHEN n BETWEEN 8 AND 15 THEN 'duration' END) AS promotable,
+  CASE WHEN m = 5 OR m = 4 AND n < 12 OR n BETWEEN 8 AND 15 THEN 'field_validated' ELSE 'no_promotable_field' END AS verification FROM c
+""")
+def validated_fields(t):
+    m, n = F.col("c_custkey") % 6, F.col("c_nationkey")
+    body = F.lit("Ủy ban nhân dân xã")
+    values = F.when(m == 0, F.array(F.lit(" "))).when(m == 1, F.array(body, F.lit("Sở Y tế"))).when(m == 2, F.array(F.lit("Trung tâm PVHCC xã"))).otherwise(F.array(body, F.concat(body, F.lit(" "))))
+    far = F.concat(F.lit("Mã; CƠ QUAN THỰC HIỆN: "), F.repeat(F.lit("x"), F.when(n < 12, 203).otherwise(204)), body)
+    segments = F.when(m == 3, F.array(F.concat(F.lit("gửi "), body))).when(m == 4, F.array(F.lit(None).cast("string"), far)).otherwise(F.array(F.concat(F.lit("Cơ quan có thẩm quyền "), body)))
+    days = F.when(n < 8, F.array(F.lit("5 ngày"), F.lit("3 ngày"))).when(n < 16, F.array(F.lit("5 ngày"), F.lit("5 ngày")))
+    out = gates.validated_fields(t("customer").withColumn("k", F.col("c_custkey")), "k", {"agency": gates.agency_value(values, segments, catalogue.AGENCY_LABELS, catalogue.RECEPTION_PLACES), "duration": gates.single_value(days)})
+    return out.select("k", F.col("agency.status").alias("agency"), "agency.reason", F.col("duration.status").alias("duration"), F.array_join("promotable", ",").alias("promotable"), "verification")

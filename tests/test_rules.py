@@ -5,10 +5,12 @@ import hashlib
 
 from pyspark.sql import functions as F
 
+from regloom.functions import catalogue
 from regloom.functions import evidence as ev
 from regloom.functions import text as tx
 from regloom.functions import urls
 from regloom.operators import classify, diff, expect, gates, lines, readmodel, reconcile, replay, resolve, runs, search
+from regloom.plans import curation
 from regloom.sources import tables, web
 from regloom.streaming import streams
 
@@ -53,7 +55,7 @@ def test_level_fee_and_references(spark):
     assert one(spark, tx.marked_level(F.lit("x whole service, x partial service"), labels)) is None
     assert one(spark, tx.safe_fee(F.lit("No fee."), ["no fee", "not stated"])) == "no fee"
     assert one(spark, tx.safe_fee(F.lit("no fee until 10"), ["no fee"])) is None
-    kinds = [("Decree", r"Decree\s+(\d+\s*/\s*\d{4})"), ("Circular", r"Circular\s+(\d+/\d{4})")]
+    kinds = [(r"Decree (\d+ ?/ ?\d+)", "Decree {1}"), (r"Circular (\d+/\d+)", "Circular {1}")]
     assert one(spark, tx.legal_refs(F.lit("Circular 3/2020, Decree 15 / 2021, Decree 15/2021"), kinds)) == ["Decree 15/2021", "Circular 3/2020"]
 
 
@@ -77,9 +79,11 @@ def test_similarity(spark):
 def test_urls(spark):
     assert one(spark, urls.official(F.lit("https://a.gov.vn/x"), ["gov.vn"])) is True
     assert one(spark, urls.official(F.lit("https://a.gov.vn.evil.com/x"), ["gov.vn"])) is False
-    r = lambda u: one(spark, urls.route_reason(F.lit(u), ["gov.vn"], "id", F.lit("7"), "q"))
-    assert [r(""), r("http://gov.vn"), r("https://x.org/?id=7"), r("https://gov.vn/a"), r("https://gov.vn/?a=1"), r("https://gov.vn/?q=w"), r("https://gov.vn/?id=8"), r("https://gov.vn/?id=7")] == [
-        "missing", "scheme", "host", "no_query", "no_id", "keyword", "id_mismatch", "ok"]
+    r = lambda u, level="Xã": tuple(one(spark, urls.scoped_route(F.lit(u), F.lit(level), "g.vn", "31", "11824")))
+    ward = "https://g.vn/x?provinceCode=31&wardCode=11824&commune=WARD&isProvince=0"
+    assert [r(ward), r("https://g.vn/?provinceCode=31&isProvince=1", "Cấp tỉnh - x"), r(ward.replace("Code=31", "Code=&provinceCode=31"))] == [(True, "ward"), (True, "province"), (True, "ward")]
+    bad = [("https://[::1", "Xã"), (ward.replace("https", "http"), "Xã"), (ward.replace("g.vn", "a.g.vn"), "Xã"), (ward.replace("=31", "=1"), "Xã"), (ward.replace("=11824", ""), "Xã"), (ward.replace("WARD", "X"), "Xã"), (ward.replace("isProvince=0", ""), None), (ward, "cấp tỉnh"), (ward.replace("e=0", "e=1"), "Cấp tỉnh"), (None, "Xã"), ("https://g.vn/#?provinceCode=31", "Xã")]
+    assert [r(u, level)[1] for u, level in bad] == ["invalid_url", "invalid_host", "invalid_host", "wrong_province", "wrong_ward", "wrong_commune", "ward_wrong_isProvince", "province_missing_isProvince", "province_forced_to_ward", "invalid_host", "wrong_province"]
     u = urls.submission_url("https://g/x", {"a": "1"}, F.lit("city"), {"city": {"s": "c"}, "ward": {"s": "w"}}, "id", F.lit(""), "q", F.lit("a b"))
     assert one(spark, u) == "https://g/x?a=1&s=c&q=a+b"
 
@@ -232,10 +236,54 @@ def test_catalogue_presets(spark):
 
     assert one(spark, c.online_level(F.lit("x Toàn trình, Một phần"))) == "FULL"
     assert one(spark, c.safe_fee(F.lit("Không  thu phí"))) == "Không thu phí" and one(spark, c.safe_fee(F.lit("8.000 đồng"))) is None
-    assert one(spark, c.legal_refs(F.lit("Thông tư số 02 / 2020/TT-BTP; Nghị định 123/ 2015/NĐ-CP"))) == ["Nghị định 123/2015/NĐ-CP", "Thông tư 02/2020/TT-BTP"]
+    assert one(spark, c.legal_refs(F.lit("Thông tư số 02 / 2020/TT-BTP; Nghị định 123/ 2015/NĐ-CP"))) == ["Nghị định số 123/2015/NĐ-CP", "Thông tư số 02/2020/TT-BTP"]
+    refs = lambda x: one(spark, c.legal_refs(F.lit(x)))
+    assert refs("Nghị định số 280 /2025/NĐ-CP; Thông tư số 01/2020/TT-BTP; Quyết định số 320/QĐ- BNV") == ["Nghị định số 280/2025/NĐ-CP", "Thông tư số 01/2020/TT-BTP", "Quyết định số 320/QĐ-BNV"]
+    assert refs("Luật Đất đai số 31/2024/QH15 ngày trường hợp chuyển nhượng") == ["Luật số 31/2024/QH15"]
+    assert refs("luật  hộ tịch ngày 20 tháng 11 năm 2014. Luật Nhà ở ngày 5/6/2023; luật 3/2020/QH 14") == ["Luật số 3/2020/QH14", "luật hộ tịch ngày 20 tháng 11 năm 2014", "Luật Nhà ở ngày 5/6/2023"]
+    assert [refs(x) for x in ("Nghị định số 28", "Thông tư số 226", "Luật việc làm ngày 16 thá", "Nghị định số 151/2026/NĐ - C", "")] == [[]] * 5
     assert tuple(one(spark, c.effective_date(F.lit("Quyết định này có hiệu lực kể từ ngày 01/3/2024"), F.lit("2024-02-20")))) == ("2024-03-01", "stated")
     assert tuple(one(spark, c.effective_date(F.lit("có hiệu lực kể từ ngày ký"), F.lit("2024-02-20")))) == ("2024-02-20", "signing")
     assert tuple(one(spark, c.decision_identity(F.lit("/quyet-dinh-so-12-qd-ubnd-ngay-3-4-2024"), F.lit("")))) == ("12/QĐ-UBND", "2024-04-03")
     assert one(spark, c.category(F.lit("ĐẤT ĐAI"), F.lit(""))) == "Tài nguyên & Xây dựng" and one(spark, c.category(F.lit(""), F.lit("khác"))) == "UBND xã"
     assert one(spark, c.excluded_status(F.lit(""), F.lit("Bãi bỏ theo"))) == "Bãi bỏ"
     assert one(spark, c.name(F.lit("1.00488 Cấp giấy phép xây dựng 15 ngày làm việc"), F.lit("1.00488"))) == "Cấp giấy phép xây dựng"
+
+
+def test_legal_gate(spark):
+    whole, other, torn = "Nghị định số 280/2025/NĐ-CP", "Thông tư số 01/2020/TT-BTP", "Thông tư số 226"
+    rows_ = [("1", [whole, torn], "medium"), ("2", [whole], "high"), ("2", [other], "medium"), ("3", [whole, other], "high"), ("4", [whole], "high"), ("5", [whole], "low"), ("6", [" "], "high"), ("7", [], "high"), ("8", None, "high"), ("9", [whole], "medium"), (" ", [whole], "high"), (None, [whole], "high")]
+    cand = spark.createDataFrame(rows_, "key string, raw array<string>, sure string").where("key <> ' ' OR key IS NULL")
+    known = spark.createDataFrame([("1", None), ("2", []), ("3", [f"theo {other} và {whole}"]), ("4", [other]), ("9", ["văn bản khác"])], "key string, cur array<string>")
+    out = gates.set_gate(cand, known, "key", F.col("raw"), F.col("sure"), F.col("cur"), catalogue.legal_refs)
+    got = {r["key"]: (r["value"], r["bucket"], r["reason"]) for r in out.collect()}
+    review, torn_ = "needsReview", "incomplete_or_ocr_truncated_legal_reference"
+    assert got == {"1": ([whole], review, torn_), "2": ([whole, other], "ready", "blank"), "3": ([whole, other], "confirmedExisting", "equal"), "4": ([whole], review, "conflicts_with_canonical"), "6": ([], review, torn_), "7": ([], review, torn_), "9": ([whole], review, "conflicts_with_canonical")}
+
+
+def test_agency_and_single_values(spark):
+    body, place = "Ủy ban nhân dân cấp xã", "Trung tâm Phục vụ hành chính công thành phố"
+    cases = [
+        ([place], [f"1.000001 Tên thủ tục {place}"], ("insufficient", None, "reception_location_only")),
+        ([body], [f"1.000001 Cơ quan A trả lời {body}"], ("insufficient", None, "unlabelled_agency_mention")),
+        ([body], [f"Cơ quan thực hiện: {body}"], ("verified", body, None)),
+        ([body, place], [], ("conflicting", None, "multiple_agency_mentions")),
+        ([" ", None], None, ("insufficient", None, None)),
+        ([body, f" {body}"], [None, "", f"CƠ QUAN CÓ THẨM QUYỀN {'x' * 196}{body.upper()}"], ("verified", body, None)),
+        ([body], [f"Cơ quan có thẩm quyền {'x' * 197}{body}"], ("insufficient", None, "unlabelled_agency_mention")),
+        ([body], None, ("insufficient", None, "unlabelled_agency_mention")),
+    ]
+    df = spark.createDataFrame([(i, v, s) for i, (v, s, _) in enumerate(cases)], "i int, v array<string>, s array<string>")
+    got = df.orderBy("i").select(gates.agency_value(F.col("v"), F.col("s"), catalogue.AGENCY_LABELS, catalogue.RECEPTION_PLACES).alias("x")).collect()
+    assert [tuple(r["x"]) for r in got] == [want for _, _, want in cases]
+    row = spark.createDataFrame([("1", ["FULL"], ["05 ngày", "03 ngày"], ["Nghị định 01/2026/NĐ-CP", "x"])], "k string, a array<string>, b array<string>, c array<string>")
+    out = gates.validated_fields(row, "k", {"level": gates.single_value(F.col("a")), "duration": gates.single_value(F.col("b")), "legal": gates.set_value(F.col("c"))})
+    assert out.first()["promotable"] == ["legal", "level"] and out.first()["duration"]["status"] == "conflicting"
+    assert rows(gates.field_counts(out, ["level", "duration"]), "field", "verified", "conflicting", "insufficient") == [("duration", 0, 1, 0), ("level", 1, 0, 0)]
+
+
+def test_promote_keeps_keys_that_hold_the_separator(spark):
+    cand = spark.createDataFrame([("a|b", "f", "v"), ("a", "b|f", "w")], "k string, field string, v string")
+    known = spark.createDataFrame([("a|b", "f", ""), ("a", "b|f", "x")], "k string, field string, current string")
+    got = curation.promote(cand, known, "k", "field", "v", F.lit(False), "4", "5")["gates"]
+    assert rows(got, "k", "field", "bucket") == [("a", "b|f", "needsReview"), ("a|b", "f", "ready")]
