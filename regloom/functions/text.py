@@ -191,6 +191,44 @@ def replace_pairs(x: Column, pairs: Sequence[tuple[str, str]]) -> Column:
     return x
 
 
+def replaced_in_order(x: Column, pairs: Sequence[tuple[str, str]]) -> Column:
+    """All replacements one after another, over one array of pairs: for long tables. An earlier one may make or spoil a later match."""
+    if not pairs:
+        return x
+    table = F.array(*[F.struct(F.lit(old).alias("old"), F.lit(new).alias("new")) for old, new in pairs])
+    return F.aggregate(table, x, lambda acc, p: F.replace(acc, p["old"], p["new"]))
+
+
+def before_bell(x: Column) -> Column:
+    """A cell that control marks part: its first part that is not blank; else the text."""
+    parts = F.filter(F.transform(F.split(x, "\x07"), lambda p: F.trim(p)), lambda p: p != "")
+    return F.when(x.contains("\x07"), F.coalesce(F.get(parts, F.lit(0)), F.lit(""))).otherwise(x)
+
+
+def repaired_name(x: Column, code: Column, pairs: Sequence[tuple[str, str]], bleed: str, overrides: Column | None = None, least: int = 12) -> Column:
+    """A name out of a scanned table: the one that overrides hold for its code, else its text mended.
+
+    The part before control marks, spaces squeezed, pairs replaced in order, composed, cut where another column runs into it
+    (pattern bleed, behind at least `least` characters), without punctuation at the ends. overrides: map of code to name.
+    Null is empty. A composed text does not go through Python.
+    """
+    y = replaced_in_order(squeeze(before_bell(F.coalesce(x, F.lit("")))), pairs)
+    y = F.when(not_composed(y), nfc(F.when(not_composed(y), y))).otherwise(y)
+    at = F.regexp_instr(y, F.lit(bleed))
+    y = F.when(at > least, F.substring(y, F.lit(1), at - 1)).otherwise(y)
+    y = F.regexp_replace(y, r"^[ \-–—;,.|]+|[ \-–—;,.|]+$", "")
+    return y if overrides is None else F.coalesce(F.try_element_at(overrides, code), y)
+
+
+def cleaned_title(x: Column, pairs: Sequence[tuple[str, str]]) -> Column:
+    """struct(title, fault): the text mended as above, or null and why not: only_control or control_character."""
+    y = before_bell(x)
+    fault = F.when(x.contains("\x07") & (y == ""), "only_control").when(y.rlike(r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]"), "control_character")
+    z = F.trim(replaced_in_order(y, pairs))
+    z = F.when(not_composed(z), nfc(F.when(not_composed(z), z))).otherwise(z)
+    return F.struct(F.when(fault.isNull(), z).alias("title"), fault.alias("fault"))
+
+
 def has_control(x: Column) -> Column:
     return x.rlike(r"[\x00-\x08\x0B\x0C\x0E-\x1F]")
 

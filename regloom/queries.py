@@ -9,10 +9,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions import catalogue
 from .functions import evidence as ev
 from .functions import text as tx
 from .functions import urls
-from .operators import aggregate, classify, diff, discovery, expect, gates, lines, materialise, readmodel, reconcile, replay, resolve, runs, search
+from .operators import aggregate, cells, classify, diff, discovery, expect, gates, lines, materialise, readmodel, reconcile, replay, resolve, runs, search
 from .sources import tables, web
 from .sources.versions import Versions
 from .streaming import streams
@@ -587,9 +588,62 @@ def similarity(t):
     return p.select("p_partkey", tx.similarity(F.col("p_name"), F.col("p_type")).alias("similarity"))
 
 
-@query()
+#: A page's lines by patterns alone: hidden elements and comments out, tags to line ends or spaces, entities, blanks.
+_LINES = r"""
+WITH a AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html, '\s+', ' ', 'g'), '(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->|<!DOCTYPE[^>]*>', '', 'g'), '<[^>]*$', '') AS h FROM pages),
+b AS (SELECT page_id, regexp_replace(regexp_replace(h, '</?(p|div|section|article|header|footer|main|aside|li|br|h[1-6]|tr|table)( [^>]*)?>', chr(10), 'g'), '<[^>]*>', ' ', 'g') AS h FROM a),
+c AS (SELECT page_id, replace(replace(replace(replace(h, '&copy;', chr(169)), '&middot;', chr(183)), '&quot;', '"'), '&amp;', '&') AS h FROM b),
+d AS (SELECT page_id, list_filter(list_transform(string_split_regex(h, '[\n\r]'), lambda x: trim(regexp_replace(x, '[ \t]+', ' ', 'g'))), lambda x: x <> '') AS lines FROM c)
+"""
+
+
+@query(_LINES + """SELECT page_id, md5('Cách thức Thời hạn' || chr(10) || page_id || ' ngày' || chr(10) || array_to_string(lines, chr(10))) AS body, CASE page_id % 2 WHEN 0 THEN 1 ELSE 0 END AS n_tables FROM d""")
 def html_blocks(t):
-    return web.blocks(t("pages"), "page_id", "html").select("page_id", F.md5("body").alias("body"), F.size("tables").alias("n_tables"))
+    """Pages with a table in front; of odd ones it stands outside any table element."""
+    k = F.col("page_id").cast("string")
+    rows = F.concat(F.lit("<tr><th>Cách  thức</th><th>Thời hạn</th></tr><tr><td></td></tr><tr><td><b>"), k, F.lit("</b> ngày</td></tr>"))
+    front = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("<TABLE class=x>"), rows, F.lit("</TABLE>"))).otherwise(rows)
+    pages = t("pages").withColumn("html", F.concat(front, "html"))
+    return web.blocks(pages, "page_id", "html").select("page_id", F.md5("body").alias("body"), F.size("tables").alias("n_tables"))
+
+
+@query("""
+SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'Trực tiếp=' || page_id || ' ngày;Không xác định=3 ngày(ghi)' WHEN 1 THEN 'Trực tiếp=' || page_id || ' ngày' ELSE '' END AS times,
+  CASE page_id % 3 WHEN 0 THEN 'Trực tiếp=5.000' WHEN 1 THEN 'not_listed_on_dvcqg' ELSE '' END AS fees,
+  CASE page_id % 3 WHEN 2 THEN '' ELSE 'Tờ khai|M1|1|2;Giấy ' || page_id || '|||' END AS papers FROM pages
+""")
+def table_cells(t):
+    k = F.col("page_id").cast("string")
+    row = lambda *cells: F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td>"), c if not isinstance(c, str) else F.lit(c), F.lit("</td>")) for c in cells], F.lit("</tr>"))
+    table = lambda *rows: F.concat(F.lit("<table>"), *rows, F.lit("</table>"))
+    head, day = row("Hình thức NỘP", "Thời hạn giải quyết", "Phí, lệ phí", "Mô tả"), F.concat(k, F.lit("  ngày"))
+    full = table(row("x"), head, row("Trực tiếp", day, "5.000"), row("Trực tiếp", day, "5.000", ""), row("", "3 ngày", "", "ghi"))
+    bare = table(head, row("Trực tiếp", day))
+    papers = table(row("Tên giấy tờ", "Mẫu đơn, tờ khai", "Số lượng"), row("Tờ khai", "M1", "Bản chính: 1 Bản sao:2"), row("TEN GIAY TO"), row("", "M2"), row("tờ KHAI", "m1"), row(F.concat(F.lit("Giấy "), k)))
+    m = F.col("page_id") % 3
+    html = F.when(m == 0, F.concat(full, papers)).when(m == 1, F.concat(papers, bare)).otherwise(table(row("a", "b")))
+    cut = web.blocks(t("pages", "page_id").withColumn("html", html), "page_id", "html")
+    p, given = cells.process(F.col("tables")), lambda x: F.coalesce(x, F.lit(""))
+    note = lambda x: F.when(x.isNotNull(), F.concat(F.lit("("), x, F.lit(")"))).otherwise("")
+    times = F.transform(p["times"], lambda x: F.concat(x["channel"], F.lit("="), x["time"], note(x["note"])))
+    fees = F.transform(p["fees"], lambda x: F.coalesce(x["status"], F.concat(x["channel"], F.lit("="), x["fee"])))
+    told = F.transform(cells.dossier(F.col("tables")), lambda x: F.concat(x["name"], F.lit("|"), given(x["form"]), F.lit("|"), given(x["original"]), F.lit("|"), given(x["copy"])))
+    return cut.select("page_id", F.array_join(times, ";").alias("times"), F.array_join(fees, ";").alias("fees"), F.array_join(told, ";").alias("papers"))
+
+
+@query("""
+SELECT p_partkey, CASE WHEN p_partkey % 50 = 0 THEN 'Tên riêng' WHEN p_partkey % 7 = 1 THEN 'Cấp giấy ' || p_name WHEN p_partkey % 7 = 2 THEN 'Cấp giấy ' || p_name WHEN p_partkey % 7 = 3 THEN 'đi a ' || p_name WHEN p_partkey % 7 = 4 THEN 'é ' || p_name ELSE p_name END AS name,
+  CASE WHEN p_partkey % 7 = 5 THEN 'only_control' WHEN p_partkey % 7 = 6 THEN 'control_character' END AS fault FROM part
+""")
+def repaired_names(t):
+    """Names with words split by a scan, other columns run in, decomposed letters, control marks."""
+    m, n = F.col("p_partkey") % 7, F.col("p_name")
+    raw = F.when(m == 1, F.concat(F.lit("C ấp  giấy "), n, F.lit(" - Thời hạn 5 ngày"))).when(m == 2, F.concat(F.lit("\x07 "), F.lit("C ấp giấy "), n, F.lit(";\x07x"))).when(m == 3, F.concat(F.lit("d i a "), n)).when(m == 4, F.concat(F.lit("e\u0301 "), n, F.lit(" -"))).otherwise(n)
+    title = F.when(m == 5, "\x07 \x07").when(m == 6, "a\x01b").otherwise(n)
+    pairs = [("C ấp", "Cấp"), ("d i", "đ i"), ("đ i", "đi"), ("Cấp giấy x", "y")]
+    over = F.create_map(F.lit(0), F.lit("Tên riêng"))
+    name = tx.repaired_name(raw, F.col("p_partkey") % 50, pairs, catalogue.NAME_BLEED, over)
+    return t("part").select("p_partkey", name.alias("name"), tx.cleaned_title(title, catalogue.TITLE_WORDS)["fault"].alias("fault"))
 
 
 def _scratch(spark: SparkSession, name: str) -> str:

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from .functions import urls
-from .operators import aggregate, classify, diff, expect, gates, materialise, readmodel, reconcile, replay, resolve, search
+from .operators import aggregate, classify, diff, expect, gates, materialise, readmodel, reconcile, replay, resolve, search, projection
 from .plans import curation
 from .queries import query
 from .sources import tables
@@ -442,3 +442,31 @@ def dataset_fingerprint(t):
     b = diff.dataset_fingerprint(c.repartition(5, "c_name").withColumn("seen", F.lit(None).cast("timestamp")), ["seen"])
     c = diff.dataset_fingerprint(c.withColumn("c_name", F.upper("c_mktsegment")), ["seen"])
     return a.join(b, ["rows", "xor", "total"]).join(c, ["xor", "total"], "left_anti").select("rows")
+
+
+@query("""
+WITH a AS (SELECT CASE WHEN c_nationkey < 12 THEN 'commune' WHEN c_nationkey < 22 THEN 'city' END AS sheet, CASE WHEN c_custkey % 60 = 0 THEN '' ELSE c_custkey::VARCHAR END AS key, '1995-01-01' AS day, 'live' AS status, c_mktsegment AS name, 0 AS p, c_custkey AS o, false AS doubt FROM customer
+UNION ALL SELECT CASE WHEN o_custkey % 2 = 0 THEN 'commune' ELSE 'city' END, o_custkey::VARCHAR, CASE WHEN o_orderstatus = 'P' THEN '1995-01-01' ELSE o_orderdate::DATE::VARCHAR END, CASE o_orderstatus WHEN 'O' THEN 'gone' WHEN 'F' THEN 'future' ELSE 'live' END, o_orderpriority, 1, o_orderkey, o_orderpriority = '5-LOW' FROM orders WHERE o_orderkey % 8 < 3),
+r AS (SELECT *, {'d': day, 'r': CASE status WHEN 'live' THEN 4 WHEN 'future' THEN 3 WHEN 'gone' THEN 2 ELSE 0 END} AS c, {'p': p, 'o': o} AS seq FROM a),
+k AS (SELECT * FROM r WHERE sheet IS NOT NULL AND key <> ''),
+w AS (SELECT *, row_number() OVER (PARTITION BY sheet, key ORDER BY c DESC, seq) AS i, count(*) OVER (PARTITION BY sheet, key) AS n,
+  max(c) OVER (PARTITION BY sheet, key ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS lead, first_value(name) OVER (PARTITION BY sheet, key, c ORDER BY seq) AS held FROM k),
+x AS (SELECT sheet, key, c, day, status, name FROM w WHERE c = lead AND name <> held)
+SELECT sheet, '' AS of, '' AS reason, key, day, status, name, n FROM w WHERE i = 1
+UNION ALL SELECT 'review', sheet, 'missing_code', '', day, status, name, count(*) FROM r WHERE sheet IS NOT NULL AND key = '' GROUP BY ALL
+UNION ALL SELECT 'review', sheet, 'low', key, day, status, name, count(*) FROM k WHERE doubt GROUP BY ALL
+UNION ALL SELECT 'review', 'none', 'unclassified', key, day, status, name, count(*) FROM r WHERE sheet IS NULL GROUP BY ALL
+UNION ALL SELECT 'review', x.sheet, 'same_date_material_conflict', x.key, x.day, x.status, x.name, count(*) FROM (SELECT DISTINCT * FROM x) x JOIN k ON k.sheet = x.sheet AND k.key = x.key AND k.c = x.c AND k.name = x.name GROUP BY ALL
+""")
+def projection_plan(t):
+    """Customers and a part of the orders as two producers of two sheets; the review queue beside them."""
+    n, k, s, p = F.col("c_nationkey"), F.col("c_custkey"), F.col("o_orderstatus"), F.col("o_orderpriority")
+    place = lambda c: F.lpad(F.col(c).cast("string"), 20, "0")
+    first = projection.Producer(
+        t("customer"), F.when(n < 12, "commune").when(n < 22, "city"), F.when(k % 60 == 0, " ").otherwise(k.cast("string")), F.lit("1995-01-01"), F.lit("live"), place("c_custkey"), {"name": F.col("c_mktsegment")}, {"only:unclassified": F.lit(True)}, F.lit("none")
+    )
+    second = projection.Producer(
+        t("orders").where("o_orderkey % 8 < 3"), F.when(F.col("o_custkey") % 2 == 0, "commune").otherwise("city"), F.col("o_custkey"), F.when(s == "P", "1995-01-01").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")),
+        F.when(s == "O", "gone").when(s == "F", "future").otherwise("live"), place("o_orderkey"), {"name": p}, {"low": p == "5-LOW"},
+    )
+    return projection.plan([first, second], {"live": 4, "future": 3, "gone": 2}, ["name"])

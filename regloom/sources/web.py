@@ -23,41 +23,63 @@ def title(html: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1), r"(?U)\s+", " "))
 
 
-_HIDDEN = {"script", "style", "noscript", "svg"}
-_BLOCKS = {"p", "div", "li", "tr", "br", "h1", "h2", "h3", "h4", "h5", "h6", "section", "article", "table", "ul", "ol"}
+#: Elements whose content is not shown, and elements that begin and end a line.
+HIDDEN = frozenset(("script", "style", "noscript", "svg"))
+BLOCKS = frozenset(("p", "div", "section", "article", "header", "footer", "main", "aside", "li", "br", "h1", "h2", "h3", "h4", "h5", "h6", "tr", "table"))
+
+
+def _plain(x: str) -> str:
+    return " ".join(x.split())
 
 
 class _Visible(HTMLParser):
+    """Text lines and tables of a page. A table within a table takes its place; rows without text and empty tables are left out."""
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.hidden, self.text, self.tables, self.cell = 0, [], [], None
+        self.hidden, self.text, self.tables = 0, [], []
+        self.rows = self.row = self.cell = None
 
     def handle_starttag(self, tag, attrs):
-        if tag in _HIDDEN:
+        if tag in HIDDEN:
             self.hidden += 1
-        elif tag == "table":
-            self.tables.append([])
-        elif tag == "tr" and self.tables:
-            self.tables[-1].append([])
-        elif tag in ("td", "th") and self.tables and self.tables[-1]:
-            self.cell = []
-        if tag in _BLOCKS:
+        if self.hidden:
+            return
+        if tag in BLOCKS:
             self.text.append("\n")
+        match tag:
+            case "table":
+                self.rows = []
+            case "tr" if self.rows is not None:
+                self.row = []
+            case "td" | "th" if self.row is not None:
+                self.cell = []
 
     def handle_endtag(self, tag):
-        if tag in _HIDDEN:
+        if tag in HIDDEN:
             self.hidden = max(0, self.hidden - 1)
-        elif tag in ("td", "th") and self.cell is not None:
-            self.tables[-1][-1].append(" ".join("".join(self.cell).split()))
-            self.cell = None
-        if tag in _BLOCKS:
+            return
+        if self.hidden:
+            return
+        match tag:
+            case "td" | "th" if self.cell is not None and self.row is not None:
+                self.row.append(_plain(" ".join(self.cell)))
+                self.cell = None
+            case "tr" if self.row is not None and self.rows is not None:
+                self.rows += [self.row] if any(self.row) else []
+                self.row = None
+            case "table" if self.rows is not None:
+                self.tables += [self.rows] if self.rows else []
+                self.rows = None
+        if tag in BLOCKS:
             self.text.append("\n")
 
     def handle_data(self, data):
-        if not self.hidden:
-            self.text.append(data)
+        shown = "" if self.hidden else _plain(data)
+        if shown:
+            self.text += [shown, " "]
             if self.cell is not None:
-                self.cell.append(data)
+                self.cell.append(shown)
 
 
 def blocks(pages: DataFrame, key: str, html: str) -> DataFrame:
@@ -70,7 +92,7 @@ def blocks(pages: DataFrame, key: str, html: str) -> DataFrame:
             for k, h in zip(f[key], f[html], strict=True):
                 p = _Visible()
                 p.feed(h or "")
-                lines = (" ".join(x.split()) for x in "".join(p.text).split("\n"))
+                lines = map(_plain, "".join(p.text).splitlines())
                 out.append((k, "\n".join(x for x in lines if x), p.tables))
             yield pd.DataFrame(out, columns=[key, "body", "tables"])
 
