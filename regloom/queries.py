@@ -8,6 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .functions import catalogue
 from .functions import evidence as ev
@@ -711,3 +712,32 @@ SELECT source, url, number, CASE WHEN base THEN 'baseline_only' WHEN event_type
   CASE WHEN base THEN 'baseline_only' WHEN event_type NOT IN ('purchase', 'error') THEN 'excluded_non_tthc' WHEN event_type = 'error' THEN 'missing_decision_number' WHEN d.added.u = url THEN 'auto_discovered' ELSE 'known_decision_new_listing_url' END AS status
 FROM a LEFT JOIN d USING (number)
 """
+
+
+def _stream_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of three days as projections of their customers: manual columns stay, customers who are gone are held."""
+    o = tables.parquet(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("k"), F.col("o_orderpriority").alias("name"), F.lit("ok").alias("status"), F.lit("").alias("note"), F.when(F.col("o_orderkey") % 4 == 0, F.col("o_orderstatus")).otherwise("").alias("mine"), F.col("o_orderkey").alias("at"))
+    source = _scratch(spark, "stream-in")
+    for i in range(3):
+        o.where(F.col("k").cast("long") % 5 >= i).where(F.col("at") % 3 == i).coalesce(1).write.mode("append").parquet(source)
+    kinds = {"model": "k string, name string, status string, note string, mine string", "log": "k string, action string, before string, after string, batch long"}
+    model, log = (Versions(spark, _scratch(spark, n), StructType.fromDDL(k)) for n, k in kinds.items())
+    merge = lambda now, new: readmodel.upsert(now, new, "k", ["name", "status", "note"], ["mine"], "status", "held", "[gone]", "note")
+    streams.upsert_batches(streams.file_stream(spark, source, o.schema, 1), model, log, "k", "at", merge, _scratch(spark, "stream-checkpoint")).awaitTermination()
+    changes = log.read().groupBy("k").agg(F.count("*").alias("n_changes"))
+    return model.read().join(changes, "k")
+
+
+QUERIES["stream_upserts"] = _stream_upserts
+ORACLES["stream_upserts"] = """
+WITH o AS (SELECT o_custkey::VARCHAR AS k, o_orderpriority AS name, CASE WHEN o_orderkey % 4 = 0 THEN o_orderstatus ELSE '' END AS mine, o_orderkey AS nr, o_orderkey % 3 AS d FROM orders),
+h AS (SELECT DISTINCT k, k::BIGINT % 5 AS h FROM o),
+l AS (SELECT k, d, max_by(name, nr) AS name, max_by(mine, nr) AS mine FROM o JOIN h USING (k) WHERE h >= d GROUP BY 1, 2),
+f AS (SELECT k, min(d) AS first, max(d) AS last, min_by(mine, d) AS mine, max_by(name, d) AS name FROM l GROUP BY 1),
+s AS (SELECT f.k, x.d, y.name AS name, y.k IS NOT NULL AS here FROM f CROSS JOIN (SELECT unnest([0, 1, 2]) AS d) x LEFT JOIN l y ON y.k = f.k AND y.d = x.d WHERE x.d >= f.first),
+t AS (SELECT s.*, f.first, last_value(CASE WHEN here THEN s.name END IGNORE NULLS) OVER (PARTITION BY s.k ORDER BY d ROWS UNBOUNDED PRECEDING) AS held, lag(here) OVER (PARTITION BY s.k ORDER BY d) AS was FROM s JOIN f ON f.k = s.k),
+u AS (SELECT *, lag(held) OVER (PARTITION BY k ORDER BY d) AS before FROM t)
+SELECT f.k, f.name, CASE WHEN here THEN 'ok' ELSE 'held' END AS status, CASE WHEN here THEN '' ELSE '[gone]' END AS note, f.mine,
+  (SELECT count(*) FROM u v WHERE v.k = f.k AND (v.d = v.first OR NOT v.here OR NOT v.was OR v.held <> v.before)) AS n_changes
+FROM f JOIN u ON u.k = f.k AND u.d = 2
+"""

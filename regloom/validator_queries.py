@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .functions import catalogue
 from .functions import text as tx
-from .operators import field_gates, gates, validators
+from .operators import contract, field_gates, gates, upgrade, validators
 from .operators.expect import Rule
 from .operators.integrity import Pair, Side, Table, findings
 from .queries import query
@@ -214,3 +214,79 @@ def validated_fields(t):
     days = F.when(n < 8, F.array(F.lit("5 ngày"), F.lit("3 ngày"))).when(n < 16, F.array(F.lit("5 ngày"), F.lit("5 ngày")))
     out = gates.validated_fields(t("customer").withColumn("k", F.col("c_custkey")), "k", {"agency": gates.agency_value(values, segments, catalogue.AGENCY_LABELS, catalogue.RECEPTION_PLACES), "duration": gates.single_value(days)})
     return out.select("k", F.col("agency.status").alias("agency"), "agency.reason", F.col("duration.status").alias("duration"), F.array_join("promotable", ",").alias("promotable"), "verification")
+
+
+_RECORDS = """
+WITH c AS (SELECT c_custkey AS k, c_nationkey AS n, 'https://a.gov.vn/' || c_custkey AS u, '2024-01-' || lpad((1 + c_custkey % 28)::VARCHAR, 2, '0') AS d FROM customer),
+j AS (SELECT *, 'ev_' || left(sha1('{"articleUrl":"' || u || '","attachmentSha256":null,"attachmentUrl":null,"classification":"public","decisionNumbers":["' || n || '/QĐ"],"effectiveDate":null,"publishedDate":"' || d || '","repealContext":false,"sourceRole":"local_legal_effect","url":"' || u || '"}'), 24) AS legal,
+  'ev_' || left(sha1('{"articleUrl":null,"attachmentSha256":null,"attachmentUrl":null,"classification":"dvcqg_submission_link","decisionNumbers":[],"effectiveDate":null,"publishedDate":null,"repealContext":false,"sourceRole":"local_execution","url":"' || 'https://gate.gov.vn/f?provinceCode=31&wardCode=11824&commune=WARD&formalityId=' || k || '"}'), 24) AS link,
+  'ev_' || left(sha1('{"articleUrl":null,"attachmentSha256":null,"attachmentUrl":null,"classification":"official_guidance","decisionNumbers":[],"effectiveDate":null,"publishedDate":null,"repealContext":false,"sourceRole":"central_content_reference","url":"https://m.gov.vn/' || n || '"}'), 24) AS guide FROM c)
+"""
+
+
+def _records(t):
+    k, n = F.col("c_custkey").cast("string"), F.col("c_nationkey").cast("string")
+    text, texts = F.lit(None).cast("string"), F.lit(None).cast("array<string>")
+    fields = {"articleUrl": F.concat(F.lit("https://a.gov.vn/"), k), "publishedDate": F.concat(F.lit("2024-01-"), F.lpad((1 + F.col("c_custkey") % 28).cast("string"), 2, "0")), "classification": F.lit("public"), "decisionNumbers": F.array(F.concat(n, F.lit("/QĐ"))), "repealContext": F.lit(None).cast("boolean")}
+    e = F.struct(*[fields.get(x, texts if x == "decisionNumbers" else text).alias(x) for x in upgrade._NAMES]).cast(upgrade.EVIDENCE)
+    link = F.when(F.col("c_nationkey") % 2 == 0, F.concat(F.lit("https://gate.gov.vn/f?provinceCode=31&wardCode=11824&commune=WARD&formalityId="), k))
+    source = F.struct(F.lit("s").alias("id"), F.concat(F.lit("https://m.gov.vn/"), n).alias("url"), F.when(F.col("c_nationkey") >= 0, "central_content_reference").alias("sourceRole"), text.alias("classification"), text.alias("publishedDate"), text.alias("effectiveDate"))
+    rows = t("customer").select(
+        k.alias("ma"), F.col("c_name").alias("ten"), F.col("c_nationkey").alias("n"), F.array(e, F.when(F.col("c_nationkey") < 8, e)).alias("evidence"), link.alias("link"),
+        F.when(F.col("c_nationkey") < 12, F.array(source)).alias("sources"), F.create_map(F.lit("lePhi"), F.array(F.when(F.col("c_nationkey") < 6, "s").otherwise("none"))).alias("cites"),
+    )
+    there = F.col("link").isNotNull()
+    guide = upgrade.Guide(F.col("sources"), F.col("cites"), {"lePhi": F.lit(True)}, {})
+    out = upgrade.upgraded(rows, F.col("evidence"), {"ma": F.lit(True), "quyetDinh": F.lit(False)}, {"nopHoSoUrl": there}, F.lit(False), [(F.col("link"), "dvcqg_submission_link", F.lit(""))], F.lit("2024-07-01"), ["gov.vn"], "gate.gov.vn", guide)
+    return out
+
+
+@query(_RECORDS + """
+SELECT k::VARCHAR AS key, d AS effective_from, concat_ws(',', legal, CASE WHEN n % 2 = 0 THEN link END, CASE WHEN n < 12 THEN guide END) AS ids,
+  concat_ws(';', CASE WHEN n < 12 THEN 'huongDan.lePhi=' || guide END, 'lifecycle.effectiveFrom=' || legal, 'lifecycle.status=' || legal, 'ma=' || legal, CASE WHEN n % 2 = 0 THEN 'nopHoSoUrl=' || link END) AS sources FROM j
+""")
+def record_upgrade(t):
+    pairs = F.array_sort(F.transform(F.map_entries("fieldSources"), lambda x: F.concat(x["key"], F.lit("="), F.array_join(x["value"], ","))))
+    ids = F.array_join(F.transform("sourceEvidence", lambda e: e["evidenceId"]), ",")
+    return _records(t).select(F.col("ma").alias("key"), F.col("lifecycle.effectiveFrom").alias("effective_from"), ids.alias("ids"), F.array_join(pairs, ";").alias("sources"))
+
+
+@query(_RECORDS + """,
+f AS (SELECT 'NAME_CP437' AS code, k, 'a character of another encoding' AS message FROM j WHERE k % 40 = 1
+UNION ALL SELECT 'NAME_SPLIT', k, 'Ch ứng' FROM j WHERE k % 40 = 2
+UNION ALL SELECT 'NAME_NOT_NFC', k, 'not composed' FROM j WHERE k % 40 = 3
+UNION ALL SELECT 'NAME_CONTROL', k, 'a control character' FROM j WHERE k % 40 = 4
+UNION ALL SELECT 'LIFECYCLE_STATUS', k, 'gone' FROM j WHERE k % 40 = 5
+UNION ALL SELECT 'EVIDENCE_ID_CONTENT', k, '1' FROM j WHERE k % 40 = 6
+UNION ALL SELECT 'ACTIVE_BUT_REPEALED', k, '2024-06-01' FROM j WHERE k % 40 = 7
+UNION ALL SELECT 'FIELD_UNKNOWN_ID', k, 'ma:ev_deadbeefdeadbeefdeadbeef' FROM j WHERE k % 40 = 8
+UNION ALL SELECT 'FIELD_NEEDS_LEGAL', k, 'ma' FROM j WHERE k % 40 = 8
+UNION ALL SELECT 'FIELD_WITHOUT_SOURCE', k, 'nopHoSoUrl' FROM j WHERE k % 40 = 9 AND n % 2 = 0
+UNION ALL SELECT 'EVIDENCE_AGAIN', k, legal FROM j WHERE k % 40 = 10
+UNION ALL SELECT 'LINK_ID', k, k::VARCHAR FROM j WHERE k % 40 = 11 AND n % 2 = 0
+UNION ALL SELECT 'LINK_COMMUNE', k, 'wardCode=' FROM j WHERE k % 40 = 12 AND n % 2 = 0
+UNION ALL SELECT 'GUIDE_STATUS', k, 'draft' FROM j WHERE k % 40 = 13 AND n < 12
+UNION ALL SELECT 'LIFECYCLE_FUTURE', k, d FROM j WHERE k % 40 = 14)
+SELECT 'error' AS severity, code, k::VARCHAR AS key, message FROM f
+UNION ALL SELECT 'error', 'VERSION', '', 'another version'
+""")
+def canonical_contract(t):
+    m = F.col("ma").cast("int") % 40
+    df = _records(t)
+    first = F.get("sourceEvidence", F.lit(0))
+    repeal = upgrade._rebuilt(first, repealContext=F.lit(True), effectiveDate=F.lit("2024-06-01"))
+    repeal = upgrade._rebuilt(repeal, evidenceId=upgrade.content_id(repeal))
+    spoiled = F.transform("sourceEvidence", lambda e, i: F.when((i == 0) & (m == 6), upgrade._rebuilt(e, attachmentSha256=F.lit("a" * 64))).otherwise(e))
+    evidence = F.when(m == 7, F.concat("sourceEvidence", F.array(repeal))).when(m == 10, F.concat("sourceEvidence", F.array(first))).otherwise(spoiled)
+    life = F.col("lifecycle")
+    status = F.when(m == 5, "gone").when(m == 14, "future_effective").otherwise(life["status"])
+    lifecycle = F.struct(status.alias("status"), F.when(m == 14, life["effectiveFrom"]).otherwise(life["asOf"]).alias("asOf"), life["effectiveFrom"].alias("effectiveFrom"), life["effectiveTo"].alias("effectiveTo"))
+    unknown = F.transform_values("fieldSources", lambda f, ids: F.when((m == 8) & (f == "ma"), F.array(F.lit("ev_deadbeefdeadbeefdeadbeef"))).otherwise(ids))
+    sources = F.map_filter(unknown, lambda f, _: ~((m == 9) & (f == "nopHoSoUrl")))
+    name = F.when(m == 1, "Th├╗").when(m == 2, "Cấp Ch ứng chỉ").when(m == 3, "é").when(m == 4, "a\x07b").otherwise(F.col("ten"))
+    df = df.withColumns({"sourceEvidence": evidence, "lifecycle": lifecycle, "fieldSources": sources, "ten": name})
+    url = F.when(m == 12, F.replace("link", F.lit("wardCode=11824&"), F.lit(""))).otherwise(F.col("link"))
+    link = contract.Link(url, F.lit("verified_official_guidance"), F.when(m == 11, "x").otherwise(F.col("ma")), F.lit("Xã"), "gate.gov.vn")
+    guide = contract.Guidance(F.when(F.col("sources").isNotNull(), F.when(m == 13, "draft").otherwise("verified_official")), F.col("sources"), F.lit(None).cast("string"))
+    meta = t("region").agg(F.max(F.lit("f")).alias("format"), F.max(F.lit(3)).alias("version"), F.max(F.lit("2024.07.01")).alias("dataset_version"), F.max(F.sha1(F.lit("x"))).alias("source_commit"), F.max(F.lit("kind")).alias("source_commit_kind"))
+    return contract.canonical(df, meta, F.col("ma"), F.col("ten"), {"ma": F.lit(True), "nopHoSoUrl": F.col("link").isNotNull()}, link, guide, ["gov.vn"], "f", "kind")
