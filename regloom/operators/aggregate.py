@@ -48,6 +48,19 @@ def coverage(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     return long_form(df, key, columns).groupBy("field").agg(F.count_if(filled).alias("filled"), F.count_if(~filled).alias("blank"))
 
 
+def unresolved(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """field, key: the keys whose field is blank."""
+    return long_form(df, key, columns).where(F.coalesce("value", F.lit("")) == "").select("field", key)
+
+
+def totals_by(df: DataFrame, column: str, classes: Sequence[str], other: str = "other") -> DataFrame:
+    """class, n: rows of each of a closed list of classes, those without a row included, and of all others."""
+    asked = F.array(*map(F.lit, [*classes, other]))
+    known = F.when(F.col(column).isin(*classes), F.col(column)).otherwise(other)
+    n = df.groupBy(known.alias("class")).agg(F.count("*").alias("n"))
+    return df.sparkSession.range(1).select(F.explode(asked).alias("class")).join(n, "class", "left").select("class", F.coalesce("n", F.lit(0).cast("long")).alias("n"))
+
+
 def crosstab(df: DataFrame, row: str, column: str, values: Sequence[str]) -> DataFrame:
     return df.groupBy(row).agg(*[F.count_if(F.col(column) == v).alias(str(v)) for v in values])
 

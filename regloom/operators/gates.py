@@ -42,6 +42,20 @@ def gate(candidates: DataFrame, canonical: DataFrame, key: str, value: Column, c
     return out.select(key, F.when(F.col("n_values") == 1, F.col("value")).alias("value"), "n_values", F.col("_say.bucket").alias("bucket"), F.col("_say.reason").alias("reason"))
 
 
+def level_gate(candidates: DataFrame, canonical: DataFrame, key: str, value: Column, confidence: Column, current: Column, allowed: Sequence[str], unknown: str = "UNKNOWN") -> DataFrame:
+    """The gate of a closed list of levels: only values of high confidence that the list holds count, whatever their case.
+
+    Values that disagree go to review with none of them; a current level that is blank or unknown is filled, an equal one
+    confirmed, another one held for review. Reasons as in gate, but candidate_disagreement and conflicts_with_canonical.
+    """
+    level = F.upper(F.trim(value))
+    sure = candidates.where((confidence == "high") & level.isin(*allowed) & (F.coalesce(F.col(key).cast("string"), F.lit("")) != ""))
+    out = gate(sure, canonical, key, level, F.upper(F.trim(current)), unknown=("", unknown))
+    names = {"disagreement": "candidate_disagreement", "conflict": "conflicts_with_canonical"}
+    reason = F.coalesce(*[F.when(F.col("reason") == k, F.lit(v)) for k, v in names.items()], F.col("reason"))
+    return out.withColumn("reason", reason)
+
+
 def contains_either(a: Column, b: Column) -> Column:
     return a.contains(b) | b.contains(a)
 

@@ -79,9 +79,13 @@ def digest(tasks: DataFrame, basis: DataFrame, ids: Sequence[str], basis_id: str
     b = basis.select(F.col(basis_id).cast("string").alias("_id")).distinct().withColumn("_has", F.lit(1))
     any_id = F.array_distinct(F.filter(F.array(*[F.col(c).cast("string") for c in ids]), lambda x: x.isNotNull()))
     hit = tasks.select(pos, F.explode(any_id).alias("_id")).join(b, "_id", "left_semi").select(pos).distinct().withColumn("_basis", F.lit(True))
-    rows = tasks.join(hit, pos, "left").withColumn("_rank", F.row_number().over(W.partitionBy(domain).orderBy(pos)))
-    names = F.array_sort(F.collect_list(F.when(F.col("_rank") <= first, F.struct("_rank", F.col(name).alias("n")))))
-    return rows.groupBy(domain).agg(F.count("*").alias("tasks"), F.count_if(F.col("_basis")).alias("with_basis"), F.array_join(F.transform(names, lambda x: x["n"]), "; ").alias("names"))
+    counts = tasks.join(hit, pos, "left").groupBy(domain).agg(F.count("*").alias("tasks"), F.count_if(F.col("_basis")).alias("with_basis"))
+    # the rank is a group limit: of a domain with many tasks only the first come to its task
+    rank = F.row_number().over(W.partitionBy(domain).orderBy(pos))
+    few = tasks.select(domain, pos, name).withColumn("_rank", rank).where(F.col("_rank") <= first)
+    names = F.array_sort(F.collect_list(F.struct("_rank", F.col(name).alias("n"))))
+    told = few.groupBy(F.col(domain).alias("_domain")).agg(F.array_join(F.transform(names, lambda x: x["n"]), "; ").alias("names"))
+    return counts.join(told, F.col(domain).eqNullSafe(F.col("_domain"))).drop("_domain")
 
 
 def tracking(events: DataFrame, key: str, current: DataFrame, excluded: DataFrame, states: Mapping[str, str]) -> DataFrame:

@@ -36,6 +36,25 @@ def buckets(resolved: DataFrame, key: str, target: int) -> DataFrame:
     )
 
 
+def results(resolved: DataFrame, key: str, label: str, provisional: Sequence[str], unclear: Sequence[str], evidenced: Sequence[str]) -> DataFrame:
+    """bucket, key of every record: MATCHED where evidence puts it into scope, EXTRA where it is out of scope, MISCLASSIFIED where
+    evidence and label disagree, AMBIGUOUS where its label is unclear and no evidence decides, PROVISIONAL where only the label
+    says it is in scope.
+
+    resolved: as levels() gives it, with the label. A record may stand in several buckets. MISSING has no keys: without a list of
+    keys from the publisher none is invented, see buckets() for how many are missing at least.
+    """
+    decided = F.col("level_source").isin("hint", "table")
+    told = F.array(
+        F.when(decided & F.col("level").isin(*evidenced), "MATCHED"),
+        F.when(~F.col("in_scope"), "EXTRA"),
+        F.when(F.col("conflict"), "MISCLASSIFIED"),
+        F.when(~decided & F.col(label).isin(*unclear), "AMBIGUOUS"),
+        F.when(F.col(label).isin(*provisional), "PROVISIONAL"),
+    )
+    return resolved.select(F.explode(F.array_compact(told)).alias("bucket"), key).distinct()
+
+
 def crosswalk(items: DataFrame, master: DataFrame, live: DataFrame, key: str) -> DataFrame:
     """items with in_master, master and live columns; live must have exactly the items' keys."""
     from .diff import exact_set

@@ -56,27 +56,72 @@ def poisoned(df: DataFrame, keys: Sequence[str], unsafe: Column) -> DataFrame:
     return df.groupBy(*keys).agg(F.bool_or(F.coalesce(unsafe, F.lit(False))).alias("poisoned"))
 
 
-def ordered_distinct(value: str, pos: str, n: int) -> Column:
-    """Aggregate: the first n distinct values in order of position."""
-    pairs = F.array_sort(F.collect_list(F.struct(F.col(pos), F.col(value))))
-    return F.slice(F.array_distinct(F.transform(pairs, lambda p: p[value])), 1, n)
+def ordered_distinct(df: DataFrame, keys: Sequence[str], value: str, pos: str, n: int) -> DataFrame:
+    """keys, value (array): the first n distinct values of each key in order of position; nulls are left out.
+
+    Values are reduced to their first position before the shuffle, and the rank is a group limit, so a key that many rows
+    share brings few rows to its task.
+    """
+    firsts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.min(pos).alias("_p"))
+    rank = F.row_number().over(W.partitionBy(*keys).orderBy("_p", value))
+    few = firsts.withColumn("_rank", rank).where(F.col("_rank") <= n)
+    pairs = F.array_sort(F.collect_list(F.struct("_rank", F.col(value).alias("v"))))
+    return few.groupBy(*keys).agg(F.transform(pairs, lambda p: p["v"]).alias(value))
 
 
-def merge_rows(df: DataFrame, keys: Sequence[str], pos: str, status: str, priority: Sequence[str], flag: str, name: str, context: str, longest: int = 240, chars: int = 2400) -> DataFrame:
-    """One row per key: highest status (first of equals), any flag, the longest name, contexts joined and cut.
+def merge_rows(df: DataFrame, keys: Sequence[str], pos: str, status: str, priority: Sequence[str], flag: str, name: str, context: str, longest: int = 240, chars: int = 2400, first: Sequence[str] = ()) -> DataFrame:
+    """One row per key: highest status (first of equals), any flag, the longest name, contexts joined and cut, and of the first
+    row the columns `first`.
 
-    The first row's name is replaced only by a strictly longer one of at most `longest` characters.
+    The first row's name is replaced only by a strictly longer one of at most `longest` characters. Of the contexts no more
+    are gathered than can stand within `chars`; all else are partial aggregates.
     """
     level = F.coalesce(*[F.when(F.col(status) == s, F.lit(len(priority) - i)) for i, s in enumerate(priority)], F.lit(0))
-    usable = (F.length(name) <= longest) | (F.col("_first") == F.col(pos))
-    rows = df.withColumn("_first", F.min(pos).over(W.partitionBy(*keys))).withColumn("_level", level)
-    said = F.array_sort(F.collect_list(F.when(F.col(context) != "", F.struct(F.col(pos), F.col(context)))))
-    return rows.groupBy(*keys).agg(
+    rows = df.withColumn("_level", level)
+    length = lambda c: F.length(F.coalesce(c, F.lit("")))
+    whole = rows.groupBy(*keys).agg(
         F.max_by(status, F.struct("_level", -F.col(pos))).alias(status),
         F.bool_or(flag).alias(flag),
-        F.max_by(name, F.struct(F.when(usable, F.length(name)).otherwise(-1), -F.col(pos))).alias(name),
-        F.substring(F.array_join(F.transform(said, lambda x: x[context]), " | "), 1, chars).alias(context),
+        F.min_by(F.struct(F.col(name).alias("name"), *first), pos).alias("_first"),
+        F.max_by(name, F.struct(F.when(length(F.col(name)) <= longest, length(F.col(name))).otherwise(-1), -F.col(pos))).alias("_longest"),
+    )
+    own = F.col("_first.name")
+    better = (length(F.col("_longest")) > length(own)) & (length(F.col("_longest")) <= longest)
+    whole = whole.withColumn(name, F.when(better, F.col("_longest")).otherwise(own))
+    whole = whole.select(*keys, status, flag, name, *[F.col(f"_first.{c}").alias(c) for c in first])
+    most = chars // 4 + 1  # a context and what joins it have four characters at least
+    rank = F.row_number().over(W.partitionBy(*keys).orderBy(pos))
+    said = df.where(F.col(context) != "").select(*keys, pos, F.substring(context, 1, chars).alias("_c")).withColumn("_rank", rank).where(F.col("_rank") <= most)
+    pairs = F.array_sort(F.collect_list(F.struct("_rank", "_c")))
+    told = said.groupBy(*keys).agg(F.substring(F.array_join(F.transform(pairs, lambda x: x["_c"]), " | "), 1, chars).alias(context))
+    return whole.join(told, list(keys), "left").withColumn(context, F.coalesce(context, F.lit("")))
+
+
+def merge_longer(df: DataFrame, keys: Sequence[str], pos: str, texts: Sequence[str], flags: Sequence[str]) -> DataFrame:
+    """One row per key: of each text the longest that is not blank, the earliest of equals, else the empty text; flags as any row's."""
+    filled = lambda c: F.when(F.coalesce(F.col(c), F.lit("")) != "", F.struct(F.length(c).alias("n"), -F.col(pos)))
+    best = [F.coalesce(F.max_by(c, filled(c)), F.lit("")).alias(c) for c in texts]
+    return df.groupBy(*keys).agg(*best, *[F.coalesce(F.bool_or(c), F.lit(False)).alias(c) for c in flags])
+
+
+def merge_baseline(df: DataFrame, keys: Sequence[str], pos: str, texts: Sequence[str], lists: Sequence[str], fills: Sequence[str], separator: str = "; ") -> DataFrame:
+    """One row per key: the longest text (the greatest of equals), the union of lists in order of appearance, blanks filled by
+    the first row that has a value.
+
+    A list is text whose entries stand between separators; entries are split, trimmed and kept once. Entries are reduced to
+    their first place before they are gathered.
+    """
+    filled = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
+    out = df.groupBy(*keys).agg(
+        *[F.coalesce(F.max(F.when(filled(c), F.struct(F.length(c).alias("n"), F.col(c).alias("v"))))["v"], F.lit("")).alias(c) for c in texts],
+        *[F.coalesce(F.min_by(c, F.when(filled(c), F.col(pos))), F.lit("")).alias(c) for c in fills],
     )
+    for c in lists:
+        entries = df.where(filled(c)).select(*keys, pos, F.posexplode(F.split(c, separator.strip())).alias("_i", "_e")).withColumn("_e", F.trim("_e")).where("_e <> ''")
+        firsts = entries.groupBy(*keys, "_e").agg(F.min(F.struct(pos, "_i")).alias("_at"))
+        joined = firsts.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_at", "_e"))), lambda x: x["_e"]), separator).alias(c))
+        out = out.join(joined, list(keys), "left").withColumn(c, F.coalesce(c, F.lit("")))
+    return out
 
 
 def longest_text(df: DataFrame, keys: Sequence[str], value: str, pos: str, most: int | None = None) -> DataFrame:
@@ -87,16 +132,6 @@ def longest_text(df: DataFrame, keys: Sequence[str], value: str, pos: str, most:
     return good.groupBy(*keys).agg(F.max_by(F.struct(F.col(pos), F.col(value)), F.struct(F.length(value), -F.col(pos))).alias("w")).select(*keys, f"w.{pos}", f"w.{value}")
 
 
-def greatest_text(value: str) -> Column:
-    """Aggregate: the longest value, the lexicographically greatest of equals."""
-    return F.max(F.when(F.col(value) != "", F.struct(F.length(value).alias("n"), F.col(value).alias("v"))))["v"]
-
-
-def joined_distinct(value: str, pos: str, separator: str = "; ") -> Column:
-    pairs = F.array_sort(F.collect_list(F.when(F.col(value) != "", F.struct(F.col(pos), F.col(value)))))
-    return F.array_join(F.array_distinct(F.transform(pairs, lambda p: p[value])), separator)
-
-
 def flagged_first(df: DataFrame, key: str, flag: str, name: str, pos: str) -> DataFrame:
     """One row per key: a flagged one, else the longer name, else the earlier; the flag is any row's."""
     any_flag = F.max(F.col(flag)).over(W.partitionBy(key))

@@ -27,6 +27,16 @@ def facet_filter(df: DataFrame, equal: Mapping[str, str], flags: Sequence[str],
     return df
 
 
+def fold_order(*columns: str) -> list[Column]:
+    """Order by folded texts, then by the last column as it is."""
+    return [*[fold_d(F.col(c)) for c in columns[:-1]], F.col(columns[-1])]
+
+
+def case_order(*columns: str) -> list[Column]:
+    """Order by texts in lower case, equal ones as they are."""
+    return [*[F.lower(F.col(c)) for c in columns], *[F.col(c) for c in columns]]
+
+
 def page(df: DataFrame, order: Sequence[Column], number: int, size: int = 30) -> DataFrame:
     """A page of a total order; pages before the first are the first."""
     return df.orderBy(*order).offset((max(number, 1) - 1) * size).limit(size)

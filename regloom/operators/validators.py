@@ -132,3 +132,21 @@ def registry(rows: DataFrame, key: str, url: str, suffixes: Sequence[str], neede
     short = short.where("n < least").select(F.lit("error").alias("severity"), F.lit("PORTFOLIO").alias("code"), "key", F.concat_ws(" of ", "n", "least").alias("message"))
     same_url = repeated(rows, F.rtrim(F.col(url), F.lit("/")), "DUPLICATE_URL")
     return _rows(rows, k, F.array(*told)).unionByName(repeated(rows, k, "DUPLICATE_ID")).unionByName(same_url).unionByName(short)
+
+
+def priority_set(master: DataFrame, guidance: DataFrame, key: str, wanted: Column, fields: Mapping[str, Column], provenance: Column, target: int, complete: bool = False) -> DataFrame:
+    """severity, code, key, message, n of a set of keys that guidance must cover: as many keys as the target says, a row of guidance
+    for each of them and for no other, provenance for every filled field, and, if asked for, every field filled.
+
+    One scan of each table: see integrity.findings.
+    """
+    from .expect import Rule
+    from .integrity import Pair, Side, Table, findings
+
+    k = F.trim(F.col(key))
+    rules = [Rule("FIELD_WITHOUT_PROVENANCE", ~blank(c) & no_items(F.try_element_at(provenance, F.lit(f))), f) for f, c in fields.items()]
+    if complete:
+        rules += [Rule("INCOMPLETE", blank(c), f) for f, c in fields.items()]
+    tables = {"master": Table(master.where(wanted), k, unique={"PRIORITY_AGAIN": k}, totals={"wanted": F.lit(1)}), "guidance": Table(guidance, k, rules)}
+    pair = Pair("master and guidance", Side("master", k), Side("guidance", k), lambda m, g: [Rule("GUIDANCE_MISSING", m.there & ~g.there), Rule("GUIDANCE_EXTRA", g.there & ~m.there)])
+    return findings(tables, [pair], lambda v: [Rule("PRIORITY_COUNT", v.n("wanted") != target, F.concat_ws(" of ", v.text("wanted"), F.lit(str(target))))])

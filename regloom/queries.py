@@ -14,7 +14,7 @@ from .functions import catalogue
 from .functions import evidence as ev
 from .functions import text as tx
 from .functions import urls
-from .operators import aggregate, cells, classify, diff, discovery, expect, gates, lines, materialise, readmodel, reconcile, replay, resolve, runs, search
+from .operators import aggregate, cells, classify, diff, discovery, expect, gates, lines, materialise, readmodel, reconcile, replay, resolve, runs, search, validators
 from .sources import tables, web
 from .sources.versions import Versions
 from .streaming import streams
@@ -248,16 +248,105 @@ def longest_text(t):
 SELECT user_id, array_to_string(list_slice(list(event_type ORDER BY f), 1, 3), ',') AS first_types FROM (SELECT user_id, event_type, min(event_id) AS f FROM events GROUP BY ALL) GROUP BY user_id
 """)
 def ordered_distinct(t):
-    return t("events").groupBy("user_id").agg(F.array_join(resolve.ordered_distinct("event_type", "event_id", 3), ",").alias("first_types"))
+    d = resolve.ordered_distinct(t("events"), ["user_id"], "event_type", "event_id", 3)
+    return d.select("user_id", F.array_join("event_type", ",").alias("first_types"))
 
 
 @query("""
+WITH e AS (SELECT *, min(event_id) OVER (PARTITION BY user_id) AS f, event_type || '-' || CAST(event_id % 7 AS VARCHAR) AS said, repeat('n', CAST(event_id % 9 AS INT)) || user_id AS name FROM events)
 SELECT user_id, CASE max(CASE event_type WHEN 'error' THEN 3 WHEN 'purchase' THEN 2 WHEN 'click' THEN 1 ELSE 0 END) WHEN 3 THEN 'error' WHEN 2 THEN 'purchase' WHEN 1 THEN 'click' ELSE arg_min(event_type, event_id) END AS event_type,
-  bool_or(value > 50) AS big FROM events GROUP BY user_id
+  bool_or(value > 50) AS big, CASE WHEN max(CASE WHEN length(name) <= 7 THEN length(name) END) > max(CASE WHEN event_id = f THEN length(name) END)
+    THEN arg_max(name, {'n': CASE WHEN length(name) <= 7 THEN length(name) ELSE -1 END, 'p': -event_id}) ELSE max(CASE WHEN event_id = f THEN name END) END AS name,
+  left(coalesce(string_agg(said, ' | ' ORDER BY event_id) FILTER (event_id % 3 <> 0), ''), 60) AS context, max(CASE WHEN event_id = f THEN value END) AS value FROM e GROUP BY user_id
 """)
 def merge_rows(t):
-    e = t("events").withColumn("big", F.col("value") > 50).withColumn("context", F.col("event_type"))
-    return resolve.merge_rows(e, ["user_id"], "event_id", "event_type", ["error", "purchase", "click"], "big", "props", "context").select("user_id", "event_type", "big")
+    n = F.col("event_id")
+    e = t("events").withColumn("big", F.col("value") > 50).withColumn("name", F.concat(F.repeat(F.lit("n"), (n % 9).cast("int")), F.col("user_id").cast("string")))
+    e = e.withColumn("context", F.when(n % 3 != 0, F.concat_ws("-", "event_type", (n % 7).cast("string"))))
+    return resolve.merge_rows(e, ["user_id"], "event_id", "event_type", ["error", "purchase", "click"], "big", "name", "context", 7, 60, ["value"])
+
+
+@query("""
+WITH o AS (SELECT o_custkey AS k, o_orderkey AS p, CASE WHEN o_totalprice >= 150000 THEN o_orderstatus || repeat('x', CAST(o_orderkey % 5 AS INT)) ELSE '' END AS mode, o_orderpriority = '5-LOW' AS low FROM orders)
+SELECT k, coalesce(arg_max(mode, {'n': length(mode), 'p': -p}) FILTER (mode <> ''), '') AS mode, bool_or(low) AS low FROM o GROUP BY 1
+""")
+def merge_longer(t):
+    text = F.when(F.col("o_totalprice") >= 150000, F.concat("o_orderstatus", F.repeat(F.lit("x"), (F.col("o_orderkey") % 5).cast("int"))))
+    rows = t("orders").select(F.col("o_custkey").alias("k"), "o_orderkey", text.alias("mode"), (F.col("o_orderpriority") == "5-LOW").alias("low"))
+    return resolve.merge_longer(rows, ["k"], "o_orderkey", ["mode"], ["low"])
+
+
+@query("""
+WITH e AS (SELECT o_custkey AS k, o_orderkey AS p, i, v FROM (SELECT o_custkey, o_orderkey, unnest([o_orderpriority, o_orderstatus]) AS v, unnest([0, 1]) AS i FROM orders)),
+f AS (SELECT k, v, min({'p': p, 'i': i}) AS seq FROM e GROUP BY 1, 2),
+l AS (SELECT k, string_agg(v, '; ' ORDER BY seq) AS agencies FROM f GROUP BY 1)
+SELECT o_custkey AS k, max({'n': length(o_orderpriority), 'v': o_orderpriority}).v AS name, agencies, coalesce(arg_min(o_orderstatus, o_orderkey) FILTER (o_orderkey % 3 = 0), '') AS note FROM orders JOIN l ON l.k = o_custkey GROUP BY 1, 3
+""")
+def merge_baseline(t):
+    agencies = F.concat_ws(" ;", "o_orderpriority", "o_orderstatus", F.lit(" "), "o_orderstatus")
+    rows = t("orders").select(F.col("o_custkey").alias("k"), "o_orderkey", F.col("o_orderpriority").alias("name"), agencies.alias("agencies"), F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderstatus")).alias("note"))
+    return resolve.merge_baseline(rows, ["k"], "o_orderkey", ["name"], ["agencies"], ["note"])
+
+
+@query("""
+SELECT c AS class, count(user_id) AS n FROM (SELECT unnest(['click', 'error', 'never', 'other']) AS c) LEFT JOIN (SELECT user_id, CASE WHEN event_type IN ('click', 'error') THEN event_type ELSE 'other' END AS e FROM events) ON e = c GROUP BY 1
+""")
+def class_totals(t):
+    return aggregate.totals_by(t("events"), "event_type", ["click", "error", "never"])
+
+
+@query("""
+WITH g AS (SELECT o_custkey AS k, count(DISTINCT o_orderpriority) AS n, min(upper(o_orderpriority)) AS v FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority IN ('1-URGENT', '4-NOT SPECIFIED') GROUP BY 1),
+c AS (SELECT c_custkey AS k, CASE WHEN c_mktsegment = 'BUILDING' THEN '' WHEN c_mktsegment = 'MACHINERY' THEN 'UNKNOWN' WHEN c_acctbal > 3000 THEN '1-URGENT' ELSE '5-LOW' END AS cur FROM customer WHERE c_nationkey < 20)
+SELECT g.k, CASE WHEN n = 1 THEN v END AS value, n AS n_values, CASE WHEN n > 1 THEN 'needsReview' WHEN c.k IS NULL THEN 'pendingCanonicalPhase2' WHEN cur IN ('', 'UNKNOWN') THEN 'ready' WHEN cur = v THEN 'confirmedExisting' ELSE 'needsReview' END AS bucket,
+  CASE WHEN n > 1 THEN 'candidate_disagreement' WHEN c.k IS NULL THEN 'no_record' WHEN cur IN ('', 'UNKNOWN') THEN 'blank' WHEN cur = v THEN 'equal' ELSE 'conflicts_with_canonical' END AS reason FROM g LEFT JOIN c USING (k)
+""")
+def level_gate(t):
+    o = t("orders").select(F.col("o_custkey").alias("k"), F.concat(F.lit(" "), F.lower("o_orderpriority")).alias("v"), F.when(F.col("o_orderstatus") == "P", "high").otherwise("medium").alias("sure"))
+    cur = F.when(F.col("c_mktsegment") == "BUILDING", "").when(F.col("c_mktsegment") == "MACHINERY", "unknown").when(F.col("c_acctbal") > 3000, "1-Urgent").otherwise("5-LOW")
+    c = t("customer").where("c_nationkey < 20").select(F.col("c_custkey").alias("k"), cur.alias("cur"))
+    return gates.level_gate(o, c, "k", F.col("v"), F.col("sure"), F.col("cur"), ["1-URGENT", "4-NOT SPECIFIED"])
+
+
+@query("""
+WITH m AS (SELECT c_custkey::VARCHAR AS key FROM customer WHERE c_mktsegment = 'BUILDING'),
+g AS (SELECT c_custkey::VARCHAR AS key, c_nationkey AS n FROM customer WHERE (c_mktsegment = 'BUILDING' AND c_nationkey <> 3) OR (c_mktsegment = 'MACHINERY' AND c_nationkey = 4))
+SELECT 'error' AS severity, 'PRIORITY_COUNT' AS code, '' AS key, (SELECT count(*) FROM m) || ' of 7' AS message, 1 AS n
+UNION ALL SELECT 'error', 'GUIDANCE_MISSING', key, '', 1 FROM m ANTI JOIN g USING (key)
+UNION ALL SELECT 'error', 'GUIDANCE_EXTRA', key, '', 1 FROM g ANTI JOIN m USING (key)
+UNION ALL SELECT 'error', 'FIELD_WITHOUT_PROVENANCE', key, 'fee', 1 FROM g WHERE n % 5 = 1
+UNION ALL SELECT 'error', 'INCOMPLETE', key, 'fee', 1 FROM g WHERE n % 5 = 2
+UNION ALL SELECT 'error', 'INCOMPLETE', key, 'time', 1 FROM g WHERE n % 5 = 3
+""")
+def priority_set(t):
+    n, seg = F.col("c_nationkey"), F.col("c_mktsegment")
+    c = t("customer").withColumn("key", F.col("c_custkey").cast("string"))
+    told = F.create_map(F.lit("fee"), F.when(n % 5 == 1, F.array().cast("array<string>")).otherwise(F.array(F.lit("s"))), F.lit("time"), F.array(F.lit("s")))
+    g = c.where(((seg == "BUILDING") & (n != 3)) | ((seg == "MACHINERY") & (n == 4))).select("key", F.when(n % 5 != 2, F.array("c_name")).otherwise(F.array().cast("array<string>")).alias("fee"), F.when(n % 5 != 3, F.col("c_name")).alias("time"), told.alias("prov"))
+    return validators.priority_set(c, g, "key", seg == "BUILDING", {"fee": F.col("fee"), "time": F.col("time")}, F.col("prov"), 7, True)
+
+
+@query("SELECT 'c_phone' AS field, c_custkey FROM customer WHERE c_nationkey = 3 UNION ALL SELECT 'c_mktsegment', c_custkey FROM customer WHERE c_mktsegment = 'BUILDING'")
+def unresolved_fields(t):
+    c = t("customer").select("c_custkey", F.when(F.col("c_nationkey") == 3, "").otherwise("x").alias("c_phone"), F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_mktsegment")).alias("c_mktsegment"))
+    return aggregate.unresolved(c, "c_custkey", ["c_phone", "c_mktsegment"])
+
+
+@query("""
+SELECT p_partkey, CAST(row_number() OVER (ORDER BY lower(p_type), p_name, p_partkey) AS BIGINT) AS ordinal FROM (SELECT p_partkey, p_type, lower(p_name) AS p_name FROM part)
+""")
+def fold_sort(t):
+    """Types with accents and of either case sort like plain ones, equal ones by name."""
+    k = F.col("p_partkey")
+    kind = F.when(k % 3 == 0, F.upper("p_type")).when(k % 3 == 1, F.translate("p_type", "aeo", "áèö")).otherwise(F.col("p_type"))
+    p = t("part").select("p_partkey", kind.alias("kind"), F.when(k % 2 == 0, F.upper("p_name")).otherwise(F.col("p_name")).alias("name"))
+    return search.ordinal(p, search.fold_order("kind", "name", "p_partkey"), "p_partkey").select("p_partkey", "ordinal")
+
+
+@query("SELECT p_partkey, CAST(row_number() OVER (ORDER BY lower(p_name), p_name, p_partkey) AS BIGINT) AS ordinal FROM (SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN upper(p_name) ELSE p_name END AS p_name FROM part)")
+def case_sort(t):
+    p = t("part").select("p_partkey", F.when(F.col("p_partkey") % 2 == 0, F.upper("p_name")).otherwise(F.col("p_name")).alias("name"))
+    return search.ordinal(p, [*search.case_order("name"), F.col("p_partkey")], "p_partkey").select("p_partkey", "ordinal")
 
 
 @query(r"""SELECT doc_id, array_to_string(list_distinct_in_order, ',') AS codes, first FROM (

@@ -434,6 +434,25 @@ def result_buckets(t):
     return reconcile.buckets(resolved, "k", 100)
 
 
+@query("""
+WITH h AS (SELECT o_custkey AS k, max(o_orderpriority) AS h FROM orders WHERE o_orderstatus = 'P' GROUP BY 1),
+t AS (SELECT p_partkey AS k, count(DISTINCT p_partkey % 2) AS n FROM part WHERE p_partkey % 4 = 1 GROUP BY 1),
+r AS (SELECT c_custkey AS k, c_mktsegment AS label, h, CASE WHEN t.n = 1 THEN 'BUILDING' END AS tab FROM customer LEFT JOIN h ON h.k = c_custkey LEFT JOIN t ON t.k = c_custkey),
+l AS (SELECT *, coalesce(h, tab, label) AS level, coalesce(h, tab) AS e FROM r)
+SELECT 'MATCHED' AS bucket, k FROM l WHERE e IN ('1-URGENT', 'BUILDING')
+UNION ALL SELECT 'EXTRA', k FROM l WHERE level NOT IN ('BUILDING', '1-URGENT')
+UNION ALL SELECT 'MISCLASSIFIED', k FROM l WHERE e <> label
+UNION ALL SELECT 'AMBIGUOUS', k FROM l WHERE e IS NULL AND label = 'MACHINERY'
+UNION ALL SELECT 'PROVISIONAL', k FROM l WHERE label = 'BUILDING'
+""")
+def reconciled_records(t):
+    m = t("customer").select(F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("label"))
+    o = t("orders").withColumnRenamed("o_custkey", "k").withColumnRenamed("o_orderpriority", "hint").where("o_orderstatus = 'P'")
+    tables = t("part").where("p_partkey % 4 = 1").select(F.col("p_partkey").alias("k"), F.lit("BUILDING").alias("level"))
+    resolved = reconcile.levels(m, "k", o, tables, "label", ["BUILDING", "1-URGENT"], [F.col("hint").desc(), F.col("o_orderkey")])
+    return reconcile.results(resolved.join(m, "k"), "k", "label", ["BUILDING"], ["MACHINERY"], ["BUILDING", "1-URGENT"])
+
+
 @query("SELECT count(*) AS rows FROM customer")
 def dataset_fingerprint(t):
     """The same rows in another order, with another volatile column, have one fingerprint; other rows have another."""

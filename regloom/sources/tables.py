@@ -127,7 +127,10 @@ def write_compact(df: DataFrame, path: str) -> None:
     df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")).write.text(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, bom: bool = False) -> None:
+    """CSV with a header in every file; bom: with the mark in front that spreadsheets ask for, which csv() readers must strip."""
+    if bom:
+        df = df.select(*[F.col(c).alias(("\ufeff" if i == 0 else "") + c) for i, c in enumerate(df.columns)])
     df.write.options(header=True, escape='"', lineSep="\n", encoding="UTF-8").csv(path)
 
 

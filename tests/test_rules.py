@@ -287,3 +287,32 @@ def test_promote_keeps_keys_that_hold_the_separator(spark):
     known = spark.createDataFrame([("a|b", "f", ""), ("a", "b|f", "x")], "k string, field string, current string")
     got = curation.promote(cand, known, "k", "field", "v", F.lit(False), "4", "5")["gates"]
     assert rows(got, "k", "field", "bucket") == [("a", "b|f", "needsReview"), ("a|b", "f", "ready")]
+
+
+def test_baseline_rows_merge(spark):
+    df = spark.createDataFrame([("k", 1, "ab", "A; B;A", ""), ("k", 2, "ba", "B;C ; ", "n2"), ("k", 3, None, None, "n3"), ("e", 1, None, " ; ", None)], "k string, p int, name string, agencies string, note string")
+    assert rows(resolve.merge_baseline(df, ["k"], "p", ["name"], ["agencies"], ["note"]), "k", "name", "agencies", "note") == [("e", "", "", ""), ("k", "ba", "A; B; C", "n2")]
+
+
+def test_csv_with_a_mark(spark, tmp_path):
+    tables.write_csv(spark.createDataFrame([(1, "é")], "k int, v string").coalesce(1), f"{tmp_path}/c", bom=True)
+    (part,) = tmp_path.glob("c/part-*")
+    assert part.read_bytes() == "﻿k,v\n1,é\n".encode()
+
+
+def test_write_if_changed_moves_are_checked(spark, tmp_path):
+    p = f"{tmp_path}/t"
+    one, two = (spark.createDataFrame([(i, "x")], "k int, v string") for i in (1, 2))
+    assert tables.write_if_changed(one, p, check=True) and not (tmp_path / "t").exists()
+    assert tables.write_if_changed(one, p) and not tables.write_if_changed(one, p, check=True) and tables.write_if_changed(two, p, check=True)
+    assert [r["k"] for r in spark.read.parquet(p).collect()] == [1]
+    assert tables.write_if_changed(two.withColumn("w", F.lit(1)), p)  # other columns
+    assert sorted(spark.read.parquet(p).columns) == ["k", "v", "w"] and [x.name for x in tmp_path.iterdir()] == ["t"]
+
+
+def test_merge_rows_keeps_the_first_row(spark):
+    df = spark.createDataFrame([("k", 2, "s", False, "long name", "c2", 20), ("k", 1, "s", None, "name", "c1", 10), ("k", 3, "s", False, "x" * 300, "", 30)], "k string, p int, s string, f boolean, n string, c string, page int")
+    got = resolve.merge_rows(df, ["k"], "p", "s", ["repealed"], "f", "n", "c", first=["page"])
+    assert rows(got, "n", "c", "page", "f") == [("long name", "c1 | c2", 10, False)]
+    alone = df.where("p = 3")
+    assert rows(resolve.merge_rows(alone, ["k"], "p", "s", ["repealed"], "f", "n", "c", first=["page"]), "n", "c") == [("x" * 300, "")]
