@@ -96,7 +96,9 @@ def _uncomposed() -> tuple[str, str]:
         # a letter joins its mark through others of lower order; letters that have joined one already stand for themselves
         out.append(_class(bases) + (_class(between) + "*" if between else "") + f"\\x{{{mark:x}}}")
     hangul = _class([0xAC00 + 28 * i for i in range(399)])
-    return rf"[\p{{M}}\x{{1100}}-\x{{11ff}}]|{_class(other)}", "|".join([*out, r"[\x{1100}-\x{1112}][\x{1161}-\x{1175}]", hangul + r"[\x{11a8}-\x{11c2}]"])
+    rows = sorted({cp >> 8 for cp in other})  # whole rows of 256 characters, as a class of few runs is quick to test
+    around = _class([cp for row in rows for cp in range(row << 8, (row + 1) << 8)])
+    return rf"[\p{{M}}\x{{1100}}-\x{{11ff}}]|{around}", "|".join([*out, r"[\x{1100}-\x{1112}][\x{1161}-\x{1175}]", hangul + r"[\x{11a8}-\x{11c2}]"])
 
 
 def not_composed(x: Column) -> Column:
@@ -110,6 +112,11 @@ def nfc(x: pd.Series) -> pd.Series:
     return x.map(lambda v: v if v is None else unicodedata.normalize("NFC", v))
 
 
+def composed(x: Column) -> Column:
+    """A text in its composed form (NFC); only texts with characters that composition can change go through Python."""
+    return F.coalesce(nfc(F.when(x.rlike(_uncomposed()[0]), x)), x)
+
+
 @F.pandas_udf(T.DoubleType())
 def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     def one(p, q):
@@ -213,7 +220,7 @@ def repaired_name(x: Column, code: Column, pairs: Sequence[tuple[str, str]], ble
     Null is empty. A composed text does not go through Python.
     """
     y = replaced_in_order(squeeze(before_bell(F.coalesce(x, F.lit("")))), pairs)
-    y = F.when(not_composed(y), nfc(F.when(not_composed(y), y))).otherwise(y)
+    y = composed(y)
     at = F.regexp_instr(y, F.lit(bleed))
     y = F.when(at > least, F.substring(y, F.lit(1), at - 1)).otherwise(y)
     y = F.regexp_replace(y, r"^[ \-–—;,.|]+|[ \-–—;,.|]+$", "")
@@ -224,8 +231,7 @@ def cleaned_title(x: Column, pairs: Sequence[tuple[str, str]]) -> Column:
     """struct(title, fault): the text mended as above, or null and why not: only_control or control_character."""
     y = before_bell(x)
     fault = F.when(x.contains("\x07") & (y == ""), "only_control").when(y.rlike(r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]"), "control_character")
-    z = F.trim(replaced_in_order(y, pairs))
-    z = F.when(not_composed(z), nfc(F.when(not_composed(z), z))).otherwise(z)
+    z = composed(F.trim(replaced_in_order(y, pairs)))
     return F.struct(F.when(fault.isNull(), z).alias("title"), fault.alias("fault"))
 
 

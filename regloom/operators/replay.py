@@ -28,25 +28,28 @@ def replay(events: DataFrame, key: str, order: Sequence[str], kind: Column, evid
     latest future event since the public row was made: later updates keep it, only a row made anew after a repeal has
     none). A starting state is given as events that come before all others.
 
-    The state needs the decisive events only, so it comes from partial aggregates and no key's history is gathered.
+    The state needs the decisive events only, so it comes from partial aggregates and no key's history is gathered. Only keys
+    that were updated after a future event are joined with their events again, and reduced to one row each.
     """
     good = F.coalesce(evidence, F.lit(True)) if evidence is not None else F.lit(True)
     at = F.struct(*order)
     rows = events.select(key, at.alias("at"), kind.alias("kind"), good.alias("good"))
     makes, repeals, waits = (F.col("kind") == "current") & F.col("good"), F.col("kind") == "repealed", F.col("kind") == "future"
-    last = rows.where(repeals).groupBy(key).agg(F.max("at").alias("gone"))
-    rows = rows.join(last, key, "left")
     agg = rows.groupBy(key).agg(
-        F.max(F.when(makes, F.col("at"))).alias("made"), F.max("gone").alias("gone"),
-        F.min(F.when(makes & (F.col("gone").isNull() | (F.col("at") > F.col("gone"))), F.col("at"))).alias("created"),
+        F.max(F.when(makes, F.col("at"))).alias("made"), F.max(F.when(repeals, F.col("at"))).alias("gone"),
         F.max(F.when(waits, F.col("at"))).alias("waits"), F.count_if(F.col("kind") == "review").alias("n_reviews"), F.count_if(makes).alias("n_updates"),
     )
+    # whether a row was public already when its latest future event came: plain where no update came after that, else an
+    # earlier one must stand between the last repeal and it; only events of such keys are looked up
+    unsure = agg.where("made > waits AND (gone IS NULL OR waits > gone)").select(key, F.col("gone").alias("_gone"), F.col("waits").alias("_waits"))
+    between = rows.where(makes).join(unsure, key).where("at < _waits AND (_gone IS NULL OR at > _gone)").select(key).distinct().withColumn("_before", F.lit(True))
+    agg = agg.join(between, key, "left")
     public = F.col("made").isNotNull() & (F.col("gone").isNull() | (F.col("made") > F.col("gone")))
     # a future event that comes after the last repeal excludes a key that is not public as future
     future = F.col("waits").isNotNull() & (F.col("gone").isNull() | (F.col("waits") > F.col("gone")))
     state = F.when(public, "current").when(future, "future_effective").when(F.col("gone").isNotNull(), "repealed").otherwise("unknown")
     since = F.when(public, F.col("made")).when(future, F.col("waits")).otherwise(F.col("gone"))
-    pending = F.when(public & (F.col("waits") > F.col("created")), F.col("waits"))
+    pending = F.when(public & future & ((F.col("made") < F.col("waits")) | F.col("_before")), F.col("waits"))
     return agg.select(key, state.alias("state"), since.alias("since"), "n_reviews", "n_updates", pending.alias("future"))
 
 
