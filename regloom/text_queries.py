@@ -126,3 +126,42 @@ def bundle_fingerprints(t):
 @query("SELECT page_id, 'composed ' || chr(233) AS n FROM pages")
 def composed(t):
     return t("pages").select("page_id", tx.nfc(F.when(F.col("page_id") % 2 == 0, "composed \u00e9").otherwise("composed e\u0301")).alias("n"))
+
+
+@query("""
+SELECT o_orderkey, CASE o_orderkey % 4 WHEN 3 THEN '' ELSE o_custkey || '/QĐ-UBND' END AS number, CASE o_orderkey % 4 WHEN 0 THEN '2021-02-01' WHEN 1 THEN '2022-05-' || lpad((1 + o_orderkey % 28)::VARCHAR, 2, '0') ELSE '' END AS date,
+  CASE o_orderkey % 5 WHEN 0 THEN 'ĐẤT ĐAI ' || o_custkey WHEN 1 THEN 'Y TẾ' ELSE '' END AS field FROM orders
+""")
+def decisions_of_titles(t):
+    k, m, f = F.col("o_custkey").cast("string"), F.col("o_orderkey") % 4, F.col("o_orderkey") % 5
+    url = F.when(m == 0, F.concat(F.lit("https://x.vn/quyet-dinh-so-"), k, F.lit("-QD-UBND-ngay-1-2-2021.html"))).otherwise("https://x.vn/")
+    head = F.when(m == 1, F.concat(F.lit("QUYẾT ĐỊNH số: "), k, F.lit(" /QD-UBND ngày "), (1 + F.col("o_orderkey") % 28).cast("string"), F.lit(" /5-2022"))).when(m == 2, F.concat(F.lit("Quyết định "), k, F.lit("/QĐ-UBND")))
+    tail = F.when(f == 0, F.concat(F.lit(" Lĩnh vực  đất đai "), k, F.lit("; thuộc phạm vi"))).when(f == 1, " lĩnh vực y tế do Sở").when(f == 2, " lĩnh vực x của Sở").otherwise("")
+    title = F.concat(F.coalesce(head, F.lit("")), tail)
+    return t("orders").select("o_orderkey", catalogue.decision_of(url, title).alias("d"), catalogue.field_of_title(title).alias("field")).select("o_orderkey", "d.*", "field")
+
+
+@query("""
+SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'Lệ phí: 5.000 đồng' WHEN 1 THEN 'KHÔNG THU PHÍ, Phí: 1' WHEN 2 THEN 'phí: x' END AS value, CASE o_orderkey % 4 WHEN 0 THEN 'high' WHEN 1 THEN 'high' WHEN 2 THEN 'medium' END AS confidence,
+  CASE o_orderkey % 4 WHEN 0 THEN 'lệ phí:' WHEN 1 THEN 'không thu phí' WHEN 2 THEN 'phí:' END AS marker FROM orders
+""")
+def fee_candidates(t):
+    m = F.col("o_orderkey") % 4
+    far = lambda n: F.repeat(F.lit("x"), F.lit(n))
+    text = F.when(m == 0, F.concat(far(400), F.lit("Lệ phí:  5.000 đồng"))).when(m == 1, "a KHÔNG THU PHÍ, Phí: 1").when(m == 2, F.concat(far(500), F.lit("phí: x"))).otherwise(F.concat(far(750), F.lit("phí: x")))
+    return t("orders").select("o_orderkey", F.inline_outer(F.array_compact(F.array(catalogue.fee_candidate(text)))))
+
+
+@query("""
+SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN '5.000 đồng;' || (100 + c_nationkey) || ' 000 ĐỒNG' WHEN 1 THEN '' WHEN 2 THEN '' ELSE '10.000 đồng' END AS fees, CASE c_custkey % 4 WHEN 1 THEN 'NOT_PUBLISHED' WHEN 2 THEN 'EXEMPT' ELSE 'UNKNOWN' END AS fee_status,
+  CASE c_custkey % 3 WHEN 0 THEN 'Ủy ban nhân dân cấp xã;Trung tâm PVHCC thành phố' WHEN 1 THEN 'UBND cấp xã' ELSE '' END AS agencies, c_custkey % 3 = 2 AND c_nationkey > 4 AS override,
+  CASE WHEN c_nationkey < 9 THEN 'UBND thành phố Hải Phòng' ELSE '' END AS publisher, CASE WHEN c_mktsegment = 'BUILDING' THEN CASE WHEN c_nationkey < 9 THEN '1/QĐ-UBND' ELSE '2/QĐ-BTP' END ELSE '' END AS ended_by FROM customer
+""")
+def free_guidance(t):
+    m, a, n = F.col("c_custkey") % 4, F.col("c_custkey") % 3, F.col("c_nationkey")
+    fees = F.when(m == 0, F.concat(F.lit("nộp 5.000  đồng, 5.000 đồng hoặc "), (100 + n).cast("string"), F.lit(" 000 ĐỒNG"))).when(m == 1, "Không quy định").when(m == 2, "Miễn  lệ phí").otherwise("10.000 đồng; không quy định")
+    body = F.when(a == 0, "trung tâm pvhcc thành phố; ỦY BAN NHÂN DÂN CẤP XÃ").when(a == 1, "UBND cấp xã, UBND cấp huyện").otherwise("Ủy ban nhân dân huyện")
+    g = catalogue.guidance_of(F.concat_ws(" ", fees, body))
+    decision = F.when(n < 9, "1/QĐ-UBND").otherwise("2/QĐ-BTP")
+    derived = catalogue.derived_columns(decision, F.when(F.col("c_mktsegment") == "BUILDING", "Bãi bỏ").otherwise("Còn hiệu lực"))
+    return t("customer").select("c_custkey", F.array_join(g["fees"], ";").alias("fees"), g["fee_status"].alias("fee_status"), F.array_join(g["agencies"], ";").alias("agencies"), catalogue.needs_local_agency(body, F.when(n > 4, True)).alias("override"), *[c.alias(k) for k, c in derived.items()])
