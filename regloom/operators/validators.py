@@ -83,11 +83,12 @@ def governance(rows: DataFrame, meta: DataFrame, key: Column, required: Mapping[
     return _rows(keyed, k, told, *seen).unionByName(repeated(keyed, k, "DUPLICATE_CODE")).unionByName(keyless).unionByName(envelope)
 
 
-def guidance(rows: DataFrame, key: Column, code_pattern: str, status: Column, statuses: Sequence[str], fields: Mapping[str, Column], sources: Column, provenance: Column, roles: Sequence[str], suffixes: Sequence[str], own_only: Mapping[str, str]) -> DataFrame:
+def guidance(rows: DataFrame, key: Column, code_pattern: str, status: Column, statuses: Sequence[str], fields: Mapping[str, Column], sources: Column, provenance: Column, roles: Sequence[str], suffixes: Sequence[str], own_only: Mapping[str, str], link: tuple[Column, Column, str, Mapping[str, str]] | None = None, meta: DataFrame | None = None, format_: str = "", version: int = 1) -> DataFrame:
     """The contract of enrichment rows: every filled field names sources that exist, and every source is official.
 
     sources: array of structs (id, role, url). provenance: map of field to source ids. own_only: fields that take only
-    sources of one role.
+    sources of one role. link: a submission link, the id that it must carry (blank: none), its host and the parameters that
+    it must have. meta: the one-row envelope, with format, version and roles (array, or null where it names none).
     """
     k = F.coalesce(F.trim(key), F.lit(""))
     filled = {n: ~blank(c) for n, c in fields.items()}
@@ -99,11 +100,15 @@ def guidance(rows: DataFrame, key: Column, code_pattern: str, status: Column, st
         _if(substance & no_items(sources), "NO_SOURCES", "no sources"),
         _if(substance & provenance.isNull(), "NO_PROVENANCE", "no provenance"),
     ]
+    if link is not None:
+        told += _submission(*link)
+    place = lambda s, i: i.cast("string")
     by_source = [
-        _each(sources, lambda s, _: blank(s["id"]), "SOURCE_WITHOUT_ID", lambda s, i: i.cast("string")),
+        _each(sources, lambda s, _: s.isNull(), "SOURCE_NULL", place),
+        _each(sources, lambda s, _: s.isNotNull() & blank(s["id"]), "SOURCE_WITHOUT_ID", place),
         _each(sources, lambda s, i: ~blank(s["id"]) & (F.array_position(ids, s["id"]) <= i), "SOURCE_ID_AGAIN", lambda s, _: s["id"]),
-        _each(sources, lambda s, _: ~F.coalesce(s["role"].isin(*roles), F.lit(False)), "BAD_ROLE", lambda s, i: i.cast("string")),
-        _each(sources, lambda s, _: ~F.coalesce(urls.official(s["url"], suffixes), F.lit(False)), "UNOFFICIAL_URL", lambda s, i: i.cast("string")),
+        _each(sources, lambda s, _: s.isNotNull() & ~F.coalesce(s["role"].isin(*roles), F.lit(False)), "BAD_ROLE", place),
+        _each(sources, lambda s, _: s.isNotNull() & ~F.coalesce(urls.official(s["url"], suffixes), F.lit(False)), "UNOFFICIAL_URL", place),
     ]
     by_field = []
     for name in fields:
@@ -114,7 +119,27 @@ def guidance(rows: DataFrame, key: Column, code_pattern: str, status: Column, st
             cited = F.filter(sources, lambda s: F.array_contains(refs, s["id"]))
             foreign = F.exists(cited, lambda s: ~s["role"].eqNullSafe(F.lit(own_only[name])))
             told.append(_if(filled[name] & foreign, "FOREIGN_ROLE", name))
-    return _rows(rows, k, F.array(*told), *by_source, *by_field).unionByName(repeated(rows, k, "DUPLICATE_CODE"))
+    out = _rows(rows, k, F.array(*told), *by_source, *by_field).unionByName(repeated(rows, k, "DUPLICATE_CODE"))
+    if meta is None:
+        return out
+    lacking = F.array_except(F.array(*map(F.lit, sorted(roles))), F.col("roles"))
+    envelope = [
+        _if(~F.coalesce(F.col("format") == format_, F.lit(False)), "FORMAT", "another format"),
+        _if(~F.coalesce(F.col("version") == version, F.lit(False)), "VERSION", "another version"),
+        _if(F.size(lacking) > 0, "ROLES_MISSING", F.array_join(lacking, ", ")),
+    ]
+    return out.unionByName(_rows(meta, F.lit(""), F.array(*envelope)))
+
+
+def _submission(url: Column, wanted: Column, host: str, parameters: Mapping[str, str]) -> list[Column]:
+    """A link of the given host with the given parameters, and with the id that the record has."""
+    u, own = F.trim(F.coalesce(url, F.lit(""))), F.trim(F.coalesce(wanted, F.lit("")))
+    there, par = u != "", lambda p: F.coalesce(urls.param(u, p), F.lit(""))
+    return [
+        _if(there & ((urls.scheme(u) != "https") | (urls.host(u) != host)), "LINK_HOST", u),
+        *[_if(there & (par(p) != v), "LINK_PARAMETER", F.concat(F.lit(p + "="), par(p))) for p, v in parameters.items()],
+        _if(there & (own != "") & (par("formalityId") != own), "LINK_ID", par("formalityId")),
+    ]
 
 
 def registry(rows: DataFrame, key: str, url: str, suffixes: Sequence[str], needed: Sequence[str], enums: Mapping[str, Sequence[str]], kind: str, portfolio: Mapping[str, int]) -> DataFrame:

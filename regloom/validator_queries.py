@@ -55,12 +55,19 @@ UNION ALL SELECT 'error', 'SOURCE_ID_AGAIN', key, 'a' FROM k WHERE c_nationkey =
 UNION ALL SELECT 'error', 'SOURCE_WITHOUT_ID', key, '1' FROM k WHERE c_nationkey = 9
 UNION ALL SELECT 'error', 'BAD_ROLE', key, '1' FROM k WHERE c_nationkey = 11
 UNION ALL SELECT 'error', 'UNOFFICIAL_URL', key, '1' FROM k WHERE c_nationkey = 10
+UNION ALL SELECT 'error', 'SOURCE_NULL', key, '1' FROM k WHERE c_nationkey = 14
+UNION ALL SELECT 'error', 'LINK_HOST', key, 'http://gate.example/?province=31&formalityId=' || c_custkey FROM k WHERE c_nationkey = 15
+UNION ALL SELECT 'error', 'LINK_PARAMETER', key, 'province=' FROM k WHERE c_nationkey = 16
+UNION ALL SELECT 'error', 'LINK_ID', key, c_custkey::VARCHAR FROM k WHERE c_nationkey = 17
+UNION ALL SELECT 'error', 'FORMAT', '', 'another format' UNION ALL SELECT 'error', 'VERSION', '', 'another version' UNION ALL SELECT 'error', 'ROLES_MISSING', '', 'local'
 """)
 def guidance_contract(t):
     n = F.col("c_nationkey")
     source = lambda i, r, u: F.struct(i.alias("id"), r.alias("role"), u.alias("url"))
     second = source(F.when(n == 8, "a").when(n == 9, "").otherwise("b"), F.when(n == 11, "odd").otherwise("local"), F.when(n == 10, "http://y.example.org").otherwise("https://y.example.org"))
-    sources = F.when(n != 6, F.array(source(F.lit("a"), F.lit("law"), F.lit("https://example.org/1")), second))
+    sources = F.when(n != 6, F.array(source(F.lit("a"), F.lit("law"), F.lit("https://example.org/1")), F.when(n != 14, second)))
+    k = F.col("c_custkey").cast("string")
+    gate = F.concat(F.when(n == 15, "http").otherwise("https"), F.lit("://gate.example/?"), F.when(n != 16, "province=31&").otherwise(""), F.lit("formalityId="), k)
     cites = F.create_map(F.lit("fee"), F.array(F.when(n == 13, "z").otherwise("a")), F.lit("link"), F.array(F.when(n < 3, "a").otherwise("b")))
     rows = t("customer").select(
         F.when(F.col("c_custkey") % 30 == 0, "x").otherwise(F.concat(F.lit("1."), F.lpad(F.col("c_custkey").cast("string"), 6, "0"))).alias("k"),
@@ -69,9 +76,13 @@ def guidance_contract(t):
         F.when(n < 5, "l").alias("link"),
         sources.alias("sources"),
         F.when(n != 12, cites).alias("cites"),
+        F.when(n > 14, gate).alias("gate"),
+        F.when(n == 17, "x").otherwise(k).alias("id"),
     )
     fields = {"fee": F.col("fee"), "link": F.col("link")}
-    return validators.guidance(rows, F.col("k"), r"^\d{1,2}\.\d{3,6}$", F.col("status"), ["verified"], fields, F.col("sources"), F.col("cites"), ["law", "local"], ["example.org"], {"link": "local"})
+    meta = t("region").agg(F.max(F.lit("other")).alias("format"), F.max(F.lit(2)).alias("version"), F.max(F.array(F.lit("law"))).alias("roles"))
+    link = (F.col("gate"), F.col("id"), "gate.example", {"province": "31"})
+    return validators.guidance(rows, F.col("k"), r"^\d{1,2}\.\d{3,6}$", F.col("status"), ["verified"], fields, F.col("sources"), F.col("cites"), ["law", "local"], ["example.org"], {"link": "local"}, link, meta, "guidance")
 
 
 @query("""
