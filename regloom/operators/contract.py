@@ -21,6 +21,7 @@ SPLIT_WORDS = ("tr ạm", "Ch ứng", "nh ập", "th ấp", "đi ểm", "t ờ",
 LEGAL_FIELDS = ("ma", "ten", "linhVuc", "cap", "quyetDinh", "lifecycle.status", "lifecycle.effectiveFrom", "lifecycle.effectiveTo")
 EXECUTION_FIELDS = ("formalityId", "nopHoSoUrl", "nopHoSoScope", "submissionLinkStatus", "huongDan.submissionUrl", "huongDan.dvctt")
 GUIDANCE_FIELDS = ("huongDan.quyTrinh", "huongDan.thanhPhanHoSo", "huongDan.bieuMau", "huongDan.lePhi", "huongDan.thoiHan", "huongDan.coQuanThucHien", "huongDan.ketQua")
+#: The states of a link that was verified.
 LINK_STATUSES = ("resolution_level_scope_verified", "vinhbao_scope_parameters_verified", "verified_official_guidance")
 FORBIDDEN_AT_PROVINCE = ("wardCode", "ward", "agency", "departmentId", "commune")
 

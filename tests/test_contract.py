@@ -188,7 +188,7 @@ CASES = [
     (set_("sources", 0, "url", "https://example.org"), ["GUIDE_SOURCE_URL"]),
     (set_("sources", 0, "sourceRole", None), ["GUIDE_SOURCE_ROLE"]),
 ]
-META = ("bangniemyet-vinhbao-master-data", 4, "2026.09.20", "a" * 40, "kind")
+META = ("master-data", 4, "2026.09.20", "a" * 40, "kind")
 META_KIND = "format string, version int, dataset_version string, source_commit string, source_commit_kind string"
 
 
