@@ -311,7 +311,7 @@ def level_gate(t):
 @query("""
 WITH m AS (SELECT c_custkey::VARCHAR AS key FROM customer WHERE c_mktsegment = 'BUILDING'),
 g AS (SELECT c_custkey::VARCHAR AS key, c_nationkey AS n FROM customer WHERE (c_mktsegment = 'BUILDING' AND c_nationkey <> 3) OR (c_mktsegment = 'MACHINERY' AND c_nationkey = 4))
-SELECT 'error' AS severity, 'PRIORITY_COUNT' AS code, '' AS key, (SELECT count(*) FROM m) || ' of 7' AS message, 1 AS n
+SELECT 'error' AS severity, 'PRIORITY_COUNT' AS code, '' AS key, (SELECT count(*) FROM m) || ' of 7' AS message, CAST(1 AS BIGINT) AS n
 UNION ALL SELECT 'error', 'GUIDANCE_MISSING', key, '', 1 FROM m ANTI JOIN g USING (key)
 UNION ALL SELECT 'error', 'GUIDANCE_EXTRA', key, '', 1 FROM g ANTI JOIN m USING (key)
 UNION ALL SELECT 'error', 'FIELD_WITHOUT_PROVENANCE', key, 'fee', 1 FROM g WHERE n % 5 = 1
