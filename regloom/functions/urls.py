@@ -59,6 +59,14 @@ def scoped_route(u: Column, level: Column, host_: str, province: str, ward: str,
     return F.struct(reason.isNull().alias("ok"), F.coalesce(reason, F.when(above, "province").otherwise("ward")).alias("route"))
 
 
+def encoded(x: Column) -> Column:
+    """A component of a url: all but letters, digits and -_.!~*'() as percent codes of UTF-8, blanks too."""
+    out = F.replace(F.url_encode(x), F.lit("+"), F.lit("%20"))
+    for c in "!'()~":
+        out = F.replace(out, F.lit(f"%{ord(c):X}"), F.lit(c))
+    return out
+
+
 def build(base: str, params: Mapping[str, Column]) -> Column:
     """base?name=value&…, values encoded; parameters with a blank value are left out."""
     parts = [F.when(v.isNotNull() & (v != ""), F.concat(F.lit(f"{k}="), F.url_encode(v))) for k, v in params.items()]

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import catalogue
 from ..functions.evidence import change_json, changes
 from ..functions.text import first_filled, fold
 
@@ -26,6 +27,36 @@ def project(df: DataFrame, columns: dict[str, Sequence[str] | Column]) -> DataFr
     return df.select(*[(c if isinstance(c, Column) else first_filled(*map(F.col, c))).cast("string").alias(n) for n, c in columns.items()])
 
 
+#: Columns of a record that a projected column takes its value from: the first filled one counts.
+PROJECTED_FROM = {
+    "Mã TTHC": ("key", "code"), "Thủ tục hành chính": ("title", "name"), "Lĩnh vực": ("domain", "field"), "Cơ quan/đơn vị giải quyết": ("agency",),
+    "Cấp thực hiện": ("level",), "Quyết định ban hành/công bố": ("decision",), "Thời gian giải quyết": ("time",), "Phí": ("fee",), "Dịch vụ công": ("online",),
+    "Ngày hiệu lực": ("future_date",), "Nguồn chính thức": ("article_url",), "Nguồn đối soát bổ sung": ("attachment_url",), "Ngày kiểm tra/cập nhật": ("snapshot_date",),
+}
+
+
+def record_projection(df: DataFrame, status: Column, note: Column, given: dict[str, Column] | None = None, carry: Sequence[str] = ()) -> DataFrame:
+    """All projected columns of records, in their order, as texts; blank where nothing is known.
+
+    given: values of a producer by projected column, which go before the record's own ones unless blank. Who published a decision
+    and which decision ended a record follow from the decision and the status. A row without a title or a field asks for review.
+    Null and blank are the same; columns of PROJECTED_FROM that df lacks count as blank; one row for each row of df. carry: further
+    columns that stay.
+    """
+    given = given or {}
+
+    def value(c: str) -> Column:
+        more = [given[c]] if c in given else []
+        return first_filled(*more, *[F.col(n) for n in PROJECTED_FROM.get(c, ()) if n in df.columns])
+
+    columns = {c: value(c) for c in catalogue.PROJECTED_COLUMNS}
+    derived = catalogue.derived_columns(columns["Quyết định ban hành/công bố"], status)
+    columns |= {"Cơ quan công bố": derived["publisher"], "Quyết định/văn bản thay thế, bãi bỏ": derived["ended_by"]}
+    columns |= {"Tình trạng hiệu lực": F.coalesce(status, F.lit("")), "Ghi chú cập nhật": F.coalesce(note, F.lit(""))}
+    columns["Cần đối soát?"] = F.when((columns["Thủ tục hành chính"] == "") | (columns["Lĩnh vực"] == ""), "Có").otherwise("")
+    return df.select(*[F.col(c) for c in carry], *[x.alias(c) for c, x in columns.items()])
+
+
 def upsert(existing: DataFrame, projected: DataFrame, key: str, automatic: Sequence[str], manual: Sequence[str], status: str, held: str, marker: str, note: str) -> DataFrame:
     """Merge a projection into the read model; action is insert, update, keep or hold.
 

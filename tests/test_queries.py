@@ -2,7 +2,7 @@
 
 import pytest
 
-from regloom import rule_queries, text_queries, validator_queries  # noqa: F401  these add their queries
+from regloom import published_queries, rule_queries, text_queries, validator_queries  # noqa: F401  these add their queries
 from regloom.queries import ORACLES, QUERIES
 from tests.compare import differences, views
 
