@@ -6,7 +6,8 @@ kind on the documents outside the fit selects what is added. The trees are fitte
 as plain `when` expressions within each document's row.
 
 A candidate is labelled good if its normal form (separators, at/dot words and prefixes rewritten) passes the base checks.
-The trees see the normal form and the context, not the surface form, so that rewritten forms score like plain ones.
+The trees see the normal form and the context, so that rewritten forms score like plain ones; of the surface form they see
+only whether it is a bare run of digits.
 """
 
 from __future__ import annotations
@@ -49,7 +50,8 @@ SAMPLE_DOCS = 20_000
 #: Tasks that hold the bounded sample; the scan that finds it has as many as its table.
 FIT_TASKS = 6
 TREES, DEPTH = 20, 3
-PRECISION, SUPPORT = 0.99, 20
+#: A kind's precision is drawn to that of all kinds by as much as this many candidates weigh.
+PRECISION, WEIGHT = 0.99, 20
 
 
 def located(text: Column, pattern: str) -> Column:
@@ -96,7 +98,7 @@ def _valid(kind: str, v: Column) -> Column:
 
 SPAN = "array<struct<k:int,s:int,e:int>>"
 FEATURES = (
-    "is_email", "is_ip", "is_card", "is_phone", "chars", "digits", "letters", "dots", "dashes", "checked", "year",
+    "is_email", "is_ip", "is_card", "is_phone", "chars", "digits", "letters", "dots", "dashes", "checked", "year", "bare",
     "before_word", "after_word", "before_digit", "after_digit", "keyword", "line_start",
 )
 AT, DOT = r"\x20?[(\[{]at[)\]}]\x20?", r"\x20?[(\[{]dot[)\]}]\x20?"
@@ -125,8 +127,10 @@ def _good(kind: str, v: Column, before: Column) -> Column:
         return ~(v.contains(":") & v.contains(".")) & _valid("ip", n)
     if kind == "card":
         return _valid("card", n)
-    abroad = v.rlike("^([+]|00[1-9])") & _valid("phone", n)
-    sign = v.rlike("^([(]|0[1-9])") | F.lower(before).rlike(f"({WORDS['phone']})[^0-9\n]{{0,12}}$")
+    said = F.lower(before).rlike(f"({WORDS['phone']})[^0-9\n]{{0,12}}$")
+    # a bare run of digits that happens to start with 00 is no phone unless a word says so
+    abroad = (v.rlike("^[+]") | (v.rlike("^00[1-9]") & (v.rlike("[^0-9]") | said))) & _valid("phone", n)
+    sign = v.rlike("^([(]|0[1-9])") | said
     return abroad | (sign & F.length(n).between(*NATIONAL) & ~v.rlike(YEAR) & ~v.rlike("^[0-9]+([.][0-9]+){3}$"))
 
 
@@ -149,6 +153,7 @@ def _features(k: int, x: Column, text: Column) -> Column:
         count("-").cast("double").alias("dashes"),
         flag(v.rlike("[.][A-Za-z]{2,}$") if KINDS[k] == "email" else _valid(KINDS[k], v)).alias("checked"),
         flag(x["v"].rlike(YEAR)).alias("year"),
+        flag(x["v"].rlike("^[0-9]+$")).alias("bare"),
         flag(before.rlike(r"[A-Za-z_]$")).alias("before_word"),
         flag(after.rlike(r"^[A-Za-z_]")).alias("after_word"),
         flag(before.rlike(r"[0-9][^A-Za-z0-9]?$")).alias("before_digit"),
@@ -229,8 +234,8 @@ def _judged(docs: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> SpanModel:
     """Fit the trees on the candidates of at most sample_docs documents, chosen by hash of the id, and the thresholds on all others.
 
-    A kind's threshold is the lowest score from which on all its candidates, and those of them that can be added, are
-    good often enough.
+    The thresholds follow from all other documents, see thresholds_of(). Null texts are empty ones; rows without an id are not
+    fitted on but calibrate; rows of one id are fitted on together; an empty table gives a model that adds nothing.
     """
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
@@ -259,17 +264,29 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_
 
     held = _judged(docs.join(F.broadcast(fitted), "__id", "left_anti")).select("k", "label", "free", F.floor(score(F.col("f")) * 100).alias("bin"))
     counts = held.groupBy("k", "free", "bin").agg(F.sum("label").alias("good"), F.count("*").alias("n")).collect()  # 8 x 101 rows at most
-    thresholds = []
+    return SpanModel(score, thresholds_of([(r["k"], r["free"], r["bin"], r["good"], r["n"]) for r in counts]))
+
+
+def thresholds_of(counts: list[tuple[int, bool, int, float, int]]) -> tuple[float, ...]:
+    """A threshold for each kind from (kind, free, hundredth of the score, good ones, all) of the calibrating candidates.
+
+    The lowest score from which on a kind's candidates are good often enough, its rate being drawn to that of all kinds by as
+    much as WEIGHT candidates weigh, and those of them that can be added are too. So a kind with few candidates, or none,
+    leans on the others, by the same rule at every size. Above 1, so that nothing is added, where no score is good enough.
+    """
+    rate = lambda rows: (sum(r[3] for r in rows), sum(r[4] for r in rows))
+    out = []
     for k in range(len(KINDS)):
-        best, good, n = 2.0, [0.0, 0.0], [0, 0]  # of all, of the free ones
-        for at in sorted({r["bin"] for r in counts if r["k"] == k}, reverse=True):
-            for r in (r for r in counts if (r["k"], r["bin"]) == (k, at)):
-                for i in range(1 + r["free"]):
-                    good[i], n[i] = good[i] + r["good"], n[i] + r["n"]
-            if n[0] >= SUPPORT and all(g >= PRECISION * m for g, m in zip(good, n, strict=True)):
+        best = 2.0
+        for at in sorted({r[2] for r in counts}, reverse=True):
+            above = [r for r in counts if r[2] >= at]
+            good, n = rate(above)
+            own_good, own = rate([r for r in above if r[0] == k])
+            free_good, free = rate([r for r in above if r[0] == k and r[1]])
+            if own_good + WEIGHT * good / n >= PRECISION * (own + WEIGHT) and free_good >= PRECISION * free:
                 best = at / 100
-        thresholds.append(best)
-    return SpanModel(score, tuple(thresholds))
+        out.append(best)
+    return tuple(out)
 
 
 def find(docs: DataFrame, model: SpanModel, text_col: str = "text") -> DataFrame:

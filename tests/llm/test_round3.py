@@ -168,3 +168,34 @@ def test_op13_reads_the_text_alone(spark):
     other = d.withColumns({"doc_id": F.col("doc_id") + 1000, "lang": F.lit(None), "source": F.lit("t")})
     pairs = [sorted(r["score"] for r in factorisation.score(x, machine).collect()) for x in (d, other)]
     assert pairs[0] == pairs[1]
+
+
+def test_pii_thresholds_by_hand():
+    """A kind with few candidates leans on the others; free candidates count for themselves; no size switches a kind off."""
+    from regloom.llm import pii
+
+    clean = [(0, False, 99, 500.0, 500)]
+    assert pii.thresholds_of(clean) == (0.99,) * 4
+    assert pii.thresholds_of([(0, False, 99, 1.0, 1)]) == (0.99,) * 4
+    assert pii.thresholds_of([]) == (2.0,) * 4
+    # three good ones of one kind at a lower score: taken, as all kinds are good there
+    assert pii.thresholds_of([*clean, (2, True, 60, 3.0, 3)]) == (0.6,) * 4
+    # one bad one among few: no kind takes scores below its own
+    assert pii.thresholds_of([*clean, (2, True, 60, 2.0, 3)])[2] == 0.99
+    # a bad kind stays out wherever its scores lie, the others stay in
+    assert pii.thresholds_of([*clean, (3, False, 99, 0.0, 50), (3, True, 99, 0.0, 2)])[3] == 2.0
+
+
+def test_pii_of_few_documents(spark):
+    """With a handful of candidates of a kind rewritten forms are found, and a bare run of digits is no phone."""
+    from regloom.llm import pii
+
+    plain = [(i, f"write to a{i}@b{i}.com or call +1 (555) 123-45{i % 10}{i // 10 % 10} from 10.0.{i}.1") for i in range(60)]
+    odd = [(100 + i, f"number {54994038693460 + i:016d} stands here") for i in range(5)]
+    told = [(200 + i, f"please phone 0049 30 12345{i}{i} soon") for i in range(5)]
+    docs = spark.createDataFrame([*plain, *odd, *told], "doc_id long, text string")
+    model = pii.fit(docs)
+    spans = {r["doc_id"]: r["spans"] for r in pii.report(docs, model).collect()}
+    base = {r["doc_id"]: r["spans"] for r in pii.report(docs, pii.SpanModel(None, (2.0,) * 4)).collect()}
+    assert all(spans[d] == base[d] for d, _ in [*plain, *odd])
+    assert all(spans[d] == f"phone:13:{13 + len('0049 30 1234500')}" for d, _ in told)
