@@ -60,9 +60,9 @@ def heading_asof(df: DataFrame, keys: Sequence[str], order: Sequence[Column], he
     return df.withColumn(name, F.last(heading, ignorenulls=True).over(w))
 
 
-def cell_bounds(df: DataFrame, keys: Sequence[str], y: str, reach: float = 58.0) -> DataFrame:
-    """top and bottom of each cell: the middles to its neighbours, else `reach` away."""
-    w = W.partitionBy(*keys).orderBy(F.col(y).desc())
+def cell_bounds(df: DataFrame, keys: Sequence[str], y: str, reach: float = 58.0, ties: Sequence[str] = ()) -> DataFrame:
+    """top and bottom of each cell: the middles to its neighbours, else `reach` away; cells of one height by ties, ascending."""
+    w = W.partitionBy(*keys).orderBy(F.col(y).desc(), *ties)
     above, below = F.lag(y).over(w), F.lead(y).over(w)
     return df.withColumns({"top": F.coalesce((above + F.col(y)) / 2, F.col(y) + reach), "bottom": F.coalesce((below + F.col(y)) / 2, F.col(y) - reach)})
 

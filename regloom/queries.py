@@ -637,10 +637,10 @@ def rule_lookup(t):
 
 
 @query("""
-SELECT c_custkey, c_nationkey, coalesce((lag(c_acctbal) OVER w + c_acctbal) / 2, c_acctbal + 58) AS top, coalesce((lead(c_acctbal) OVER w + c_acctbal) / 2, c_acctbal - 58) AS bottom FROM customer WINDOW w AS (PARTITION BY c_nationkey ORDER BY c_acctbal DESC)
+SELECT c_custkey, c_nationkey, coalesce((lag(c_acctbal) OVER w + c_acctbal) / 2, c_acctbal + 58) AS top, coalesce((lead(c_acctbal) OVER w + c_acctbal) / 2, c_acctbal - 58) AS bottom FROM customer WINDOW w AS (PARTITION BY c_nationkey ORDER BY c_acctbal DESC, c_custkey)
 """.replace("coalesce((lag", "round(coalesce((lag").replace("+ 58) AS top", "+ 58), 3) AS top").replace("coalesce((lead", "round(coalesce((lead").replace("- 58) AS bottom", "- 58), 3) AS bottom"))
 def cell_bounds(t):
-    b = lines.cell_bounds(t("customer"), ["c_nationkey"], "c_acctbal")
+    b = lines.cell_bounds(t("customer"), ["c_nationkey"], "c_acctbal", ties=["c_custkey"])
     return b.select("c_custkey", "c_nationkey", F.round("top", 3).alias("top"), F.round("bottom", 3).alias("bottom"))
 
 
