@@ -27,3 +27,10 @@ def test_cells_of_one_height_keep_the_order_of_their_keys(agrees):
     one, other = agrees("cell_bounds", customer=cells), agrees("cell_bounds", customer=cells[::-1])
     assert differences(one, other) == ""
     assert [tuple(r) for r in one.sort_values("c_custkey")[["top", "bottom"]].to_numpy()] == [(88.0, 25.0), (25.0, 20.0), (20.0, 15.0), (15.0, -48.0)]
+
+
+def test_decision_numbers_in_titles_have_five_digits_at_most(agrees):
+    """A url may name a longer number."""
+    keys = [(1, 99_999), (2, 99_999), (3, 100_000), (4, 100_000)]
+    got = agrees("decision_identities", orders=[{"o_orderkey": o, "o_custkey": c} for o, c in keys])
+    assert got.sort_values("o_orderkey")["number"].tolist() == ["99999/QĐ-UBND", "99999/QĐ-UBND", None, "100000/QĐ-UBND"]
