@@ -678,11 +678,12 @@ def similarity(t):
     return p.select("p_partkey", tx.similarity(F.col("p_name"), F.col("p_type")).alias("similarity"))
 
 
-#: A page's lines by patterns alone: hidden elements and comments out, tags to line ends or spaces, entities, blanks.
+#: A page's lines by patterns alone: hidden elements and comments out, tags to line ends or spaces, entities (as in browsers also
+#: without their semicolon), blanks.
 _LINES = r"""
 WITH a AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html, '\s+', ' ', 'g'), '(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->|<!DOCTYPE[^>]*>', '', 'g'), '<[^>]*$', '') AS h FROM pages),
 b AS (SELECT page_id, regexp_replace(regexp_replace(h, '</?(p|div|section|article|header|footer|main|aside|li|br|h[1-6]|tr|table)( [^>]*)?>', chr(10), 'g'), '<[^>]*>', ' ', 'g') AS h FROM a),
-c AS (SELECT page_id, replace(replace(replace(replace(h, '&copy;', chr(169)), '&middot;', chr(183)), '&quot;', '"'), '&amp;', '&') AS h FROM b),
+c AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(h, '&copy;?', chr(169), 'g'), '&middot;?', chr(183), 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g') AS h FROM b),
 d AS (SELECT page_id, list_filter(list_transform(string_split_regex(h, '[\n\r]'), lambda x: trim(regexp_replace(x, '[ \t]+', ' ', 'g'))), lambda x: x <> '') AS lines FROM c)
 """
 

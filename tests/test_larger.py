@@ -34,3 +34,8 @@ def test_decision_numbers_in_titles_have_five_digits_at_most(agrees):
     keys = [(1, 99_999), (2, 99_999), (3, 100_000), (4, 100_000)]
     got = agrees("decision_identities", orders=[{"o_orderkey": o, "o_custkey": c} for o, c in keys])
     assert got.sort_values("o_orderkey")["number"].tolist() == ["99999/QĐ-UBND", "99999/QĐ-UBND", None, "100000/QĐ-UBND"]
+
+
+def test_entities_without_a_semicolon_are_read_as_in_browsers(agrees):
+    html = "<title>a &amp b&amp</title><p>c &copy d &quot;e&quot f&amp;copy &middot</p><p>&am &quo</p>"
+    agrees("html_blocks", pages=[{"page_id": i, "html": html} for i in (0, 1)])
