@@ -18,9 +18,8 @@ def scheme(u: Column) -> Column:
 
 def param(u: Column, name: str) -> Column:
     """Decoded value of a query parameter, the first that is not blank; null without it."""
-    query = F.regexp_extract(u, r"^[^?#]*\?([^#]*)", 1)
-    pattern = rf"(?:^|&){name}=([^&]+)"
-    return F.when(query.rlike(pattern), F.try_url_decode(F.regexp_extract(query, pattern, 1)))
+    pattern = rf"^[^?#]*\?(?:[^#]*?&)??{name}=([^&#]+)"
+    return F.try_url_decode(F.get(F.regexp_extract_all(u, F.lit(pattern), F.lit(1)), F.lit(0)))
 
 
 def official(u: Column, suffixes: Sequence[str]) -> Column:

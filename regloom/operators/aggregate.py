@@ -110,18 +110,20 @@ def link_findings(rows: DataFrame, key: Column, url: Column, route: Column, want
     link, invalid by its reason, else it has a route, and besides a mismatch where it has an id that the link lacks, or a
     keyword where it has none. Rows with an id are told as with_id.
     """
-    there, has_id = F.coalesce(F.trim(url), F.lit("")) != "", F.coalesce(F.trim(wanted), F.lit("")) != ""
-    ok, name, none = route["ok"], route["route"], F.lit("")
+    # what several conditions ask for is made once, as columns: the route alone holds dozens of patterns
+    rows = rows.select(key.cast("string").alias("key"), F.trim(url).alias("url"), F.trim(wanted).alias("wanted"), got.alias("got"), route["ok"].alias("ok"), route["route"].alias("route"))
+    there, has_id = F.coalesce("url", F.lit("")) != "", F.coalesce("wanted", F.lit("")) != ""
+    ok, name, none = F.col("ok"), F.col("route"), F.lit("")
     told = lambda kind, value: F.struct(F.lit(kind).alias("kind"), value.alias("value"))
     seen = F.array(
         F.when(has_id, told("with_id", none)),
         F.when(~there, told("missing", none)),
         F.when(there & ~ok, told("invalid", name)),
         F.when(there & ok, told("route", name)),
-        F.when(there & ok & has_id & ~F.trim(wanted).eqNullSafe(got), told("mismatch", none)),
+        F.when(there & ok & has_id & ~F.col("wanted").eqNullSafe(F.col("got")), told("mismatch", none)),
         F.when(there & ok & ~has_id, told("keyword", name)),
     )
-    return rows.select(key.cast("string").alias("key"), F.inline(F.filter(seen, lambda x: x.isNotNull()))).select("kind", "value", "key")
+    return rows.select("key", F.inline(F.filter(seen, lambda x: x.isNotNull()))).select("kind", "value", "key")
 
 
 def link_audit(found: DataFrame) -> DataFrame:

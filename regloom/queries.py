@@ -388,8 +388,8 @@ def _links(t):
     m = k % 10
     got = F.when(m == 3, F.lit("other")).otherwise(k.cast("string"))
     u = F.concat(F.when(m == 1, "http").otherwise("https"), F.lit("://gate.example/f?provinceCode=31&commune=WARD&isProvince=0&wardCode="), F.when(m == 2, "2").otherwise("1"), F.when(n < 5, "&q=w").otherwise(F.concat(F.lit("&formalityId="), got)))
-    url = F.when(m > 0, u)
-    return aggregate.link_findings(t("customer"), k, url, urls.scoped_route(url, F.lit("Xã"), "gate.example", "31", "1"), F.when(n < 20, k.cast("string")), urls.param(url, "formalityId"))
+    rows, url = tables.spread(t("customer")).withColumn("url", F.when(m > 0, u)), F.col("url")
+    return aggregate.link_findings(rows, k, url, urls.scoped_route(url, F.lit("Xã"), "gate.example", "31", "1"), F.when(n < 20, k.cast("string")), urls.param(url, "formalityId"))
 
 
 @query(_LINKS + "SELECT kind, value, key FROM f")

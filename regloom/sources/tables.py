@@ -29,6 +29,11 @@ def parquet(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str]
     return df.select(*columns) if columns else df
 
 
+def spread(df: DataFrame, rows: int = 5_000) -> DataFrame:
+    """df over so many tasks that each holds about `rows` rows: for tables of few bytes, which are read in one task, where a row takes long."""
+    return df.repartition(max(1, -(-df.count() // rows)))
+
+
 def json_envelope(spark: SparkSession, path: str, schema: T.StructType, rows: str) -> tuple[DataFrame, DataFrame]:
     """(one-row metadata, rows) of a JSON document that wraps an array; a missing file gives empty tables."""
     try:
