@@ -64,11 +64,12 @@ def execution_evidence(url: Column, classification: str, checked: Column, suffix
     return F.when(urls.official(u, suffixes), _rebuilt(item, evidenceId=content_id(item)))
 
 
-def first_of_each(evidence: Column) -> Column:
-    """Evidence structs, the first of each id, in order, without nulls."""
-    there = F.filter(evidence, lambda e: e.isNotNull())
-    ids = F.transform(there, lambda e: e["evidenceId"])
-    return F.filter(there, lambda e, i: F.array_position(ids, e["evidenceId"]) == i + 1)
+def first_of_each(evidence: Column, ids: Column) -> Column:
+    """Evidence structs, the first of each id, in order; ids are theirs.
+
+    Both should be columns of a table: what they are made of would be made again for each element.
+    """
+    return F.filter(evidence, lambda e, i: F.array_position(ids, e["evidenceId"]) == i + 1)
 
 
 def ids_where(evidence: Column, condition) -> Column:
@@ -136,7 +137,9 @@ def upgraded(
         there = F.filter(guide.sources, lambda s: s.isNotNull() & _given(F.trim(s["url"])))
         guided = F.coalesce(F.transform(there, item), guided)
     df = rows.withColumn("_guided", guided)
-    df = df.withColumn("sourceEvidence", first_of_each(F.concat(own, linked, F.transform("_guided", lambda g: g["e"]))))
+    df = df.withColumn("_all", F.filter(F.concat(own, linked, F.transform("_guided", lambda g: g["e"])), lambda e: e.isNotNull()))
+    df = df.withColumn("_ids", F.transform("_all", lambda e: e["evidenceId"]))
+    df = df.withColumn("sourceEvidence", first_of_each(F.col("_all"), F.col("_ids")))
     all_ = F.col("sourceEvidence")
     df = df.withColumn("_legal", ids_where(all_, lambda e: e["sourceRole"] == LEGAL)).withColumn("_execution", ids_where(all_, lambda e: e["sourceRole"] == EXECUTION))
     df = df.withColumn("_timed", ids_where(all_, lambda e: e["classification"] == "official_table_guidance_duration")).withColumn("_from", latest_day(all_, False))
@@ -161,7 +164,7 @@ def upgraded(
     others = F.map_filter(before, lambda k, _: ~k.isin(*[f for f, _, _ in supports]))
     lifecycle = F.struct(F.lit("active").alias("status"), as_of.cast("string").alias("asOf"), F.col("_from").alias("effectiveFrom"), F.lit(None).cast("string").alias("effectiveTo"))
     df = df.withColumn("lifecycle", lifecycle).withColumn("fieldSources", F.map_concat(others, fresh))
-    return df.drop("_guided", "_legal", "_execution", "_timed", "_from")
+    return df.drop("_guided", "_all", "_ids", "_legal", "_execution", "_timed", "_from")
 
 
 def _cited(refs: Column, guided: Column, execution_only: bool) -> Column:

@@ -10,6 +10,7 @@ from .operators import contract, field_gates, gates, upgrade, validators
 from .operators.expect import Rule
 from .operators.integrity import Pair, Side, Table, findings
 from .queries import query
+from .sources import tables
 
 
 @query("""
@@ -242,7 +243,7 @@ def _records(t):
     e = F.struct(*[fields.get(x, texts if x == "decisionNumbers" else text).alias(x) for x in upgrade._NAMES]).cast(upgrade.EVIDENCE)
     link = F.when(F.col("c_nationkey") % 2 == 0, F.concat(F.lit("https://gate.gov.vn/f?provinceCode=31&wardCode=11824&commune=WARD&formalityId="), k))
     source = F.struct(F.lit("s").alias("id"), F.concat(F.lit("https://m.gov.vn/"), n).alias("url"), F.when(F.col("c_nationkey") >= 0, "central_content_reference").alias("sourceRole"), text.alias("classification"), text.alias("publishedDate"), text.alias("effectiveDate"))
-    rows = t("customer").select(
+    rows = tables.spread(t("customer")).select(
         k.alias("ma"), F.col("c_name").alias("ten"), F.col("c_nationkey").alias("n"), F.array(e, F.when(F.col("c_nationkey") < 8, e)).alias("evidence"), link.alias("link"),
         F.when(F.col("c_nationkey") < 12, F.array(source)).alias("sources"), F.create_map(F.lit("lePhi"), F.array(F.when(F.col("c_nationkey") < 6, "s").otherwise("none"))).alias("cites"),
     )
