@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +48,10 @@ class Guidance:
     link: Column
 
 
+def _named(**columns: Column) -> list[Column]:
+    return [c.alias(n) for n, c in columns.items()]
+
+
 def _given(c: Column) -> Column:
     return F.coalesce(c, F.lit("")) != ""
 
@@ -64,7 +68,21 @@ def canonical(rows: DataFrame, meta: DataFrame, code: Column, name: Column, requ
     dataset_version, source_commit and source_commit_kind. required: field to whether the record must tell its sources.
     Evidence ids are computed anew from the content. A key is the code, else empty.
     """
-    k, n = F.trim(F.coalesce(code, F.lit(""))), F.trim(F.coalesce(name, F.lit("")))
+    # what many rules ask for is made once, as columns
+    rows = rows.select("lifecycle", "sourceEvidence", "fieldSources", *_named(
+        _code=F.trim(F.coalesce(code, F.lit(""))), _name=F.trim(F.coalesce(name, F.lit(""))), _status=guidance.status, _sources=guidance.sources, _guide_link=guidance.link,
+        _url=F.trim(F.coalesce(link.url, F.lit(""))), _link_status=link.status, _id=link.id, _level=link.level, **{f"_want_{i}": w for i, w in enumerate(required.values())},
+    ))
+    required = {f: F.col(f"_want_{i}") for i, f in enumerate(required)}
+    guidance = Guidance(F.col("_status"), F.col("_sources"), F.col("_guide_link"))
+    link = replace(link, url=F.col("_url"), status=F.col("_link_status"), id=F.col("_id"), level=F.col("_level"))
+    rows = rows.withColumns({
+        "_items": F.coalesce("sourceEvidence", F.array().cast(rows.schema["sourceEvidence"].dataType)),
+        **{f"_par_{p}": F.coalesce(urls.param(link.url, p), F.lit("")) for p in _parameters(link)},
+    })
+    rows = rows.withColumn("_item_ids", F.transform("_items", lambda e: F.coalesce(e["evidenceId"], F.lit(""))))
+    rows = rows.withColumn("_entries", F.transform(F.map_entries("fieldSources"), lambda x: F.struct(x["key"].alias("field"), x["value"].alias("ids"), _roles(x["value"], F.col("_items")).alias("roles"))))
+    k, n = F.col("_code"), F.col("_name")
     life, evidence, refs = F.col("lifecycle"), F.col("sourceEvidence"), F.col("fieldSources")
     told = [
         _if((k == "") | (n == ""), "NO_CODE_OR_NAME", n),
@@ -77,7 +95,7 @@ def canonical(rows: DataFrame, meta: DataFrame, code: Column, name: Column, requ
         _if(refs.isNull(), "NO_FIELD_SOURCES", "no map of sources"),
         *_lifecycle(life),
     ]
-    items = F.coalesce(evidence, F.array().cast(rows.schema["sourceEvidence"].dataType))
+    items = F.col("_items")
     told += _effect(life, items)
     told += _required(required, refs)
     told += _link(link)
@@ -95,7 +113,7 @@ def canonical(rows: DataFrame, meta: DataFrame, code: Column, name: Column, requ
     single = repeated(rows, k, "DUPLICATE_CODE")
     envelope = _rows(meta, F.lit(""), F.array(*_envelope(format_, commit_kind, commit)))
     empty = rows.agg(F.count("*").alias("n")).where("n = 0").select(F.lit("error").alias("severity"), F.lit("NO_ROWS").alias("code"), F.lit("").alias("key"), F.lit("no records").alias("message"))
-    return _rows(rows, k, F.array(*told), *_by_evidence(items, suffixes), *_by_field(refs, items), *by_source).unionByName(single).unionByName(envelope).unionByName(empty)
+    return _rows(rows, k, F.array(*told), *_by_evidence(items, F.col("_item_ids"), suffixes), *_by_field(F.col("_entries"), F.col("_item_ids")), *by_source).unionByName(single).unionByName(envelope).unionByName(empty)
 
 
 def _envelope(format_: str, commit_kind: str, commit: str | None) -> list[Column]:
@@ -130,9 +148,8 @@ def _effect(life: Column, items: Column) -> list[Column]:
     ]
 
 
-def _by_evidence(items: Column, suffixes: Sequence[str]) -> list[Column]:
+def _by_evidence(items: Column, ids: Column, suffixes: Sequence[str]) -> list[Column]:
     place = lambda x, i: (i + 1).cast("string")
-    ids = F.transform(items, lambda e: F.coalesce(e["evidenceId"], F.lit("")))
     shaped = lambda e: F.coalesce(e["evidenceId"].rlike("^ev_[0-9a-f]{24}$"), F.lit(False))
     there = lambda e: e.isNotNull()
     links = lambda e: F.array(*[F.trim(F.coalesce(e[n], F.lit(""))) for n in ("url", "articleUrl", "attachmentUrl")])
@@ -154,10 +171,8 @@ def _required(required: Mapping[str, Column], refs: Column) -> list[Column]:
     return [_if(F.coalesce(want, F.lit(False)) & no_items(F.try_element_at(refs, F.lit(f))), "FIELD_WITHOUT_SOURCE", f) for f, want in required.items()]
 
 
-def _by_field(refs: Column, items: Column) -> list[Column]:
-    """Rules on each entry of the map: its ids exist, once each, and their roles may support the field."""
-    ids = F.transform(items, lambda e: F.coalesce(e["evidenceId"], F.lit("")))
-    entries = F.transform(F.map_entries(refs), lambda x: F.struct(x["key"].alias("field"), x["value"].alias("ids"), _roles(x["value"], items).alias("roles")))
+def _by_field(entries: Column, ids: Column) -> list[Column]:
+    """Rules on each entry of the map (field, ids, roles): its ids exist, once each, and their roles may support the field."""
     name = lambda x, i: x["field"]
     unknown = lambda x: F.filter(x["ids"], lambda r: ~F.coalesce(F.array_contains(ids, r), F.lit(False)))
     lacks = lambda x, role: ~F.array_contains(x["roles"], role)
@@ -179,10 +194,15 @@ def _roles(ids: Column, items: Column) -> Column:
     return F.array_distinct(F.transform(cited, lambda e: F.coalesce(e["sourceRole"], F.lit(""))))
 
 
+def _parameters(x: Link) -> list[str]:
+    return list(dict.fromkeys(("provinceCode", "isProvince", "formalityId", *FORBIDDEN_AT_PROVINCE, *x.commune)))
+
+
 def _link(x: Link) -> list[Column]:
-    u = F.trim(F.coalesce(x.url, F.lit("")))
+    """Rules on a link; its parameters are columns."""
+    u = x.url
     there = u != ""
-    par = lambda p: F.coalesce(urls.param(u, p), F.lit(""))
+    par = lambda p: F.col(f"_par_{p}")
     province = F.lower(F.trim(F.coalesce(x.level, F.lit("")))).startswith("cấp tỉnh")
     forced = F.array_compact(F.array(*[F.when(par(p) != "", F.lit(p)) for p in FORBIDDEN_AT_PROVINCE]))
     return [
