@@ -206,9 +206,9 @@ def _emit(buckets: int):
 
 #: Entries that meet others, on their way to their document: unit 1 or 2 (0: index only), and the number of others met.
 MET = np.dtype([("sig", "<u8"), ("doc", "<i8"), ("slot", "<u4"), ("cost", "<u4"), ("band", "u1"), ("unit", "u1"), ("index", "u1")])
-#: Entries on their way back, with what their document knows.
+#: Entries on their way back, with what their document knows. On the way to their documents label holds what the segment
+#: tells: the hub, or the bucket in which its pairs are looked at.
 KNOWN = np.dtype([("sig", "<u8"), ("doc", "<i8"), ("label", "<i8"), ("size", "<u4"), ("asks", "u1"), ("index", "u1")])
-HUB = np.dtype([("doc", "<i8"), ("hub", "<i8"), ("n", "<i8")])
 
 
 def _split(s: np.ndarray, bucket: np.ndarray, kind: int, *before: str) -> list[tuple[int, int, bytes]]:
@@ -364,30 +364,47 @@ def _useful(k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return k, np.cumsum(_opened(k["sig"])) - 1
 
 
+#: Records that segments of one smallest document may have in one bucket.
+ROUTED = 800_000
+
+
 def _open(buckets: int, hubs: bool):
-    """A bucket of segments: the records of useful segments go to their documents (kind 5).
+    """A bucket of segments: the records of useful segments go to their documents (kind 5), with a note as label.
 
-    hubs: the smallest document of a segment is named hub of those close to it in size, with the times this happens (kind 3).
+    hubs: the note is the smallest document of the segment, the hub of those close to it in size, and the document itself for
+    others. Else it is the bucket that looks at the segment's pairs. Near copies meet in many segments, and mostly with the
+    same smallest document, so its segments go to one bucket: a sketch is then sent to as many buckets as a set has such
+    documents, whatever the number of buckets. Segments of a document that has too many for one bucket stay spread.
     """
 
     def run(blocks: pd.DataFrame) -> pd.DataFrame:
         bucket = int(blocks["bucket"].iloc[0])
         k, group = _useful(_records(blocks, 5, KNOWN))
-        out = _split(k, k["doc"] % buckets, 5)
-        if hubs and len(k):
-            first = np.flatnonzero(_opened(group))[group]
+        if not len(k):
+            return _frame([])
+        first = np.flatnonzero(_opened(group))[group]
+        least = k["doc"][first]
+        if hubs:
             small, large = np.minimum(k["size"], k["size"][first]).astype(np.int64), np.maximum(k["size"], k["size"][first]).astype(np.int64)
-            at = (k["doc"] != k["doc"][first]) & (4 * small >= 3 * large)
-            pair, n = np.unique(np.stack([k["doc"][at], k["doc"][first][at]], axis=1), axis=0, return_counts=True)
-            h = np.empty(len(pair), dtype=HUB)
-            h["doc"], h["hub"], h["n"] = pair[:, 0], pair[:, 1], n
-            if len(h):
-                out.append((bucket, 3, _packed(h)))
-        return _frame(out)
+            k["label"] = np.where(4 * small >= 3 * large, least, k["doc"])
+        else:
+            _, at, n = np.unique(least, return_inverse=True, return_counts=True)
+            few = n[at] <= max(1, ROUTED // buckets)  # this bucket has about one of so many parts of them
+            k["label"] = np.where(few, (_mix(least.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64), bucket)
+        return _frame(_split(k, k["doc"] % buckets, 5))
 
     return run
 
 
+def _hubs_of(blocks: pd.DataFrame) -> pd.DataFrame:
+    """The documents of a bucket of documents, each with the hub that it meets most often, the smallest of several, or itself."""
+    k = _records(blocks, 5, KNOWN)
+    pair, n = np.unique(np.stack([k["doc"], k["label"]], axis=1), axis=0, return_counts=True)
+    n[pair[:, 0] == pair[:, 1]] = 0
+    pair = pair[np.lexsort((pair[:, 1], -n, pair[:, 0]))]
+    return pd.DataFrame(pair[_opened(pair[:, 0])], columns=["doc", "hub"])
+
+
 def _bits(size: np.ndarray) -> np.ndarray:
     """Logarithm of the width of a set's sketch, about four bits a shingle. Sets that may link differ by one at most."""
     return np.maximum(9, np.ceil(np.log2(4.0 * np.maximum(size, 1))).astype(np.int64))
@@ -422,18 +439,22 @@ LABELLED = f"{BLOCK}, sketches binary"
 
 
 def _labelled(buckets: int, sketches: bool):
-    """A bucket of documents: their records with the labels of now go to their segments (kind 5), sketches beside them."""
+    """A bucket of documents: their records with the labels of now go to their segments (kind 5).
+
+    sketches: they go where the pairs of their segments are looked at, and sketches beside them.
+    """
 
     def run(blocks: pd.DataFrame, now: pd.DataFrame) -> pd.DataFrame:
         k = _records(blocks, 5, KNOWN)
         if not len(k):
             return pd.DataFrame([], columns=["bucket", "kind", "body", "sketches"])
+        to = k["label"].copy() if sketches else (k["sig"] % np.uint64(buckets)).astype(np.int64)
+        k["label"] = k["doc"]
         now = now.sort_values("doc")
         node = now["doc"].to_numpy(dtype=np.int64)
         if len(node):
             place = np.minimum(np.searchsorted(node, k["doc"]), len(node) - 1)
             k["label"] = np.where(node[place] == k["doc"], now["label"].to_numpy(dtype=np.int64)[place], k["doc"])
-        to = (k["sig"] % np.uint64(buckets)).astype(np.int64)
         told: dict[int, list[bytes]] = {}
         if sketches:
             pair, at = np.unique(np.stack([to, k["doc"]], axis=1), axis=0, return_index=True)
@@ -649,17 +670,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     asked = shared.groupBy("bucket").applyInPandas(_spend(buckets), BLOCK)
     met = staged(asked.groupBy("bucket").applyInPandas(_open(buckets, hubs=True), BLOCK), "ngram-met")
     discard(shared)
-    sets = staged(token_sets(read, met.where("kind = 5").groupBy("bucket").applyInPandas(_docs_of, "doc long")), "ngram-sets")
+    hubs = staged(met.groupBy("bucket").applyInPandas(_hubs_of, "doc long, hub long"), "ngram-hubs")
+    sets = staged(token_sets(read, hubs.select("doc")), "ngram-sets")
 
-    hubs = met.where("kind = 3").mapInArrow(_exploded(HUB), "doc long, hub long, n long").groupBy("doc", "hub").agg(F.sum("n").alias("n"))
-    hubs = hubs.groupBy("doc").agg(F.max_by("hub", F.struct("n", -F.col("hub"))).alias("hub"))
     ordered = [F.least("doc", "other").alias("a"), F.greatest("doc", "other").alias("b")]
-    links = verified(hubs.withColumnRenamed("hub", "other").select(*ordered).distinct(), sets)
+    links = verified(hubs.where("doc <> hub").withColumnRenamed("hub", "other").select(*ordered).distinct(), sets)
     links = links.unionByName(info.where("doc <> rep").select(F.col("rep").alias("a"), F.col("doc").alias("b")))
     label = components(links)
     home = F.pmod("doc", F.lit(buckets)).cast("int").alias("bucket")
     now = label.select(F.col("node").alias("doc"), "label")
-    at_segments = met.where("kind = 5").groupBy("bucket").cogroup(now.select("doc", "label", home).groupBy("bucket")).applyInPandas(_labelled(buckets, sketches=False), LABELLED).drop("sketches")
+    at_segments = met.groupBy("bucket").cogroup(now.select("doc", "label", home).groupBy("bucket")).applyInPandas(_labelled(buckets, sketches=False), LABELLED).drop("sketches")
     apart = staged(at_segments.groupBy("bucket").applyInPandas(_open(buckets, hubs=False), BLOCK), "ngram-apart")
     discard(met)
     left = apart.groupBy("bucket").applyInPandas(_docs_of, "doc long")
