@@ -745,27 +745,33 @@ def _scratch(spark: SparkSession, name: str) -> str:
     return os.path.join(folder, f"{name}-{uuid.uuid4().hex}")
 
 
-def _sliced(spark: SparkSession, events: DataFrame, path: str, slices: int = 3) -> None:
-    """The events as files of a stream, one for each micro-batch: slices of time, out of order by up to 50 minutes, then its end."""
+def _sliced(spark: SparkSession, events: DataFrame, path: str, slices: int = 3) -> int:
+    """The events as files of a stream: slices of time, out of order by up to 50 minutes, then its end.
+
+    Returns the files of the largest slice: micro-batches of as many files take no slice in three, so no event of a slice is
+    behind the watermark that the first of it has set.
+    """
     late = F.pmod(F.xxhash64("event_id"), F.lit(50)) * 60
     first, last = events.agg(F.min(F.unix_seconds("ts")), F.max(F.unix_seconds("ts"))).first()
     width = max(1, -(-((last or 0) - (first or 0) + 3001) // slices))
+    files = [0]
     for i in range(slices):
         arrives = F.floor((F.unix_seconds("ts") + late - (first or 0)) / width)
         events.where(arrives == i).write.mode("append").parquet(path)
+        files.append(len(spark.read.schema(events.schema).parquet(path).inputFiles()))
     streams.close_stream(events.schema, spark, "user_id", "ts").write.mode("append").parquet(path)
+    return max(b - a for a, b in zip(files, files[1:], strict=False))
 
 
 def _stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = tables.parquet(spark, sf_dir, "events")
     events = events.withColumn("ts", F.col("ts").cast("timestamp"))
     source = _scratch(spark, "stream-in")
-    _sliced(spark, events, source)
-    files = len([x for x in spark.read.parquet(source).inputFiles()])
+    files = _sliced(spark, events, source)
     before = spark.conf.get(streams.STATE_STORE[0])
     spark.conf.set(*streams.STATE_STORE)
     try:
-        stream = streams.replay_stream(streams.file_stream(spark, source, events.schema, max(1, files // 4)), "user_id", "ts", "event_id", _kind(), "1 hour", 7 * 86_400)
+        stream = streams.replay_stream(streams.file_stream(spark, source, events.schema, max(1, files)), "user_id", "ts", "event_id", _kind(), "1 hour", 7 * 86_400)
         out = streams.run_available(stream, _scratch(spark, "stream-out"), _scratch(spark, "stream-state"))
     finally:
         spark.conf.set(streams.STATE_STORE[0], before)
