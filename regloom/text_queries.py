@@ -70,11 +70,11 @@ def effective_dates(t):
     return t("orders").select("o_orderkey", catalogue.effective_date(text, F.date_format("o_orderdate", "yyyy-MM-dd")).alias("d")).select("o_orderkey", "d.*")
 
 
-@query("SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 OR length(o_custkey::VARCHAR) <= 5 THEN o_custkey || '/QĐ-UBND' END AS number, CASE WHEN o_orderkey % 2 = 0 THEN '2021-02-01' END AS date FROM orders")
+@query("SELECT o_orderkey, o_custkey || '/QĐ-UBND' AS number, CASE WHEN o_orderkey % 2 = 0 THEN '2021-02-01' END AS date FROM orders")
 def decision_identities(t):
     k = F.col("o_custkey").cast("string")
     url = F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("https://x.vn/quyet-dinh-so-"), k, F.lit("-qd-ubnd-ngay-1-2-2021.html"))).otherwise("https://x.vn/")
-    title = F.when(F.length(k) <= 5, F.concat(F.lit("Quyết định "), k, F.lit("/QD-UBND ngày")))
+    title = F.concat(F.lit("Quyết định "), k, F.lit("/QD-UBND ngày"))
     return t("orders").select("o_orderkey", catalogue.decision_identity(url, title).alias("d")).select("o_orderkey", "d.*")
 
 

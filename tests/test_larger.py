@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from regloom import published_queries, rule_queries, text_queries, validator_queries  # noqa: F401  these add their queries
-from regloom.functions import urls
+from regloom.functions import catalogue, urls
 from regloom.queries import ORACLES, QUERIES
 from tests.compare import differences, views
 
@@ -38,6 +38,15 @@ def test_decision_numbers_in_titles_have_five_digits_at_most(agrees):
     assert got.sort_values("o_orderkey")["number"].tolist() == ["99999/QĐ-UBND", "99999/QĐ-UBND", None, "100000/QĐ-UBND"]
 
 
+def test_decisions_keep_numbers_of_any_length(spark, agrees):
+    keys = [7, 99_999, 100_000, 899_999, 1_234_567, 9_876_543_210]
+    got = agrees("decision_identities", orders=[{"o_orderkey": 2 * i + odd, "o_custkey": k} for i, k in enumerate(keys) for odd in (0, 1)])
+    assert got.sort_values("o_orderkey")["number"].tolist() == [f"{k}/QĐ-UBND" for k in keys for _ in (0, 1)]
+    titles = {"QUYẾT ĐỊNH số: 1234567 / QD-UBND": "1234567/QĐ-UBND", "12/QD-BNV, Quyết định 123456/QĐ-UBND": "123456/QĐ-UBND", "theo 12/QD-BNV": "12/QĐ-BNV", "Quyết định 12/2020": None, "": None, None: None}
+    rows = spark.createDataFrame([(x,) for x in titles], "x string").select("x", catalogue.decision_identity(F.lit("https://x.vn/"), F.col("x"))["number"].alias("n")).collect()
+    assert {r["x"]: r["n"] for r in rows} == titles
+
+
 def test_entities_without_a_semicolon_are_read_as_in_browsers(agrees):
     html = "<title>a &amp b&amp</title><p>c &copy d &quot;e&quot f&amp;copy &middot</p><p>&am &quo</p>"
     agrees("html_blocks", pages=[{"page_id": i, "html": html} for i in (0, 1)])
